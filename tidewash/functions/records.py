@@ -8,6 +8,26 @@ from pyspark.sql import functions as F
 from tidewash.functions.common import col_of
 
 
+def epoch_micros(c) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a ``timestamp_ntz`` value,
+    independent of the session time zone (a cast to ``timestamp`` would
+    shift by the zone offset)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, col_of(c).cast("timestamp_ntz"))
+
+
+def event_time(c) -> Column:
+    """An instant (``timestamp``) with the same epoch micros as a
+    ``timestamp_ntz`` read as UTC; watermarks need this type."""
+    return F.timestamp_micros(epoch_micros(c))
+
+
+def ntz_from_micros(c) -> Column:
+    """``timestamp_ntz`` from epoch micros (the inverse of ``epoch_micros``)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", col_of(c), epoch)
+
+
 def coalesce_default(c, default) -> Column:
     """Value of a possibly missing field, or ``default``."""
     return F.coalesce(col_of(c), F.lit(default))
@@ -41,7 +61,7 @@ def iso_timestamp_string(c) -> Column:
     ts = col_of(c)
     with_us = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     without = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(F.unix_micros(F.to_timestamp(ts)) % 1_000_000 == 0, without).otherwise(with_us)
+    return F.when(epoch_micros(ts) % 1_000_000 == 0, without).otherwise(with_us)
 
 
 def ingest_timestamp() -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewash.functions.common import col_of, names_of
+from tidewash.functions.records import epoch_micros
 
 
 def exact_dedup(df: DataFrame, key, order_col: str) -> DataFrame:
@@ -53,8 +54,10 @@ def _rank_struct(df: DataFrame, order_by: list[tuple[str, bool]]) -> Column:
         c = F.col(name)
         if not ascending:
             dt = types[name]
-            if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-                c = -F.unix_micros(c.cast("timestamp"))
+            if isinstance(dt, T.TimestampNTZType):
+                c = -epoch_micros(c)
+            elif isinstance(dt, T.TimestampType):
+                c = -F.unix_micros(c)
             elif isinstance(dt, T.DateType):
                 c = -F.unix_date(c)
             elif isinstance(dt, T.NumericType):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewash.functions.common import col_of, names_of
+from tidewash.functions.records import epoch_micros
 from tidewash.operators.running import running_aggregates
 
 
@@ -53,9 +54,9 @@ def throughput_eta(df: DataFrame, order_by, ts_col: str, failed: Column,
     ``target_total`` successes at that rate (null where undefined)."""
     ra = running_aggregates(
         df, order_by,
-        {"n_ok": ("count", ~failed), "_t0": ("min", F.unix_micros(F.col(ts_col).cast("timestamp")))},
+        {"n_ok": ("count", ~failed), "_t0": ("min", epoch_micros(ts_col))},
         partition_by, bucket)
-    elapsed_min = (F.unix_micros(F.col(ts_col).cast("timestamp")) - F.col("_t0")) / F.lit(60_000_000.0)
+    elapsed_min = (epoch_micros(ts_col) - F.col("_t0")) / F.lit(60_000_000.0)
     rate = F.try_divide(F.col("n_ok").cast("double"), elapsed_min)
     remaining = (F.lit(int(target_total)) - F.col("n_ok")).cast("double")
     return (ra.withColumn("ok_per_min", rate)

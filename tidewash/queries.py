@@ -177,7 +177,7 @@ FROM events""")
 def q_int_unit_convert(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id",
-                    R.int_unit_convert(F.unix_micros(F.col("ts").cast("timestamp")), 1000).alias("ts_ms"),
+                    R.int_unit_convert(R.epoch_micros("ts"), 1000).alias("ts_ms"),
                     R.int_unit_convert(F.floor(F.col("value") * 1_000_000), 1000).alias("value_milli"))
 
 
@@ -610,3 +610,79 @@ def q_jsonl_sink_overwrite(spark, sf):
     jsonl.write_jsonl(cleaned, path, mode="overwrite")
     back = jsonl.read_jsonl_strict(spark, path, DOC_SCHEMA)
     return back.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+# ---------------------------------------------------------------------------
+# 7. Streaming.  The events table arrives as six event-time slices; each
+#    query runs twice (slices 0-2, then 3-5) on one checkpoint, so the second
+#    run resumes from the first run's state.
+def _replay(spark, sf, name, redeliver=None):
+    from tidewash.streaming import ingest
+
+    base = scratch_path(spark, name)
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    writers = ingest.write_arrivals(events, "ts", f"{base}/in", 6, redeliver)
+    return base, events.schema, writers
+
+
+def _two_runs(spark, base, schema, writers, build, **sink):
+    from tidewash.streaming import ingest
+
+    for part in (writers[:3], writers[3:]):
+        for w in part:
+            w()
+        stream = ingest.file_stream(spark, f"{base}/in", schema)
+        ingest.run_available(build(stream), f"{base}/ckpt", **sink)
+
+
+@query("stream_append_ingest", """
+SELECT event_id, ts, user_id, event_type, value FROM events""")
+def q_stream_append_ingest(spark, sf):
+    base, schema, writers = _replay(spark, sf, "stream-ingest")
+    _two_runs(spark, base, schema, writers, lambda s: s, sink_path=f"{base}/out")
+    return spark.read.schema(schema).parquet(f"{base}/out")
+
+
+@query("stream_dedup", """
+SELECT event_id, ts, user_id, event_type FROM events""")
+def q_stream_dedup(spark, sf):
+    from tidewash.streaming import ingest
+
+    # the producer re-sends the previous slice's failures with every slice
+    base, schema, writers = _replay(spark, sf, "stream-dedup", redeliver=_failed())
+    _two_runs(spark, base, schema, writers,
+              lambda s: ingest.dedup_stream(s, ["event_id"], "ts", "6 days"), sink_path=f"{base}/out")
+    return spark.read.parquet(f"{base}/out").select("event_id", "ts", "user_id", "event_type")
+
+
+@query("stream_rate_window", """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       count(*) FILTER (WHERE event_type <> 'error') AS n_ok, count(*) FILTER (WHERE event_type = 'error') AS n_failed
+FROM events GROUP BY 1, 2""")
+def q_stream_rate_window(spark, sf):
+    from tidewash.streaming import ingest
+
+    base, schema, writers = _replay(spark, sf, "stream-rate")
+    _two_runs(spark, base, schema, writers,
+              lambda s: ingest.rate_windows(s, "ts", _failed(), "1 hour", "2 hours"),
+              output_mode="update", foreach_batch=ingest.versioned_upsert(f"{base}/out"))
+    return ingest.read_latest(spark, f"{base}/out", ["window_start"]).select(
+        "window_start", "window_end", "n_ok", "n_failed")
+
+
+@query("stream_run_alert", """
+WITH e AS (SELECT *, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ok_before
+           FROM events),
+f AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id, ok_before ORDER BY ts, event_id) AS run_len
+      FROM e WHERE event_type = 'error')
+SELECT user_id, event_id, ts, run_len FROM f WHERE run_len = 3""")
+def q_stream_run_alert(spark, sf):
+    from tidewash.streaming import ingest
+
+    base, schema, writers = _replay(spark, sf, "stream-alert")
+    _two_runs(spark, base, schema, writers,
+              lambda s: ingest.run_alerts(s.withColumn("failed", _failed()), "user_id", "ts", "event_id",
+                                          "failed", 3),
+              sink_path=f"{base}/out")
+    return spark.read.parquet(f"{base}/out").select("user_id", "event_id", "ts", "run_len")
