@@ -21,6 +21,12 @@ PY_WHITESPACE_CLASS = (
     r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# The same set as a plain string, for trimming.
+PY_WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # Whitespace cleanup rules of the cleaning step, applied in this order:
 # three or more newlines become two, two or more spaces become one, then strip.
 NEWLINE_RUN_PATTERN = r"\n{3,}"
@@ -29,16 +35,16 @@ SPACE_RUN_PATTERN = r" {2,}"
 SPACE_RUN_REPLACEMENT = " "
 # -----------------------------------------------------------------------------
 
-_STRIP_PATTERN = rf"\A{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+\z"
 _TOKEN_SPLIT_PATTERN = rf"{PY_WHITESPACE_CLASS}+"
 
 
 def py_strip(c) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends.
 
-    Spark's ``trim`` only removes U+0020, so it is not used here.
+    Plain ``trim`` only removes U+0020; ``btrim`` with the full set removes
+    any of those characters at either end, without a regex.
     """
-    return F.regexp_replace(col_of(c), _STRIP_PATTERN, "")
+    return F.btrim(col_of(c), F.lit(PY_WHITESPACE_CHARS))
 
 
 def normalize_whitespace(c) -> Column:

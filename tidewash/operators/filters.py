@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,8 +48,6 @@ def keyword_any(c, keywords: list[str], empty_is_hit: bool = True) -> Column:
 
 
 def _aho_corasick_any(words: list[str]):
-    import pandas as pd
-
     @F.pandas_udf(T.BooleanType())
     def contains_any(texts: pd.Series) -> pd.Series:
         import ahocorasick

@@ -18,18 +18,31 @@ NEAR_DUP_THRESHOLD = 0.85
 
 
 def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      hash_with: str = "lang", min_chars: int = MIN_CHARS) -> DataFrame:
+                      hash_with: str = "lang", min_chars: int = MIN_CHARS,
+                      columns: list[str] | None = None) -> DataFrame:
     """Normalise whitespace, keep texts longer than ``min_chars``, then keep
-    the first row (smallest id) of each content hash."""
+    the first row (smallest id) of each content hash.
+
+    The length filter is applied after the de-duplication: rows with one
+    content hash have the same normalised text, hence the same length, so
+    the order does not change the result.  It lets the normalisation run
+    once per row (a filter below it would be inlined and evaluate the
+    regexes twice).  ``columns`` limits what the dedup shuffle carries
+    (id, hash and length are always kept).
+    """
     d = docs.withColumn(text_col, normalize_whitespace(text_col))
-    d = min_length_filter(d, text_col, min_chars, strict=True)
-    d = d.withColumn("content_hash", content_hash(hash_with, text_col))
-    return exact_dedup(d, "content_hash", id_col)
+    d = (d.withColumn("content_hash", content_hash(hash_with, text_col))
+         .withColumn("_tw_len", F.char_length(text_col)))
+    if columns is not None:
+        keep = [id_col, "content_hash", "_tw_len"] + [c for c in columns if c not in (id_col,)]
+        d = d.select(*dict.fromkeys(keep))
+    d = exact_dedup(d, "content_hash", id_col)
+    return d.where(F.col("_tw_len") > F.lit(min_chars)).drop("_tw_len")
 
 
 def clean_and_count(docs: DataFrame, by: str = "lang", default: str = "unknown") -> DataFrame:
     """Slice 1: cleaned documents counted per ``by``, most frequent first."""
-    return group_count_sorted(cleaned_documents(docs), by, default=default, out="n")
+    return group_count_sorted(cleaned_documents(docs, columns=[by]), by, default=default, out="n")
 
 
 def deduplicated_documents(docs: DataFrame, near_dup: str = "greedy",

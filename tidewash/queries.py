@@ -38,15 +38,18 @@ def query(name: str, sql: str | None = None):
 
 # ---------------------------------------------------------------------------
 # SQL building blocks for the oracles (DuckDB dialect, RE2 regexes).
+_SQL_WS_CHARS = " || ".join(f"chr({ord(ch)})" for ch in X.PY_WHITESPACE_CHARS)
+
+
+def _sql_strip(x: str) -> str:
+    return f"trim({x}, {_SQL_WS_CHARS})"
+
+
 def _sql_norm(x: str) -> str:
     nl2 = "chr(10) || chr(10)"
     s = f"regexp_replace({x}, '\\n{{3,}}', {nl2}, 'g')"
     s = f"regexp_replace({s}, ' {{2,}}', ' ', 'g')"
-    return f"regexp_replace({s}, '\\A{WS}+|{WS}+\\z', '', 'g')"
-
-
-def _sql_strip(x: str) -> str:
-    return f"regexp_replace({x}, '\\A{WS}+|{WS}+\\z', '', 'g')"
+    return _sql_strip(s)
 
 
 def _sql_tokens(x: str) -> str:
@@ -448,12 +451,13 @@ t AS (SELECT unnest([100000, 1000000, 10000000, 40000000, 1000000000000]) AS tar
 h AS (SELECT t.target, arg_min(c.event_id, (c.ts, c.event_id)) AS event_id, min(c.ts) AS ts,
              arg_min(c.cum_metric, (c.ts, c.event_id)) AS cum_metric
       FROM t JOIN c ON c.cum_metric >= t.target GROUP BY t.target)
-SELECT t.target, h.event_id, h.ts, CAST(h.cum_metric AS BIGINT) AS cum_metric FROM t LEFT JOIN h ON h.target = t.target""")
+SELECT target, event_id, ts, CAST(cum_metric AS BIGINT) AS cum_metric FROM h""")
 def q_first_crossing(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "value")
     cents = F.round(F.col("value") * 100).cast("bigint")
     out = runs.first_crossing(e, ["ts", "event_id"], cents, CROSSING_TARGETS, "event_id")
-    return out.select(F.col("target").cast("bigint").alias("target"), "event_id", "ts", "cum_metric")
+    # a target the total never reaches has no crossing row
+    return out.where(F.col("event_id").isNotNull()).select(F.col("target").cast("bigint").alias("target"), "event_id", "ts", "cum_metric")
 
 
 EVENT_PRIORITY = {"error": 0, "purchase": 1, "signup": 2, "click": 3, "view": 4}
@@ -523,7 +527,8 @@ def q_jsonl_scan_strict(spark, sf):
 
 @query("jsonl_scan_tolerant", """
 SELECT doc_id, md5(text) AS text_md5, 'ok' AS status FROM documents
-UNION ALL SELECT NULL, NULL, 'quarantine' FROM documents WHERE lang IN ('de', 'es')""")
+UNION ALL SELECT doc_id, NULL, 'quarantine' FROM documents WHERE lang = 'de'
+UNION ALL SELECT -1, NULL, 'quarantine' FROM documents WHERE lang = 'es'""")
 def q_jsonl_scan_tolerant(spark, sf):
     path = scratch_path(spark, "jsonl-tolerant")
     d = _doc_json_lines(spark, sf)
@@ -534,13 +539,19 @@ def q_jsonl_scan_tolerant(spark, sf):
     good.unionByName(truncated).unionByName(not_object).write.text(path)
     ok, bad = jsonl.read_jsonl_tolerant(spark, path, DOC_SCHEMA)
     return ok.select("doc_id", F.md5("text").alias("text_md5"), F.lit("ok").alias("status")).unionByName(
-        bad.select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text_md5"),
+        bad.select(_id_from_raw(jsonl.CORRUPT_COL).alias("doc_id"), F.lit(None).cast("string").alias("text_md5"),
                    F.lit("quarantine").alias("status")))
 
 
+def _id_from_raw(c):
+    """doc_id recovered from a raw (possibly truncated) JSON line, -1 if absent."""
+    found = F.regexp_extract(F.col(c), r'"doc_id":(\d+)[,}]', 1)
+    return F.when(found == "", F.lit(-1)).otherwise(found).cast("bigint")
+
+
 @query("json_array_scan", """
-SELECT 'documents' AS origin, doc_id AS id, md5(text) AS text_md5 FROM documents
-UNION ALL SELECT 'benchmark', NULL, md5(text) FROM benchmark""")
+SELECT 'documents' AS origin, md5(CAST(doc_id AS VARCHAR) || ':' || text) AS row_md5 FROM documents
+UNION ALL SELECT 'benchmark', md5(text) FROM benchmark""")
 def q_json_array_scan(spark, sf):
     base = scratch_path(spark, "json-array")
     d = _doc_json_lines(spark, sf)
@@ -556,10 +567,9 @@ def q_json_array_scan(spark, sf):
      .write.partitionBy("b").text(f"{base}/strings"))
     objs = jsonl.read_json_array(spark, f"{base}/objects", DOC_SCHEMA)
     strs = jsonl.read_json_string_array(spark, f"{base}/strings", "text")
-    return objs.select(F.lit("documents").alias("origin"), F.col("doc_id").alias("id"),
-                       F.md5("text").alias("text_md5")).unionByName(
-        strs.select(F.lit("benchmark").alias("origin"), F.lit(None).cast("bigint").alias("id"),
-                    F.md5("text").alias("text_md5")))
+    return objs.select(F.lit("documents").alias("origin"),
+                       F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "text")).alias("row_md5")).unionByName(
+        strs.select(F.lit("benchmark").alias("origin"), F.md5("text").alias("row_md5")))
 
 
 def _write_labelled_batches(spark, sf, base):

@@ -50,7 +50,7 @@ def read_json_array(spark: SparkSession, path, schema: T.StructType) -> DataFram
 
 def read_json_string_array(spark: SparkSession, path, value_col: str = "text") -> DataFrame:
     """Whole-file JSON arrays of bare strings; one row per string."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.explode(F.from_json("value", T.ArrayType(T.StringType()))).alias(value_col))
 
 

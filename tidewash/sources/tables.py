@@ -8,10 +8,33 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+# Tables whose rows carry long texts: per-row CPU (regex, tokenising, hashing)
+# dominates, so a scan with too few splits leaves cores idle.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
+def spread_small_scan(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin the rows of a scan that has fewer than ``factor`` splits
+    per core.
+
+    A large corpus already scans as thousands of splits and is returned as
+    is (no shuffle).  A few big Parquet row groups scan in a few tasks, which
+    would run the per-row text work of the whole table on one core; a
+    round-robin repartition (cheap at that size) spreads it.  The partition
+    count is a planning-time fact (file listing only, no job).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= factor * target:
+        return df
+    return df.repartition(target)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read ``{sf_dir}/{name}.parquet``; projections and filters applied later
     are pushed into the Parquet scan by Catalyst."""
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        df = spread_small_scan(df)
+    return df
