@@ -12,6 +12,7 @@ from tidewash.operators.dedup import best_per_group, exact_dedup
 from tidewash.operators.filters import min_length_filter
 from tidewash.operators.similarity import near_dup_drop_earliest, near_dup_drop_greedy
 from tidewash.operators.stats import group_count_sorted
+from tidewash.session import checkpoint_root
 
 MIN_CHARS = 30
 NEAR_DUP_THRESHOLD = 0.85
@@ -49,17 +50,45 @@ def deduplicated_documents(docs: DataFrame, near_dup: str = "greedy",
                            threshold=NEAR_DUP_THRESHOLD, id_col: str = "doc_id",
                            text_col: str = "text") -> DataFrame:
     """Cleaned documents without near-duplicates (``greedy`` first-wins or
-    ``earliest``: drop anything with an earlier similar row)."""
+    ``earliest``: drop anything with an earlier similar row).
+
+    The near-duplicate step reads its input twice (token sets, then the
+    surviving rows), so the cleaned rows are materialised once with a
+    reliable checkpoint in the shared checkpoint folder instead of being
+    recomputed from the scan.
+    """
     d = cleaned_documents(docs, id_col, text_col)
+    if near_dup in (None, "none"):
+        return d
+    checkpoint_root(d.sparkSession)
+    d = d.checkpoint()
     if near_dup == "greedy":
         return near_dup_drop_greedy(d, id_col, text_col, threshold)
     if near_dup == "earliest":
         return near_dup_drop_earliest(d, id_col, text_col, threshold)
-    if near_dup in (None, "none"):
-        return d
     raise ValueError(near_dup)
 
 
+def clean_dataset(docs: DataFrame, near_dup: str = "greedy", threshold=NEAR_DUP_THRESHOLD,
+                  out_path: str | None = None, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """The full cleaning plan: normalise, length filter, exact and near
+    de-duplication, one survivor per normalised text key (longest cleaned
+    text, then smallest id), optionally written as JSON lines (overwrite)
+    and read back from there."""
+    d = deduplicated_documents(docs, near_dup, threshold, id_col, text_col)
+    d = (d.withColumn("_key", F.md5(key_normalize(text_col)))
+         .withColumn("_len", F.char_length(text_col)))
+    s = best_per_group(d, "_key", [("_len", False), (id_col, True)]).drop("_key", "_len")
+    if out_path is None:
+        return s
+    from tidewash.sources.jsonl import read_jsonl_strict, write_jsonl
+
+    schema = s.schema
+    write_jsonl(s, out_path, mode="overwrite")
+    return read_jsonl_strict(s.sparkSession, out_path, schema)
+
+
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per normalised text key: the longest original, then smallest id."""
     d = docs.withColumn("_key", F.md5(key_normalize(text_col)))

@@ -155,6 +155,18 @@ def q_head_tail_slice(spark, sf):
     return d.select("doc_id", X.head_slice("text", 40).alias("head"), X.tail_slice("text", 40).alias("tail"))
 
 
+@query("head_slice", """
+SELECT doc_id, left(text, 200) AS head FROM documents""")
+def q_head_slice(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", X.head_slice("text", 200).alias("head"))
+
+
+@query("tail_slice", """
+SELECT doc_id, right(text, 200) AS tail FROM documents""")
+def q_tail_slice(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", X.tail_slice("text", 200).alias("tail"))
+
+
 @query("prefix_label", """
 SELECT doc_id, source || '/' || lang AS label,
        split_part(source || '/' || lang, '/', 1) AS label_source,
@@ -278,8 +290,12 @@ def q_resume_anti_join(spark, sf):
     return joins.resume_anti_join(todo, done, "doc_id")
 
 
-_SQL_SETS = f"""
-WITH t AS (SELECT doc_id, list_sort({_sql_tokens('text')}) AS toks FROM documents),
+def _sql_pair_ctes(src: str) -> str:
+    """CTEs t, r, p, c, v, pairs over a relation ``src(doc_id, text)``: token
+    sets, representatives, lexicographic prefixes, candidates, verified pairs
+    (an independent prefix order from the Spark side's rarest-first)."""
+    return f"""
+t AS (SELECT doc_id, list_sort({_sql_tokens('text')}) AS toks FROM {src}),
 r AS (SELECT toks, min(doc_id) AS doc_id, CAST(len(toks) AS BIGINT) AS n FROM t WHERE len(toks) > 0 GROUP BY toks),
 p AS (SELECT doc_id, n, unnest(toks[1 : n - (85 * n + 99) // 100 + 1]) AS tok FROM r),
 c AS (SELECT DISTINCT a.doc_id AS id_a, b.doc_id AS id_b FROM p a JOIN p b
@@ -287,8 +303,10 @@ c AS (SELECT DISTINCT a.doc_id AS id_a, b.doc_id AS id_b FROM p a JOIN p b
 v AS (SELECT c.id_a, c.id_b, CAST(len(list_intersect(ra.toks, rb.toks)) AS BIGINT) AS n_common, ra.n AS na, rb.n AS nb
       FROM c JOIN r ra ON ra.doc_id = c.id_a JOIN r rb ON rb.doc_id = c.id_b),
 pairs AS (SELECT id_a, id_b, n_common, na + nb - n_common AS n_union FROM v
-          WHERE n_common * 100 > 85 * (na + nb - n_common))
-"""
+          WHERE n_common * 100 > 85 * (na + nb - n_common))"""
+
+
+_SQL_SETS = "WITH " + _sql_pair_ctes("documents") + "\n"
 
 
 @query("near_dup_pairs", _SQL_SETS + "SELECT id_a, id_b, n_common, n_union FROM pairs")
@@ -304,10 +322,10 @@ def q_near_dup_members(spark, sf):
     return similarity.duplicate_members(table(spark, sf, "documents"), "doc_id", "text")
 
 
-@query("near_dup_drop_earliest", _SQL_SETS + f"""
+@query("near_dup_drop_earliest", _SQL_SETS + """
 SELECT doc_id FROM r WHERE doc_id NOT IN (SELECT id_b FROM pairs)
 UNION ALL
-SELECT doc_id FROM documents WHERE len({_sql_tokens('text')}) = 0""")
+SELECT doc_id FROM t WHERE len(toks) = 0""")
 def q_near_dup_drop_earliest(spark, sf):
     d = table(spark, sf, "documents")
     return similarity.near_dup_drop_earliest(d, "doc_id", "text", 0.85).select("doc_id")
@@ -319,6 +337,39 @@ def q_near_dup_drop_greedy(spark, sf):
     return similarity.near_dup_drop_greedy(d, "doc_id", "text", 0.85).select("doc_id")
 
 
+_SQL_CLEAN_DATASET = f"""
+WITH n AS (SELECT doc_id, lang, source, {_sql_norm('text')} AS text FROM documents),
+h AS (SELECT *, md5(CAST(length(lang) AS VARCHAR) || ':' || lang || text) AS content_hash FROM n),
+d AS (SELECT arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, arg_min(source, doc_id) AS source,
+             arg_min(text, doc_id) AS text FROM h GROUP BY content_hash HAVING length(arg_min(text, doc_id)) > 30),
+{_sql_pair_ctes('d')},
+kept AS (SELECT doc_id FROM r WHERE doc_id NOT IN (SELECT id_b FROM pairs) UNION ALL SELECT doc_id FROM t WHERE len(toks) = 0),
+k AS (SELECT d.* FROM d JOIN kept USING (doc_id)),
+s AS (SELECT arg_min(doc_id, (-length(text), doc_id)) AS doc_id, arg_min(lang, (-length(text), doc_id)) AS lang,
+             arg_min(source, (-length(text), doc_id)) AS source
+      FROM k GROUP BY md5({_sql_strip('lower(text)')}))
+SELECT 'lang' AS dim, coalesce(lang, 'unknown') AS value, count(*) AS n FROM s GROUP BY 2
+UNION ALL
+SELECT 'source' AS dim, coalesce(source, 'unknown') AS value, count(*) AS n FROM s GROUP BY 2"""
+
+
+@query("clean_dataset", _SQL_CLEAN_DATASET)
+def q_clean_dataset(spark, sf):
+    """The whole cleaning plan (near-duplicates: drop any row with an earlier
+    similar one), written as JSON lines, read back, two distributions."""
+    out = scratch_path(spark, "clean-dataset")
+    kept = clean.clean_dataset(table(spark, sf, "documents"), near_dup="earliest", out_path=out)
+    return stats.multi_dim_counts(kept, ["lang", "source"], default="unknown")
+
+
+@query("clean_dataset_greedy")
+def q_clean_dataset_greedy(spark, sf):
+    """Same plan with greedy first-wins near-duplicate removal."""
+    out = scratch_path(spark, "clean-dataset-greedy")
+    kept = clean.clean_dataset(table(spark, sf, "documents"), near_dup="greedy", out_path=out)
+    return stats.multi_dim_counts(kept, ["lang", "source"], default="unknown")
+
+
 # ---------------------------------------------------------------------------
 # 5. Aggregation, dedup, windows, ordering, set ops.
 @query("group_count_sorted", """
@@ -549,20 +600,22 @@ def _id_from_raw(c):
     return F.when(found == "", F.lit(-1)).otherwise(found).cast("bigint")
 
 
+ROWS_PER_ARRAY_FILE = 10_000
+
+
 @query("json_array_scan", """
 SELECT 'documents' AS origin, md5(CAST(doc_id AS VARCHAR) || ':' || text) AS row_md5 FROM documents
 UNION ALL SELECT 'benchmark', md5(text) FROM benchmark""")
 def q_json_array_scan(spark, sf):
     base = scratch_path(spark, "json-array")
     d = _doc_json_lines(spark, sf)
-    # one JSON array per file (one folder per bucket); file size is bounded
-    # by the bucket count chosen for the data size
-    n_files = 8
-    (d.groupBy((F.abs(F.xxhash64("doc_id")) % n_files).alias("b"))
+    # one JSON array per file (one folder per bucket).  Buckets are id ranges,
+    # so a file holds at most ROWS_PER_ARRAY_FILE rows whatever the table size.
+    (d.groupBy(F.floor(F.col("doc_id") / ROWS_PER_ARRAY_FILE).alias("b"))
      .agg(F.to_json(F.collect_list(F.struct(*d.columns))).alias("value"))
      .write.partitionBy("b").text(f"{base}/objects"))
     b = table(spark, sf, "benchmark")
-    (b.groupBy((F.abs(F.xxhash64("item_id")) % 4).alias("b"))
+    (b.groupBy(F.floor(F.col("item_id") / ROWS_PER_ARRAY_FILE).alias("b"))
      .agg(F.to_json(F.collect_list("text")).alias("value"))
      .write.partitionBy("b").text(f"{base}/strings"))
     objs = jsonl.read_json_array(spark, f"{base}/objects", DOC_SCHEMA)
