@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from tidewash.operators import runs
-from tidewash.operators.running import running_aggregates
+from tidewash.operators.running import running_aggregates, sized_bucket
 
 
 def _events(n=600, seed=0):
@@ -28,7 +28,7 @@ def test_running_aggregates_match_sequential(spark):
     failed = F.col("event_type") == "error"
     got = {r.event_id: (r.n_ok, r.mx) for r in running_aggregates(
         df, ["ts", "event_id"], {"n_ok": ("count", ~failed), "mx": ("max", F.col("value"))},
-        partition_by="user_id").collect()}
+        partition_by="user_id", bucket=sized_bucket(df, "ts", 25)).collect()}
     state = {}
     for eid, _, u, et, v in rows:
         n, m = state.get(u, (0, None))
@@ -43,7 +43,8 @@ def test_consecutive_runs_and_alerts(spark):
     df = _df(spark, rows)
     got = {(r.user_id, r.first_event_id): (r.last_event_id, r.run_len, r.alert)
            for r in runs.consecutive_runs(df, ["ts", "event_id"], F.col("event_type") == "error",
-                                          "event_id", partition_by="user_id", alert_at=3).collect()}
+                                          "event_id", partition_by="user_id", alert_at=3,
+                                          bucket=sized_bucket(df, "ts", 20)).collect()}
     exp, cur = {}, {}
     for eid, _, u, et, _ in rows:
         if et == "error":
@@ -64,7 +65,9 @@ def test_tally_eta_nth_crossing_cap(spark):
     rows = _events(300, 4)
     df = _df(spark, rows)
     failed = F.col("event_type") == "error"
-    tally = {r.event_id: (r.n_ok, r.n_failed) for r in runs.running_tally(df, ["ts", "event_id"], failed).collect()}
+    small = sized_bucket(df, "ts", 16)
+    tally = {r.event_id: (r.n_ok, r.n_failed)
+             for r in runs.running_tally(df, ["ts", "event_id"], failed, bucket=small).collect()}
     ok = bad = 0
     nth = []
     for eid, _, _, et, _ in rows:
@@ -74,7 +77,7 @@ def test_tally_eta_nth_crossing_cap(spark):
         if et != "error" and ok % 10 == 0:
             nth.append(eid)
     assert sorted(r.event_id for r in runs.every_nth_summary(df, ["ts", "event_id"], failed, 10).collect()) == nth
-    eta = runs.throughput_eta(df, ["ts", "event_id"], "ts", failed, 1000).orderBy("event_id").collect()
+    eta = runs.throughput_eta(df, ["ts", "event_id"], "ts", failed, 1000, bucket=small).orderBy("event_id").collect()
     assert eta[0].ok_per_min is None and eta[-1].ok_per_min == eta[-1].n_ok / ((len(rows) - 1) * 7)
     cum, first = 0, {}
     for eid, _, _, _, v in rows:
@@ -83,7 +86,8 @@ def test_tally_eta_nth_crossing_cap(spark):
             if cum >= t and t not in first:
                 first[t] = eid
     fc = {r.target: r.event_id for r in runs.first_crossing(df, ["ts", "event_id"], F.col("value").cast("bigint"),
-                                                             [100, 5000, 10**9], "event_id").collect()}
+                                                             [100, 5000, 10**9], "event_id",
+                                                             bucket=small).collect()}
     assert fc == {100: first.get(100), 5000: first.get(5000), 10**9: None}
     capped = runs.cap_per_session(df, "user_id", ["ts", "event_id"], 3)
     assert capped.groupBy("user_id").count().where("count > 3").count() == 0

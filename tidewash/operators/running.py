@@ -50,10 +50,43 @@ def _combine(kind: str, offset: Column, local: Column) -> Column:
 
 
 def hour_bucket(ts_col) -> Column:
-    """Default bucket: the hour of the leading timestamp column."""
+    """A fixed bucket: the hour of a timestamp column."""
     return F.date_trunc("hour", col_of(ts_col))
 
 
+# Target rows per (key, bucket) window partition when the width is derived
+# from the data; the offset table then has about rows / this many rows.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def sized_bucket(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
+    """Bucket of equal width on the leading ordering column, with the width
+    chosen so that a bucket holds about ``rows_per_bucket`` rows on average.
+
+    One aggregate (count, min, max) sizes it, so the split adapts to the
+    data: small inputs get one bucket, a 100 TB table gets ~rows/1e6 buckets.
+    Works for numeric and timestamp columns (timestamps as epoch micros).
+    """
+    from pyspark.sql import types as T
+
+    from tidewash.functions.records import epoch_micros
+
+    dt = df.schema[order_col].dataType
+    if isinstance(dt, T.TimestampNTZType):
+        v = epoch_micros(order_col)
+    elif isinstance(dt, T.TimestampType):
+        v = F.unix_micros(F.col(order_col))
+    elif isinstance(dt, T.DateType):
+        v = F.unix_date(F.col(order_col)).cast("bigint")
+    else:
+        v = F.col(order_col).cast("bigint")
+    n, lo, hi = df.agg(F.count(F.lit(1)), F.min(v), F.max(v)).first()
+    if not n or lo is None:
+        return F.lit(0)
+    width = max(1, ((hi - lo) * rows_per_bucket) // n + 1)
+    return F.floor((v - F.lit(lo)) / F.lit(width)).cast("bigint")
+
+
 def running_aggregates(df: DataFrame, order_by, aggs: Mapping[str, tuple[str, Column]],
                        partition_by=None, bucket: Column | None = None) -> DataFrame:
     """Add inclusive running aggregates in the order ``order_by``.
@@ -61,13 +94,14 @@ def running_aggregates(df: DataFrame, order_by, aggs: Mapping[str, tuple[str, Co
     ``aggs`` maps an output name to ``(kind, value)``, kind in
     sum/count/max/min; for ``count`` the value is a boolean condition.
     ``order_by`` must be a total order (end it with a unique id) and
-    ``bucket`` must be non-decreasing along it (default: hour of the first
-    ordering column).  ``partition_by`` may be empty for one global order.
+    ``bucket`` must be non-decreasing along it (default: ``sized_bucket`` on
+    the first ordering column).  ``partition_by`` may be empty for one
+    global order.
     """
     order_names = names_of(order_by)
     part_names = names_of(partition_by)
     if bucket is None:
-        bucket = hour_bucket(order_names[0])
+        bucket = sized_bucket(df, order_names[0])
     bk = "_tw_bucket"
     d = df.withColumn(bk, bucket)
     for name, (kind, value) in aggs.items():

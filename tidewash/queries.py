@@ -84,13 +84,13 @@ d AS (SELECT content_hash, arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_
 @query("clean_and_count", _SQL_CLEANED + """
 SELECT coalesce(lang, 'unknown') AS lang, count(*) AS n FROM d GROUP BY 1""")
 def q_clean_and_count(spark, sf):
-    return clean.clean_and_count(table(spark, sf, "documents"))
+    return clean.clean_and_count(table(spark, sf, "documents", text_work=True))
 
 
 @query("cleaned_documents", _SQL_CLEANED + """
 SELECT doc_id, content_hash, md5(text) AS text_md5 FROM d""")
 def q_cleaned_documents(spark, sf):
-    d = clean.cleaned_documents(table(spark, sf, "documents"))
+    d = clean.cleaned_documents(table(spark, sf, "documents", text_work=True))
     return d.select("doc_id", "content_hash", F.md5("text").alias("text_md5"))
 
 
@@ -100,14 +100,14 @@ def q_cleaned_documents(spark, sf):
 SELECT doc_id, md5(t) AS norm_md5, CAST(length(t) AS BIGINT) AS norm_len
 FROM (SELECT doc_id, {_sql_norm(_sql_messy('text'))} AS t FROM documents)""")
 def q_normalize_whitespace(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", X.normalize_whitespace(_messy("text")).alias("t"))
+    d = table(spark, sf, "documents", text_work=True).select("doc_id", X.normalize_whitespace(_messy("text")).alias("t"))
     return d.select("doc_id", F.md5("t").alias("norm_md5"), F.char_length("t").cast("bigint").alias("norm_len"))
 
 
 @query("key_normalize", f"""
 SELECT doc_id, md5({_sql_strip("lower(" + _sql_messy('text') + ")")}) AS key_md5 FROM documents""")
 def q_key_normalize(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", text_work=True)
     return d.select("doc_id", F.md5(X.key_normalize(_messy("text"))).alias("key_md5"))
 
 
@@ -115,7 +115,7 @@ def q_key_normalize(spark, sf):
 SELECT doc_id, md5(CAST(length(lang) AS VARCHAR) || ':' || lang || text) AS content_hash,
        md5(lang || text) AS content_hash_plain FROM documents""")
 def q_content_hash(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", text_work=True)
     return d.select("doc_id", X.content_hash("lang", "text").alias("content_hash"),
                     X.content_hash("lang", "text", separator_free=True).alias("content_hash_plain"))
 
@@ -134,7 +134,7 @@ SELECT doc_id,
   CAST((length(text) - length(replace(text, '. ', ''))) / 2 AS BIGINT) AS n_sentence
 FROM documents""")
 def q_substring_count(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", text_work=True)
     return d.select("doc_id",
                     X.substring_count("text", "the", case_insensitive=True).alias("n_the"),
                     X.substring_count("text", "\n").alias("n_newline"),
@@ -236,7 +236,7 @@ def q_round_fixed(spark, sf):
 SELECT doc_id, CAST(length(t) AS BIGINT) AS text_len
 FROM (SELECT doc_id, {_sql_norm('text')} AS t FROM documents) WHERE length(t) > 30""")
 def q_min_length_filter(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", X.normalize_whitespace("text").alias("t"))
+    d = table(spark, sf, "documents", text_work=True).select("doc_id", X.normalize_whitespace("text").alias("t"))
     return filters.min_length_filter(d, "t", 30).select(
         "doc_id", F.char_length("t").cast("bigint").alias("text_len"))
 
@@ -255,7 +255,7 @@ SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN true ELSE
   (contains(lower(text), 'license') OR contains(lower(text), 'password') OR contains(lower(text), 'secret')
    OR contains(lower(text), 'copyright') OR contains(lower(text), '@')) END AS hit FROM documents""")
 def q_keyword_any(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", text_work=True)
     return d.select("doc_id", filters.keyword_any("text", KEYWORDS).alias("hit"))
 
 
@@ -311,7 +311,7 @@ _SQL_SETS = "WITH " + _sql_pair_ctes("documents") + "\n"
 
 @query("near_dup_pairs", _SQL_SETS + "SELECT id_a, id_b, n_common, n_union FROM pairs")
 def q_near_dup_pairs(spark, sf):
-    return similarity.near_dup_pairs(table(spark, sf, "documents"), "doc_id", "text", 0.85)
+    return similarity.near_dup_pairs(table(spark, sf, "documents", text_work=True), "doc_id", "text", 0.85)
 
 
 @query("near_dup_members", f"""
@@ -319,7 +319,7 @@ WITH t AS (SELECT doc_id, list_sort({_sql_tokens('text')}) AS toks FROM document
 SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY toks) AS rep_id FROM t
 QUALIFY doc_id <> rep_id""")
 def q_near_dup_members(spark, sf):
-    return similarity.duplicate_members(table(spark, sf, "documents"), "doc_id", "text")
+    return similarity.duplicate_members(table(spark, sf, "documents", text_work=True), "doc_id", "text")
 
 
 @query("near_dup_drop_earliest", _SQL_SETS + """
@@ -327,13 +327,13 @@ SELECT doc_id FROM r WHERE doc_id NOT IN (SELECT id_b FROM pairs)
 UNION ALL
 SELECT doc_id FROM t WHERE len(toks) = 0""")
 def q_near_dup_drop_earliest(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", text_work=True)
     return similarity.near_dup_drop_earliest(d, "doc_id", "text", 0.85).select("doc_id")
 
 
 @query("near_dup_drop_greedy")
 def q_near_dup_drop_greedy(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", text_work=True)
     return similarity.near_dup_drop_greedy(d, "doc_id", "text", 0.85).select("doc_id")
 
 
@@ -358,7 +358,7 @@ def q_clean_dataset(spark, sf):
     """The whole cleaning plan (near-duplicates: drop any row with an earlier
     similar one), written as JSON lines, read back, two distributions."""
     out = scratch_path(spark, "clean-dataset")
-    kept = clean.clean_dataset(table(spark, sf, "documents"), near_dup="earliest", out_path=out)
+    kept = clean.clean_dataset(table(spark, sf, "documents", text_work=True), near_dup="earliest", out_path=out)
     return stats.multi_dim_counts(kept, ["lang", "source"], default="unknown")
 
 
@@ -366,7 +366,7 @@ def q_clean_dataset(spark, sf):
 def q_clean_dataset_greedy(spark, sf):
     """Same plan with greedy first-wins near-duplicate removal."""
     out = scratch_path(spark, "clean-dataset-greedy")
-    kept = clean.clean_dataset(table(spark, sf, "documents"), near_dup="greedy", out_path=out)
+    kept = clean.clean_dataset(table(spark, sf, "documents", text_work=True), near_dup="greedy", out_path=out)
     return stats.multi_dim_counts(kept, ["lang", "source"], default="unknown")
 
 
@@ -395,7 +395,7 @@ SELECT 1 AS step, 'min_length' AS stage, c0 AS rows_in, c1 AS rows_out, c0 - c1
 UNION ALL
 SELECT 2, 'exact_dedup', c1, c2, c1 - c2 FROM c""")
 def q_stage_audit(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = table(spark, sf, "documents", text_work=True)
     n = docs.withColumn("text", X.normalize_whitespace("text"))
     f = filters.min_length_filter(n, "text", 30)
     d = clean.cleaned_documents(docs)
@@ -405,14 +405,14 @@ def q_stage_audit(spark, sf):
 @query("exact_dedup", """
 SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY md5(text)""")
 def q_exact_dedup(spark, sf):
-    d = table(spark, sf, "documents").withColumn("text_md5", F.md5("text"))
+    d = table(spark, sf, "documents", text_work=True).withColumn("text_md5", F.md5("text"))
     return dedup.exact_dedup(d, "text_md5", "doc_id").select("doc_id", "text_md5")
 
 
 @query("group_size", f"""
 SELECT doc_id, count(*) OVER (PARTITION BY md5({_sql_strip('lower(text)')})) AS group_size FROM documents""")
 def q_group_size(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = table(spark, sf, "documents", text_work=True).select("doc_id", "text")
     return dedup.group_size(d, F.md5(X.key_normalize("text"))).select("doc_id", "group_size")
 
 
@@ -420,14 +420,14 @@ def q_group_size(spark, sf):
 SELECT arg_min(doc_id, (-n_chars, doc_id)) AS doc_id, count(*) AS group_size, count(*) > 1 AS multi_member
 FROM documents GROUP BY md5({_sql_strip('lower(text)')})""")
 def q_best_per_group(spark, sf):
-    return clean.survivors(table(spark, sf, "documents")).select("doc_id", "group_size", "multi_member")
+    return clean.survivors(table(spark, sf, "documents", text_work=True)).select("doc_id", "group_size", "multi_member")
 
 
 @query("multi_key_group_count", f"""
 SELECT count(*) FILTER (WHERE c > 1) AS n_multi_groups, count(*) AS n_groups
 FROM (SELECT count(*) AS c FROM documents GROUP BY md5({_sql_strip('lower(text)')}))""")
 def q_multi_key_group_count(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", text_work=True)
     return dedup.multi_key_group_count(d, F.md5(X.key_normalize("text")))
 
 

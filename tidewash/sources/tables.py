@@ -29,12 +29,17 @@ def spread_small_scan(df: DataFrame, factor: int = 2) -> DataFrame:
     return df.repartition(target)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, text_work: bool = False) -> DataFrame:
     """Read ``{sf_dir}/{name}.parquet``; projections and filters applied later
-    are pushed into the Parquet scan by Catalyst."""
+    are pushed into the Parquet scan by Catalyst.
+
+    ``text_work=True`` marks a read that feeds per-row text processing
+    (regex, tokenising, hashing long texts); only then is a scan with too
+    few splits spread over the cores.
+    """
     if name not in TABLES:
         raise KeyError(name)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
+    if text_work and name in TEXT_TABLES:
         df = spread_small_scan(df)
     return df
