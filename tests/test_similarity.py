@@ -118,3 +118,25 @@ def test_copies_collapse_not_paired(spark):
     members = S.duplicate_members(df, "id", "text")
     assert members.count() == 49 and {r.rep_id for r in members.collect()} == {0}
     assert {r.id for r in S.near_dup_drop_earliest(df, "id", "text").collect()} == {0, 100, 101}
+
+
+def test_near_copy_cluster_existence(spark):
+    # 300 near-copies of one text (each with one extra word) plus unrelated rows:
+    # every copy after the first has an earlier match; phase one settles them.
+    base = " ".join(f"b{i}" for i in range(60))
+    rows = [(i, base + f" x{i}") for i in range(300)] + [(1000 + i, f"u{i} v{i} w{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    reps = S.set_representatives(S.token_sets(df, "id", "text"))
+    later = {r.id for r in S.rows_with_earlier_match(reps, 0.85, head_width=4).collect()}
+    assert later == set(range(1, 300))
+    kept = {r.id for r in S.near_dup_drop_earliest(df, "id", "text").collect()}
+    assert kept == {0} | {1000 + i for i in range(20)}
+
+
+@pytest.mark.parametrize("width", [1, 3])
+def test_existence_phases_match_pairs(spark, width):
+    rows = _corpus(9, 150)
+    df = spark.createDataFrame(rows, "id long, text string")
+    reps = S.set_representatives(S.token_sets(df, "id", "text"))
+    exp = {b for _, b in _brute_pairs(rows, 0.6)}
+    assert {r.id for r in S.rows_with_earlier_match(reps, 0.6, head_width=width).collect()} == exp

@@ -28,6 +28,15 @@ from tidewash.functions.common import as_fraction
 from tidewash.functions.text import tokens
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate that several branches read to the shared
+    checkpoint folder (reliable, lineage cut) instead of recomputing it."""
+    from tidewash.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, toks, n, skey): distinct tokens, their count, canonical set key."""
     t = df.select(F.col(id_col).alias("id"), tokens(text_col).alias("toks"))
@@ -51,26 +60,38 @@ def _prefix_len(num: int, den: int):
 
 
 def prefix_tokens(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """(id, n, tok) for the rarest-first prefix of every representative."""
+    """(id, n, tok, pos) for the rarest-first prefix of every representative
+    (pos is the 1-based position of tok in the set's global order)."""
     ex = reps.select("id", "n", F.explode("toks").alias("tok"))
     freq = ex.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     ranked = ex.join(freq, "tok")
     w = Window.partitionBy("id").orderBy("df", "tok")
     return (ranked.withColumn("pos", F.row_number().over(w))
             .where(F.col("pos") <= _prefix_len(num, den))
-            .select("id", "n", "tok"))
+            .select("id", "n", "tok", "pos"))
 
 
-def near_dup_pairs_from_reps(reps: DataFrame, threshold=0.85, strict: bool = True) -> DataFrame:
-    """Verified pairs (id_a < id_b) between representatives."""
-    f = as_fraction(threshold)
-    num, den = f.numerator, f.denominator
-    p = prefix_tokens(reps, num, den)
-    a, b = p.alias("a"), p.alias("b")
-    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.id") < F.col("b.id"))
-                   & (F.least("a.n", "b.n") * F.lit(den) >= F.greatest("a.n", "b.n") * F.lit(num)))
-            .select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
-            .distinct())
+def _min_overlap(na, nb, num: int, den: int):
+    """Smallest overlap that can give Jaccard >= num/den for sizes na, nb:
+    ceil(t/(1+t) * (na+nb)) = ceil(num*(na+nb) / (num+den))."""
+    tot = (na + nb).cast("bigint") * F.lit(num)
+    return F.floor((tot + F.lit(num + den - 1)) / F.lit(num + den)).cast("bigint")
+
+
+def candidate_condition(a: str, b: str, num: int, den: int):
+    """Join condition for two prefix-token rows: same token, ordered ids,
+    length filter and positional filter (both exact: a pair meeting the
+    threshold passes them on its first common token)."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    upper = F.lit(1) + F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
+    return ((F.col(f"{a}.tok") == F.col(f"{b}.tok")) & (F.col(f"{a}.id") < F.col(f"{b}.id"))
+            & (F.least(na, nb) * F.lit(den) >= F.greatest(na, nb) * F.lit(num))
+            & (upper >= _min_overlap(na, nb, num, den)))
+
+
+def _verify(cand: DataFrame, reps: DataFrame, num: int, den: int, strict: bool) -> DataFrame:
+    """Exact Jaccard check of candidate pairs (id_a, id_b) against the
+    representatives' token arrays; integer arithmetic only."""
     ra = reps.select(F.col("id").alias("id_a"), F.col("toks").alias("ta"), F.col("n").alias("na"))
     rb = reps.select(F.col("id").alias("id_b"), F.col("toks").alias("tb"), F.col("n").alias("nb"))
     v = (cand.join(ra, "id_a").join(rb, "id_b")
@@ -82,6 +103,50 @@ def near_dup_pairs_from_reps(reps: DataFrame, threshold=0.85, strict: bool = Tru
             .select("id_a", "id_b", "n_common", "n_union"))
 
 
+def _candidates(pa: DataFrame, pb: DataFrame, num: int, den: int) -> DataFrame:
+    return (pa.alias("a").join(pb.alias("b"), candidate_condition("a", "b", num, den))
+            .select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
+            .distinct())
+
+
+def near_dup_pairs_from_reps(reps: DataFrame, threshold=0.85, strict: bool = True) -> DataFrame:
+    """Verified pairs (id_a < id_b) between representatives."""
+    f = as_fraction(threshold)
+    num, den = f.numerator, f.denominator
+    p = prefix_tokens(reps, num, den)
+    return _verify(_candidates(p, p, num, den), reps, num, den, strict)
+
+
+# Phase-one width of the existence search: each row is first compared with
+# the earliest HEAD_WIDTH members of each of its prefix posting lists.
+HEAD_WIDTH = 32
+
+
+def rows_with_earlier_match(reps: DataFrame, threshold=0.85, strict: bool = True,
+                            head_width: int = HEAD_WIDTH) -> DataFrame:
+    """Ids of representatives that have an earlier (smaller id) similar one.
+
+    Exact, in two phases.  Phase 1 compares every row with the earliest
+    ``head_width`` members of each of its posting lists only (selected with
+    a map-side top-N, ``WindowGroupLimit``); rows that find a match there
+    are settled.  Phase 2 compares the still-open rows with every earlier
+    member.  A cluster of k mutually similar near-copies sharing a prefix
+    token costs about k*head_width comparisons instead of k*k, since almost
+    every member matches the cluster's first rows in phase 1.
+    """
+    f = as_fraction(threshold)
+    num, den = f.numerator, f.denominator
+    p = materialize(prefix_tokens(reps, num, den))
+    w = Window.partitionBy("tok").orderBy("id")
+    heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
+    found1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select(
+        F.col("id_b").alias("id")).distinct()
+    open_rows = p.join(found1, "id", "left_anti")
+    found2 = _verify(_candidates(p, open_rows, num, den), reps, num, den, strict).select(
+        F.col("id_b").alias("id")).distinct()
+    return found1.unionByName(found2).distinct()
+
+
 def near_dup_pairs(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
                    strict: bool = True) -> DataFrame:
     """Near-duplicate pairs between distinct token sets.
@@ -89,7 +154,7 @@ def near_dup_pairs(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
     Rows whose token set equals an earlier row's are reported by
     ``duplicate_members`` instead of as pairs.
     """
-    reps = set_representatives(token_sets(df, id_col, text_col))
+    reps = materialize(set_representatives(token_sets(df, id_col, text_col)))
     return near_dup_pairs_from_reps(reps, threshold, strict)
 
 
@@ -108,9 +173,8 @@ def near_dup_drop_earliest(df: DataFrame, id_col: str, text_col: str, threshold=
     Rows with no tokens never match.  Returns the surviving input rows.
     """
     ts = token_sets(df, id_col, text_col)
-    reps = set_representatives(ts)
-    pairs = near_dup_pairs_from_reps(reps, threshold, strict)
-    later = pairs.select(F.col("id_b").alias("id")).distinct()
+    reps = materialize(set_representatives(ts))
+    later = rows_with_earlier_match(reps, threshold, strict)
     kept_reps = reps.select("id").join(later, "id", "left_anti")
     empty = ts.where(F.col("n") == 0).select("id")
     kept = kept_reps.unionByName(empty)
@@ -129,13 +193,9 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     count.  Each round's state is checkpointed to the shared checkpoint
     folder (reliable, survives executor loss).
     """
-    from tidewash.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
     ts = token_sets(df, id_col, text_col)
-    reps = set_representatives(ts)
-    edges = near_dup_pairs_from_reps(reps, threshold, strict).select("id_a", "id_b")
-    edges = edges.checkpoint()
+    reps = materialize(set_representatives(ts))
+    edges = materialize(near_dup_pairs_from_reps(reps, threshold, strict).select("id_a", "id_b"))
     # status: 0 undecided, 1 kept, 2 dropped.  Representatives without an
     # earlier neighbour are kept at once.
     has_earlier = edges.select(F.col("id_b").alias("id")).distinct()
