@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewash.functions.common import as_fraction
-from tidewash.functions.text import tokens
+from tidewash.functions.text import py_strip, tokens
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -45,12 +45,17 @@ def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def set_representatives(ts: DataFrame) -> DataFrame:
-    """One row per distinct non-empty token set: its smallest id."""
-    return (ts.where(F.col("n") > 0)
-            .groupBy("skey")
+    """One row per distinct non-empty token set: its smallest id.
+
+    The empty set is dropped after the aggregation (it is one group): a
+    filter on the token count before it would be pushed below the scan's
+    exchange and tokenise every text twice.
+    """
+    return (ts.groupBy("skey")
             .agg(F.min_by(F.struct("id", "toks", "n"), F.col("id")).alias("r"),
                  F.count(F.lit(1)).alias("copies"))
-            .select("r.*", "skey", "copies"))
+            .select("r.*", "skey", "copies")
+            .where(F.col("n") > 0))
 
 
 def _prefix_len(num: int, den: int):
@@ -160,8 +165,9 @@ def near_dup_pairs(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
 
 def duplicate_members(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, rep_id) for every row whose token set equals an earlier row's."""
-    ts = token_sets(df, id_col, text_col).where(F.col("n") > 0)
+    ts = token_sets(df, id_col, text_col)
     reps = set_representatives(ts).select("skey", F.col("id").alias("rep_id"))
+    # the inner join drops empty sets (they have no representative)
     return (ts.join(reps, "skey").where(F.col("id") != F.col("rep_id"))
             .select("id", "rep_id"))
 
@@ -176,8 +182,7 @@ def near_dup_drop_earliest(df: DataFrame, id_col: str, text_col: str, threshold=
     reps = materialize(set_representatives(ts))
     later = rows_with_earlier_match(reps, threshold, strict)
     kept_reps = reps.select("id").join(later, "id", "left_anti")
-    empty = ts.where(F.col("n") == 0).select("id")
-    kept = kept_reps.unionByName(empty)
+    kept = kept_reps.unionByName(_token_free_ids(df, id_col, text_col))
     return df.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi")
 
 
@@ -196,13 +201,13 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     ts = token_sets(df, id_col, text_col)
     reps = materialize(set_representatives(ts))
     edges = materialize(near_dup_pairs_from_reps(reps, threshold, strict).select("id_a", "id_b"))
-    # status: 0 undecided, 1 kept, 2 dropped.  Representatives without an
+    # Only rows that appear in a pair can be dropped; the rounds run on the
+    # pair graph.  status: 0 undecided, 1 kept, 2 dropped; rows without an
     # earlier neighbour are kept at once.
-    has_earlier = edges.select(F.col("id_b").alias("id")).distinct()
-    status = (reps.select("id")
-              .join(has_earlier.withColumn("_u", F.lit(True)), "id", "left")
-              .select("id", F.when(F.col("_u"), F.lit(0)).otherwise(F.lit(1)).alias("st"))
-              .checkpoint())
+    later = edges.select(F.col("id_b").alias("id")).distinct().withColumn("_u", F.lit(True))
+    nodes = edges.select(F.col("id_a").alias("id")).unionByName(edges.select(F.col("id_b").alias("id"))).distinct()
+    status = materialize(nodes.join(later, "id", "left").select(
+        "id", F.when(F.col("_u"), F.lit(0)).otherwise(F.lit(1)).alias("st")))
     for _ in range(max_rounds):
         if status.where(F.col("st") == 0).limit(1).count() == 0:
             break
@@ -211,14 +216,20 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
                    .groupBy(F.col("id_b").alias("id"))
                    .agg(F.max((F.col("st_a") == 1).cast("int")).alias("any_kept"),
                         F.min((F.col("st_a") == 2).cast("int")).alias("all_dropped")))
-        status = (status.join(verdict, "id", "left")
-                  .select("id", F.when(F.col("st") != 0, F.col("st"))
-                          .when(F.col("any_kept") == 1, F.lit(2))
-                          .when(F.col("all_dropped") == 1, F.lit(1))
-                          .otherwise(F.lit(0)).alias("st"))
-                  .checkpoint())
+        status = materialize(status.join(verdict, "id", "left").select(
+            "id", F.when(F.col("st") != 0, F.col("st"))
+            .when(F.col("any_kept") == 1, F.lit(2))
+            .when(F.col("all_dropped") == 1, F.lit(1))
+            .otherwise(F.lit(0)).alias("st")))
     else:
         raise RuntimeError("greedy near-duplicate rounds did not converge")
-    kept = status.where(F.col("st") == 1).select("id").unionByName(
-        ts.where(F.col("n") == 0).select("id"))
+    dropped = status.where(F.col("st") == 2).select("id")
+    kept = reps.select("id").join(dropped, "id", "left_anti").unionByName(_token_free_ids(df, id_col, text_col))
     return df.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi")
+
+
+def _token_free_ids(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Ids of rows with no tokens (null or whitespace-only text): these never
+    match anything and are always kept."""
+    t = F.col(text_col)
+    return df.where(t.isNull() | (py_strip(t) == F.lit(""))).select(F.col(id_col).alias("id"))

@@ -8,25 +8,30 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Tables whose rows carry long texts: per-row CPU (regex, tokenising, hashing)
-# dominates, so a scan with too few splits leaves cores idle.
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+# Tables whose rows carry long texts (with their id column): per-row CPU
+# (regex, tokenising, hashing) dominates, so a scan with too few splits
+# leaves cores idle.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
+               "benchmark": "item_id"}
 
 
-def spread_small_scan(df: DataFrame, factor: int = 2) -> DataFrame:
+def spread_small_scan(df: DataFrame, key: str, factor: int = 2) -> DataFrame:
     """Round-robin the rows of a scan that has fewer than ``factor`` splits
     per core.
 
     A large corpus already scans as thousands of splits and is returned as
     is (no shuffle).  A few big Parquet row groups scan in a few tasks, which
-    would run the per-row text work of the whole table on one core; a
-    round-robin repartition (cheap at that size) spreads it.  The partition
-    count is a planning-time fact (file listing only, no job).
+    would run the per-row text work of the whole table on one core; a hash
+    repartition on the id (cheap at that size) spreads it.  Hash, not
+    round-robin: a round-robin exchange sorts every partition by the whole
+    row first (for retry determinism), which for long texts costs more than
+    the work it spreads.  The partition count is a planning-time fact (file
+    listing only, no job).
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= factor * target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, key)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, text_work: bool = False) -> DataFrame:
@@ -41,5 +46,5 @@ def table(spark: SparkSession, sf_dir: str, name: str, text_work: bool = False)
         raise KeyError(name)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if text_work and name in TEXT_TABLES:
-        df = spread_small_scan(df)
+        df = spread_small_scan(df, TEXT_TABLES[name])
     return df
