@@ -28,8 +28,12 @@ def spread_small_scan(df: DataFrame, key: str, factor: int = 2) -> DataFrame:
     the work it spreads.  The partition count is a planning-time fact (file
     listing only, no job).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= factor * target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as is
+        return df
+    if splits >= factor * target:
         return df
     return df.repartition(target, key)
 
