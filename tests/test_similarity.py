@@ -140,3 +140,26 @@ def test_existence_phases_match_pairs(spark, width):
     reps = S.set_representatives(S.token_sets(df, "id", "text"))
     exp = {b for _, b in _brute_pairs(rows, 0.6)}
     assert {r.id for r in S.rows_with_earlier_match(reps, 0.6, head_width=width).collect()} == exp
+
+
+def _lev(a, b):
+    prev = list(range(len(b) + 1))
+    for i, ca in enumerate(a, 1):
+        cur = [i]
+        for j, cb in enumerate(b, 1):
+            cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
+        prev = cur
+    return prev[-1]
+
+
+def test_edit_ratio_second_verifier(spark):
+    rows = _corpus(11, 90)
+    df = spark.createDataFrame(rows, "id long, text string")
+    text = dict(rows)
+    exp = set()
+    for a, b in _brute_pairs(rows, 0.6):
+        longest = max(len(text[a]), len(text[b]))
+        if longest and 1 - _lev(text[a], text[b]) / longest >= 0.7:
+            exp.add((a, b))
+    got = {(r.id_a, r.id_b) for r in S.near_dup_pairs_edit(df, "id", "text", 0.6, 0.7).collect()}
+    assert got == exp

@@ -233,3 +233,28 @@ def _token_free_ids(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     match anything and are always kept."""
     t = F.col(text_col)
     return df.where(t.isNull() | (py_strip(t) == F.lit(""))).select(F.col(id_col).alias("id"))
+
+
+def near_dup_pairs_edit(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
+                        min_edit_ratio: float = 0.85, strict: bool = True) -> DataFrame:
+    """Jaccard-verified pairs that also pass a character edit ratio
+    ``1 - levenshtein(a, b) / max(len(a), len(b)) >= min_edit_ratio``.
+
+    The edit distance (built-in, code points) runs on verified pairs only,
+    with Spark's threshold form so a hopeless pair stops early; texts are
+    joined back for those pairs alone.
+    """
+    pairs = near_dup_pairs(df, id_col, text_col, threshold, strict)
+    ta = df.select(F.col(id_col).alias("id_a"), F.col(text_col).alias("text_a"))
+    tb = df.select(F.col(id_col).alias("id_b"), F.col(text_col).alias("text_b"))
+    j = pairs.join(ta, "id_a").join(tb, "id_b")
+    longest = F.greatest(F.char_length("text_a"), F.char_length("text_b"))
+    budget = F.floor(longest * F.lit(1.0 - float(min_edit_ratio))).cast("int")
+    # per-pair budget: the SQL form accepts a column as the threshold
+    j = j.withColumn("_budget", budget)
+    dist = F.expr("levenshtein(text_a, text_b, _budget)")
+    j = j.withColumn("edit_distance", dist).where(F.col("edit_distance") >= 0).drop("_budget")
+    ratio = F.lit(1.0) - F.col("edit_distance") / longest
+    return (j.withColumn("edit_ratio", ratio)
+            .where(F.col("edit_ratio") >= F.lit(float(min_edit_ratio)))
+            .select("id_a", "id_b", "n_common", "n_union", "edit_distance", "edit_ratio"))
