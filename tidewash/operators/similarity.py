@@ -28,12 +28,20 @@ from tidewash.functions.common import as_fraction
 from tidewash.functions.text import py_strip, tokens
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write an intermediate that several branches read to the shared
-    checkpoint folder (reliable, lineage cut) instead of recomputing it."""
+    checkpoint folder (reliable, lineage cut) instead of recomputing it.
+
+    With ``partition_by`` the rows are hash-partitioned on that column first;
+    a checkpoint keeps its partitioning, so later joins and windows on that
+    column do not shuffle this side again.
+    """
     from tidewash.session import checkpoint_root
 
     checkpoint_root(df.sparkSession)
+    if partition_by is not None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, partition_by)
     return df.checkpoint(eager=True)
 
 
@@ -141,7 +149,7 @@ def rows_with_earlier_match(reps: DataFrame, threshold=0.85, strict: bool = True
     """
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
-    p = materialize(prefix_tokens(reps, num, den))
+    p = materialize(prefix_tokens(reps, num, den), "tok")
     w = Window.partitionBy("tok").orderBy("id")
     heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
     found1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select(
@@ -159,7 +167,7 @@ def near_dup_pairs(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
     Rows whose token set equals an earlier row's are reported by
     ``duplicate_members`` instead of as pairs.
     """
-    reps = materialize(set_representatives(token_sets(df, id_col, text_col)))
+    reps = materialize(set_representatives(token_sets(df, id_col, text_col)), "id")
     return near_dup_pairs_from_reps(reps, threshold, strict)
 
 
@@ -179,7 +187,7 @@ def near_dup_drop_earliest(df: DataFrame, id_col: str, text_col: str, threshold=
     Rows with no tokens never match.  Returns the surviving input rows.
     """
     ts = token_sets(df, id_col, text_col)
-    reps = materialize(set_representatives(ts))
+    reps = materialize(set_representatives(ts), "id")
     later = rows_with_earlier_match(reps, threshold, strict)
     kept_reps = reps.select("id").join(later, "id", "left_anti")
     kept = kept_reps.unionByName(_token_free_ids(df, id_col, text_col))
@@ -199,7 +207,7 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     folder (reliable, survives executor loss).
     """
     ts = token_sets(df, id_col, text_col)
-    reps = materialize(set_representatives(ts))
+    reps = materialize(set_representatives(ts), "id")
     edges = materialize(near_dup_pairs_from_reps(reps, threshold, strict).select("id_a", "id_b"))
     # Only rows that appear in a pair can be dropped; the rounds run on the
     # pair graph.  status: 0 undecided, 1 kept, 2 dropped; rows without an
