@@ -61,3 +61,27 @@ def test_multi_file_scan_and_sinks(spark):
     assert '"domain":null' in text
     jsonl.write_jsonl(df.select("id", "text", "domain").limit(1), out, mode="overwrite")
     assert jsonl.read_jsonl_strict(spark, out, SCHEMA).count() == 1
+
+
+def test_resume_run_skips_done_and_logs_progress(spark):
+    from pyspark.sql import functions as F
+
+    from tidewash.plans import resume
+
+    base = scratch_path(spark, "t-resume")
+    work = spark.createDataFrame([(i, f"t{i}") for i in range(20)], "id long, text string")
+    jsonl.write_jsonl(work.where("id < 3").select("id"), base + "/progress")
+
+    def process(p):
+        return p.select("id", F.upper("text").alias("text"))
+
+    first = resume.resume_run(work.where("id < 10"), "id", process, base + "/res", base + "/progress")
+    assert sorted(r.id for r in first.collect()) == list(range(3, 10))
+    second = resume.resume_run(work, "id", process, base + "/res", base + "/progress")
+    assert sorted(r.id for r in second.collect()) == list(range(10, 20))
+    third = resume.resume_run(work, "id", process, base + "/res", base + "/progress")
+    assert third.count() == 0
+    res = spark.read.json(base + "/res", schema="id long, text string")
+    assert sorted(r.id for r in res.collect()) == list(range(3, 20))
+    prog = spark.read.json(base + "/progress", schema="id long")
+    assert sorted(r.id for r in prog.collect()) == list(range(20))

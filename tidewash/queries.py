@@ -309,6 +309,34 @@ pairs AS (SELECT id_a, id_b, n_common, na + nb - n_common AS n_union FROM v
 _SQL_SETS = "WITH " + _sql_pair_ctes("documents") + "\n"
 
 
+@query("resume_ingest", f"""
+WITH p AS (SELECT d.doc_id, d.lang, {_sql_norm('d.text')} AS text FROM documents d
+           WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id))
+SELECT coalesce(lang, 'unknown') AS lang, count(*) AS n, count(*) FILTER (WHERE length(text) > 30) AS n_ok,
+       count(*) FILTER (WHERE NOT length(text) > 30) AS n_failed FROM p GROUP BY 1""")
+def q_resume_ingest(spark, sf):
+    """Resumable ingest: the labelled documents are already in the progress
+    log; a first run processes the rest in two halves with a restart in
+    between (the second run must skip the first run's work); statistics of
+    everything processed."""
+    from tidewash.plans import resume
+
+    base = scratch_path(spark, "resume")
+    docs = table(spark, sf, "documents", text_work=True).select("doc_id", "lang", "text")
+    jsonl.write_jsonl(table(spark, sf, "labels").select("doc_id"), f"{base}/progress")
+
+    def process(pending):
+        return pending.select("doc_id", "lang", X.normalize_whitespace("text").alias("text"))
+
+    # the English documents arrive first; the second run gets the whole list
+    # and must skip what the first run and the progress log already cover
+    resume.resume_run(docs.where(F.col("lang") == "en"), "doc_id", process,
+                      f"{base}/results", f"{base}/progress")
+    resume.resume_run(docs, "doc_id", process, f"{base}/results", f"{base}/progress")
+    out = spark.read.json(f"{base}/results", schema="doc_id bigint, lang string, text string")
+    return resume.run_statistics(out, "lang", failed=~(F.char_length("text") > 30))
+
+
 @query("near_dup_pairs", _SQL_SETS + "SELECT id_a, id_b, n_common, n_union FROM pairs")
 def q_near_dup_pairs(spark, sf):
     return similarity.near_dup_pairs(table(spark, sf, "documents", text_work=True), "doc_id", "text", 0.85)
