@@ -163,3 +163,21 @@ def test_edit_ratio_second_verifier(spark):
             exp.add((a, b))
     got = {(r.id_a, r.id_b) for r in S.near_dup_pairs_edit(df, "id", "text", 0.6, 0.7).collect()}
     assert got == exp
+
+
+@pytest.mark.parametrize("seed,width", [(5, 1), (12, 2), (13, 32)])
+def test_greedy_with_narrow_heads_matches_sequential(spark, seed, width):
+    rows = _corpus(seed, 160)
+    df = spark.createDataFrame(rows, "id long, text string")
+    pairs = _brute_pairs(rows, 0.6)
+    empty = {i for i, t in rows if not _tok(t)}
+    got = {r.id for r in S.near_dup_drop_greedy(df, "id", "text", 0.6, head_width=width).collect()}
+    assert got == _greedy(rows, pairs, empty)
+
+
+def test_greedy_near_copy_cluster(spark):
+    base = " ".join(f"b{i}" for i in range(60))
+    rows = [(i, base + f" x{i}") for i in range(200)] + [(1000 + i, f"u{i} v{i} w{i}") for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = {r.id for r in S.near_dup_drop_greedy(df, "id", "text", head_width=3).collect()}
+    assert got == {0} | {1000 + i for i in range(10)}

@@ -195,42 +195,82 @@ def near_dup_drop_earliest(df: DataFrame, id_col: str, text_col: str, threshold=
 
 
 def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
-                         strict: bool = True, max_rounds: int = 10_000) -> DataFrame:
+                         strict: bool = True, head_width: int = HEAD_WIDTH,
+                         max_rounds: int = 10_000) -> DataFrame:
     """Greedy first-wins: scan rows by id, keep a row unless it is similar to
     an earlier *kept* row (a dropped row does not suppress later rows).
 
-    Computed as the lexicographically-first maximal independent set of the
-    pair graph, in rounds: an undecided row is dropped as soon as one earlier
-    neighbour is kept, and kept once all earlier neighbours are dropped.
-    Rounds are bounded by the longest dependency chain, not by the row
-    count.  Each round's state is checkpointed to the shared checkpoint
-    folder (reliable, survives executor loss).
+    The lexicographically-first maximal independent set of the similarity
+    graph, computed in rounds without building the whole graph:
+
+    * edges start as the pairs found against the earliest ``head_width``
+      members of each prefix posting list; rows with none of those get their
+      full list of earlier edges ("expanded");
+    * per round, an undecided row with a kept earlier neighbour is dropped;
+      one whose known earlier neighbours are all dropped is kept if expanded,
+      else its full earlier-edge list is fetched first (exact: the smallest
+      undecided row can always be decided or expanded).
+
+    A cluster of k mutually similar near-copies is settled from the head
+    edges (about k*head_width comparisons, not k*k).  Rounds are bounded by
+    the longest dependency chain; every round's state is a reliable
+    checkpoint in the shared checkpoint folder.
     """
+    f = as_fraction(threshold)
+    num, den = f.numerator, f.denominator
     ts = token_sets(df, id_col, text_col)
     reps = materialize(set_representatives(ts), "id")
-    edges = materialize(near_dup_pairs_from_reps(reps, threshold, strict).select("id_a", "id_b"))
-    # Only rows that appear in a pair can be dropped; the rounds run on the
-    # pair graph.  status: 0 undecided, 1 kept, 2 dropped; rows without an
-    # earlier neighbour are kept at once.
-    later = edges.select(F.col("id_b").alias("id")).distinct().withColumn("_u", F.lit(True))
-    nodes = edges.select(F.col("id_a").alias("id")).unionByName(edges.select(F.col("id_b").alias("id"))).distinct()
-    status = materialize(nodes.join(later, "id", "left").select(
-        "id", F.when(F.col("_u"), F.lit(0)).otherwise(F.lit(1)).alias("st")))
-    for _ in range(max_rounds):
-        if status.where(F.col("st") == 0).limit(1).count() == 0:
-            break
+    p = materialize(prefix_tokens(reps, num, den), "tok")
+    w = Window.partitionBy("tok").orderBy("id")
+    heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
+    e1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select("id_a", "id_b")
+    e1 = materialize(e1)
+    partial = e1.select(F.col("id_b").alias("id")).distinct()
+    open_p = p.join(partial, "id", "left_anti")
+    e2 = _verify(_candidates(p, open_p, num, den), reps, num, den, strict).select("id_a", "id_b")
+    edges = materialize(e1.unionByName(e2).distinct(), "id_b")
+
+    def nodes_of(e):
+        return e.select(F.col("id_a").alias("id")).unionByName(e.select(F.col("id_b").alias("id"))).distinct()
+
+    # st: 0 undecided, 1 kept, 2 dropped; exp: full earlier-edge list known
+    status = materialize(nodes_of(edges).join(partial.withColumn("_p", F.lit(True)), "id", "left").select(
+        "id", F.lit(0).alias("st"), F.col("_p").isNull().alias("exp")))
+    pending = status.limit(1).count() > 0
+    rounds = 0
+    while pending:
+        rounds += 1
+        if rounds > max_rounds:
+            raise RuntimeError("greedy near-duplicate rounds did not converge")
         src = status.select(F.col("id").alias("id_a"), F.col("st").alias("st_a"))
         verdict = (edges.join(src, "id_a")
                    .groupBy(F.col("id_b").alias("id"))
                    .agg(F.max((F.col("st_a") == 1).cast("int")).alias("any_kept"),
                         F.min((F.col("st_a") == 2).cast("int")).alias("all_dropped")))
-        status = materialize(status.join(verdict, "id", "left").select(
-            "id", F.when(F.col("st") != 0, F.col("st"))
-            .when(F.col("any_kept") == 1, F.lit(2))
-            .when(F.col("all_dropped") == 1, F.lit(1))
-            .otherwise(F.lit(0)).alias("st")))
-    else:
-        raise RuntimeError("greedy near-duplicate rounds did not converge")
+        v = status.join(verdict, "id", "left")
+        any_kept = F.coalesce(F.col("any_kept"), F.lit(0)) == 1
+        all_dropped = F.coalesce(F.col("all_dropped"), F.lit(1)) == 1
+        undecided = F.col("st") == 0
+        v = v.withColumn("_expand", undecided & ~any_kept & all_dropped & ~F.col("exp"))
+        v = materialize(v.select(
+            "id", "exp", "_expand",
+            F.when(~undecided, F.col("st")).when(any_kept, F.lit(2))
+            .when(all_dropped & F.col("exp"), F.lit(1)).otherwise(F.lit(0)).alias("st")))
+        n_open, n_grow = v.agg(F.count_if(F.col("st") == 0), F.count_if("_expand")).first()
+        if n_grow:
+            # fetch the full earlier-edge lists of the rows that need them
+            grow = v.where("_expand").select("id")
+            new_e = _verify(_candidates(p, p.join(grow, "id", "left_semi"), num, den),
+                            reps, num, den, strict).select("id_a", "id_b")
+            edges = materialize(edges.unionByName(new_e).distinct(), "id_b")
+            # an earlier endpoint not seen before had no head edges, so its
+            # earlier edges were all fetched up front: it is expanded
+            fresh = nodes_of(new_e).join(v.select("id"), "id", "left_anti").select(
+                "id", F.lit(0).alias("st"), F.lit(True).alias("exp"))
+            status = v.select("id", "st", (F.col("exp") | F.col("_expand")).alias("exp")).unionByName(fresh)
+        else:
+            status = v.select("id", "st", "exp")
+        pending = n_open > 0 or n_grow > 0
     dropped = status.where(F.col("st") == 2).select("id")
     kept = reps.select("id").join(dropped, "id", "left_anti").unionByName(_token_free_ids(df, id_col, text_col))
     return df.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi")
