@@ -724,14 +724,20 @@ def _replay(spark, sf, name, redeliver=None):
     return base, events.schema, writers
 
 
+LAST_STREAM_STATS: dict[str, list[dict]] = {}
+
+
 def _two_runs(spark, base, schema, writers, build, **sink):
     from tidewash.streaming import ingest
 
+    stats_ = []
     for part in (writers[:3], writers[3:]):
         for w in part:
             w()
         stream = ingest.file_stream(spark, f"{base}/in", schema)
-        ingest.run_available(build(stream), f"{base}/ckpt", **sink)
+        stats_.append(ingest.run_available(build(stream), f"{base}/ckpt", **sink))
+    LAST_STREAM_STATS[base.rsplit("/", 1)[-1].rsplit("-", 1)[0]] = stats_
+    return stats_
 
 
 @query("stream_append_ingest", """

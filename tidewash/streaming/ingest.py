@@ -27,8 +27,13 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 def run_available(stream: DataFrame, checkpoint: str, sink_path: str | None = None,
                   fmt: str = "parquet", output_mode: str = "append",
-                  foreach_batch: Callable | None = None) -> None:
-    """Process everything available now, then stop (blocking)."""
+                  foreach_batch: Callable | None = None) -> dict:
+    """Process everything available now, then stop (blocking).
+
+    Returns run statistics from the query progress: micro-batches, input
+    rows, and rows dropped as later than the watermark (reported, never
+    silent).
+    """
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
@@ -38,6 +43,13 @@ def run_available(stream: DataFrame, checkpoint: str, sink_path: str | None = No
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    progress = q.recentProgress
+    return {
+        "batches": len(progress),
+        "input_rows": sum(int(pr.numInputRows) for pr in progress),
+        "dropped_by_watermark": sum(int(op.numRowsDroppedByWatermark)
+                                    for pr in progress for op in pr.stateOperators),
+    }
 
 
 def _with_event_time(stream: DataFrame, ts_col: str) -> DataFrame:
