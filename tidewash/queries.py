@@ -367,7 +367,28 @@ def q_near_dup_drop_earliest(spark, sf):
     return similarity.near_dup_drop_earliest(d, "doc_id", "text", 0.85).select("doc_id")
 
 
-@query("near_dup_drop_greedy")
+def _sql_greedy_dropped() -> str:
+    """CTEs (after the pair CTEs) ending in ``dropped``: a sequential
+    first-wins scan over the pair-graph nodes in id order, as a recursive
+    CTE carrying the list of kept ids."""
+    return """,
+nodes AS (SELECT id_a AS id FROM pairs UNION SELECT id_b FROM pairs),
+ord AS (SELECT id, row_number() OVER (ORDER BY id) AS rn FROM nodes),
+g(rn, kept) AS (
+  SELECT 0, []::BIGINT[]
+  UNION ALL
+  SELECT g.rn + 1,
+         CASE WHEN EXISTS (SELECT 1 FROM pairs q WHERE q.id_b = o.id AND list_contains(g.kept, q.id_a))
+              THEN g.kept ELSE list_append(g.kept, o.id) END
+  FROM g JOIN ord o ON o.rn = g.rn + 1),
+final AS (SELECT kept FROM g ORDER BY rn DESC LIMIT 1),
+dropped AS (SELECT id FROM nodes WHERE NOT list_contains((SELECT kept FROM final), id))"""
+
+
+@query("near_dup_drop_greedy", "WITH RECURSIVE " + _sql_pair_ctes("documents") + _sql_greedy_dropped() + """
+SELECT doc_id FROM r WHERE doc_id NOT IN (SELECT id FROM dropped)
+UNION ALL
+SELECT doc_id FROM t WHERE len(toks) = 0""")
 def q_near_dup_drop_greedy(spark, sf):
     d = table(spark, sf, "documents", text_work=True)
     return similarity.near_dup_drop_greedy(d, "doc_id", "text", 0.85).select("doc_id")
@@ -398,7 +419,14 @@ def q_clean_dataset(spark, sf):
     return stats.multi_dim_counts(kept, ["lang", "source"], default="unknown")
 
 
-@query("clean_dataset_greedy")
+_SQL_CLEAN_DATASET_GREEDY = (
+    _SQL_CLEAN_DATASET.replace("WITH n AS", "WITH RECURSIVE n AS", 1)
+    .replace("""kept AS (SELECT doc_id FROM r WHERE doc_id NOT IN (SELECT id_b FROM pairs) UNION ALL""",
+             _sql_greedy_dropped().lstrip(",") + """,
+kept AS (SELECT doc_id FROM r WHERE doc_id NOT IN (SELECT id FROM dropped) UNION ALL""", 1))
+
+
+@query("clean_dataset_greedy", _SQL_CLEAN_DATASET_GREEDY)
 def q_clean_dataset_greedy(spark, sf):
     """Same plan with greedy first-wins near-duplicate removal."""
     out = scratch_path(spark, "clean-dataset-greedy")
