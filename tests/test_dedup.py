@@ -75,8 +75,13 @@ def test_sampling_is_repeatable(spark):
     a = [r.id for r in stats.sample_n(df, 10, "id", seed=3).collect()]
     b = [r.id for r in stats.sample_n(df, 10, "id", seed=3).collect()]
     assert a == b and len(set(a)) == 10
-    s = stats.weighted_stratified_sample(df.withColumn("c", F.col("id") % 2), "c", {0: 1.0, 1: 0.0}, seed=1)
+    s = stats.weighted_stratified_sample(df.withColumn("c", F.col("id") % 2), "c", {0: 1.0, 1: 0.0}, "id", seed=1)
     assert s.where("c = 1").count() == 0 and s.count() == 500
+    half = stats.weighted_stratified_sample(spark.range(20000).withColumn("c", F.lit(1)), "c", {1: 0.25}, "id", seed=2)
+    assert 4500 < half.count() < 5500
+    again = stats.weighted_stratified_sample(spark.range(20000).repartition(7).withColumn("c", F.lit(1)),
+                                             "c", {1: 0.25}, "id", seed=2)
+    assert sorted(r.id for r in half.collect()) == sorted(r.id for r in again.collect())
 
 
 def test_priority_sort(spark):

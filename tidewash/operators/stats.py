@@ -118,6 +118,14 @@ def union_drift(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def seeded_uniform_key(key, seed: int) -> Column:
+    """A repeatable pseudo-random key per row: the first 32 bits of
+    md5("<key>:<seed>") as a bigint in [0, 2^32).  It depends only on the key,
+    not on partitioning or task order, and any engine with md5 reproduces it."""
+    h = F.md5(F.concat(col_of(key).cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+
+
 def sample_n(df: DataFrame, n: int, key, seed: int = 0) -> DataFrame:
     """Repeatable sample of ``n`` rows without replacement.
 
@@ -125,10 +133,19 @@ def sample_n(df: DataFrame, n: int, key, seed: int = 0) -> DataFrame:
     planned as a distributed top-k (TakeOrderedAndProject), so only ``n``
     rows per task reach the final merge.
     """
-    h = F.xxhash64(col_of(key), F.lit(seed))
+    h = seeded_uniform_key(key, seed)
     return df.withColumn("_tw_h", h).orderBy("_tw_h", col_of(key)).limit(n).drop("_tw_h")
 
 
-def weighted_stratified_sample(df: DataFrame, c, fractions: dict, seed: int = 0) -> DataFrame:
-    """Per-category Bernoulli sample with category weights (``sampleBy``)."""
-    return df.sampleBy(col_of(c), fractions=fractions, seed=seed)
+def weighted_stratified_sample(df: DataFrame, c, fractions: dict, key, seed: int = 0) -> DataFrame:
+    """Per-category Bernoulli sample with category weights.
+
+    Same contract as ``sampleBy`` (each row of category k kept with
+    probability fractions[k], categories not listed dropped), but the draw
+    is a seeded hash of the row key instead of a per-partition random
+    stream, so the sample does not change with partitioning or retries.
+    """
+    m = F.create_map(*[x for k, v in fractions.items() for x in (F.lit(k), F.lit(float(v)))])
+    frac = F.coalesce(F.element_at(m, col_of(c)), F.lit(0.0))
+    u = seeded_uniform_key(key, seed) / F.lit(float(2 ** 32))
+    return df.where(u < frac)

@@ -603,16 +603,24 @@ def q_union_drift(spark, sf):
     return u.select("origin", "id", "lang", "source", "role", F.char_length("text").cast("bigint").alias("text_len"))
 
 
-@query("sample_n")
+@query("sample_n", """
+SELECT event_id, event_type FROM events
+ORDER BY ('0x' || left(md5(CAST(event_id AS VARCHAR) || ':7'), 8))::BIGINT, event_id LIMIT 100""")
 def q_sample_n(spark, sf):
     return stats.sample_n(table(spark, sf, "events").select("event_id", "event_type"), 100, "event_id", seed=7)
 
 
-@query("weighted_stratified_sample")
+SAMPLE_FRACTIONS = {"error": 0.5, "purchase": 0.3, "signup": 0.1, "click": 0.05, "view": 0.05}
+
+
+@query("weighted_stratified_sample", """
+SELECT event_id, event_type FROM events
+WHERE ('0x' || left(md5(CAST(event_id AS VARCHAR) || ':11'), 8))::BIGINT / 4294967296.0 <
+      CASE event_type WHEN 'error' THEN 0.5 WHEN 'purchase' THEN 0.3 WHEN 'signup' THEN 0.1
+                      WHEN 'click' THEN 0.05 WHEN 'view' THEN 0.05 ELSE 0.0 END""")
 def q_weighted_stratified_sample(spark, sf):
-    fr = {"error": 0.5, "purchase": 0.3, "signup": 0.1, "click": 0.05, "view": 0.05}
     e = table(spark, sf, "events").select("event_id", "event_type")
-    return stats.weighted_stratified_sample(e, "event_type", fr, seed=11)
+    return stats.weighted_stratified_sample(e, "event_type", SAMPLE_FRACTIONS, "event_id", seed=11)
 
 
 # ---------------------------------------------------------------------------
