@@ -39,6 +39,7 @@ HEADLINE = [
     "cap_per_session",
     "jsonl_scan_tolerant",
     "stream_dedup",
+    "clean_dataset",
 ]
 
 
