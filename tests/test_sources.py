@@ -10,9 +10,9 @@ SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("text",
                        T.StructField("domain", T.StringType())])
 
 
-def _write_lines(path, lines):
+def _write_lines(path, lines, name="part-0.jsonl"):
     os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, "part-0.jsonl"), "w", encoding="utf-8") as f:
+    with open(os.path.join(path, name), "w", encoding="utf-8") as f:
         f.write("\n".join(lines) + "\n")
 
 
@@ -85,3 +85,11 @@ def test_resume_run_skips_done_and_logs_progress(spark):
     assert sorted(r.id for r in res.collect()) == list(range(3, 20))
     prog = spark.read.json(base + "/progress", schema="id long")
     assert sorted(r.id for r in prog.collect()) == list(range(20))
+
+
+def test_multi_file_scan_glob_list(spark):
+    base = scratch_path(spark, "t-glob")
+    _write_lines(base + "/a", ['{"id": 1, "text": "x"}'])
+    _write_lines(base + "/b", ['{"id": 2, "text": "y"}'], name="run_cleaned.jsonl")
+    df = jsonl.multi_file_scan(spark, [base + "/a/*.jsonl", base + "/b/*.jsonl"], SCHEMA)
+    assert [(r.id, r.source_file) for r in df.collect()] == [(1, "part-0.jsonl")]

@@ -54,25 +54,35 @@ def read_json_string_array(spark: SparkSession, path, value_col: str = "text") -
     return raw.select(F.explode(F.from_json("value", T.ArrayType(T.StringType()))).alias(value_col))
 
 
-def multi_file_scan(spark: SparkSession, base: str, schema: T.StructType,
+def multi_file_scan(spark: SparkSession, base, schema: T.StructType,
                     exclude_words=("cleaned", "progress"), fmt: str = "json",
                     source_col: str | None = "source_file") -> DataFrame:
-    """All files below ``base``, skipping paths whose part below ``base``
-    contains any excluded word (case-insensitive).
-
-    The exclusion is a filter on the hidden ``_metadata.file_path`` column,
-    so excluded files are still listed but never parsed into the result.
+    """Read many files and skip those whose name contains an excluded word
+    (case-insensitive).
+
+    ``base`` is a folder (every file below it; the match is on the path
+    below the folder, and ``source_col`` is its first component) or a list
+    of paths / glob patterns (the match is on the file name, and
+    ``source_col`` is the file name).  The exclusion filters the hidden
+    ``_metadata`` column, so excluded files are listed but never reach the
+    result.
     """
-    df = (spark.read.schema(schema).option("recursiveFileLookup", True)
-          .format(fmt).load(base))
-    rel = F.substring_index(F.col("_metadata.file_path"), base.rstrip("/") + "/", -1)
+    if isinstance(base, str):
+        df = (spark.read.schema(schema).option("recursiveFileLookup", True)
+              .format(fmt).load(base))
+        name = F.substring_index(F.col("_metadata.file_path"), base.rstrip("/") + "/", -1)
+        source = F.substring_index(name, "/", 1)
+    else:
+        df = spark.read.schema(schema).format(fmt).load(list(base))
+        name = F.col("_metadata.file_name")
+        source = name
     keep = F.lit(True)
     for w in exclude_words:
-        keep = keep & ~F.contains(F.lower(rel), F.lit(w.lower()))
-    out = df.withColumn("_tw_rel", rel).where(keep)
+        keep = keep & ~F.contains(F.lower(name), F.lit(w.lower()))
+    out = df.where(keep)
     if source_col:
-        out = out.withColumn(source_col, F.substring_index(F.col("_tw_rel"), "/", 1))
-    return out.drop("_tw_rel")
+        out = out.withColumn(source_col, source)
+    return out
 
 
 def per_source_counts(df: DataFrame, source_col: str = "source_file") -> DataFrame:

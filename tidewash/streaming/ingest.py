@@ -154,18 +154,28 @@ def write_arrivals(df: DataFrame, ts_col: str, path: str, n_slices: int,
     at-least-once producer would) to ``path``.  The slice bounds come from one
     min/max aggregate.
     """
+    import datetime as _dt
+
     us = epoch_micros(ts_col)
     lo, hi = df.agg(F.min(us), F.max(us)).first()
     width = (hi - lo) // n_slices + 1
-    d = df.withColumn("_tw_slice", F.floor((us - F.lit(lo)) / F.lit(width)).cast("int"))
-    cols = df.columns
+    epoch = _dt.datetime(1970, 1, 1)
+
+    def bound(k: int):
+        # a timestamp_ntz literal (text, no time zone involved): the range
+        # filter below is pushed into the Parquet scan
+        t = epoch + _dt.timedelta(microseconds=lo + k * width)
+        return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+    def in_slice(i: int):
+        return (F.col(ts_col) >= bound(i)) & (F.col(ts_col) < bound(i + 1))
 
     def writer(i: int):
         def go():
-            part = d.where(F.col("_tw_slice") == i)
+            part = df.where(in_slice(i))
             if redeliver is not None and i > 0:
-                part = part.unionByName(d.where((F.col("_tw_slice") == i - 1) & redeliver))
-            part.select(*cols).write.mode("append").parquet(path)
+                part = part.unionByName(df.where(in_slice(i - 1) & redeliver))
+            part.write.mode("append").parquet(path)
         return go
 
     return [writer(i) for i in range(n_slices)]
