@@ -88,3 +88,20 @@ def test_priority_sort(spark):
     df = spark.createDataFrame([(1, "view"), (2, "error"), (3, "other")], "id int, t string")
     got = [r.id for r in stats.priority_sort(df, "t", {"error": 0, "view": 1}, then_by=["id"]).collect()]
     assert got == [2, 1, 3]
+
+
+def test_observe_stage_counts_on_the_live_plan(spark):
+    df = spark.range(100)
+    a, obs_a = stats.observe_stage(df.where("id % 3 = 0"), "after_filter")
+    b, obs_b = stats.observe_stage(a.where("id > 50"), "after_second")
+    assert b.count() == 17
+    assert obs_a.get["rows"] == 34 and obs_b.get["rows"] == 17
+
+
+def test_checkpoint_root_reads_the_session_setting(spark):
+    from tidewash.session import checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert p1 != p2 and p1.startswith(root)
