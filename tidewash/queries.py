@@ -553,7 +553,8 @@ SELECT event_id, user_id, rank_in_session FROM (
 WHERE rank_in_session <= 5""")
 def q_cap_per_session(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return runs.cap_per_session(e, "user_id", ["ts", "event_id"], 5).select("event_id", "user_id", "rank_in_session")
+    return runs.cap_per_session(e, "user_id", ["ts", "event_id"], 5).select(
+        "event_id", "user_id", F.col("rank_in_session").cast("bigint").alias("rank_in_session"))
 
 
 CROSSING_TARGETS = [100_000, 1_000_000, 10_000_000, 40_000_000, 1_000_000_000_000]
