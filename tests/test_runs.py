@@ -93,3 +93,27 @@ def test_tally_eta_nth_crossing_cap(spark):
     assert capped.groupBy("user_id").count().where("count > 3").count() == 0
     assert capped.count() == sum(min(3, c) for c in
                                  __import__("collections").Counter(r[2] for r in rows).values())
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=1, max_size=120),
+       st.integers(1, 40), st.booleans())
+def test_running_aggregates_property(spark, rows, per_bucket, global_order):
+    # key 0 is drawn far more often (hot key); order is the row index
+    data = [(i, 0 if k < 2 else k, v) for i, (k, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "pos long, k int, v long")
+    part = None if global_order else "k"
+    out = running_aggregates(df, ["pos"], {"s": ("sum", F.col("v")), "mn": ("min", F.col("v")),
+                                           "c": ("count", F.col("v") > 0)},
+                             partition_by=part, bucket=sized_bucket(df, "pos", per_bucket))
+    got = {r.pos: (r.s, r.mn, r.c) for r in out.collect()}
+    acc = {}
+    for pos, k, v in data:
+        key = None if global_order else k
+        s, mn, c = acc.get(key, (0, None, 0))
+        acc[key] = (s + v, v if mn is None else min(mn, v), c + (v > 0))
+        assert got[pos] == acc[key]
