@@ -49,7 +49,7 @@ def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, toks, n, skey): distinct tokens, their count, canonical set key."""
     t = df.select(F.col(id_col).alias("id"), tokens(text_col).alias("toks"))
     return (t.withColumn("n", F.size("toks"))
-            .withColumn("skey", F.md5(F.array_join(F.array_sort("toks"), " "))))
+            .withColumn("skey", F.md5(F.array_join(F.sort_array("toks"), " "))))
 
 
 def set_representatives(ts: DataFrame) -> DataFrame:
