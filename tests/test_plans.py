@@ -60,3 +60,21 @@ def test_posting_list_heads_use_group_limit(spark):
     p = S.prefix_tokens(reps, 17, 20)
     heads = p.withColumn("_r", F.row_number().over(Window.partitionBy("tok").orderBy("id"))).where("_r <= 4")
     assert "WindowGroupLimit" in _plan(heads)
+
+
+def test_materialized_intermediate_keeps_partitioning(spark):
+    from tidewash.operators.similarity import materialize
+
+    df = spark.range(1000).selectExpr("id", "id * 7 AS v")
+    m = materialize(df, "id")
+    assert "hashpartitioning(id" in m._jdf.queryExecution().executedPlan().outputPartitioning().toString()
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        other = spark.range(500).selectExpr("id", "id * 2 AS w")
+        plan = _plan(m.join(other, "id"))
+        # only the other side is shuffled
+        assert plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

@@ -32,17 +32,26 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write an intermediate that several branches read to the shared
     checkpoint folder (reliable, lineage cut) instead of recomputing it.
 
-    With ``partition_by`` the rows are hash-partitioned on that column first;
-    a checkpoint keeps its partitioning, so later joins and windows on that
-    column do not shuffle this side again.
+    With ``partition_by`` the rows are hash-partitioned on that column
+    (configured shuffle partitions) and the checkpoint records that
+    partitioning, so later joins on the column shuffle only the other side.
+    The checkpoint job runs with adaptive execution off: an adaptive plan
+    reports no partitioning for the checkpointed rows.  The setting is
+    restored right after.
     """
     from tidewash.session import checkpoint_root
 
-    checkpoint_root(df.sparkSession)
-    if partition_by is not None:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(n, partition_by)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    if partition_by is None:
+        return df.checkpoint(eager=True)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(n, partition_by).checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
 
 
 def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
