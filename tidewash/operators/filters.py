@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +50,11 @@ def keyword_any(c, keywords: list[str], empty_is_hit: bool = True) -> Column:
 
 
 def _aho_corasick_any(words: list[str]):
+    """Vectorised any-keyword test: one automaton per task (iterator UDF),
+    applied to Arrow batches of lower-cased texts."""
+
     @F.pandas_udf(T.BooleanType())
-    def contains_any(texts: pd.Series) -> pd.Series:
+    def contains_any(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
@@ -64,7 +69,8 @@ def _aho_corasick_any(words: list[str]):
                 return True
             return False
 
-        return texts.map(one).astype("boolean")
+        for texts in batches:
+            yield texts.map(one).astype("boolean")
 
     return contains_any
 
