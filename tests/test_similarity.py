@@ -181,3 +181,12 @@ def test_greedy_near_copy_cluster(spark):
     df = spark.createDataFrame(rows, "id long, text string")
     got = {r.id for r in S.near_dup_drop_greedy(df, "id", "text", head_width=3).collect()}
     assert got == {0} | {1000 + i for i in range(10)}
+
+
+def test_approx_pairs_are_verified_subset_with_high_recall(spark):
+    rows = _corpus(21, 150)
+    df = spark.createDataFrame(rows, "id long, text string")
+    exact = _brute_pairs(rows, 0.7)
+    got = {(r.id_a, r.id_b) for r in S.near_dup_pairs_approx(df, "id", "text", 0.7, num_hash_tables=12).collect()}
+    assert got <= exact
+    assert len(got) >= 0.8 * len(exact)

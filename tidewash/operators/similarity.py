@@ -315,3 +315,28 @@ def near_dup_pairs_edit(df: DataFrame, id_col: str, text_col: str, threshold=0.8
     return (j.withColumn("edit_ratio", ratio)
             .where(F.col("edit_ratio") >= F.lit(float(min_edit_ratio)))
             .select("id_a", "id_b", "n_common", "n_union", "edit_distance", "edit_ratio"))
+
+
+def near_dup_pairs_approx(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
+                          strict: bool = True, num_hash_tables: int = 8,
+                          num_features: int = 1 << 20, seed: int = 17) -> DataFrame:
+    """Approximate fallback: MLlib ``MinHashLSH`` candidates over hashed token
+    sets, then the same exact verification as ``near_dup_pairs``.
+
+    No false positives (every pair is verified on the real token sets), but
+    pairs can be missed: recall depends on ``num_hash_tables``.  Not the
+    oracle-checked path; use it when exact prefix filtering is too costly.
+    """
+    from pyspark.ml.feature import HashingTF, MinHashLSH
+
+    f = as_fraction(threshold)
+    num, den = f.numerator, f.denominator
+    reps = materialize(set_representatives(token_sets(df, id_col, text_col)), "id")
+    tf = HashingTF(inputCol="toks", outputCol="vec", numFeatures=num_features, binary=True)
+    vecs = tf.transform(reps.select("id", "toks"))
+    lsh = MinHashLSH(inputCol="vec", outputCol="hashes", numHashTables=num_hash_tables, seed=seed).fit(vecs)
+    max_dist = 1.0 - float(f)
+    joined = lsh.approxSimilarityJoin(vecs, vecs, max_dist, distCol="_dist")
+    cand = (joined.select(F.col("datasetA.id").alias("id_a"), F.col("datasetB.id").alias("id_b"))
+            .where(F.col("id_a") < F.col("id_b")).distinct())
+    return _verify(cand, reps, num, den, strict)

@@ -350,6 +350,14 @@ def q_near_dup_pairs_edit(spark, sf):
     return similarity.near_dup_pairs_edit(d, "doc_id", "text", 0.85, 0.85)
 
 
+@query("near_dup_pairs_approx")
+def q_near_dup_pairs_approx(spark, sf):
+    """Approximate (MinHash LSH) candidates, exactly verified: a subset of
+    ``near_dup_pairs``; rows-only check."""
+    d = table(spark, sf, "documents", text_work=True)
+    return similarity.near_dup_pairs_approx(d, "doc_id", "text", 0.85)
+
+
 @query("near_dup_members", f"""
 WITH t AS (SELECT doc_id, list_sort({_sql_tokens('text')}) AS toks FROM documents WHERE len({_sql_tokens('text')}) > 0)
 SELECT doc_id AS id, min(doc_id) OVER (PARTITION BY toks) AS rep_id FROM t
