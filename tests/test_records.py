@@ -25,3 +25,10 @@ def test_json_path_defaults_and_ids(spark):
     ids = spark.range(3).select(R.surrogate_id("id", width=8).alias("s")).collect()
     assert len({r.s for r in ids}) == 3 and all(len(r.s) == 8 for r in ids)
     assert spark.range(1).select(R.coalesce_default(F.lit(None).cast("string"), "general").alias("d")).first().d == "general"
+
+
+def test_int_unit_convert_is_exact_floor_division(spark):
+    vals = [1_700_000_000_123_456_789, 9_007_199_254_740_993, -1, -1_000_001, 999_999, 0]
+    df = spark.createDataFrame([(v,) for v in vals], "x long")
+    got = [r.y for r in df.select(R.int_unit_convert("x", 1_000_000).alias("y")).collect()]
+    assert got == [v // 1_000_000 for v in vals]

@@ -34,9 +34,11 @@ def coalesce_default(c, default) -> Column:
 
 
 def int_unit_convert(c, divisor: int) -> Column:
-    """Floor division of an integer quantity (e.g. ns -> ms with 1_000_000)."""
-    x = col_of(c).cast("bigint")
-    return F.floor(x / F.lit(int(divisor))).cast("bigint")
+    """Floor division of an integer quantity (e.g. ns -> ms with 1_000_000),
+    as Python's ``//``.  Exact for every bigint: the division is decimal, not
+    double (epoch nanoseconds exceed a double's 53-bit integer range)."""
+    x = col_of(c).cast("bigint").cast("decimal(20,0)")
+    return F.floor(x / F.lit(int(divisor)).cast("decimal(20,0)")).cast("bigint")
 
 
 def surrogate_id(*key_cols, width: int | None = None) -> Column:
