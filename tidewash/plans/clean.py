@@ -14,8 +14,7 @@ from tidewash.operators.similarity import near_dup_drop_earliest, near_dup_drop_
 from tidewash.operators.stats import group_count_sorted
 from tidewash.session import checkpoint_root
 
-MIN_CHARS = 30
-NEAR_DUP_THRESHOLD = 0.85
+from tidewash.fixed_values import DEFAULT_CATEGORY_IN_STATS, MIN_CHARS, NEAR_DUP_THRESHOLD
 
 
 def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -41,7 +40,8 @@ def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return d.where(F.col("_tw_len") > F.lit(min_chars)).drop("_tw_len")
 
 
-def clean_and_count(docs: DataFrame, by: str = "lang", default: str = "unknown") -> DataFrame:
+def clean_and_count(docs: DataFrame, by: str = "lang",
+                    default: str = DEFAULT_CATEGORY_IN_STATS) -> DataFrame:
     """Slice 1: cleaned documents counted per ``by``, most frequent first."""
     return group_count_sorted(cleaned_documents(docs, columns=[by]), by, default=default, out="n")
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewash import fixed_values as FV
 from tidewash.functions import records as R
 from tidewash.functions import text as X
 from tidewash.functions.text import PY_WHITESPACE_CLASS as WS
@@ -145,7 +146,7 @@ def q_substring_count(spark, sf):
 SELECT doc_id, least(length(text) / 1000.0, 5.0) AS length_score FROM documents""")
 def q_capped_linear(spark, sf):
     d = table(spark, sf, "documents")
-    return d.select("doc_id", X.capped_linear(X.char_length("text"), 1000, 5).alias("length_score"))
+    return d.select("doc_id", X.capped_linear(X.char_length("text"), FV.LENGTH_SCORE_SCALE, FV.LENGTH_SCORE_CAP).alias("length_score"))
 
 
 @query("head_tail_slice", """
@@ -183,7 +184,7 @@ SELECT coalesce(lang, 'general') AS lang, count(*) AS n FROM (
 def q_coalesce_default(spark, sf):
     u = stats.union_drift([table(spark, sf, "documents").select("doc_id", "lang"),
                            table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"))])
-    return u.groupBy(R.coalesce_default("lang", "general").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    return u.groupBy(R.coalesce_default("lang", FV.DEFAULT_CATEGORY_ON_WRITE).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("int_unit_convert", """
@@ -237,7 +238,7 @@ SELECT doc_id, CAST(length(t) AS BIGINT) AS text_len
 FROM (SELECT doc_id, {_sql_norm('text')} AS t FROM documents) WHERE length(t) > 30""")
 def q_min_length_filter(spark, sf):
     d = table(spark, sf, "documents", text_work=True).select("doc_id", X.normalize_whitespace("text").alias("t"))
-    return filters.min_length_filter(d, "t", 30).select(
+    return filters.min_length_filter(d, "t", FV.MIN_CHARS).select(
         "doc_id", F.char_length("t").cast("bigint").alias("text_len"))
 
 
@@ -339,7 +340,8 @@ def q_resume_ingest(spark, sf):
 
 @query("near_dup_pairs", _SQL_SETS + "SELECT id_a, id_b, n_common, n_union FROM pairs")
 def q_near_dup_pairs(spark, sf):
-    return similarity.near_dup_pairs(table(spark, sf, "documents", text_work=True), "doc_id", "text", 0.85)
+    return similarity.near_dup_pairs(table(spark, sf, "documents", text_work=True), "doc_id", "text",
+                                     FV.NEAR_DUP_THRESHOLD)
 
 
 @query("near_dup_pairs_edit")
@@ -347,7 +349,7 @@ def q_near_dup_pairs_edit(spark, sf):
     """Second verifier on the candidate pairs: character edit ratio.  No SQL
     oracle: DuckDB's levenshtein counts bytes, Spark's counts characters."""
     d = table(spark, sf, "documents", text_work=True)
-    return similarity.near_dup_pairs_edit(d, "doc_id", "text", 0.85, 0.85)
+    return similarity.near_dup_pairs_edit(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD, FV.NEAR_DUP_THRESHOLD)
 
 
 @query("near_dup_pairs_approx")
@@ -355,7 +357,7 @@ def q_near_dup_pairs_approx(spark, sf):
     """Approximate (MinHash LSH) candidates, exactly verified: a subset of
     ``near_dup_pairs``; rows-only check."""
     d = table(spark, sf, "documents", text_work=True)
-    return similarity.near_dup_pairs_approx(d, "doc_id", "text", 0.85)
+    return similarity.near_dup_pairs_approx(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD)
 
 
 @query("near_dup_members", f"""
@@ -372,7 +374,7 @@ UNION ALL
 SELECT doc_id FROM t WHERE len(toks) = 0""")
 def q_near_dup_drop_earliest(spark, sf):
     d = table(spark, sf, "documents", text_work=True)
-    return similarity.near_dup_drop_earliest(d, "doc_id", "text", 0.85).select("doc_id")
+    return similarity.near_dup_drop_earliest(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD).select("doc_id")
 
 
 def _sql_greedy_dropped() -> str:
@@ -399,7 +401,7 @@ UNION ALL
 SELECT doc_id FROM t WHERE len(toks) = 0""")
 def q_near_dup_drop_greedy(spark, sf):
     d = table(spark, sf, "documents", text_work=True)
-    return similarity.near_dup_drop_greedy(d, "doc_id", "text", 0.85).select("doc_id")
+    return similarity.near_dup_drop_greedy(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD).select("doc_id")
 
 
 _SQL_CLEAN_DATASET = f"""
@@ -424,7 +426,7 @@ def q_clean_dataset(spark, sf):
     similar one), written as JSON lines, read back, two distributions."""
     out = scratch_path(spark, "clean-dataset")
     kept = clean.clean_dataset(table(spark, sf, "documents", text_work=True), near_dup="earliest", out_path=out)
-    return stats.multi_dim_counts(kept, ["lang", "source"], default="unknown")
+    return stats.multi_dim_counts(kept, ["lang", "source"], default=FV.DEFAULT_CATEGORY_IN_STATS)
 
 
 _SQL_CLEAN_DATASET_GREEDY = (
@@ -439,7 +441,7 @@ def q_clean_dataset_greedy(spark, sf):
     """Same plan with greedy first-wins near-duplicate removal."""
     out = scratch_path(spark, "clean-dataset-greedy")
     kept = clean.clean_dataset(table(spark, sf, "documents", text_work=True), near_dup="greedy", out_path=out)
-    return stats.multi_dim_counts(kept, ["lang", "source"], default="unknown")
+    return stats.multi_dim_counts(kept, ["lang", "source"], default=FV.DEFAULT_CATEGORY_IN_STATS)
 
 
 # ---------------------------------------------------------------------------
@@ -447,7 +449,7 @@ def q_clean_dataset_greedy(spark, sf):
 @query("group_count_sorted", """
 SELECT coalesce(event_type, 'unknown') AS event_type, count(*) AS n FROM events GROUP BY 1""")
 def q_group_count_sorted(spark, sf):
-    return stats.group_count_sorted(table(spark, sf, "events"), "event_type", default="unknown")
+    return stats.group_count_sorted(table(spark, sf, "events"), "event_type", default=FV.DEFAULT_CATEGORY_IN_STATS)
 
 
 @query("multi_dim_counts", """
@@ -455,7 +457,7 @@ SELECT 'lang' AS dim, coalesce(lang, 'unknown') AS value, count(*) AS n FROM doc
 UNION ALL
 SELECT 'source' AS dim, coalesce(source, 'unknown') AS value, count(*) AS n FROM documents GROUP BY 2""")
 def q_multi_dim_counts(spark, sf):
-    return stats.multi_dim_counts(table(spark, sf, "documents"), ["lang", "source"], default="unknown")
+    return stats.multi_dim_counts(table(spark, sf, "documents"), ["lang", "source"], default=FV.DEFAULT_CATEGORY_IN_STATS)
 
 
 @query("stage_audit", f"""
@@ -469,7 +471,7 @@ SELECT 2, 'exact_dedup', c1, c2, c1 - c2 FROM c""")
 def q_stage_audit(spark, sf):
     docs = table(spark, sf, "documents", text_work=True)
     n = docs.withColumn("text", X.normalize_whitespace("text"))
-    f = filters.min_length_filter(n, "text", 30)
+    f = filters.min_length_filter(n, "text", FV.MIN_CHARS)
     d = clean.cleaned_documents(docs)
     return stats.stage_audit(docs, [("min_length", f), ("exact_dedup", d)])
 
@@ -552,7 +554,7 @@ SELECT event_id, CAST(n_ok AS BIGINT) AS n_ok, CAST(n_failed AS BIGINT) AS n_fai
 WHERE event_type <> 'error' AND n_ok % 10 = 0""")
 def q_every_nth_summary(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "event_type")
-    return runs.every_nth_summary(e, ["ts", "event_id"], _failed(), every=10).select("event_id", "n_ok", "n_failed")
+    return runs.every_nth_summary(e, ["ts", "event_id"], _failed(), every=FV.SUMMARY_EVERY).select("event_id", "n_ok", "n_failed")
 
 
 @query("cap_per_session", """
@@ -720,7 +722,7 @@ SELECT doc_id, lang, 'batch=raw_' || lang AS source_file FROM documents""")
 def q_multi_file_scan(spark, sf):
     base = scratch_path(spark, "multi-file")
     _write_labelled_batches(spark, sf, base)
-    df = jsonl.multi_file_scan(spark, base, DOC_SCHEMA, exclude_words=("cleaned", "progress"))
+    df = jsonl.multi_file_scan(spark, base, DOC_SCHEMA, exclude_words=FV.EXCLUDED_NAME_WORDS)
     return df.select("doc_id", "lang", "source_file")
 
 
@@ -729,7 +731,7 @@ SELECT 'batch=raw_' || lang AS source_file, count(*) AS n FROM documents GROUP B
 def q_per_source_counts(spark, sf):
     base = scratch_path(spark, "per-source")
     _write_labelled_batches(spark, sf, base)
-    df = jsonl.multi_file_scan(spark, base, DOC_SCHEMA, exclude_words=("cleaned", "progress"))
+    df = jsonl.multi_file_scan(spark, base, DOC_SCHEMA, exclude_words=FV.EXCLUDED_NAME_WORDS)
     return jsonl.per_source_counts(df, "source_file")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewash.fixed_values import EXCLUDED_NAME_WORDS
 from tidewash.functions.text import py_strip
 
 CORRUPT_COL = "_corrupt_record"
@@ -55,7 +56,7 @@ def read_json_string_array(spark: SparkSession, path, value_col: str = "text") -
 
 
 def multi_file_scan(spark: SparkSession, base, schema: T.StructType,
-                    exclude_words=("cleaned", "progress"), fmt: str = "json",
+                    exclude_words=EXCLUDED_NAME_WORDS, fmt: str = "json",
                     source_col: str | None = "source_file") -> DataFrame:
     """Read many files and skip those whose name contains an excluded word
     (case-insensitive).
