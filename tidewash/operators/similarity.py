@@ -37,7 +37,9 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     partitioning, so later joins on the column shuffle only the other side.
     The checkpoint job runs with adaptive execution off: an adaptive plan
     reports no partitioning for the checkpointed rows.  The setting is
-    restored right after.
+    restored right after.  Use it only for a unique key and a job without
+    joins: without AQE no skewed join is split, and a kept partitioning is
+    never split later either (so not for token or pair tables).
     """
     from tidewash.session import checkpoint_root
 
@@ -158,7 +160,7 @@ def rows_with_earlier_match(reps: DataFrame, threshold=0.85, strict: bool = True
     """
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
-    p = materialize(prefix_tokens(reps, num, den), "tok")
+    p = materialize(prefix_tokens(reps, num, den))
     w = Window.partitionBy("tok").orderBy("id")
     heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
     found1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select(
@@ -229,7 +231,7 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     num, den = f.numerator, f.denominator
     ts = token_sets(df, id_col, text_col)
     reps = materialize(set_representatives(ts), "id")
-    p = materialize(prefix_tokens(reps, num, den), "tok")
+    p = materialize(prefix_tokens(reps, num, den))
     w = Window.partitionBy("tok").orderBy("id")
     heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
     e1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select("id_a", "id_b")
@@ -237,7 +239,7 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     partial = e1.select(F.col("id_b").alias("id")).distinct()
     open_p = p.join(partial, "id", "left_anti")
     e2 = _verify(_candidates(p, open_p, num, den), reps, num, den, strict).select("id_a", "id_b")
-    edges = materialize(e1.unionByName(e2).distinct(), "id_b")
+    edges = materialize(e1.unionByName(e2).distinct())
 
     def nodes_of(e):
         return e.select(F.col("id_a").alias("id")).unionByName(e.select(F.col("id_b").alias("id"))).distinct()
@@ -271,7 +273,7 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
             grow = v.where("_expand").select("id")
             new_e = _verify(_candidates(p, p.join(grow, "id", "left_semi"), num, den),
                             reps, num, den, strict).select("id_a", "id_b")
-            edges = materialize(edges.unionByName(new_e).distinct(), "id_b")
+            edges = materialize(edges.unionByName(new_e).distinct())
             # an earlier endpoint not seen before had no head edges, so its
             # earlier edges were all fetched up front: it is expanded
             fresh = nodes_of(new_e).join(v.select("id"), "id", "left_anti").select(
