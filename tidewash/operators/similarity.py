@@ -37,9 +37,11 @@ def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     partitioning, so later joins on the column shuffle only the other side.
     The checkpoint job runs with adaptive execution off: an adaptive plan
     reports no partitioning for the checkpointed rows.  The setting is
-    restored right after.  Use it only for a unique key and a job without
-    joins: without AQE no skewed join is split, and a kept partitioning is
-    never split later either (so not for token or pair tables).
+    restored right after.  Use it only where no later join on that side can
+    be skewed: AQE splits a skewed join partition only when both sides are
+    shuffled, so a kept partitioning is never split.  The near-duplicate
+    path does not use it for that reason (a near-copy cluster's first row
+    meets every member in one join key).
     """
     from tidewash.session import checkpoint_root
 
@@ -178,7 +180,7 @@ def near_dup_pairs(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
     Rows whose token set equals an earlier row's are reported by
     ``duplicate_members`` instead of as pairs.
     """
-    reps = materialize(set_representatives(token_sets(df, id_col, text_col)), "id")
+    reps = materialize(set_representatives(token_sets(df, id_col, text_col)))
     return near_dup_pairs_from_reps(reps, threshold, strict)
 
 
@@ -198,7 +200,7 @@ def near_dup_drop_earliest(df: DataFrame, id_col: str, text_col: str, threshold=
     Rows with no tokens never match.  Returns the surviving input rows.
     """
     ts = token_sets(df, id_col, text_col)
-    reps = materialize(set_representatives(ts), "id")
+    reps = materialize(set_representatives(ts))
     later = rows_with_earlier_match(reps, threshold, strict)
     kept_reps = reps.select("id").join(later, "id", "left_anti")
     kept = kept_reps.unionByName(_token_free_ids(df, id_col, text_col))
@@ -230,7 +232,7 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
     ts = token_sets(df, id_col, text_col)
-    reps = materialize(set_representatives(ts), "id")
+    reps = materialize(set_representatives(ts))
     p = materialize(prefix_tokens(reps, num, den))
     w = Window.partitionBy("tok").orderBy("id")
     heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
@@ -333,7 +335,7 @@ def near_dup_pairs_approx(df: DataFrame, id_col: str, text_col: str, threshold=0
 
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
-    reps = materialize(set_representatives(token_sets(df, id_col, text_col)), "id")
+    reps = materialize(set_representatives(token_sets(df, id_col, text_col)))
     tf = HashingTF(inputCol="toks", outputCol="vec", numFeatures=num_features, binary=True)
     vecs = tf.transform(reps.select("id", "toks"))
     lsh = MinHashLSH(inputCol="vec", outputCol="hashes", numHashTables=num_hash_tables, seed=seed).fit(vecs)
