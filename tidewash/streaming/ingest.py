@@ -136,8 +136,9 @@ def run_alerts(stream: DataFrame, key: str, ts_col: str, id_col: str,
         run = c - base
         hit = run == threshold
         state.update((int(run[-1]) if len(run) else run0,))
-        yield pd.DataFrame({key: k[0], id_col: rows[id_col].to_numpy()[hit],
-                            ts_col: rows[ts_col].to_numpy()[hit], "run_len": run[hit]})
+        if hit.any():
+            yield pd.DataFrame({key: k[0], id_col: rows[id_col].to_numpy()[hit],
+                                ts_col: rows[ts_col].to_numpy()[hit], "run_len": run[hit]})
 
     prepared = stream.select(key, id_col, ts_col, F.coalesce(F.col(failed_col), F.lit(False)).alias(failed_col))
     return prepared.groupBy(key).applyInPandasWithState(
