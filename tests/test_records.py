@@ -32,3 +32,10 @@ def test_int_unit_convert_is_exact_floor_division(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x long")
     got = [r.y for r in df.select(R.int_unit_convert("x", 1_000_000).alias("y")).collect()]
     assert got == [v // 1_000_000 for v in vals]
+
+
+def test_json_fields_parse_once(spark):
+    df = spark.createDataFrame([('{"k": 5, "meta": {"source": "a"}}',), ('{"k": "x"}',), (None,), ("not json",)],
+                               "p string")
+    got = df.select(*R.json_fields("p", {"k": (["k"], "int"), "m": (["meta", "source"], "string", "none")})).collect()
+    assert [(r.k, r.m) for r in got] == [(5, "a"), (None, "none"), (None, "none"), (None, "none")]

@@ -86,6 +86,26 @@ def json_field_path(c, path: list[str], default=None, as_type: str | None = None
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
+def json_fields(c, specs: dict) -> list[Column]:
+    """Several fields of one JSON text, parsed once into a VARIANT.
+
+    ``specs`` maps an output name to ``(path, type)`` or
+    ``(path, type, default)``; a path is a list of keys.  Malformed JSON,
+    a missing path or a value of another type gives the default (or null).
+    ``get_json_object`` would parse the text again for every field.
+    """
+    v = F.try_parse_json(col_of(c))
+    out = []
+    for name, spec in specs.items():
+        path, typ, *default = spec
+        json_path = "$" + "".join(f"['{p}']" for p in path)
+        x = F.try_variant_get(v, json_path, typ)
+        if default:
+            x = F.coalesce(x, F.lit(default[0]))
+        out.append(x.alias(name))
+    return out
+
+
 def round_fixed(c, digits: int) -> Column:
     """Round half away from zero on the decimal value, as a double."""
     return F.round(col_of(c), digits)

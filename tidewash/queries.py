@@ -219,8 +219,8 @@ SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
        coalesce(json_extract_string(props, '$.meta.source'), 'none') AS meta_source FROM events""")
 def q_json_field_path(spark, sf):
     e = table(spark, sf, "events")
-    return e.select("event_id", R.json_field_path("props", ["k"], as_type="int").alias("k"),
-                    R.json_field_path("props", ["meta", "source"], default="none").alias("meta_source"))
+    return e.select("event_id", *R.json_fields("props", {"k": (["k"], "int"),
+                                                          "meta_source": (["meta", "source"], "string", "none")}))
 
 
 @query("round_fixed", """
