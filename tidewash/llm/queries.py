@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewash.llm import exact_dedup, sharding
-from tidewash.llm.common import table
+from tidewash.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    jaccard_join,
+    kneser_ney,
+    language_id,
+    license_scan,
+    sentencepiece_codec,
+    sharding,
+)
+from tidewash.llm.common import doc_key, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +57,103 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, t.text_sha256
 FROM t JOIN g USING (text_sha256)
 """
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    out = decontaminate.decontaminate(docs, bench, "doc_id", "text", "item_id", "text")
+    return out.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op2_decontamination"] = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+bi AS (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS g FROM bi),
+ns AS (SELECT DISTINCT n FROM bw),
+di AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns WHERE len(w) >= n),
+hit AS (SELECT di.doc_id, bw.item, di.i, di.n FROM di JOIN bw
+        ON bw.n = di.n AND bw.g = array_to_string(di.w[di.i:di.i + di.n - 1], ' ')),
+pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit),
+hits AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+
+@query
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = jaccard_join.similarity_classes(docs, "doc_id", "text", shingle=4, num=85, den=100)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_size")
+
+
+ORACLES["op9_ngram_jaccard_join"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+di AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM di),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id
+          GROUP BY 1, 2),
+link AS (SELECT x, y, k = nx.n AND k = ny.n AS same FROM inter JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+         WHERE 100 * k >= 85 * (nx.n + ny.n - k)),
+edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.y FROM reach r JOIN edge e ON e.x = r.seen)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id,
+       1 + coalesce(s.copies, 0) AS class_size
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY 1) r USING (doc_id)
+LEFT JOIN (SELECT e.x AS doc_id, count(*) AS copies FROM (SELECT x, y FROM link WHERE same UNION ALL
+           SELECT y, x FROM link WHERE same) e GROUP BY 1) s USING (doc_id)
+"""
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.train(table(spark, sf_dir, "documents"), "text", "lang")
+    pages = table(spark, sf_dir, "pages")
+    host, domain, suffix, path = language_id.address_marks(F.col("url"))
+    return language_id.identify(
+        pages, model, F.col("page_id"), doc_key("page_id", "url"), F.col("html"),
+        declared=language_id.declared_language(F.col("html")), host=host, domain=domain, suffix=suffix,
+        path=path, markup=True).withColumnRenamed("id", "page_id").drop("key")
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return out.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = kneser_ney.fold(F.col("doc_id"), 5) == 1
+    model = kneser_ney.train(docs.where(~held_out), "text")
+    out = kneser_ney.score(docs, "doc_id", "text", model)
+    return out.select(F.col("id").alias("doc_id"), (kneser_ney.fold(F.col("id"), 5) == 1).alias("held_out"),
+                      "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score",
+                      "perplexity")
