@@ -152,14 +152,28 @@ def _may_link(x: str, y: str, num: int, den: int) -> Column:
             & (differ <= nx + ny - 2 * _required(nx, ny, num, den)))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets are linked."""
-    a = sets.select(F.col("row").alias("a"), F.col("tokens").alias("x"))
-    b = sets.select(F.col("row").alias("b"), F.col("tokens").alias("y"))
-    both = pairs.select("a", "b").join(a, "a").join(b, "b")
-    inter = F.size(F.array_intersect("x", "y"))
-    return (both.select("a", "b", inter.cast("long").alias("i"), (F.size("x") + F.size("y")).cast("long").alias("s"))
-            .where(F.col("i") * den >= (F.col("s") - F.col("i")) * num).select("a", "b"))
+def _verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) whose whole sets are linked.
+
+    Only documents of some pair give their sets: a pass over the texts, led by a bitmap
+    of their keys (fixed size; what it lets through in excess, the join drops)."""
+    keyed = written(pairs.select("a", "b")
+                    .join(facts.select(F.col("row").alias("a"), F.col("key").alias("key_a")), "a")
+                    .join(facts.select(F.col("row").alias("b"), F.col("key").alias("key_b")), "b"), "jaccard-pairs")
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
+    slots = keyed.select(F.explode(F.array(slot("key_a"), slot("key_b"))).alias("s")).distinct().toArrow()  # <= SLOTS values
+    flags = np.zeros(SLOTS, bool)
+    flags[slots.column("s").to_numpy()] = True
+    wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(flags).tobytes())
+    sets = written(docs.withColumn("slot", slot("key")).mapInArrow(
+        lambda b: _whole_sets(b, size, wanted.value), "key binary, tokens array<long>"), "jaccard-sets")
+    both = (keyed.join(sets.select(F.col("key").alias("key_b"), F.col("tokens").alias("y")), "key_b").drop("key_b")
+            .join(sets.select(F.col("key").alias("key_a"), F.col("tokens").alias("x")), "key_a"))
+    inter, total = F.size(F.array_intersect("x", "y")).cast("long"), (F.size("x") + F.size("y")).cast("long")
+    linked = written(both.select("a", "b", inter.alias("i"), total.alias("s"))
+                     .where(F.col("i") * den >= (F.col("s") - F.col("i")) * num).select("a", "b"), "jaccard-links")
+    release(keyed, sets)
+    return linked
 
 
 def _postings(reps: DataFrame, num: int, den: int) -> DataFrame:
@@ -176,7 +190,8 @@ def _postings(reps: DataFrame, num: int, den: int) -> DataFrame:
     heavy = heavy.select("row", (F.col("light") + F.col("at")).alias("pos"), "x.token", "x.df")
     shared = rare.unionByName(heavy).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("pos", "token", "df"))).alias("shared"))
-    d = reps.join(shared, "row").withColumn("need", need)
+    d = (reps.select("row", "key", "n", "bits", light.alias("light")).join(shared, "row").withColumn("need", need))
+    light = F.col("light")
     first = F.col("n") - F.col("need")  # a prefix is this plus l long
 
     def upto(m):
@@ -197,18 +212,9 @@ def _postings(reps: DataFrame, num: int, den: int) -> DataFrame:
 
 def _links(docs: DataFrame, post: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Edges (a, b) between classes whose components are those of all links."""
-    spark = docs.sparkSession
-    slot = F.pmod(F.xxhash64("key"), F.lit(SLOTS)).cast("int")
-    slots = post.where(F.size("tokens") > 0).select(slot.alias("s")).distinct().toArrow()  # <= SLOTS values
-    flags = np.zeros(SLOTS, bool)
-    flags[slots.column("s").to_numpy()] = True
-    wanted = spark.sparkContext.broadcast(np.packbits(flags).tobytes())
-    sets = docs.withColumn("slot", slot).mapInArrow(
-        lambda b: _whole_sets(b, size, wanted.value), "key binary, tokens array<long>")
-    sets = written(sets.join(post.where(F.size("tokens") > 0).select("key", "row"), "key")
-                   .select("row", "tokens"), "jaccard-sets")
+    facts = post.select("row", "key", "n", "bits")
 
-    # Stars.
+    # Stars: each document and the hub that it shares most of its prefix with.
     slim = post.select("row", "own", F.inline("tokens"))
     hubs = slim.groupBy("token").agg(F.min(F.struct("own", "row")).alias("hub"), F.max("df").alias("df"))
     long_list = F.col("df") >= LONG_LIST  # df is the same in all rows of a shingle
@@ -216,37 +222,35 @@ def _links(docs: DataFrame, post: DataFrame, size: int, num: int, den: int) -> D
         F.when(long_list, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
     member = slim.select("row", "token", F.when(long_list, F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
                          .otherwise(0).alias("salt"))
-    star = (member.join(hubs, ["token", "salt"]).where("row <> hub")
-            .select(F.least("row", "hub").alias("a"), F.greatest("row", "hub").alias("b")).distinct())
-    star = written(star, "jaccard-star")
-    facts = post.select("row", "n", "bits")
-    tried = written(star.join(facts.alias("x"), F.col("a") == F.col("x.row"))
-                    .join(facts.alias("y"), F.col("b") == F.col("y.row"))
-                    .where(_may_link("x", "y", num, den)).select("a", "b"), "jaccard-tried")
-    first = written(_verified(tried, sets, num, den), "jaccard-first")
+    star = (member.join(hubs, ["token", "salt"]).where("row <> hub").groupBy("row", "hub").agg(F.count(F.lit(1)).alias("k"))
+            .join(facts.drop("key").alias("x"), "row")
+            .join(facts.select(F.col("row").alias("hub"), "n", "bits").alias("y"), "hub")
+            .where(_may_link("x", "y", num, den))
+            .groupBy("row").agg(F.max_by("hub", F.struct("k", F.negative("hub"))).alias("hub")))
+    tried = written(star.select(F.least("row", "hub").alias("a"), F.greatest("row", "hub").alias("b")).distinct(), "jaccard-tried")
+    first = _verified(docs, tried, facts, size, num, den)
     label = components(first)
 
-    # What is left: pairs across components.
+    # What is left: pairs across components, by the lists that hold several.
     known = written(post.join(label.withColumnRenamed("node", "row"), "row", "left").select(
-        "row", "n", "l", "bits", F.col("tokens.token").alias("tokens"), F.coalesce("label", "row").alias("comp")),
-        "jaccard-known")
-    entry = known.select("row", "comp", F.explode("tokens").alias("token"))
+        "row", "n", "l", "bits", "tokens", F.coalesce("label", "row").alias("comp")), "jaccard-known")
+    entry = known.select("row", "comp", F.inline("tokens"))
     mixed = (entry.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
              .groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("k", "comp")).alias("major"))
              .where("comps > 1").select("token", "major"))
     mixed = written(mixed, "jaccard-mixed")
-    fat = known.select("row", "n", "l", "bits", "comp", "tokens", F.explode("tokens").alias("token")).join(mixed, "token")
-    fat = written(fat, "jaccard-lists")
-    x, y = fat.where("comp <> major").alias("x"), fat.alias("y")
-    common = F.array_intersect("x.tokens", "y.tokens")
+    lists = written(known.select("row", "n", "l", "bits", "comp", F.explode("tokens.token").alias("token"))
+                    .join(mixed, "token"), "jaccard-lists")
+    x, y = lists.where("comp <> major").alias("x"), lists.alias("y")
+    # Each shared list gives a pair once, so the rows of a pair count its shared shingles.
     rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
                    & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.row") < F.col("y.row")))
-                   & _may_link("x", "y", num, den)
-                   & (F.size(common) >= F.least("x.l", "y.l")))
-            .select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct())
-    rest = written(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
-    second = written(_verified(rest, sets, num, den), "jaccard-second")
-    release(sets, star, tried, known, mixed, fat, rest)
+                   & _may_link("x", "y", num, den))
+            .groupBy(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b"))
+            .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x.l", "y.l")).alias("l")).where("k >= l")
+            .join(tried, ["a", "b"], "left_anti"))
+    second = _verified(docs, rest, facts, size, num, den)
+    release(tried, known, mixed, lists)
     return first.unionByName(second)
 
 

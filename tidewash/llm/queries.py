@@ -17,6 +17,7 @@ from tidewash.llm import (
     license_scan,
     sentencepiece_codec,
     sharding,
+    suffix_dedup,
 )
 from tidewash.llm.common import doc_key, table
 
@@ -157,3 +158,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), (kneser_ney.fold(F.col("id"), 5) == 1).alias("held_out"),
                       "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score",
                       "perplexity")
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", keep="none")
+    return out.select(
+        F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
