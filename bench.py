@@ -50,9 +50,12 @@ def main() -> None:
 
     from tidewash.queries import QUERIES
     from tidewash.session import local_session
+    from tidewash.sources.tables import TEXT_PARTITIONS
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16,
                           app_name="tidewash-bench")
+    # the tables are a few big row groups: spread them before per-row text work
+    spark.conf.set(TEXT_PARTITIONS, str(2 * spark.sparkContext.defaultParallelism))
     QUERIES["group_count_sorted"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings = {}

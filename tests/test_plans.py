@@ -44,7 +44,8 @@ def test_dedup_aggregates_before_the_shuffle(spark):
     import __spark_entry__ as E
 
     plan = _plan(E.queries()["exact_dedup"](spark, SF001))
-    assert "partial_min_by" in plan
+    assert "partial_min(doc_id" in plan and "SortAggregate" not in plan
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
     plan = _plan(E.queries()["clean_and_count"](spark, SF001))
     assert "partial_min_by" in plan and "partial_count" in plan
 
@@ -62,19 +63,33 @@ def test_posting_list_heads_use_group_limit(spark):
     assert "WindowGroupLimit" in _plan(heads)
 
 
-def test_materialized_intermediate_keeps_partitioning(spark):
-    from tidewash.operators.similarity import materialize
+@pytest.mark.parametrize("what", ["token frequencies", "members"])
+def test_hot_key_joins_are_split(spark, what):
+    """A token or token set that most rows have: AQE splits its join."""
+    from pyspark.sql import functions as F
+
+    from tidewash.operators import similarity as S
 
-    df = spark.range(1000).selectExpr("id", "id * 7 AS v")
-    m = materialize(df, "id")
-    assert "hashpartitioning(id" in m._jdf.queryExecution().executedPlan().outputPartitioning().toString()
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k"}
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
     try:
-        other = spark.range(500).selectExpr("id", "id * 2 AS w")
-        plan = _plan(m.join(other, "id"))
-        # only the other side is shuffled
-        assert plan.count("Exchange hashpartitioning") == 1
+        text = F.concat(F.lit("hot x"), F.col("id")) if what == "token frequencies" else F.when(
+            F.col("id") % 5 > 0, F.lit("same text")).otherwise(F.concat(F.lit("own"), F.col("id")))
+        df = spark.range(0, 20_000, 1, 8).select("id", text.alias("text"))
+        if what == "members":
+            out = S.duplicate_members(df, "id", "text")
+        else:
+            reps = S.materialize(S.token_sets(df, "id", "text").select("id", "toks", "n"))
+            freq = S.materialize(reps.select(F.explode("toks").alias("tok")).groupBy("tok").count())
+            out = reps.select("id", "n", F.explode("toks").alias("tok")).join(freq, "tok")
+        out.write.format("noop").mode("overwrite").save()
+        out.collect()
+        assert "skew=true" in _plan(out)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -19,5 +19,5 @@ SUMMARY_EVERY = 10
 # input files whose name contains one of these words (any case) are skipped
 EXCLUDED_NAME_WORDS = ("cleaned", "progress")
 # nanoseconds per millisecond (latency unit conversion)
-NS_PER_MS = 1_000_000
+
 # ------------------------------------------------------------------------------

@@ -58,29 +58,42 @@ def surrogate_id(*key_cols, width: int | None = None) -> Column:
 def iso_timestamp_string(c) -> Column:
     """Naive ISO-8601 text the way Python's ``datetime.isoformat()`` writes it.
 
-    Microseconds are written only when non-zero.
+    Microseconds are written only when non-zero.  The session time zone
+    plays no part: a ``timestamp_ntz`` is cast to text directly.
     """
-    ts = col_of(c)
-    with_us = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    without = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.when(epoch_micros(ts) % 1_000_000 == 0, without).otherwise(with_us)
+    s = col_of(c).cast("timestamp_ntz").cast("string")
+    whole, part = F.split_part(s, F.lit("."), F.lit(1)), F.split_part(s, F.lit("."), F.lit(2))
+    whole = F.replace(whole, F.lit(" "), F.lit("T"))
+    return F.when(part == "", whole).otherwise(F.concat(whole, F.lit("."), F.rpad(part, 6, "0")))
+
+
+# Fixed value: what ``datetime.isoformat()`` writes (a space is read too).
+ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 
 
 def ingest_timestamp() -> Column:
-    """Ingest time as a naive UTC timestamp."""
-    return F.localtimestamp()
+    """Ingest time as a naive UTC timestamp, whatever the session time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
 
 
 def parse_iso_timestamp(c) -> Column:
-    """Parse ISO text back to ``timestamp_ntz`` (null when malformed)."""
-    s = F.regexp_replace(col_of(c), "T", " ")
-    return F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz")
+    """Parse ISO text back to ``timestamp_ntz`` (null when malformed).
+
+    A direct cast, so local times that a zone skips stay as they are."""
+    s = col_of(c)
+    return F.when(s.rlike(ISO_PATTERN), s).try_cast("timestamp_ntz")
+
+
+def _json_path(path: list[str]) -> str:
+    """JSON path of nested keys.  A key with a quote cannot be written in one."""
+    if any("'" in p for p in path):
+        raise ValueError(f"a key with a single quote has no JSON path: {path}")
+    return "$" + "".join(f"['{p}']" for p in path)
 
 
 def json_field_path(c, path: list[str], default=None, as_type: str | None = None) -> Column:
     """Nested lookup with a default at every level (``d.get(a, {}).get(b, x)``)."""
-    json_path = "$" + "".join(f"['{p}']" for p in path)
-    v = F.get_json_object(col_of(c), json_path)
+    v = F.get_json_object(col_of(c), _json_path(path))
     if as_type:
         v = v.try_cast(as_type)
     return v if default is None else F.coalesce(v, F.lit(default))
@@ -98,8 +111,7 @@ def json_fields(c, specs: dict) -> list[Column]:
     out = []
     for name, spec in specs.items():
         path, typ, *default = spec
-        json_path = "$" + "".join(f"['{p}']" for p in path)
-        x = F.try_variant_get(v, json_path, typ)
+        x = F.try_variant_get(v, _json_path(path), typ)
         if default:
             x = F.coalesce(x, F.lit(default[0]))
         out.append(x.alias(name))
@@ -107,5 +119,8 @@ def json_fields(c, specs: dict) -> list[Column]:
 
 
 def round_fixed(c, digits: int) -> Column:
-    """Round half away from zero on the decimal value, as a double."""
+    """Round half away from zero on the decimal value, as a double.
+
+    A deliberate difference: Python rounds the binary value half to even, so
+    it makes 0.12 of 0.125 and 2.67 of 2.675; this makes 0.13 and 2.68, as SQL does."""
     return F.round(col_of(c), digits)

@@ -65,11 +65,18 @@ def content_hash(a, b, separator_free: bool = False) -> Column:
     Plain concatenation makes ("ab","c") and ("a","bc") collide; by default a
     length prefix of the first field removes that ambiguity.  Set
     ``separator_free=True`` for the plain ``md5(a || b)`` form.
+
+    The hash is never null: a null first field has the length -1, a null
+    second field is marked by a leading ``~`` (no length starts so), so nulls
+    differ from empty texts.  The plain form reads null as empty.
     """
     a, b = col_of(a), col_of(b)
+    empty = F.lit("")
     if separator_free:
-        return F.md5(F.concat(a, b))
-    return F.md5(F.concat(F.char_length(a).cast("string"), F.lit(":"), a, b))
+        return F.md5(F.concat(F.coalesce(a, empty), F.coalesce(b, empty)))
+    return F.md5(F.concat(F.when(b.isNull(), F.lit("~")).otherwise(empty),
+                          F.coalesce(F.char_length(a), F.lit(-1)).cast("string"), F.lit(":"),
+                          F.coalesce(a, empty), F.coalesce(b, empty)))
 
 
 def char_length(c) -> Column:

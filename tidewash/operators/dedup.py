@@ -16,37 +16,55 @@ from tidewash.functions.common import col_of, names_of
 from tidewash.functions.records import epoch_micros
 
 
+# Copies of a group's size row, among which the group's rows are dealt.
+SIZE_SALTS = 16
+
+
 def exact_dedup(df: DataFrame, key, order_col: str) -> DataFrame:
     """Keep the first row (smallest ``order_col``) of each key.
 
     ``key`` is a column name or expression, usually a content hash.  Unlike
     ``dropDuplicates`` (arbitrary survivor) the result is deterministic.
+    A null key is no key: its rows are all kept.  A null order value comes
+    last.  If only the key column and ``order_col`` are selected, the plan is
+    a hash aggregate of those two; otherwise whole rows are carried.
     """
     cols = df.columns
     k = col_of(key)
-    return (df.withColumn("_tw_key", k)
-            .groupBy("_tw_key")
-            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col)).alias("_tw_row"))
-            .select("_tw_row.*"))
+    d = df.withColumn("_tw_key", k)
+    keyed = d.where(F.col("_tw_key").isNotNull())
+    if isinstance(key, str) and set(cols) == {key, order_col} and key != order_col:
+        first = keyed.groupBy("_tw_key").agg(F.min(order_col).alias(order_col)).select(
+            *[F.col("_tw_key").alias(key) if c == key else F.col(c) for c in cols])
+    else:
+        order = F.struct(F.col(order_col).isNull(), F.col(order_col))
+        first = (keyed.groupBy("_tw_key")
+                 .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_tw_row"))
+                 .select("_tw_row.*"))
+    return first.unionByName(d.where(F.col("_tw_key").isNull()).select(cols))
 
 
 def group_size(df: DataFrame, key, out: str = "group_size") -> DataFrame:
     """Attach the size of each row's key group.
 
-    Counts are partial-aggregated, then joined back on the key; AQE splits a
-    skewed key on the large side of that join.
+    Counts are partial-aggregated, then joined back on the key.  (AQE does not
+    split a skewed join whose other side is an aggregate.)  So keys with more
+    than one row are repeated ``SIZE_SALTS`` times and rows are dealt among
+    the copies; other rows need no match.  Rows with a null key are a group.
     """
-    k = col_of(key)
-    d = df.withColumn("_tw_key", k)
-    counts = d.groupBy("_tw_key").agg(F.count(F.lit(1)).alias(out))
-    return d.join(counts, "_tw_key", "left").drop("_tw_key")
+    d = df.withColumns({"_tw_key": col_of(key), "_tw_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SIZE_SALTS)).cast("int")})
+    counts = (d.groupBy("_tw_key").agg(F.count(F.lit(1)).alias("_tw_n")).where("_tw_n > 1")
+              .select(F.col("_tw_key").alias("_tw_k"), "_tw_n",
+                      F.explode(F.sequence(F.lit(0), F.lit(SIZE_SALTS - 1))).alias("_tw_s")))
+    both = d.join(counts, d["_tw_key"].eqNullSafe(counts["_tw_k"]) & (d["_tw_salt"] == counts["_tw_s"]), "left")
+    return both.select(*df.columns, F.coalesce("_tw_n", F.lit(1)).alias(out))
 
 
 def _rank_struct(df: DataFrame, order_by: list[tuple[str, bool]]) -> Column:
     """Struct that sorts ascending in the requested order.
 
     Descending numeric, date and timestamp columns are negated; other types
-    may only be ascending.
+    may only be ascending.  Nulls come last in either direction.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     fields = []
@@ -64,7 +82,7 @@ def _rank_struct(df: DataFrame, order_by: list[tuple[str, bool]]) -> Column:
                 c = -c
             else:
                 raise TypeError(f"descending order on {dt} is not supported: {name}")
-        fields.append(c.alias(f"k{i}"))
+        fields += [F.col(name).isNull().alias(f"n{i}"), c.alias(f"k{i}")]
     return F.struct(*fields)
 
 

@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewash.functions.common import col_of
 from tidewash.functions.text import py_strip
 
-# Above this many keywords the OR-of-contains expression gets long; switch to
-# a vectorised Aho-Corasick scan (one automaton per executor, Arrow batches).
-KEYWORD_EXPR_LIMIT = 64
-
 
 def min_length_filter(df: DataFrame, c, n: int, strict: bool = True) -> DataFrame:
     """Keep rows whose code-point length is > n (or >= n)."""
@@ -28,53 +20,51 @@ def category_filter(df: DataFrame, c, value=None) -> DataFrame:
     return df if value is None else df.where(col_of(c) == F.lit(value))
 
 
+def any_of_pattern(words: list[str]) -> str:
+    """One regular expression that finds any of ``words``, shaped as a trie.
+
+    Words with a common start share it, so a position of the text is tried
+    against each next character once, however many words there are."""
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for ch in w:
+            if "" in node:  # a shorter word already ends here: any find of this one is a find of that
+                break
+            node = node.setdefault(ch, {})
+        else:
+            node.clear()
+            node[""] = {}
+
+    def shape(node: dict) -> str:
+        if "" in node:
+            return ""
+        parts = []
+        for ch, below in sorted(node.items()):
+            run = ch
+            while len(below) == 1 and "" not in below:
+                (nxt, below), = below.items()
+                run += nxt
+            parts.append("".join(f"\\x{{{ord(x):x}}}" for x in run) + shape(below))
+        return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+    return shape(trie)
+
+
 def keyword_any(c, keywords: list[str], empty_is_hit: bool = True) -> Column:
     """Case-insensitive: does the text contain any keyword?
 
-    Null or empty text counts as a hit when ``empty_is_hit`` (a missing
-    answer is treated like a refusal).  Short lists compile to a JVM
-    expression; long lists use a pandas UDF with an Aho-Corasick automaton.
+    Null or empty text counts as a hit when ``empty_is_hit``.  The text is
+    lower-cased once and searched with one pattern, for lists of any size.
     """
     words = sorted({k.lower() for k in keywords if k})
     s = col_of(c)
-    if len(words) <= KEYWORD_EXPR_LIMIT:
-        low = F.lower(s)
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | F.contains(low, F.lit(w))
-    else:
-        hit = _aho_corasick_any(words)(s)
+    hit = F.lower(s).rlike(any_of_pattern(words)) if words else F.lit(False)
     if empty_is_hit:
         return F.when(s.isNull() | (s == F.lit("")), F.lit(True)).otherwise(hit)
     return F.coalesce(hit, F.lit(False))
 
 
-def _aho_corasick_any(words: list[str]):
-    """Vectorised any-keyword test: one automaton per task (iterator UDF),
-    applied to Arrow batches of lower-cased texts."""
-
-    @F.pandas_udf(T.BooleanType())
-    def contains_any(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        automaton = ahocorasick.Automaton()
-        for w in words:
-            automaton.add_word(w, w)
-        automaton.make_automaton()
-
-        def one(t):
-            if t is None:
-                return None
-            for _ in automaton.iter(t.lower()):
-                return True
-            return False
-
-        for texts in batches:
-            yield texts.map(one).astype("boolean")
-
-    return contains_any
-
-
 def code_in_set(c, codes) -> Column:
     """Numeric membership (planned as ``InSet`` for long lists)."""
     return col_of(c).isin(list(codes))

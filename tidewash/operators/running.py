@@ -7,9 +7,9 @@ rows go to one task.
 
 ``running_aggregates`` computes the same values in two levels:
 
-1. rows are split by (key, bucket) where the bucket is a monotone function of
-   the leading ordering column (e.g. the hour of ``ts``); the running value
-   inside each bucket is an ordinary window over that small group;
+1. rows are split by (key, bucket) where the bucket is a range of the order;
+   the running value inside each bucket is an ordinary window over that small
+   group;
 2. per-(key, bucket) totals (one row per bucket, partial-aggregated before
    the shuffle) get an exclusive running combine over buckets, which is a
    window over a table with one row per bucket;
@@ -26,7 +26,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewash.functions.common import col_of, names_of
+from tidewash.functions.common import names_of
+from tidewash.session import checkpoint_root
 
 _KINDS = ("sum", "count", "max", "min")
 
@@ -49,11 +50,6 @@ def _combine(kind: str, offset: Column, local: Column) -> Column:
     return F.least(offset, local)
 
 
-def hour_bucket(ts_col) -> Column:
-    """A fixed bucket: the hour of a timestamp column."""
-    return F.date_trunc("hour", col_of(ts_col))
-
-
 # Target rows per (key, bucket) window partition when the width is derived
 # from the data; the offset table then has about rows / this many rows.
 ROWS_PER_BUCKET = 1_000_000
@@ -87,6 +83,19 @@ def sized_bucket(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_
     return F.floor((v - F.lit(lo)) / F.lit(width)).cast("bigint")
 
 
+def ranged(df: DataFrame, order_names: list[str], bucket_col: str,
+           rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``df`` with a bucket that rises along the order: the number of the range
+    partition a row falls in.  Ranges are cut by sampled rows of the order (with
+    its unique last column), so a burst in one hour is split like anything else.
+    Written once, so that all later steps see the same cut."""
+    n = -(-df.count() // rows_per_bucket)
+    if n <= 1:
+        return df.withColumn(bucket_col, F.lit(0))
+    checkpoint_root(df.sparkSession)
+    return df.repartitionByRange(n, *order_names).withColumn(bucket_col, F.spark_partition_id()).checkpoint(eager=True)
+
+
 def running_aggregates(df: DataFrame, order_by, aggs: Mapping[str, tuple[str, Column]],
                        partition_by=None, bucket: Column | None = None) -> DataFrame:
     """Add inclusive running aggregates in the order ``order_by``.
@@ -94,16 +103,14 @@ def running_aggregates(df: DataFrame, order_by, aggs: Mapping[str, tuple[str, Co
     ``aggs`` maps an output name to ``(kind, value)``, kind in
     sum/count/max/min; for ``count`` the value is a boolean condition.
     ``order_by`` must be a total order (end it with a unique id) and
-    ``bucket`` must be non-decreasing along it (default: ``sized_bucket`` on
-    the first ordering column).  ``partition_by`` may be empty for one
-    global order.
+    ``bucket`` must be non-decreasing along it.  By default buckets are ranges
+    of the whole order with about ``ROWS_PER_BUCKET`` rows each, however the
+    rows crowd in time.  ``partition_by`` may be empty for one global order.
     """
     order_names = names_of(order_by)
     part_names = names_of(partition_by)
-    if bucket is None:
-        bucket = sized_bucket(df, order_names[0])
     bk = "_tw_bucket"
-    d = df.withColumn(bk, bucket)
+    d = ranged(df, order_names, bk) if bucket is None else df.withColumn(bk, bucket)
     for name, (kind, value) in aggs.items():
         if kind == "count":
             value = F.when(value, F.lit(1)).otherwise(F.lit(0)).cast("bigint")

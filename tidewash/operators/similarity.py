@@ -13,8 +13,9 @@ Scale notes:
 * Texts with identical token sets are collapsed first (one representative,
   the smallest id).  A group of exact copies, however large, never reaches
   the pair join, so no quadratic pair set is produced within it.
-* Rarest-first order keeps frequent tokens out of prefixes; the token
-  frequency join and the prefix self join are left to AQE's skew handling.
+* Rarest-first order keeps frequent tokens out of prefixes.  Both sides of the
+  token frequency join, the posting-list head join and the member join are
+  written first, so that AQE can split a hot token or set among tasks.
 * Only ids, sizes and prefix tokens cross the candidate shuffle; token
   arrays are joined back only for candidates.
 """
@@ -26,36 +27,17 @@ from pyspark.sql import functions as F
 
 from tidewash.functions.common import as_fraction
 from tidewash.functions.text import py_strip, tokens
+from tidewash.session import checkpoint_root
 
 
-def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate that several branches read to the shared
     checkpoint folder (reliable, lineage cut) instead of recomputing it.
 
-    With ``partition_by`` the rows are hash-partitioned on that column
-    (configured shuffle partitions) and the checkpoint records that
-    partitioning, so later joins on the column shuffle only the other side.
-    The checkpoint job runs with adaptive execution off: an adaptive plan
-    reports no partitioning for the checkpointed rows.  The setting is
-    restored right after.  Use it only where no later join on that side can
-    be skewed: AQE splits a skewed join partition only when both sides are
-    shuffled, so a kept partitioning is never split.  The near-duplicate
-    path does not use it for that reason (a near-copy cluster's first row
-    meets every member in one join key).
-    """
-    from tidewash.session import checkpoint_root
-
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    if partition_by is None:
-        return df.checkpoint(eager=True)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.repartition(n, partition_by).checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    It also makes a join's side a plain shuffle stage: AQE splits a skewed
+    sort-merge join only if neither side is an aggregate or a window."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -89,7 +71,7 @@ def prefix_tokens(reps: DataFrame, num: int, den: int) -> DataFrame:
     """(id, n, tok, pos) for the rarest-first prefix of every representative
     (pos is the 1-based position of tok in the set's global order)."""
     ex = reps.select("id", "n", F.explode("toks").alias("tok"))
-    freq = ex.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    freq = materialize(ex.groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
     ranked = ex.join(freq, "tok")
     w = Window.partitionBy("id").orderBy("df", "tok")
     return (ranked.withColumn("pos", F.row_number().over(w))
@@ -165,6 +147,7 @@ def rows_with_earlier_match(reps: DataFrame, threshold=0.85, strict: bool = True
     p = materialize(prefix_tokens(reps, num, den))
     w = Window.partitionBy("tok").orderBy("id")
     heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
+    heads = materialize(heads)
     found1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select(
         F.col("id_b").alias("id")).distinct()
     open_rows = p.join(found1, "id", "left_anti")
@@ -187,7 +170,8 @@ def near_dup_pairs(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
 def duplicate_members(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, rep_id) for every row whose token set equals an earlier row's."""
     ts = token_sets(df, id_col, text_col)
-    reps = set_representatives(ts).select("skey", F.col("id").alias("rep_id"))
+    reps = ts.where(F.col("n") > 0).groupBy("skey").agg(F.min("id").alias("rep_id"), F.count(F.lit(1)).alias("k"))
+    reps = materialize(reps.where("k > 1").drop("k"))
     # the inner join drops empty sets (they have no representative)
     return (ts.join(reps, "skey").where(F.col("id") != F.col("rep_id"))
             .select("id", "rep_id"))
@@ -208,8 +192,7 @@ def near_dup_drop_earliest(df: DataFrame, id_col: str, text_col: str, threshold=
 
 
 def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
-                         strict: bool = True, head_width: int = HEAD_WIDTH,
-                         max_rounds: int = 10_000) -> DataFrame:
+                         strict: bool = True, head_width: int = HEAD_WIDTH) -> DataFrame:
     """Greedy first-wins: scan rows by id, keep a row unless it is similar to
     an earlier *kept* row (a dropped row does not suppress later rows).
 
@@ -236,6 +219,7 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     p = materialize(prefix_tokens(reps, num, den))
     w = Window.partitionBy("tok").orderBy("id")
     heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
+    heads = materialize(heads)
     e1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select("id_a", "id_b")
     e1 = materialize(e1)
     partial = e1.select(F.col("id_b").alias("id")).distinct()
@@ -250,11 +234,8 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     status = materialize(nodes_of(edges).join(partial.withColumn("_p", F.lit(True)), "id", "left").select(
         "id", F.lit(0).alias("st"), F.col("_p").isNull().alias("exp")))
     pending = status.limit(1).count() > 0
-    rounds = 0
+    before = None
     while pending:
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError("greedy near-duplicate rounds did not converge")
         src = status.select(F.col("id").alias("id_a"), F.col("st").alias("st_a"))
         verdict = (edges.join(src, "id_a")
                    .groupBy(F.col("id_b").alias("id"))
@@ -270,6 +251,9 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
             F.when(~undecided, F.col("st")).when(any_kept, F.lit(2))
             .when(all_dropped & F.col("exp"), F.lit(1)).otherwise(F.lit(0)).alias("st")))
         n_open, n_grow = v.agg(F.count_if(F.col("st") == 0), F.count_if("_expand")).first()
+        if (n_open, n_grow) == before and not n_grow:
+            raise RuntimeError("a round of the greedy near-duplicate removal changed nothing")
+        before = (n_open, n_grow)
         if n_grow:
             # fetch the full earlier-edge lists of the rows that need them
             grow = v.where("_expand").select("id")
@@ -310,14 +294,14 @@ def near_dup_pairs_edit(df: DataFrame, id_col: str, text_col: str, threshold=0.8
     tb = df.select(F.col(id_col).alias("id_b"), F.col(text_col).alias("text_b"))
     j = pairs.join(ta, "id_a").join(tb, "id_b")
     longest = F.greatest(F.char_length("text_a"), F.char_length("text_b"))
-    budget = F.floor(longest * F.lit(1.0 - float(min_edit_ratio))).cast("int")
+    f = as_fraction(min_edit_ratio)
+    budget = F.expr(f"cast(greatest(char_length(text_a), char_length(text_b)) * {f.denominator - f.numerator}L div {f.denominator} as int)")
     # per-pair budget: the SQL form accepts a column as the threshold
     j = j.withColumn("_budget", budget)
     dist = F.expr("levenshtein(text_a, text_b, _budget)")
     j = j.withColumn("edit_distance", dist).where(F.col("edit_distance") >= 0).drop("_budget")
     ratio = F.lit(1.0) - F.col("edit_distance") / longest
     return (j.withColumn("edit_ratio", ratio)
-            .where(F.col("edit_ratio") >= F.lit(float(min_edit_ratio)))
             .select("id_a", "id_b", "n_common", "n_union", "edit_distance", "edit_ratio"))
 
 

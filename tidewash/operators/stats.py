@@ -87,6 +87,19 @@ def stage_audit_filters(df: DataFrame, stages: list[tuple[str, Column]]) -> Data
             .withColumn("removed", F.col("rows_in") - F.col("rows_out")))
 
 
+def audit_filter_and_dedup(df: DataFrame, key: str, keep: str, names: tuple[str, str]) -> DataFrame:
+    """Like ``stage_audit`` for a filter and a dedup, counted in one scan.
+
+    ``keep`` is the filter's result, the same in all rows of one ``key``."""
+    groups = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(F.coalesce(F.col(keep), F.lit(False))).alias("kept"))
+    counts = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("c0"),
+                        F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("c1"),
+                        F.count_if("kept").alias("c2"))
+    rows = F.array(*[F.struct(F.lit(i + 1).alias("step"), F.lit(name).alias("stage"), F.col(f"c{i}").alias("rows_in"),
+                              F.col(f"c{i + 1}").alias("rows_out")) for i, name in enumerate(names)])
+    return counts.select(F.inline(rows)).withColumn("removed", F.col("rows_in") - F.col("rows_out"))
+
+
 def observe_stage(df: DataFrame, name: str):
     """Attach a row-count metric to a live plan (no extra job).
 

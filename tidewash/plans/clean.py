@@ -89,7 +89,13 @@ def clean_dataset(docs: DataFrame, near_dup: str = "greedy", threshold=NEAR_DUP_
     return read_jsonl_strict(s.sparkSession, out_path, schema)
 
 
-def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per normalised text key: the longest original, then smallest id."""
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              columns: list[str] | None = None) -> DataFrame:
+    """One row per normalised text key: the longest original, then smallest id.
+
+    ``columns`` limits what the shuffle carries (``id_col`` and ``n_chars`` are
+    needed for the order)."""
     d = docs.withColumn("_key", F.md5(key_normalize(text_col)))
+    if columns is not None:
+        d = d.select(*dict.fromkeys([id_col, "n_chars", *columns, "_key"]))
     return best_per_group(d, "_key", [("n_chars", False), (id_col, True)]).drop("_key")

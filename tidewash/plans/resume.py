@@ -26,11 +26,12 @@ def resume_run(work: DataFrame, key: str, process, results_path: str, progress_p
                key_type: T.DataType = T.LongType()) -> DataFrame:
     """One run: process the work items whose key is not in the progress log.
 
-    ``process`` maps the pending items to result rows (must keep ``key``).
-    Results are appended first, then their keys to the progress log, so a
+    ``process`` maps the pending items to result rows (must keep ``key``); an
+    item that it leaves out has failed, is not logged and comes again in the
+    next run.  Results are appended first, then their keys to the progress log, so a
     crash between the two repeats at most that run's items, and the
     anti-join on the results' keys at the next start removes those.
-    Returns this run's newly processed rows (read back from the results).
+    Returns this run's newly processed rows (materialised).
     """
     from tidewash.session import checkpoint_root
 
@@ -47,9 +48,9 @@ def resume_run(work: DataFrame, key: str, process, results_path: str, progress_p
     # lazily after the append, the anti-join would see them as done
     checkpoint_root(spark)
     pending = pending.checkpoint(eager=True)
-    out = process(pending)
+    out = process(pending).checkpoint(eager=True)  # processed once: appended, logged and returned
     write_jsonl(out, results_path, mode="append")
-    write_jsonl(pending.select(key), progress_path, mode="append")
+    write_jsonl(out.select(key), progress_path, mode="append")
     return out
 
 

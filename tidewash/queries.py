@@ -73,10 +73,12 @@ def _messy(c: str):
 
 # ---------------------------------------------------------------------------
 # 1. Flagship plan: normalise -> length filter -> exact dedup -> counts.
+_SQL_HASH = """md5(CASE WHEN text IS NULL THEN '~' ELSE '' END || coalesce(CAST(length(lang) AS VARCHAR), '-1') || ':'
+  || coalesce(lang, '') || coalesce(text, ''))"""
 _SQL_CLEANED = f"""
 WITH n AS (SELECT doc_id, lang, {_sql_norm('text')} AS text FROM documents),
 f AS (SELECT * FROM n WHERE length(text) > 30),
-h AS (SELECT *, md5(CAST(length(lang) AS VARCHAR) || ':' || lang || text) AS content_hash FROM f),
+h AS (SELECT *, {_SQL_HASH} AS content_hash FROM f),
 d AS (SELECT content_hash, arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_id) AS lang,
              arg_min(text, doc_id) AS text FROM h GROUP BY content_hash)
 """
@@ -95,6 +97,20 @@ def q_cleaned_documents(spark, sf):
     return d.select("doc_id", "content_hash", F.md5("text").alias("text_md5"))
 
 
+def _null_some(d, c="lang", value="es"):
+    """``d`` with nulls in place of one value of a column, to exercise nulls on whole tables."""
+    return d.withColumn(c, F.nullif(F.col(c), F.lit(value)))
+
+
+@query("cleaned_documents_nulls", _SQL_CLEANED.replace(
+    "SELECT doc_id, lang, ", "SELECT doc_id, nullif(lang, 'es') AS lang, ", 1).replace(
+    "arg_min(lang, doc_id) AS lang,", "arg_min_null(lang, doc_id) AS lang,") + """
+SELECT doc_id, content_hash, lang FROM d""")
+def q_cleaned_documents_nulls(spark, sf):
+    return clean.cleaned_documents(_null_some(table(spark, sf, "documents", text_work=True))).select(
+        "doc_id", "content_hash", "lang")
+
+
 # ---------------------------------------------------------------------------
 # 2. Scalar functions.
 @query("normalize_whitespace", f"""
@@ -112,11 +128,11 @@ def q_key_normalize(spark, sf):
     return d.select("doc_id", F.md5(X.key_normalize(_messy("text"))).alias("key_md5"))
 
 
-@query("content_hash", """
-SELECT doc_id, md5(CAST(length(lang) AS VARCHAR) || ':' || lang || text) AS content_hash,
-       md5(lang || text) AS content_hash_plain FROM documents""")
+@query("content_hash", f"""
+SELECT doc_id, {_SQL_HASH} AS content_hash, md5(coalesce(lang, '') || text) AS content_hash_plain
+FROM (SELECT doc_id, nullif(lang, 'es') AS lang, text FROM documents)""")
 def q_content_hash(spark, sf):
-    d = table(spark, sf, "documents", text_work=True)
+    d = _null_some(table(spark, sf, "documents", text_work=True))
     return d.select("doc_id", X.content_hash("lang", "text").alias("content_hash"),
                     X.content_hash("lang", "text", separator_free=True).alias("content_hash_plain"))
 
@@ -260,6 +276,16 @@ def q_keyword_any(spark, sf):
     return d.select("doc_id", filters.keyword_any("text", KEYWORDS).alias("hit"))
 
 
+LONG_KEYWORDS = KEYWORDS + [a + b + c + d for a in "bdgk" for b in "aeiou" for c in "lmnr" for d in "bdgkpt"]
+
+
+@query("keyword_any_long", f"""
+SELECT doc_id, text IS NULL OR text = '' OR regexp_matches(lower(text), '{'|'.join(LONG_KEYWORDS)}') AS hit FROM documents""")
+def q_keyword_any_long(spark, sf):
+    d = table(spark, sf, "documents", text_work=True)
+    return d.select("doc_id", filters.keyword_any("text", LONG_KEYWORDS).alias("hit"))
+
+
 @query("code_in_set", """
 SELECT event_id, user_id FROM events WHERE user_id IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144)""")
 def q_code_in_set(spark, sf):
@@ -275,10 +301,14 @@ def q_prefix_predicate(spark, sf):
 
 
 @query("non_empty", f"""
-SELECT doc_id FROM documents WHERE {_sql_strip("split_part(text, chr(10), 2)")} <> ''""")
+SELECT doc_id FROM (
+  SELECT doc_id, CASE WHEN lang = 'de' THEN ' ' || chr(9) || chr(160) WHEN lang = 'es' THEN NULL
+                      ELSE chr(10) || text || ' ' END AS padded FROM documents)
+WHERE {_sql_strip('padded')} <> ''""")
 def q_non_empty(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(2)).alias("line2"))
-    return filters.non_empty(d, "line2").select("doc_id")
+    padded = (F.when(F.col("lang") == "de", F.lit(" \t\xa0")).when(F.col("lang") == "es", F.lit(None))
+              .otherwise(F.concat(F.lit("\n"), "text", F.lit(" "))))
+    return filters.non_empty(table(spark, sf, "documents").select("doc_id", padded.alias("padded")), "padded").select("doc_id")
 
 
 # ---------------------------------------------------------------------------
@@ -406,7 +436,7 @@ def q_near_dup_drop_greedy(spark, sf):
 
 _SQL_CLEAN_DATASET = f"""
 WITH n AS (SELECT doc_id, lang, source, {_sql_norm('text')} AS text FROM documents),
-h AS (SELECT *, md5(CAST(length(lang) AS VARCHAR) || ':' || lang || text) AS content_hash FROM n),
+h AS (SELECT *, {_SQL_HASH} AS content_hash FROM n),
 d AS (SELECT arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, arg_min(source, doc_id) AS source,
              arg_min(text, doc_id) AS text FROM h GROUP BY content_hash HAVING length(arg_min(text, doc_id)) > 30),
 {_sql_pair_ctes('d')},
@@ -464,23 +494,22 @@ def q_multi_dim_counts(spark, sf):
 WITH n AS (SELECT doc_id, lang, {_sql_norm('text')} AS text FROM documents),
 f AS (SELECT * FROM n WHERE length(text) > 30),
 c AS (SELECT (SELECT count(*) FROM documents) AS c0, (SELECT count(*) FROM f) AS c1,
-             (SELECT count(DISTINCT md5(CAST(length(lang) AS VARCHAR) || ':' || lang || text)) FROM f) AS c2)
+             (SELECT count(DISTINCT {_SQL_HASH}) FROM f) AS c2)
 SELECT 1 AS step, 'min_length' AS stage, c0 AS rows_in, c1 AS rows_out, c0 - c1 AS removed FROM c
 UNION ALL
 SELECT 2, 'exact_dedup', c1, c2, c1 - c2 FROM c""")
 def q_stage_audit(spark, sf):
-    docs = table(spark, sf, "documents", text_work=True)
-    n = docs.withColumn("text", X.normalize_whitespace("text"))
-    f = filters.min_length_filter(n, "text", FV.MIN_CHARS)
-    d = clean.cleaned_documents(docs)
-    return stats.stage_audit(docs, [("min_length", f), ("exact_dedup", d)])
+    docs = table(spark, sf, "documents", text_work=True).select("lang", X.normalize_whitespace("text").alias("text"))
+    return stats.audit_filter_and_dedup(docs.select(
+        X.content_hash("lang", "text").alias("key"), (F.char_length("text") > FV.MIN_CHARS).alias("keep")),
+        "key", "keep", ("min_length", "exact_dedup"))
 
 
 @query("exact_dedup", """
 SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY md5(text)""")
 def q_exact_dedup(spark, sf):
-    d = table(spark, sf, "documents", text_work=True).withColumn("text_md5", F.md5("text"))
-    return dedup.exact_dedup(d, "text_md5", "doc_id").select("doc_id", "text_md5")
+    d = table(spark, sf, "documents", text_work=True).select("doc_id", F.md5("text").alias("text_md5"))
+    return dedup.exact_dedup(d, "text_md5", "doc_id")
 
 
 @query("group_size", f"""
@@ -490,11 +519,28 @@ def q_group_size(spark, sf):
     return dedup.group_size(d, F.md5(X.key_normalize("text"))).select("doc_id", "group_size")
 
 
+@query("group_size_nulls", """
+SELECT doc_id, count(*) OVER (PARTITION BY nullif(lang, 'es')) AS group_size FROM documents""")
+def q_group_size_nulls(spark, sf):
+    d = _null_some(table(spark, sf, "documents").select("doc_id", "lang"))
+    return dedup.group_size(d, "lang").select("doc_id", "group_size")
+
+
+@query("exact_dedup_nulls", """
+SELECT lang, source, min(doc_id) AS doc_id FROM documents WHERE lang <> 'es' GROUP BY lang, source
+UNION ALL SELECT NULL, source, doc_id FROM documents WHERE lang = 'es'""")
+def q_exact_dedup_nulls(spark, sf):
+    """Null keys are no keys: their rows all stay."""
+    d = _null_some(table(spark, sf, "documents").select("doc_id", "lang", "source"))
+    return dedup.exact_dedup(d, F.concat("lang", F.lit("/"), "source"), "doc_id").select("lang", "source", "doc_id")
+
+
 @query("best_per_group", f"""
 SELECT arg_min(doc_id, (-n_chars, doc_id)) AS doc_id, count(*) AS group_size, count(*) > 1 AS multi_member
 FROM documents GROUP BY md5({_sql_strip('lower(text)')})""")
 def q_best_per_group(spark, sf):
-    return clean.survivors(table(spark, sf, "documents", text_work=True)).select("doc_id", "group_size", "multi_member")
+    return clean.survivors(table(spark, sf, "documents", text_work=True), columns=["doc_id", "n_chars"]).select(
+        "doc_id", "group_size", "multi_member")
 
 
 @query("multi_key_group_count", f"""
@@ -671,10 +717,10 @@ def q_jsonl_scan_tolerant(spark, sf):
     truncated = d.where(F.col("lang") == "de").select(F.substring(js, 1, 25).alias("value"))
     not_object = d.where(F.col("lang") == "es").select(F.to_json(F.array("text")).alias("value"))
     good.unionByName(truncated).unionByName(not_object).write.text(path)
-    ok, bad = jsonl.read_jsonl_tolerant(spark, path, DOC_SCHEMA)
-    return ok.select("doc_id", F.md5("text").alias("text_md5"), F.lit("ok").alias("status")).unionByName(
-        bad.select(_id_from_raw(jsonl.CORRUPT_COL).alias("doc_id"), F.lit(None).cast("string").alias("text_md5"),
-                   F.lit("quarantine").alias("status")))
+    tagged, bad = jsonl.read_jsonl_tagged(spark, path, DOC_SCHEMA), F.col(jsonl.CORRUPT_COL).isNotNull()
+    return tagged.select(F.when(bad, _id_from_raw(jsonl.CORRUPT_COL)).otherwise(F.col("doc_id")).alias("doc_id"),
+                         F.when(~bad, F.md5("text")).alias("text_md5"),
+                         F.when(bad, "quarantine").otherwise("ok").alias("status"))
 
 
 def _id_from_raw(c):
@@ -683,7 +729,13 @@ def _id_from_raw(c):
     return F.when(found == "", F.lit(-1)).otherwise(found).cast("bigint")
 
 
-ROWS_PER_ARRAY_FILE = 10_000
+BYTES_PER_ARRAY_FILE = 16 << 20
+
+
+def _array_files(df, c):
+    """A folder number per row, so that a folder's texts hold about BYTES_PER_ARRAY_FILE."""
+    total = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return F.pmod(F.xxhash64(c), F.lit(total // BYTES_PER_ARRAY_FILE + 1))
 
 
 @query("json_array_scan", """
@@ -692,13 +744,13 @@ UNION ALL SELECT 'benchmark', md5(text) FROM benchmark""")
 def q_json_array_scan(spark, sf):
     base = scratch_path(spark, "json-array")
     d = _doc_json_lines(spark, sf)
-    # one JSON array per file (one folder per bucket).  Buckets are id ranges,
-    # so a file holds at most ROWS_PER_ARRAY_FILE rows whatever the table size.
-    (d.groupBy(F.floor(F.col("doc_id") / ROWS_PER_ARRAY_FILE).alias("b"))
+    # one JSON array per file (one folder per bucket); the number of buckets
+    # follows the bytes of the table
+    (d.groupBy(_array_files(d, "doc_id").alias("b"))
      .agg(F.to_json(F.collect_list(F.struct(*d.columns))).alias("value"))
      .write.partitionBy("b").text(f"{base}/objects"))
     b = table(spark, sf, "benchmark")
-    (b.groupBy(F.floor(F.col("item_id") / ROWS_PER_ARRAY_FILE).alias("b"))
+    (b.groupBy(_array_files(b, "item_id").alias("b"))
      .agg(F.to_json(F.collect_list("text")).alias("value"))
      .write.partitionBy("b").text(f"{base}/strings"))
     objs = jsonl.read_json_array(spark, f"{base}/objects", DOC_SCHEMA)
@@ -736,12 +788,13 @@ def q_per_source_counts(spark, sf):
 
 
 @query("jsonl_sink_append", """
-SELECT doc_id, lang, md5(text) AS text_md5, source FROM documents""")
+SELECT doc_id, nullif(lang, 'es') AS lang, md5(text) AS text_md5, source FROM documents""")
 def q_jsonl_sink_append(spark, sf):
     path = scratch_path(spark, "sink-append")
-    d = _doc_json_lines(spark, sf)
-    jsonl.write_jsonl(d.where(F.col("lang").isin("en", "fr")), path, mode="append")
-    jsonl.write_jsonl(d.where(~F.col("lang").isin("en", "fr")), path, mode="append")
+    d = _null_some(_doc_json_lines(spark, sf))
+    first = F.coalesce(F.col("lang").isin("en", "fr"), F.lit(False))
+    jsonl.write_jsonl(d.where(first), path, mode="append")
+    jsonl.write_jsonl(d.where(~first), path, mode="append")
     back = jsonl.read_jsonl_strict(spark, path, DOC_SCHEMA)
     return back.select("doc_id", "lang", F.md5("text").alias("text_md5"), "source")
 
@@ -781,7 +834,7 @@ def _two_runs(spark, base, schema, writers, build, **sink):
     for part in (writers[:3], writers[3:]):
         for w in part:
             w()
-        stream = ingest.file_stream(spark, f"{base}/in", schema)
+        stream = ingest.file_stream(spark, f"{base}/in", schema, max_files_per_trigger=8)
         stats_.append(ingest.run_available(build(stream), f"{base}/ckpt", **sink))
     LAST_STREAM_STATS[base.rsplit("/", 1)[-1].rsplit("-", 1)[0]] = stats_
     return stats_

@@ -24,35 +24,47 @@ def read_jsonl_tolerant(spark: SparkSession, path, schema: T.StructType
                         ) -> tuple[DataFrame, DataFrame]:
     """JSON lines where malformed or non-object lines are quarantined.
 
-    Lines are read as text and parsed with ``from_json`` in PERMISSIVE mode,
-    so the raw line stays available.  Returns ``(good, quarantine)``;
-    quarantine has the raw line in ``_corrupt_record``.  Blank lines are
-    skipped; nothing else is silently dropped.
+    Returns ``(good, quarantine)``; quarantine has the raw line in
+    ``_corrupt_record``.  Blank lines are skipped; nothing else is silently
+    dropped.  Where both are read, use ``read_jsonl_tagged``, which gives
+    them in one pass.
     """
+    tagged = read_jsonl_tagged(spark, path, schema)
+    bad = F.col(CORRUPT_COL).isNotNull()
+    return tagged.where(~bad).drop(CORRUPT_COL), tagged.where(bad).select(CORRUPT_COL)
+
+
+def read_jsonl_tagged(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """Every non-blank JSON line once, parsed once: the schema's columns, and
+    ``_corrupt_record`` with the raw line where it is malformed or no object
+    (the columns are then null)."""
     s = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     lines = spark.read.text(path).where(py_strip("value") != F.lit(""))
-    parsed = lines.select(
-        "value",
-        F.from_json("value", s, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}).alias("_j"))
-    bad_cond = F.col(f"_j.{CORRUPT_COL}").isNotNull() | F.col("_j").isNull()
-    good = parsed.where(~bad_cond).select(*[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields])
-    bad = parsed.where(bad_cond).select(F.col("value").alias(CORRUPT_COL))
-    return good, bad
+    # explode, so that the parsed struct is a column and not inlined per field
+    parsed = lines.select("value", F.explode(F.array(F.from_json(
+        "value", s, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}))).alias("_j"))
+    bad = F.col("_j").isNull() | F.col(f"_j.{CORRUPT_COL}").isNotNull()
+    return parsed.select(*[F.when(~bad, F.col(f"_j.{f.name}")).alias(f.name) for f in schema.fields],
+                         F.when(bad, F.col("value")).alias(CORRUPT_COL))
 
 
 def read_json_array(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
     """Whole-file JSON arrays of objects; each element becomes a row.
 
     A file is one task (multi-line JSON is not splittable); writers should
-    keep such files bounded.
+    keep such files bounded.  A malformed file fails the job.
     """
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def read_json_string_array(spark: SparkSession, path, value_col: str = "text") -> DataFrame:
-    """Whole-file JSON arrays of bare strings; one row per string."""
+    """Whole-file JSON arrays of bare strings; one row per string.
+
+    A file is one cell (so under 2 GB); a malformed file fails the job."""
     raw = spark.read.text(path, wholetext=True)
-    return raw.select(F.explode(F.from_json("value", T.ArrayType(T.StringType()))).alias(value_col))
+    parsed = F.from_json("value", T.ArrayType(T.StringType()))
+    failed = F.raise_error(F.concat(F.lit("malformed JSON array, it starts: "), F.substring("value", 1, 80)))
+    return raw.select(F.explode(F.coalesce(parsed, failed.cast(T.ArrayType(T.StringType())))).alias(value_col))
 
 
 def multi_file_scan(spark: SparkSession, base, schema: T.StructType,
@@ -71,7 +83,10 @@ def multi_file_scan(spark: SparkSession, base, schema: T.StructType,
     if isinstance(base, str):
         df = (spark.read.schema(schema).option("recursiveFileLookup", True)
               .format(fmt).load(base))
-        name = F.substring_index(F.col("_metadata.file_path"), base.rstrip("/") + "/", -1)
+        # file_path is URI-encoded (a plus sign is not); the base may have a scheme
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        below = base.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
+        name = F.substring_index(path, below, -1)
         source = F.substring_index(name, "/", 1)
     else:
         df = spark.read.schema(schema).format(fmt).load(list(base))

@@ -8,34 +8,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Tables whose rows carry long texts (with their id column): per-row CPU
-# (regex, tokenising, hashing) dominates, so a scan with too few splits
-# leaves cores idle.
+# Tables whose rows carry long texts, with their id column.
 TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
                "benchmark": "item_id"}
 
-
-def spread_small_scan(df: DataFrame, key: str, factor: int = 2) -> DataFrame:
-    """Round-robin the rows of a scan that has fewer than ``factor`` splits
-    per core.
-
-    A large corpus already scans as thousands of splits and is returned as
-    is (no shuffle).  A few big Parquet row groups scan in a few tasks, which
-    would run the per-row text work of the whole table on one core; a hash
-    repartition on the id (cheap at that size) spreads it.  Hash, not
-    round-robin: a round-robin exchange sorts every partition by the whole
-    row first (for retry determinism), which for long texts costs more than
-    the work it spreads.  The partition count is a planning-time fact (file
-    listing only, no job).
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as is
-        return df
-    if splits >= factor * target:
-        return df
-    return df.repartition(target, key)
+# Session setting: spread text tables over this many partitions before per-row
+# text work.  Unset (the default) leaves the scan as it is split; set it where
+# a table sits in a few large row groups, as local tests and the bench do.
+TEXT_PARTITIONS = "tidewash.text.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, text_work: bool = False) -> DataFrame:
@@ -43,12 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, text_work: bool = False)
     are pushed into the Parquet scan by Catalyst.
 
     ``text_work=True`` marks a read that feeds per-row text processing
-    (regex, tokenising, hashing long texts); only then is a scan with too
-    few splits spread over the cores.
+    (regex, tokenising, hashing long texts); it is repartitioned by id if the
+    session sets ``tidewash.text.partitions``.  (By hash: a round-robin
+    exchange would first sort each partition by whole rows.)
     """
     if name not in TABLES:
         raise KeyError(name)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if text_work and name in TEXT_TABLES:
-        df = spread_small_scan(df, TEXT_TABLES[name])
+    n = spark.conf.get(TEXT_PARTITIONS, None)
+    if text_work and name in TEXT_TABLES and n:
+        df = df.repartition(int(n), TEXT_TABLES[name])
     return df

@@ -8,11 +8,13 @@ checkpoint (exactly-once file sink / idempotent batch writes).
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewash.functions.records import epoch_micros, event_time, ntz_from_micros
 
@@ -25,31 +27,65 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.load(path)
 
 
+class _Totals(StreamingQueryListener):
+    """Adds up the progress of every micro-batch of every run.
+
+    ``StreamingQuery.recentProgress`` keeps the last hundred batches only."""
+
+    def __init__(self) -> None:
+        self.runs: dict[str, dict] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        pr = event.progress
+        t = self.runs.setdefault(str(pr.runId), {"batches": 0, "input_rows": 0, "dropped_by_watermark": 0})
+        t["batches"] += 1
+        t["input_rows"] += int(pr.numInputRows)
+        t["dropped_by_watermark"] += sum(int(op.numRowsDroppedByWatermark) for op in pr.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def of(self, run: str) -> dict:
+        """The run's totals, once its last event has been seen."""
+        if not self._end(run).wait(60):
+            raise RuntimeError("no end event of the streaming query within 60 seconds")
+        return self.runs.get(run, {"batches": 0, "input_rows": 0, "dropped_by_watermark": 0})
+
+
 def run_available(stream: DataFrame, checkpoint: str, sink_path: str | None = None,
                   fmt: str = "parquet", output_mode: str = "append",
                   foreach_batch: Callable | None = None) -> dict:
     """Process everything available now, then stop (blocking).
 
-    Returns run statistics from the query progress: micro-batches, input
-    rows, and rows dropped as later than the watermark (reported, never
-    silent).
+    Returns run statistics added up over all micro-batches: their number,
+    input rows, and rows dropped as later than the watermark (reported,
+    never silent).
     """
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format(fmt).option("path", sink_path)
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    progress = q.recentProgress
-    return {
-        "batches": len(progress),
-        "input_rows": sum(int(pr.numInputRows) for pr in progress),
-        "dropped_by_watermark": sum(int(op.numRowsDroppedByWatermark)
-                                    for pr in progress for op in pr.stateOperators),
-    }
+    streams, totals = stream.sparkSession.streams, _Totals()
+    streams.addListener(totals)
+    try:
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        return totals.of(str(q.runId))
+    finally:
+        streams.removeListener(totals)
 
 
 def _with_event_time(stream: DataFrame, ts_col: str) -> DataFrame:
@@ -153,12 +189,14 @@ def write_arrivals(df: DataFrame, ts_col: str, path: str, n_slices: int,
     one writer per slice; calling writer i appends slice i (plus, when
     ``redeliver`` is given, the rows of slice i-1 matching it again, as an
     at-least-once producer would) to ``path``.  The slice bounds come from one
-    min/max aggregate.
+    min/max aggregate; rows without a time arrive with the first slice.
     """
     import datetime as _dt
 
     us = epoch_micros(ts_col)
     lo, hi = df.agg(F.min(us), F.max(us)).first()
+    if lo is None:  # no rows, or none with a time: all arrive in the first slice
+        lo = hi = 0
     width = (hi - lo) // n_slices + 1
     epoch = _dt.datetime(1970, 1, 1)
 
@@ -169,7 +207,8 @@ def write_arrivals(df: DataFrame, ts_col: str, path: str, n_slices: int,
         return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
     def in_slice(i: int):
-        return (F.col(ts_col) >= bound(i)) & (F.col(ts_col) < bound(i + 1))
+        inside = (F.col(ts_col) >= bound(i)) & (F.col(ts_col) < bound(i + 1))
+        return inside | F.col(ts_col).isNull() if i == 0 else inside
 
     def writer(i: int):
         def go():
