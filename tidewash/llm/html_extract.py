@@ -103,10 +103,10 @@ class Blocks(HTMLParser):
         self.handle_starttag(tag, attrs)  # as browsers do: the slash means nothing
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCKS:
-            self.flush()
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
+                if tag in BLOCKS:
+                    self.flush()
                 while len(self.stack) > i:
                     self._pop()
                 return

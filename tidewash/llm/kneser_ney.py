@@ -326,7 +326,7 @@ class Lookup:
         words, inverse = np.unique(np.concatenate([token, prev]), return_inverse=True)
         c, left, s1, s2, s3 = self._find(self.word_files, (mix(words) % np.uint64(m.buckets)).astype(np.int64), words, 5)
         d = np.array(m.d_word)
-        p_word = m.floor / (m.v + 1) + (np.maximum(left - d[np.minimum(left, 3)], 0) / m.pairs if m.pairs else 0.0)
+        p_word = m.floor / (m.v + 1) + np.maximum(left - d[np.minimum(left, 3)], 0) / max(m.pairs, 1)
         # A word is followed as often as it occurs; the begin state by every text's first token.
         d = np.array(m.d_pair)
         follow = d[1] * s1 + d[2] * s2 + d[3] * s3

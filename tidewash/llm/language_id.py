@@ -42,6 +42,8 @@ UNKNOWN = "und"
 #: Labelled rows per language, and bytes of each, that the trigram model is trained on.
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 20_000
 SLOTS = 1 << 16
+#: Share of a language's probability that is spread over all trigrams.
+UNSEEN = 0.1
 #: A text's trigrams weigh as this many independent ones at most.
 EFFECTIVE = 60.0
 #: Weight of the level above in a smoothed prior, in rows.
@@ -98,12 +100,9 @@ def train(labelled: DataFrame, text_col: str, label_col: str, languages: list[st
     table = np.zeros((len(names) + 1, SLOTS))
     row = {x: i for i, x in enumerate(names)}
     np.add.at(table, ([row[x] for x in counts["label"]], counts["slot"]), counts["n"])
-    total = table.sum(axis=1, keepdims=True)
-    alpha = 0.02
-    log_p = np.log((table + alpha) / (total + alpha * SLOTS))
-    # Flat odds of the unknown: half way between a uniform slot and the languages' own mean.
-    own = [float((table[i] * log_p[i]).sum() / max(1.0, total[i, 0])) for i in range(len(names))]
-    log_p[-1] = (np.mean(own) + np.log(1.0 / SLOTS)) / 2 if own else 0.0
+    total = np.maximum(table.sum(axis=1, keepdims=True), 1)
+    log_p = np.log((1 - UNSEEN) * table / total + UNSEEN / SLOTS)
+    log_p[-1] = -np.log(SLOTS)  # the unknown: flat odds
     return names, log_p.astype(np.float32)
 
 
