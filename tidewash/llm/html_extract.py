@@ -32,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewash.llm.common import frees
+
 #: Pages that the model is trained on, and bytes of html that a training page may have.
-SAMPLE_PAGES, SAMPLE_BYTES = 200, 100_000
+SAMPLE_PAGES, SAMPLE_BYTES = 150, 100_000
 SLOTS = 1 << 14
-EPOCHS, RATE, DECAY = 6, 0.3, 1e-5
+EPOCHS, RATE, DECAY = 6, 0.2, 1e-4
 MAIN, REST = 1, 0
 
 BLOCKS = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
@@ -150,6 +152,7 @@ def features(found: list[tuple[str, int, tuple]]) -> list[list[int]]:
         for tag, names in path:
             seen.add(f"in={tag}")
             seen.update(f"name={x}" for x in names)
+            seen.update(f"start={x[:5]}" for x in names if len(x) > 4)  # commentlist as comment
         for tag, names in reversed(path):  # the nearest element that says something
             if names or tag not in ("p", "div", "li", "td", "tr", "tbody", "body", "html", "section"):
                 mine.append(f"near={names[0] if names else tag}")
@@ -255,15 +258,15 @@ PART_NAMES = {
         body-text page-content single-post blog-post news-text""".split(),
     "nav": "nav navbar navigation menu main-menu breadcrumb breadcrumbs topnav tabs pagination skip-links".split(),
     "header": "header site-header masthead top-bar branding logo banner page-header".split(),
-    "footer": "footer site-footer colophon copyright bottom-bar footer-links legal".split(),
-    "sidebar": "sidebar widget widget-area related related-posts aside rail recommended popular trending tags".split(),
+    "footer": "footer site-footer colophon copyright bottom-bar footer-links legal contentinfo".split(),
+    "sidebar": "sidebar widget widget-area related related-posts aside rail recommended popular trending tags complementary note callout".split(),
     "notice": "notice cookie-banner cookie-notice consent gdpr alert disclaimer popup modal overlay paywall".split(),
     "ad": "ad ads advert advertisement sponsored promo sponsor ad-slot adsbox banner-ad".split(),
     "form": "form search-form newsletter subscribe signup login contact-form search".split(),
-    "comments": "comments comment comment-list reader-comments discussion replies respond disqus responses".split(),
+    "comments": "comments comment comment-list reader-comments discussion replies respond disqus responses commentlist comments-area feedback".split(),
     "share": "share social social-share byline meta author-box toolbar".split(),
 }
-LAYOUTS = 5
+LAYOUTS = 10
 
 
 def layouts(found: list[tuple[str, int, tuple]], labels: list[int], seed: int) -> list[tuple[list, list[int]]]:
@@ -276,11 +279,18 @@ def layouts(found: list[tuple[str, int, tuple]], labels: list[int], seed: int) -
     semantic = {"nav": "nav", "header": "header", "footer": "footer", "sidebar": "aside", "form": "form"}
     out = []
     for _ in range(LAYOUTS):
+        bare = rng.random() < 0.15  # no names anywhere: only the texts and their links tell parts apart
         root = [("html", ()), ("body", ())] + [("div", tuple(tokens(pick(["wrapper", "page", "site", "container", "root"]))))] * int(rng.integers(0, 2))
 
         def part(kind: str, base: list, sizes=(1, 6)) -> list:
-            tag = semantic[kind] if kind in semantic and rng.random() < 0.4 else pick(["div", "section", "div", "ul"])
+            tag = semantic[kind] if kind in semantic and rng.random() < 0.5 else pick(["div", "section", "div", "ul", "ol"])
             named = () if tag in semantic.values() and rng.random() < 0.7 else tuple(tokens(pick(PART_NAMES[kind])))
+            if tag in semantic.values() and rng.random() < 0.3:  # a name that says nothing
+                named = ("".join(pick("bcdfghjklmnpqrstvwz") for _ in range(6)),)
+            if bare:
+                if kind not in ("nav", "header", "footer"):
+                    return []
+                tag, named = pick(["div", "ul"]), ()
             at = base + [(tag, named)]
             rows = []
             for _ in range(int(rng.integers(*sizes))):
@@ -288,7 +298,7 @@ def layouts(found: list[tuple[str, int, tuple]], labels: list[int], seed: int) -
                 words = t.split(" ")
                 t = " ".join(words[:int(rng.integers(1, 60 if kind in ("comments", "notice", "ad", "sidebar") else 8))])
                 leaf = pick(["p", "div", "li", "span", "h3"] if kind not in ("nav",) else ["li", "li", "p"])
-                path = at + ([("div", tuple(tokens(pick(PART_NAMES[kind]))))] if rng.random() < 0.3 else [])
+                path = at + ([("div", tuple(tokens(pick(PART_NAMES[kind]))))] if rng.random() < 0.3 and not bare else [])
                 path = path if leaf == "span" else path + [(leaf, ())]
                 rows.append((t, len(t) if kind == "nav" or rng.random() < 0.2 else 0, tuple(path)))
             return rows
@@ -299,6 +309,8 @@ def layouts(found: list[tuple[str, int, tuple]], labels: list[int], seed: int) -
             body = root + [(pick(["div", "div", "section", "td"]), tuple(tokens(pick(PART_NAMES["main"]))))]
         if rng.random() < 0.3:
             body = body + [("div", tuple(tokens(pick(PART_NAMES["main"]))))]
+        if bare:
+            body = root + [("div", ())]
         page, y = [], []
 
         def add(rows: list, label: int) -> None:
@@ -308,10 +320,17 @@ def layouts(found: list[tuple[str, int, tuple]], labels: list[int], seed: int) -
         for kind in ("notice", "header", "nav", "ad", "form"):
             if rng.random() < 0.5:
                 add(part(kind, root), REST)
+        other = None  # other leaves than paragraphs come in runs, as list items do
         for t, k, leaf in main:
             leaf = leaf if leaf in ("h1", "h2", "h3", "p", "li", "blockquote", "pre", "td") else pick(["p", "div"])
-            add([(t, k, tuple(body + [(leaf, ())]))], MAIN)
-            if rng.random() < 0.05:
+            inside = body
+            other = other if other and rng.random() < 0.7 else None
+            if other or rng.random() < 0.2:
+                leaf = other = other or pick(["li", "li", "li", "blockquote", "pre", "h2", "td", "dd", "figcaption"])
+                inside = body + {"li": [("ul", ())], "td": [("table", ()), ("tr", ())], "dd": [("dl", ())],
+                                 "figcaption": [("figure", ())]}.get(leaf, [])
+            add([(t, k, tuple(inside + [(leaf, ())]))], MAIN)
+            if rng.random() < 0.15:
                 add(part(pick(["ad", "form", "share", "sidebar", "notice"]), body, (1, 3)), REST)
         inner = body if rng.random() < 0.5 else root
         for kind in ("share", "comments", "sidebar"):
@@ -345,6 +364,7 @@ def extract_text(model: Chain, html: str | None) -> str:
     return "\n".join(b[0] for b, y in zip(found, model.viterbi(features(found))) if y == MAIN)
 
 
+@frees
 def _texts(batches: Iterator[pa.RecordBatch], model: Chain) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [extract_text(model, h) for h in batch.column("html").to_pylist()]
