@@ -56,7 +56,7 @@ def test_model_file_is_parsed(codec):
 def test_unigram_scores_and_byte_fallback():
     pieces = [("<unk>", 0.0, 2)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] + [
         ("▁", -2.0, 1), ("a", -3.0, 1), ("b", -3.0, 1), ("ab", -4.0, 1), ("▁ab", -7.5, 1)]
-    whole, _ = build(Model(pieces=pieces, kind=UNIGRAM, byte_fallback=True, remove_extra_spaces=True))
+    whole = build(Model(pieces=pieces, kind=UNIGRAM, byte_fallback=True, remove_extra_spaces=True))
     out = whole.encode("ab  ab é", add_special_tokens=False)
     assert out.tokens == ["▁", "ab", "▁", "ab", "▁", "<0xC3>", "<0xA9>"]
     assert whole.decode(out.ids) == "ab ab é"

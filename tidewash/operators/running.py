@@ -89,9 +89,7 @@ def ranged(df: DataFrame, order_names: list[str], bucket_col: str,
     partition a row falls in.  Ranges are cut by sampled rows of the order (with
     its unique last column), so a burst in one hour is split like anything else.
     Written once, so that all later steps see the same cut."""
-    n = -(-df.count() // rows_per_bucket)
-    if n <= 1:
-        return df.withColumn(bucket_col, F.lit(0))
+    n = max(1, -(-df.count() // rows_per_bucket))
     checkpoint_root(df.sparkSession)
     return df.repartitionByRange(n, *order_names).withColumn(bucket_col, F.spark_partition_id()).checkpoint(eager=True)
 
