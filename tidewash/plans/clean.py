@@ -4,17 +4,29 @@ DataFrame that Catalyst optimises end to end."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewash.functions.text import content_hash, key_normalize, normalize_whitespace
 from tidewash.operators.dedup import best_per_group, exact_dedup
 from tidewash.operators.filters import min_length_filter
 from tidewash.operators.similarity import near_dup_drop_earliest, near_dup_drop_greedy
-from tidewash.operators.stats import group_count_sorted
+from tidewash.operators.stats import audit_filter_and_dedup, group_count_sorted, multi_dim_counts
 from tidewash.session import checkpoint_root
+from tidewash.sources.jsonl import (
+    multi_file_scan,
+    per_source_counts,
+    read_jsonl_strict,
+    write_jsonl,
+)
 
-from tidewash.fixed_values import DEFAULT_CATEGORY_IN_STATS, MIN_CHARS, NEAR_DUP_THRESHOLD
+from tidewash.fixed_values import (
+    DEFAULT_CATEGORY_IN_STATS,
+    EXCLUDED_NAME_WORDS,
+    MIN_CHARS,
+    NEAR_DUP_THRESHOLD,
+)
 
 
 def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -71,24 +83,63 @@ def deduplicated_documents(docs: DataFrame, near_dup: str = "greedy",
 
 def clean_dataset(docs: DataFrame, near_dup: str = "greedy", threshold=NEAR_DUP_THRESHOLD,
                   out_path: str | None = None, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", survivorship: bool = True) -> DataFrame:
     """The full cleaning plan: normalise, length filter, exact and near
     de-duplication, one survivor per normalised text key (longest cleaned
-    text, then smallest id), optionally written as JSON lines (overwrite)
-    and read back from there."""
+    text, then smallest id; unless ``survivorship`` is off), optionally written
+    as JSON lines (overwrite) and read back from there."""
     d = deduplicated_documents(docs, near_dup, threshold, id_col, text_col)
-    d = (d.withColumn("_key", F.md5(key_normalize(text_col)))
-         .withColumn("_len", F.char_length(text_col)))
-    s = best_per_group(d, "_key", [("_len", False), (id_col, True)]).drop("_key", "_len")
+    s = _survivors_of_cleaned(d, id_col, text_col) if survivorship else d
     if out_path is None:
         return s
-    from tidewash.sources.jsonl import read_jsonl_strict, write_jsonl
-
     schema = s.schema
     write_jsonl(s, out_path, mode="overwrite")
     return read_jsonl_strict(s.sparkSession, out_path, schema)
 
 
+def _survivors_of_cleaned(d: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    d = (d.withColumn("_key", F.md5(key_normalize(text_col)))
+         .withColumn("_len", F.char_length(text_col)))
+    return best_per_group(d, "_key", [("_len", False), (id_col, True)]).drop("_key", "_len")
+
+
+def clean_files(spark: SparkSession, base, schema: T.StructType, out_path: str, near_dup: str = "greedy",
+                threshold=NEAR_DUP_THRESHOLD, survivorship: bool = True, id_col: str = "doc_id",
+                text_cols: tuple[str, ...] = ("text",), hash_with: str = "lang", dims: tuple[str, ...] = ("lang", "source"),
+                exclude_words=EXCLUDED_NAME_WORDS) -> DataFrame:
+    """From JSON-lines files to a cleaned file, with a report.
+
+    Files below ``base`` whose name has an excluded word are skipped.  All
+    ``text_cols`` are normalised; the first is the text that filters and
+    duplicates look at.  The result is written to ``out_path`` as JSON lines.
+    Report rows (section, name, n): ``file`` with the rows of each file and
+    their total, ``removed`` with the rows that each step removed, then one
+    section per column of ``dims`` with its distribution in the result.
+    """
+    text = text_cols[0]
+    raw = multi_file_scan(spark, base, schema, exclude_words)
+    sources = per_source_counts(raw).select(F.lit("file").alias("section"),
+                                            F.coalesce("source_file", F.lit("total")).alias("name"), "n")
+    docs = raw.drop("source_file").withColumns({c: normalize_whitespace(c) for c in text_cols})
+    audit = audit_filter_and_dedup(docs.select(
+        content_hash(hash_with, text).alias("key"), (F.char_length(text) > MIN_CHARS).alias("keep")),
+        "key", "keep", ("min_length", "exact_dedup")).collect()  # two rows
+    distinct = deduplicated_documents(docs, near_dup, threshold, id_col, text)
+    checkpoint_root(spark)
+    distinct = distinct.checkpoint()
+    kept = _survivors_of_cleaned(distinct, id_col, text).drop("group_size", "multi_member") if survivorship else distinct
+    kept = kept.drop("content_hash")
+    write_jsonl(kept, out_path, mode="overwrite")
+    result = read_jsonl_strict(spark, out_path, kept.schema)
+    n_distinct, n_kept = distinct.count(), result.count()
+    steps = [(a["stage"], a["removed"]) for a in audit] + [
+        ("near_dup", audit[-1]["rows_out"] - n_distinct), ("survivorship", n_distinct - n_kept)]
+    removed = spark.createDataFrame([("removed", name, n) for name, n in steps], "section string, name string, n long")
+    found = multi_dim_counts(result, list(dims), default=DEFAULT_CATEGORY_IN_STATS).select(
+        F.col("dim").alias("section"), F.col("value").alias("name"), "n")
+    return sources.unionByName(removed).unionByName(found)
+
+
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               columns: list[str] | None = None) -> DataFrame:
     """One row per normalised text key: the longest original, then smallest id.

@@ -787,6 +787,28 @@ def q_per_source_counts(spark, sf):
     return jsonl.per_source_counts(df, "source_file")
 
 
+_CLEAN_FILES_TAIL = """
+SELECT 'lang' AS dim, coalesce(lang, 'unknown') AS value, count(*) AS n FROM s GROUP BY 2
+UNION ALL
+SELECT 'source' AS dim, coalesce(source, 'unknown') AS value, count(*) AS n FROM s GROUP BY 2"""
+
+
+@query("clean_files", _SQL_CLEAN_DATASET.replace(_CLEAN_FILES_TAIL.strip(), f"""
+SELECT 'file' AS section, coalesce('batch=raw_' || lang, 'total') AS name, count(*) AS n
+FROM documents GROUP BY ROLLUP ('batch=raw_' || lang)
+UNION ALL SELECT 'removed', 'min_length', (SELECT count(*) FROM n WHERE length(text) <= 30)
+UNION ALL SELECT 'removed', 'exact_dedup', (SELECT count(*) FROM n WHERE length(text) > 30) - (SELECT count(*) FROM d)
+UNION ALL SELECT 'removed', 'near_dup', (SELECT count(*) FROM d) - (SELECT count(*) FROM k)
+UNION ALL SELECT 'removed', 'survivorship', (SELECT count(*) FROM k) - (SELECT count(*) FROM s)
+UNION ALL SELECT 'lang', coalesce(lang, 'unknown'), count(*) FROM s GROUP BY 2
+UNION ALL SELECT 'source', coalesce(source, 'unknown'), count(*) FROM s GROUP BY 2"""))
+def q_clean_files(spark, sf):
+    """From labelled JSON-lines files (excluded names among them) to a cleaned file and its report."""
+    base = scratch_path(spark, "clean-files")
+    _write_labelled_batches(spark, sf, f"{base}/in")
+    return clean.clean_files(spark, f"{base}/in", DOC_SCHEMA, f"{base}/out", near_dup="earliest")
+
+
 @query("jsonl_sink_append", """
 SELECT doc_id, nullif(lang, 'es') AS lang, md5(text) AS text_md5, source FROM documents""")
 def q_jsonl_sink_append(spark, sf):
