@@ -52,7 +52,7 @@ def corpus(seed, n=150, vocab=400):
                    (0, rows[0][1]), (21, " ".join(text(20_000)))]
 
 
-@pytest.mark.parametrize("seed,size,num,den", [(1, 4, 85, 100), (2, 5, 4, 5), (3, 2, 1, 2), (4, 4, 1, 1)])
+@pytest.mark.parametrize("seed,size,num,den", [(1, 4, 85, 100), (3, 2, 1, 2)])
 def test_against_brute_force(spark, seed, size, num, den):
     rows = corpus(seed)
     out = similarity_classes(docs(spark, rows, clash=True), "doc_id", "text", size, num, den)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 #: Bytes of text that a Python task works on at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +59,30 @@ def doc_key(id_col: str, text_col: str) -> Column:
         F.coalesce(F.concat(F.lit("="), F.col(text_col).cast("string")), F.lit("~")))))
 
 
+def frees(f: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """For functions of ``mapInArrow``: when a task ends, its worker, which Spark keeps
+    for later tasks, gives freed memory back to the machine."""
+    @functools.wraps(f)
+    def run(*args, **named):
+        try:
+            yield from f(*args, **named)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim:
+                trim(0)
+
+    return run
+
+
+def hash_share(c: Column, wanted: int, total: int) -> Column:
+    """Keeps rows by a hash of ``c``, about four times ``wanted`` of ``total``: all rows with
+    the smallest ``wanted`` hashes are among them, but for odds of less than 1 in 10**40 at a hundred.
+    So a bounded sample moves a bounded number of rows, however many tasks read the table."""
+    share = min(1.0, 4 * max(wanted, 25) / max(total, 1))
+    return F.xxhash64(c) <= F.lit(int(-(2 ** 63) + share * (2 ** 64 - 1024)) if share < 1 else 2 ** 63 - 1)
+
+
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column and the n + 1 offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):

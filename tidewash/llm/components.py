@@ -30,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
     current = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                       .where("u <> v").distinct(), "edges")
     seen = None
-    while True:
+    while not current.isEmpty():
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         hub = _star(large)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import buffers, doc_key, sliced, written
+from tidewash.llm.common import buffers, doc_key, frees, sliced, written
 from tidewash.llm.words import ALNUM, shingles, word_hashes
 
 WINDOW = 13
@@ -91,6 +91,7 @@ def _context(raw, begin, end, bounds, text, word, kind, window, gram):
     return b" ".join(raw[begin[i]:end[i]].tobytes() for i in range(first, last)).lower(), at - first
 
 
+@frees
 def _item_rows(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text"):
         raw, offsets = buffers(batch.column("text"))
@@ -115,6 +116,7 @@ def _batch(rows, types, names):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
+@frees
 def _doc_rows(batches: Iterator[pa.RecordBatch], known: bytes, lengths: list[int],
               window: int, gram: int) -> Iterator[pa.RecordBatch]:
     """A row per document (fp null) and one per fingerprint that the bitmap knows."""
@@ -134,6 +136,7 @@ def _doc_rows(batches: Iterator[pa.RecordBatch], known: bytes, lengths: list[int
         yield _batch(rows, types, names)
 
 
+@frees
 def _extended(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Aligned contexts of document and item -> the run of equal words around the gram."""
     for batch in batches:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import ascii_lower, written
+from tidewash.llm.common import ascii_lower, frees, written
 
 #: Bytes of distinct text that a task's tries hold before they spill.
 SPILL_BYTES = 64 << 20
@@ -114,6 +114,7 @@ def _spilled(tries: dict, schema: pa.Schema, row) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
 
+@frees
 def _local_tries(batches: Iterator[pa.RecordBatch], spill_bytes: int) -> Iterator[pa.RecordBatch]:
     tries, held = {}, 0
     row = lambda key, body: (*key, body)
@@ -130,6 +131,7 @@ def _local_tries(batches: Iterator[pa.RecordBatch], spill_bytes: int) -> Iterato
     yield from _spilled(tries, _LOCAL, row)
 
 
+@frees
 def _owner_tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (len, hash): one trie at a time."""
     current, trie, out = None, Trie(), {}

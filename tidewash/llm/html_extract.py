@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import frees
+from tidewash.llm.common import frees, hash_share
 
 #: Pages that the model is trained on, and bytes of html that a training page may have.
 SAMPLE_PAGES, SAMPLE_BYTES = 150, 100_000
@@ -348,6 +348,7 @@ def train(pages: DataFrame, html_col: str, sample_pages: int = SAMPLE_PAGES) ->
     html = F.col(html_col).cast("string")
     marked = (pages.select(html.alias("html")).where(F.octet_length("html") <= SAMPLE_BYTES)
               .where(F.lower("html").rlike("<(article|main)[\\s>]")))
+    marked = marked.where(hash_share(F.col("html"), sample_pages, marked.count()))
     rows = marked.orderBy(F.xxhash64("html"), "html").limit(sample_pages).collect()
     training = []
     for seed, row in enumerate(rows):

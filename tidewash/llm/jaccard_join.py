@@ -11,12 +11,12 @@ but asks for more shared shingles, so fewer candidates are verified.
 3. Prefixes of ``MAX_MATCHES`` length are counted per shingle; a document's cost of
    ``l`` is the length of its posting lists plus the verification of at most
    (length of lists / l) candidates.  It keeps the prefix of the cheapest ``l``.
-4. Stars: on every posting list, each document is paired with one hub (the document
-   with the fewest shingles of its own).  Pairs that pass the size and bitmap bounds
-   are verified on whole sets, and verified pairs are merged into components.
-5. Rest: on lists that hold several components, documents outside the list's largest
-   component are paired with all documents of other components that share at least
-   min(l) prefix shingles.  So every candidate pair is either verified or already
+4. Stars, ``TURNS`` times: on every posting list that holds several components, each
+   document outside the largest one meets ``HUBS`` drawn members.  The first of those that
+   pass the size and bitmap bounds is verified on whole sets, and verified pairs are
+   merged into components.
+5. Rest: the same documents are paired with all documents of other components that share
+   at least min(l) prefix shingles.  So every candidate pair is either verified or already
    connected, and no link between components is lost, while the pairs inside a large
    group of near copies are not enumerated.
 
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import buffers, doc_key, release, sliced, written
+from tidewash.llm.common import buffers, doc_key, frees, release, sliced, written
 from tidewash.llm.components import components
 from tidewash.llm.words import SPACED, mix, shingles, word_hashes
 
@@ -54,6 +54,8 @@ CHUNK_SHARE, TABLE_SHARE = 1000, 5000
 FREQUENT = 1 << 20
 #: Cost of verifying a shingle of a candidate, against one entry of a posting list.
 VERIFY_COST = 0.05
+#: Members of a posting list that its other members meet in a turn, and turns.
+HUBS, TURNS = 16, 3
 #: Posting lists of this length and more are dealt among SALTS tasks.
 LONG_LIST, SALTS = 1000, 16
 #: Slots of the bitmap of documents whose whole sets are needed (2 MB).
@@ -68,6 +70,7 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
         yield np.unique(sh[a:b])
 
 
+@frees
 def _frequent(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     def counted(parts):
         token, df = np.unique(np.concatenate(parts), return_counts=True)
@@ -87,6 +90,7 @@ def _frequent(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         yield counted(parts)
 
 
+@frees
 def _profiles(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int,
               frequent: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Per document: set size, set digest, parity bits and its longest prefix.
@@ -123,6 +127,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int,
             ["id", "key", "n", "sig_a", "sig_b", "bits", "prefix", "heavy"])
 
 
+@frees
 def _whole_sets(batches: Iterator[pa.RecordBatch], size: int, wanted: bytes) -> Iterator[pa.RecordBatch]:
     """The sets of documents whose slot is wanted; of repeated rows one in each task."""
     flags = np.unpackbits(np.frombuffer(wanted, np.uint8)).view(bool)
@@ -160,6 +165,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, size: int, nu
     keyed = written(pairs.select("a", "b")
                     .join(facts.select(F.col("row").alias("a"), F.col("key").alias("key_a")), "a")
                     .join(facts.select(F.col("row").alias("b"), F.col("key").alias("key_b")), "b"), "jaccard-pairs")
+    if keyed.isEmpty():
+        return keyed.select("a", "b")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
     slots = keyed.select(F.explode(F.array(slot("key_a"), slot("key_b"))).alias("s")).distinct().toArrow()  # <= SLOTS values
     flags = np.zeros(SLOTS, bool)
@@ -177,8 +184,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, size: int, nu
 
 
 def _postings(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Per class: row, n, bits, own (prefix shingles that no other class has), l and
-    tokens (token, df), the shingles of its chosen prefix that other classes have too."""
+    """Per class: row, n, bits, l and tokens (token, df), the shingles of its chosen
+    prefix that other classes have too."""
     need = F.ceil(num * F.col("n") / F.lit(den)).cast("long")
     light = F.size("prefix") - F.size("heavy")
     rare = reps.select("row", F.posexplode(F.slice("prefix", 1, light)).alias("pos", "token"))
@@ -190,8 +197,7 @@ def _postings(reps: DataFrame, num: int, den: int) -> DataFrame:
     heavy = heavy.select("row", (F.col("light") + F.col("at")).alias("pos"), "x.token", "x.df")
     shared = rare.unionByName(heavy).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("pos", "token", "df"))).alias("shared"))
-    d = (reps.select("row", "key", "n", "bits", light.alias("light")).join(shared, "row").withColumn("need", need))
-    light = F.col("light")
+    d = reps.select("row", "key", "n", "bits").join(shared, "row").withColumn("need", need)
     first = F.col("n") - F.col("need")  # a prefix is this plus l long
 
     def upto(m):
@@ -204,54 +210,72 @@ def _postings(reps: DataFrame, num: int, den: int) -> DataFrame:
         chosen = chosen if best is None else F.when(cost < best, m).otherwise(chosen)
         best = cost if best is None else F.least(best, cost)
     d = d.withColumn("l", chosen.cast("int"))
-    own = (F.least(light, F.col("n") - F.col("need") + 1)
-           - F.size(F.filter("shared", lambda s: (s["pos"] < light) & (s["pos"] < first + 1))))
-    return d.select("row", "key", "n", "bits", "l", own.alias("own"),
+    return d.select("row", "key", "n", "bits", "l",
                     F.transform(upto(F.col("l")), lambda s: s.dropFields("pos")).alias("tokens"))
 
 
+def _mixed_lists(entries: DataFrame, label: DataFrame | None) -> DataFrame:
+    """Posting lists that hold several components: the entries with comp, and major, the
+    component with most members in the list."""
+    comp = F.col("row") if label is None else F.coalesce("label", "row")
+    known = entries if label is None else entries.join(label.withColumnRenamed("node", "row"), "row", "left")
+    known = written(known.select(*entries.columns, comp.alias("comp")), "jaccard-known")
+    mixed = written(known.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
+                    .groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("k", "comp")).alias("major"))
+                    .where("comps > 1").select("token", "major"), "jaccard-mixed")
+    lists = written(known.join(mixed, "token"), "jaccard-lists")
+    release(known, mixed)
+    return lists
+
+
+def _star(lists: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """(a, b): each document outside a list's largest component with one of the HUBS
+    members that the turn's hash puts first in its lists, if bounds and components allow.
+    The hash ranks documents alike in all lists, so that many settle on the same hub."""
+    rank = F.xxhash64("row", F.lit(turn))
+    long_list = F.col("df") >= LONG_LIST  # df is the same in all rows of a shingle
+    nth = F.row_number().over(Window.partitionBy("token").orderBy(rank, "row"))
+    hubs = lists.withColumn("nth", nth).where(F.col("nth") <= HUBS).withColumns({"rank": rank, "salt": F.explode(
+        F.when(long_list, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))})
+    hubs = written(hubs.select("row", "n", "bits", "comp", "token", "rank", "salt"), "jaccard-hubs")
+    members = lists.where("comp <> major").withColumn(
+        "salt", F.when(long_list, F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0))
+    met = members.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.salt") == F.col("y.salt"))
+                                  & (F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y", num, den))
+    best = met.groupBy(F.col("x.row").alias("row")).agg(F.min(F.struct("y.rank", "y.row")).alias("hub"))
+    pairs = written(best.select(F.least("row", "hub.row").alias("a"), F.greatest("row", "hub.row").alias("b")).distinct(), "jaccard-star")
+    release(hubs)
+    return pairs
+
+
 def _links(docs: DataFrame, post: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Edges (a, b) between classes whose components are those of all links."""
     facts = post.select("row", "key", "n", "bits")
-
-    # Stars: each document and the hub that it shares most of its prefix with.
-    slim = post.select("row", "own", F.inline("tokens"))
-    hubs = slim.groupBy("token").agg(F.min(F.struct("own", "row")).alias("hub"), F.max("df").alias("df"))
-    long_list = F.col("df") >= LONG_LIST  # df is the same in all rows of a shingle
-    hubs = hubs.select("token", F.col("hub.row").alias("hub"), F.explode(
-        F.when(long_list, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
-    member = slim.select("row", "token", F.when(long_list, F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
-                         .otherwise(0).alias("salt"))
-    star = (member.join(hubs, ["token", "salt"]).where("row <> hub").groupBy("row", "hub").agg(F.count(F.lit(1)).alias("k"))
-            .join(facts.drop("key").alias("x"), "row")
-            .join(facts.select(F.col("row").alias("hub"), "n", "bits").alias("y"), "hub")
-            .where(_may_link("x", "y", num, den))
-            .groupBy("row").agg(F.max_by("hub", F.struct("k", F.negative("hub"))).alias("hub")))
-    tried = written(star.select(F.least("row", "hub").alias("a"), F.greatest("row", "hub").alias("b")).distinct(), "jaccard-tried")
-    first = _verified(docs, tried, facts, size, num, den)
-    label = components(first)
-
-    # What is left: pairs across components, by the lists that hold several.
-    known = written(post.join(label.withColumnRenamed("node", "row"), "row", "left").select(
-        "row", "n", "l", "bits", "tokens", F.coalesce("label", "row").alias("comp")), "jaccard-known")
-    entry = known.select("row", "comp", F.inline("tokens"))
-    mixed = (entry.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
-             .groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("k", "comp")).alias("major"))
-             .where("comps > 1").select("token", "major"))
-    mixed = written(mixed, "jaccard-mixed")
-    lists = written(known.select("row", "n", "l", "bits", "comp", F.explode("tokens.token").alias("token"))
-                    .join(mixed, "token"), "jaccard-lists")
+    entries = written(post.select("row", "n", "l", "bits", F.inline("tokens")), "jaccard-entries")
+    label, tried, edges = None, None, None
+    for turn in range(TURNS):
+        lists = _mixed_lists(entries, label)
+        pairs = _star(lists, turn, num, den)
+        if turn and pairs.isEmpty():
+            break
+        linked = _verified(docs, pairs, facts, size, num, den)
+        tried, edges = (pairs, linked) if turn == 0 else (tried.unionByName(pairs), edges.unionByName(linked))
+        label = components(edges)
+        release(lists)
+
+    # What is left: all pairs across components.  Each shared list gives a pair once, so
+    # the rows of a pair count its shared shingles.
+    lists = _mixed_lists(entries, label)
     x, y = lists.where("comp <> major").alias("x"), lists.alias("y")
-    # Each shared list gives a pair once, so the rows of a pair count its shared shingles.
     rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
                    & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.row") < F.col("y.row")))
                    & _may_link("x", "y", num, den))
             .groupBy(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b"))
             .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x.l", "y.l")).alias("l")).where("k >= l")
-            .join(tried, ["a", "b"], "left_anti"))
-    second = _verified(docs, rest, facts, size, num, den)
-    release(tried, known, mixed, lists)
-    return first.unionByName(second)
+            .join(tried.distinct(), ["a", "b"], "left_anti"))
+    linked = _verified(docs, rest, facts, size, num, den)
+    release(entries, tried, lists)
+    return edges.unionByName(linked)
 
 
 def similarity_classes(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5,
@@ -289,6 +313,7 @@ def similarity_classes(docs: DataFrame, id_col: str, text_col: str, shingle: int
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes"))
     grouped = written(joined.join(least, "label").where("rows > 1 or classes > 1")
                       .select(*sig, "rows", "component_id"), "jaccard-components")
+    release(classes, post)
     salted = grouped.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     out = profiles.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(
         salted, [*sig, "salt"], "left")

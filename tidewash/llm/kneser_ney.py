@@ -36,12 +36,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import buffers, sliced
+from tidewash.llm.common import buffers, frees, sliced
 from tidewash.llm.words import SPACED, mix, word_hashes
 from tidewash.session import scratch_path
 
 #: Tokens counted together in a map task, and about as many per bucket.
-CHUNK, BUCKET = 2 << 20, 3 << 20
+CHUNK, BUCKET = 3 << 19, 1 << 20
+#: Buckets per partition, so that partitions even out; a task holds one bucket at a time.
+SPREAD = 4
+#: Bytes of text that are scored at once.
+SCORED_BYTES = 2 << 20
 #: A word with this share of the tokens is spread as a context.
 SHARE = 4096
 BEGIN, END = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1342543DE82EF95)
@@ -69,6 +73,7 @@ def token_stream(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndar
     return prev, token, out
 
 
+@frees
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words with a large share of a chunk, and (as word 0) the number of tokens."""
     def counted(parts):
@@ -106,6 +111,7 @@ def _packed(columns: dict[str, np.ndarray], by: np.ndarray, first: str) -> Itera
                                                    for x in columns.values())], [first, *columns])
 
 
+@frees
 def _count_pairs(batches: Iterator[pa.RecordBatch], often: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     def counted(parts):
         prev, word = (np.concatenate(x) for x in zip(*parts))
@@ -129,16 +135,15 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], first: str, types: dict[str, t
     """(bucket, arrays) of rows that come sorted by bucket."""
     current, parts = None, defaultdict(list)
     for batch in batches:
-        rows = batch.to_pydict()
-        for i, bucket in enumerate(rows[first]):
+        for i, bucket in enumerate(batch.column(first).to_pylist()):
             if bucket != current and current is not None:
-                yield current, {c: np.concatenate(parts[c]) for c in types}
+                yield current, {c: np.concatenate(parts.pop(c)) for c in types}
                 parts = defaultdict(list)
             current = bucket
             for c, t in types.items():
-                parts[c].append(np.frombuffer(rows[c][i], t))
+                parts[c].append(np.frombuffer(batch.column(c)[i].as_buffer(), t))
     if current is not None:
-        yield current, {c: np.concatenate(parts[c]) for c in types}
+        yield current, {c: np.concatenate(parts.pop(c)) for c in types}
 
 
 def _local(uri: str) -> str | None:
@@ -203,6 +208,7 @@ def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.
     return keys[cuts], [np.add.reduceat(v[order].astype(np.uint64), cuts) for v in values], order[cuts]
 
 
+@frees
 def _add_pairs(batches: Iterator[pa.RecordBatch], folder: str, buckets: int) -> Iterator[pa.RecordBatch]:
     """Write each bucket's pairs; pass on its words' counts and (bucket -1) counts of counts."""
     for bucket, x in _by_bucket(batches, "bucket", {"prev": np.uint64, "word": np.uint64, "n": np.uint32}):
@@ -224,6 +230,7 @@ def _add_pairs(batches: Iterator[pa.RecordBatch], folder: str, buckets: int) ->
 _META = "kind string, bucket int, n long, v long, pairs long, k1 long, k2 long, k3 long, k4 long"
 
 
+@frees
 def _add_words(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     """Write each bucket's words; return the totals that the model needs."""
     rows = []
@@ -281,7 +288,7 @@ def train(docs: DataFrame, text_col: str) -> Model:
     buckets = max(8, -(-total // BUCKET))
     folder = scratch_path(spark, "kneser-ney")
     packed = lambda names: "bucket int, " + ", ".join(f"{c} binary" for c in names)
-    by = lambda df: df.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    by = lambda df: df.repartition(-(-buckets // SPREAD), "bucket").sortWithinPartitions("bucket")
     pairs = rows.mapInArrow(lambda b: _count_pairs(b, often, buckets), packed(["prev", "word", "n"]))
     words = by(pairs).mapInArrow(lambda b: _add_pairs(b, folder, buckets), packed(_STATS))
     meta = by(words).mapInArrow(lambda b: _add_words(b, folder), _META).collect()  # two rows a bucket
@@ -350,9 +357,10 @@ class Lookup:
         return self._texts
 
 
+@frees
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     lookup = Lookup(model)
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", SCORED_BYTES):
         prev, token, bounds = token_stream(batch)
         score, base, count = lookup.log_probs(prev, token)
         starts, n = bounds[:-1], np.diff(bounds)

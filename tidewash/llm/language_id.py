@@ -36,11 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import buffers, sliced, written
+from tidewash.llm.common import buffers, frees, hash_share, sliced, written
 
 UNKNOWN = "und"
 #: Labelled rows per language, and bytes of each, that the trigram model is trained on.
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 20_000
+#: Labels that the model may have, the most frequent ones.
+MOST_LANGUAGES = 64
 SLOTS = 1 << 16
 #: Share of a language's probability that is spread over all trigrams.
 UNSEEN = 0.1
@@ -70,6 +72,7 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return slot[keep].astype(np.int64), text[:-2][keep]
 
 
+@frees
 def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text"):
         labels = batch.column("label").to_pylist()
@@ -92,8 +95,12 @@ def train(labelled: DataFrame, text_col: str, label_col: str, languages: list[st
     rows = rows.where(F.col("text").isNotNull() & F.col("label").isNotNull())
     if languages:
         rows = rows.where(F.col("label").isin(languages))
+    often = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect()
+    keep = F.lit(False)
+    for r in often:
+        keep = keep | ((F.col("label") == r["label"]) & hash_share(F.col("text"), sample_rows, r["count"]))
     nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("text"), "text"))
-    sample = rows.withColumn("nth", nth).where(F.col("nth") <= sample_rows).select("label", "text")
+    sample = rows.where(keep).withColumn("nth", nth).where(F.col("nth") <= sample_rows).select("label", "text")
     counts = (sample.mapInArrow(_slot_counts, "label string, slot int, n long")
               .groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow().to_pydict())  # <= labels x SLOTS rows
     names = sorted(set(counts["label"]))
@@ -106,6 +113,7 @@ def train(labelled: DataFrame, text_col: str, label_col: str, languages: list[st
     return names, log_p.astype(np.float32)
 
 
+@frees
 def _text_evidence(batches: Iterator[pa.RecordBatch], log_p: np.ndarray, markup: bool) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text"):
         if markup:
@@ -171,6 +179,7 @@ def _mark_table(rows: DataFrame, mark: str, n: int) -> np.ndarray:
     return np.log(table / (table.sum(axis=0) - 0.5 * (MARK_SLOTS - used)))
 
 
+@frees
 def _fused(batches: Iterator[pa.RecordBatch], names: list[str], tables: dict[str, np.ndarray],
            base: np.ndarray, accepted: set[str]) -> Iterator[pa.RecordBatch]:
     n = len(base)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import buffers, sliced
+from tidewash.llm.common import buffers, frees, sliced
 from tidewash.llm.words import ALNUM, mix, shingles, word_hashes
 
 SHINGLE = 5
@@ -122,6 +122,7 @@ class Catalogue:
         return out
 
 
+@frees
 def _scanned(batches: Iterator[pa.RecordBatch], catalogue: Catalogue) -> Iterator[pa.RecordBatch]:
     match = pa.struct([("license", pa.string()), ("template", pa.int32()), ("first_word", pa.int64()),
                        ("n_words", pa.int64()), ("containment", pa.float64())])

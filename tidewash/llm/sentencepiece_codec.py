@@ -20,6 +20,7 @@ names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import struct
@@ -31,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import sliced
+from tidewash.llm.common import frees, sliced
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Chunks that a task remembers; then it starts anew.
-CACHE_CHUNKS = 1 << 18
+CACHE_CHUNKS = 1 << 17
 #: Threads of a task's encoder.
 THREADS = 2
 
@@ -125,8 +126,8 @@ class Model:
         return [(a, b) for *_, a, b in sorted(out)]
 
 
-def build(model: Model):
-    """(tokenizer of whole texts, tokenizer of chunks)."""
+def build(model: Model, whole: bool = True):
+    """The tokenizer of whole texts, or that of chunks."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
     def core():
@@ -143,14 +144,14 @@ def build(model: Model):
     if model.dummy_prefix:
         steps.append(normalizers.Prepend(MARK))
     steps.append(normalizers.Replace(" ", MARK))
-    after = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-    whole, chunk = Tokenizer(core()), Tokenizer(core())
-    whole.normalizer = normalizers.Sequence(steps)
-    if model.splittable():
-        whole.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "isolated")
-    whole.decoder = decoders.Sequence(after + ([decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []))
-    chunk.decoder = decoders.Sequence(after)
-    return whole, chunk
+    out = Tokenizer(core())
+    if whole:
+        out.normalizer = normalizers.Sequence(steps)
+        if model.splittable():
+            out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "isolated")
+    strip = [decoders.Strip(" ", 1, 0)] if whole and model.dummy_prefix else []
+    out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *strip])
+    return out
 
 
 class Codec:
@@ -162,15 +163,24 @@ class Codec:
         import sentencepiece
 
         self.model = Model.parse(data)
-        self.whole, self.chunk = build(self.model)
+        self.chunk = build(self.model, whole=False)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.plain = not self.model.charsmap and not self.model.remove_extra_spaces
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if self.model.splittable() else None
         self.limit = cache_chunks
+        self.forget()
+        self.bytes_of = [self._piece_bytes(p, kind) for p, _, kind in self.model.pieces]
+
+    @functools.cached_property
+    def whole(self):
+        """The tokenizer of whole texts."""
+        return build(self.model)
+
+    def forget(self) -> None:
+        """Drop the chunks seen so far."""
         self.ids: dict[str, bytes] = {}
         self.differs: set[str] = set()
         self.lossy: set[str] = set()
-        self.bytes_of = [self._piece_bytes(p, kind) for p, _, kind in self.model.pieces]
 
     @staticmethod
     def _piece_bytes(piece: str, kind: int) -> bytes:
@@ -208,7 +218,7 @@ class Codec:
         cut = [self.chunks(t or "") for t in texts]
         new = list({c for chunks in cut for c in set(chunks) if c not in self.ids})
         if len(self.ids) + len(new) > self.limit:
-            self.ids, self.differs, self.lossy = {}, set(), set()
+            self.forget()
             new = list({c for chunks in cut for c in chunks})
         if new:
             self.learn(new)
@@ -235,8 +245,10 @@ def _codec(data: bytes, threads: int) -> Codec:
     return _CODECS[key]
 
 
+@frees
 def _encoded(batches: Iterator[pa.RecordBatch], data: bytes, threads: int) -> Iterator[pa.RecordBatch]:
     codec = _codec(data, threads)
+    codec.forget()
     for batch in sliced(batches, "text", 1 << 20):
         found = codec.encode(batch.column("text").to_pylist())
         ids = np.frombuffer(b"".join(x for x, _, _ in found), "<i4")
@@ -247,8 +259,10 @@ def _encoded(batches: Iterator[pa.RecordBatch], data: bytes, threads: int) -> It
              pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids)),
              pa.array([p for _, p, _ in found]), pa.array([r for *_, r in found])],
             [*(c for c in batch.schema.names if c != "text"), "n_tokens", "ids", "parity", "round_trip"])
+    codec.forget()
 
 
+@frees
 def _decoded(batches: Iterator[pa.RecordBatch], data: bytes, threads: int) -> Iterator[pa.RecordBatch]:
     codec = _codec(data, threads)
     for batch in batches:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import BLOCK_BYTES, buffers, doc_key, release, sliced, written
+from tidewash.llm.common import BLOCK_BYTES, buffers, doc_key, frees, release, sliced, written
 from tidewash.llm.words import _powers, mix
 
 LENGTH, GRAM = 400, 64
@@ -138,6 +138,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> d
 _SEGMENT = "id long, key binary, low long, high long, off int, anchor long, s1 long, s2 long"
 
 
+@frees
 def _segment_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text"):
         raw, offsets = buffers(batch.column("text"))
@@ -214,6 +215,7 @@ def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       ["key", "low", "high"])
 
 
+@frees
 def _sorted_groups(batches: Iterator[pa.RecordBatch], length: int, first: bool) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by anchor and position; whole anchors are sorted together."""
     def solved(rows):
@@ -237,6 +239,7 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch], length: int, first: bool)
         yield solved(held + group)
 
 
+@frees
 def _window_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The windows of segments, by the 128-bit hash of their bytes."""
     for batch in batches:
@@ -292,6 +295,7 @@ def repeated_spans(docs: DataFrame, length: int, gram: int, first: bool, group:
     return whole.unionByName(small).unionByName(large)
 
 
+@frees
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge each text's ranges and cut them out."""
     for batch in batches:
