@@ -34,13 +34,13 @@ class Brute:
             self.follow[h][min(n, 3)] += 1
         of = lambda values: [sum(x == k for x in values) for k in (1, 2, 3, 4)]
         self.d2, self.d1 = kn.discounts(*of(self.pair.values())), kn.discounts(*of(self.left.values()))
+        self.floor = sum(self.d1[min(x, 3)] for x in self.left.values()) / max(1, len(self.pair))
 
     def p_word(self, w):
         pairs = len(self.pair)
         if not pairs:
             return 1 / (self.v + 1)
-        floor = sum(self.d1[min(x, 3)] for x in self.left.values()) / pairs
-        return max(self.left[w] - self.d1[min(self.left[w], 3)], 0) / pairs + floor / (self.v + 1)
+        return max(self.left[w] - self.d1[min(self.left[w], 3)], 0) / pairs + self.floor / (self.v + 1)
 
     def p(self, h, w):
         if not self.total[h]:
