@@ -20,17 +20,21 @@ def _star(pairs: DataFrame) -> DataFrame:
             .join(least, ["u", "salt"]))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b: long); label: the smallest node.
 
+    With ``rounds``, stop after so many: nodes with one label are connected then, but
+    connected nodes may still have different labels.
+
     Each round links nodes to their smallest neighbours (large star: larger neighbours;
     small star: smaller ones) and is written; it ends when a round changes nothing.
     The number of rounds grows with the logarithm of the longest chain.
     """
     current = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                       .where("u <> v").distinct(), "edges")
-    seen = None
-    while not current.isEmpty():
+    seen, done = None, 0
+    while done != rounds and not current.isEmpty():
+        done += 1
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         hub = _star(large)
@@ -43,5 +47,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-    return current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")).unionByName(
-        current.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+    both = current.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
+        current.select(F.col("v").alias("node"), F.col("v").alias("label")))
+    return both.groupBy("node").agg(F.min("label").alias("label"))

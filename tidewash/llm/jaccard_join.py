@@ -55,7 +55,10 @@ FREQUENT = 1 << 20
 #: Cost of verifying a shingle of a candidate, against one entry of a posting list.
 VERIFY_COST = 0.05
 #: Members of a posting list that its other members meet in a turn, and turns.
-HUBS, TURNS = 16, 3
+HUBS, TURNS = 16, 2
+#: Rounds of component search in a turn.  Labels that are not final only leave more pairs
+#: to the next step; the last search runs to the end.
+LABEL_ROUNDS = 2
 #: Posting lists of this length and more are dealt among SALTS tasks.
 LONG_LIST, SALTS = 1000, 16
 #: Slots of the bitmap of documents whose whole sets are needed (2 MB).
@@ -260,7 +263,7 @@ def _links(docs: DataFrame, post: DataFrame, size: int, num: int, den: int) -> D
             break
         linked = _verified(docs, pairs, facts, size, num, den)
         tried, edges = (pairs, linked) if turn == 0 else (tried.unionByName(pairs), edges.unionByName(linked))
-        label = components(edges)
+        label = components(edges, LABEL_ROUNDS)
         release(lists)
 
     # What is left: all pairs across components.  Each shared list gives a pair once, so
