@@ -12,6 +12,15 @@ Jaccard similarity j with a window's set, it is retrieved with probability
 Verification: a template is found in a text if some window holds at least 0.8 of its
 distinct shingles, counted exactly.
 
+Settling (``licenses``): templates of different licenses that were verified on the same
+words compete, since they may differ in one deciding word.  Each verified template is
+placed at its tightest runs of words.  Of two that need the same words the one with the
+larger share of its own shingles, those that the other lacks, is found; then the one with
+the larger containment.  A template wholly inside another gives way if four fifths of the
+other's own shingles are there.  If neither has any of its own shingles and their
+containment is the same, the text names another license than both, and neither is found.
+``scan`` gives the verified templates as they are.
+
 The catalogue is a small parameter (``MAX_TEMPLATES``), so its bands go to the tasks;
 texts stay where they are read and nothing is shuffled.
 
@@ -22,8 +31,11 @@ an empty table gives an empty result; other columns are ignored, whatever their
 
 from __future__ import annotations
 
+import bisect
 from collections import defaultdict
 from collections.abc import Iterator
+from fractions import Fraction
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +84,16 @@ def min_hashes(tokens: np.ndarray) -> np.ndarray:
     return np.array([mix(tokens ^ s).min() for s in _SEEDS], np.uint64)
 
 
+class Place(NamedTuple):
+    """A template in a text: its first and last shingle's place, all of them, and its containment."""
+
+    template: int
+    first: int
+    last: int
+    at: np.ndarray
+    containment: float
+
+
 class Catalogue:
     """Templates by size class, their bands and all their shingles."""
 
@@ -79,7 +101,7 @@ class Catalogue:
         if len(templates) > MAX_TEMPLATES:
             raise ValueError(f"at most {MAX_TEMPLATES} templates")
         self.ids = [name for name, _ in templates]
-        self.sets, self.classes = [], defaultdict(list)
+        self.sets, self.words, self.classes = [], [], defaultdict(list)
         self.bands: dict[int, dict[tuple[int, int], list[int]]] = defaultdict(lambda: defaultdict(list))
         for k, (name, text) in enumerate(templates):
             data = np.frombuffer(text.encode(), np.uint8)
@@ -88,6 +110,7 @@ class Catalogue:
                 raise ValueError(f"template of {name} has fewer than {SHINGLE} words")
             tokens = np.unique(shingles(hashes, bounds, SHINGLE)[0])
             self.sets.append(tokens)
+            self.words.append(len(hashes))
             span = 8  # size classes: 8, 16, 32, ... words
             while span < SLACK * len(hashes):
                 span *= 2
@@ -96,6 +119,8 @@ class Catalogue:
                 self.bands[span][band, int(h)].append(k)
         self.bands = {span: dict(x) for span, x in self.bands.items()}
         self.classes = dict(self.classes)
+        self.span = {k: span for span, x in self.classes.items() for k in x}
+        self.own: dict[tuple[int, int], np.ndarray] = {}
         self.known = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, np.uint64)
 
     def scan(self, tokens: np.ndarray) -> list[tuple[int, int, int, float]]:
@@ -121,9 +146,88 @@ class Catalogue:
                         out.append((k, first, min(2 * span, len(tokens) + SHINGLE - 1 - first), common / len(self.sets[k])))
         return out
 
+    def lacking(self, a: int, b: int) -> np.ndarray:
+        """Shingles of template ``a`` that ``b`` lacks."""
+        if (a, b) not in self.own:
+            self.own[a, b] = np.setdiff1d(self.sets[a], self.sets[b], assume_unique=True)
+        return self.own[a, b]
+
+    def places(self, k: int, tokens: np.ndarray) -> list[Place]:
+        """The disjoint tightest runs of a text that hold a template: as long as its words and
+        the slack at most, then, of the rest, as long as a window."""
+        at = np.flatnonzero(np.isin(tokens, self.sets[k])).tolist()
+        mine = tokens[at].tolist()
+        need = NUM * len(self.sets[k])
+        runs = []
+        for wide, most in enumerate((int(SLACK * self.words[k]), 2 * self.span[k])):
+            count: dict[int, int] = defaultdict(int)
+            left, distinct = 0, 0
+            for right, token in enumerate(mine):
+                distinct += not count[token]
+                count[token] += 1
+                while at[right] - at[left] > most - SHINGLE or count[mine[left]] > 1:
+                    count[mine[left]] -= 1
+                    distinct -= not count[mine[left]]
+                    left += 1
+                if DEN * distinct >= need:
+                    runs.append((wide, -distinct, at[right] - at[left], at[left], left, right))
+        out: list[Place] = []
+        first: list[int] = []  # of the taken runs, in order, and their ends
+        last: list[int] = []
+        for _, n, _, start, i, j in sorted(runs):
+            x = bisect.bisect_left(last, start)
+            if x < len(first) and first[x] <= at[j]:
+                continue
+            first.insert(x, start)
+            last.insert(x, at[j])
+            out.append(Place(k, start, at[j], np.array(at[i:j + 1]), -n / len(self.sets[k])))
+        return out
+
+    def _beats(self, a: Place, b: Place, tokens: np.ndarray) -> bool:
+        """``b`` needs words of ``a``, and ``a`` has the better claim to them or the same empty one."""
+        rest = np.setdiff1d(b.at, a.at, assume_unique=True)
+        if len(rest) == len(b.at) or DEN * len(np.unique(tokens[rest])) >= NUM * len(self.sets[b.template]):
+            return False
+
+        def claim(x: Place, y: Place) -> tuple[Fraction, float]:
+            own = self.lacking(x.template, y.template)
+            there = len(np.intersect1d(tokens[x.at], own))
+            return Fraction(there, len(own)) if len(own) else Fraction(NUM, DEN), x.containment
+
+        mine, other = claim(a, b), claim(b, a)
+        return mine > other or mine == other and not mine[0]
+
+    def settle(self, tokens: np.ndarray, hits: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+        """The ``hits`` of a text whose templates stand against those of other licenses."""
+        found = sorted({k for k, *_ in hits})
+        if len({self.ids[k] for k in found}) < 2:
+            return hits
+        places = sorted((p for k in found for p in self.places(k, tokens)), key=lambda p: (p.first, p.last, p.template))
+        beaten_by: dict[int, set[int]] = {i: set() for i in range(len(places))}
+        open_ones: list[int] = []
+        for i, p in enumerate(places):
+            open_ones = [j for j in open_ones if places[j].last >= p.first]
+            for j in open_ones:
+                if self.ids[places[j].template] != self.ids[p.template]:
+                    if self._beats(places[j], p, tokens):
+                        beaten_by[i].add(j)
+                    if self._beats(p, places[j], tokens):
+                        beaten_by[j].add(i)
+            open_ones.append(i)
+        stand: set[int] = set()
+        left = set(beaten_by)
+        # Only what stands beats; what is left in the end are equal empty claims.
+        while new := {i for i in left if not beaten_by[i] & left}:
+            stand |= new
+            left = {i for i in left - new if not beaten_by[i] & new}
+        runs = defaultdict(list)
+        for i in stand:
+            runs[places[i].template].append((places[i].first, places[i].last))
+        return [h for h in hits if any(a < h[1] + h[2] and b >= h[1] for a, b in runs[h[0]])]
+
 
 @frees
-def _scanned(batches: Iterator[pa.RecordBatch], catalogue: Catalogue) -> Iterator[pa.RecordBatch]:
+def _scanned(batches: Iterator[pa.RecordBatch], catalogue: Catalogue, settled: bool) -> Iterator[pa.RecordBatch]:
     match = pa.struct([("license", pa.string()), ("template", pa.int32()), ("first_word", pa.int64()),
                        ("n_words", pa.int64()), ("containment", pa.float64())])
     for batch in sliced(batches, "text"):
@@ -132,20 +236,31 @@ def _scanned(batches: Iterator[pa.RecordBatch], catalogue: Catalogue) -> Iterato
         words = np.diff(bounds)
         found = []
         for i, n in enumerate(words):
-            hits = catalogue.scan(sh[sb[i]:sb[i + 1]]) if n >= SHINGLE else []
+            tokens = sh[sb[i]:sb[i + 1]]
+            hits = catalogue.scan(tokens) if n >= SHINGLE else []
+            hits = catalogue.settle(tokens, hits) if settled else hits
             found.append([{"license": catalogue.ids[k], "template": k, "first_word": a, "n_words": b, "containment": c}
                           for k, a, b, c in hits])
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(words, pa.int64()), pa.array(found, pa.list_(match))],
                                          ["id", "n_words", "matches"])
 
 
-def scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
-    """One row per input row: id, n_words, licenses (sorted ids found) and matches (license,
-    template number, window's first word and words, containment)."""
+def _found(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]] | None, settled: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Catalogue(TEMPLATES if templates is None else templates))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = rows.mapInArrow(
-        lambda b: _scanned(b, shared.value),
+        lambda b: _scanned(b, shared.value, settled),
         "id long, n_words long, matches array<struct<license:string,template:int,first_word:bigint,n_words:bigint,"
         "containment:double>>")
     return found.select("id", "n_words", F.array_sort(F.array_distinct("matches.license")).alias("licenses"), "matches")
+
+
+def scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
+    """One row per input row: id, n_words, licenses (sorted ids found) and matches (license,
+    template number, window's first word and words, containment)."""
+    return _found(docs, id_col, text_col, templates, settled=False)
+
+
+def licenses(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
+    """As ``scan``, with competing templates settled: the licenses that a text names."""
+    return _found(docs, id_col, text_col, templates, settled=True)

@@ -146,7 +146,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+    return license_scan.licenses(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
 @query
