@@ -75,12 +75,17 @@ def frees(f: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[
     return run
 
 
+def share_limit(wanted: int, total: int) -> int:
+    """The largest 64-bit hash of about four times ``wanted`` of ``total`` rows."""
+    share = min(1.0, 4 * max(wanted, 25) / max(total, 1))
+    return int(-(2 ** 63) + share * (2 ** 64 - 1024)) if share < 1 else 2 ** 63 - 1
+
+
 def hash_share(c: Column, wanted: int, total: int) -> Column:
     """Keeps rows by a hash of ``c``, about four times ``wanted`` of ``total``: all rows with
     the smallest ``wanted`` hashes are among them, but for odds of less than 1 in 10**40 at a hundred.
     So a bounded sample moves a bounded number of rows, however many tasks read the table."""
-    share = min(1.0, 4 * max(wanted, 25) / max(total, 1))
-    return F.xxhash64(c) <= F.lit(int(-(2 ** 63) + share * (2 ** 64 - 1024)) if share < 1 else 2 ** 63 - 1)
+    return F.xxhash64(c) <= F.lit(share_limit(wanted, total))
 
 
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,8 @@ is at least ``MIN_POSTERIOR``.
 Defined cases: null or empty text is no evidence for any language, so the row is judged
 by its other marks but is never accepted; null marks are a value of their own; a null
 host has no prior of its own; repeated rows count as rows; an empty table gives an empty
-result; other columns are ignored, whatever their names.
+result; other columns are ignored, whatever their names.  Every label with rows is a
+language of the model; above ``MAX_LANGUAGES`` of them training is an error.
 """
 
 from __future__ import annotations
@@ -36,14 +37,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import buffers, frees, hash_share, sliced, written
+from tidewash.llm.common import buffers, frees, release, share_limit, sliced, written
 
 UNKNOWN = "und"
 #: Labelled rows per language, and bytes of each, that the trigram model is trained on.
 SAMPLE_ROWS, SAMPLE_BYTES = 400, 20_000
-#: Labels that the model may have, the most frequent ones.
-MOST_LANGUAGES = 64
 SLOTS = 1 << 16
+#: Labels that the model may have: its table takes 262 MB of every worker then.  More are an error.
+MAX_LANGUAGES = 1000
+#: Labels whose counts come to the driver at once (<= 84 MB), and values of a task's lists at once.
+LABELS_AT_ONCE, BLOCK_VALUES = 64, 640_000
 #: Share of a language's probability that is spread over all trigrams.
 UNSEEN = 0.1
 #: A text's trigrams weigh as this many independent ones at most.
@@ -72,6 +75,14 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return slot[keep].astype(np.int64), text[:-2][keep]
 
 
+def _rows_at_once(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Record batches with at most ``BLOCK_VALUES`` values in a list column of ``n`` a row."""
+    step = max(1, BLOCK_VALUES // n)
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 @frees
 def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches, "text"):
@@ -95,27 +106,41 @@ def train(labelled: DataFrame, text_col: str, label_col: str, languages: list[st
     rows = rows.where(F.col("text").isNotNull() & F.col("label").isNotNull())
     if languages:
         rows = rows.where(F.col("label").isin(languages))
-    often = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect()
-    keep = F.lit(False)
-    for r in often:
-        keep = keep | ((F.col("label") == r["label"]) & hash_share(F.col("text"), sample_rows, r["count"]))
+    spark = labelled.sparkSession
+    sizes = rows.groupBy("label").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labels in {label_col}: choose some with `languages`")
+    most = spark.createDataFrame([(r["label"], share_limit(sample_rows, r["count"])) for r in sizes], "label string, most long")
+    keep = rows.join(F.broadcast(most), "label").where(F.xxhash64("text") <= F.col("most"))
     nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("text"), "text"))
-    sample = rows.where(keep).withColumn("nth", nth).where(F.col("nth") <= sample_rows).select("label", "text")
-    counts = (sample.mapInArrow(_slot_counts, "label string, slot int, n long")
-              .groupBy("label", "slot").agg(F.sum("n").alias("n")).toArrow().to_pydict())  # <= labels x SLOTS rows
-    names = sorted(set(counts["label"]))
-    table = np.zeros((len(names) + 1, SLOTS))
-    row = {x: i for i, x in enumerate(names)}
-    np.add.at(table, ([row[x] for x in counts["label"]], counts["slot"]), counts["n"])
-    total = np.maximum(table.sum(axis=1, keepdims=True), 1)
-    log_p = np.log((1 - UNSEEN) * table / total + UNSEEN / SLOTS)
-    log_p[-1] = -np.log(SLOTS)  # the unknown: flat odds
-    return names, log_p.astype(np.float32)
+    sample = keep.withColumn("nth", nth).where(F.col("nth") <= sample_rows).select("label", "text")
+    counts = sample.mapInArrow(_slot_counts, "label string, slot int, n long").groupBy("label", "slot").agg(F.sum("n").alias("n"))
+    labels = sorted(r["label"] for r in sizes)
+    if len(labels) > LABELS_AT_ONCE:
+        counts = written(counts, "language-counts")
+    names: list[str] = []
+    log_p = np.empty((len(labels) + 1, SLOTS), np.float32)
+    for at in range(0, len(labels), LABELS_AT_ONCE):
+        some = labels[at:at + LABELS_AT_ONCE]
+        got = counts.where(F.col("label").isin(some)).toArrow()  # <= LABELS_AT_ONCE x SLOTS rows
+        label = got.column("label").to_numpy(zero_copy_only=False) if got.num_rows else np.zeros(0, object)
+        slot, n = got.column("slot").to_numpy(), got.column("n").to_numpy()
+        for x in some:
+            mine = label == x
+            if mine.any():
+                row = np.zeros(SLOTS)
+                row[slot[mine]] = n[mine]
+                log_p[len(names)] = np.log((1 - UNSEEN) * row / row.sum() + UNSEEN / SLOTS)
+                names.append(x)
+    if len(labels) > LABELS_AT_ONCE:
+        release(counts)
+    log_p[len(names)] = -np.log(SLOTS)  # the unknown: flat odds
+    return names, log_p[:len(names) + 1]
 
 
 @frees
 def _text_evidence(batches: Iterator[pa.RecordBatch], log_p: np.ndarray, markup: bool) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text"):
+    for batch in _rows_at_once(sliced(batches, "text"), len(log_p)):
         if markup:
             batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(
                 [visible_text(t) for t in batch.column("text").to_pylist()], pa.string()))
@@ -183,9 +208,7 @@ def _mark_table(rows: DataFrame, mark: str, n: int) -> np.ndarray:
 def _fused(batches: Iterator[pa.RecordBatch], names: list[str], tables: dict[str, np.ndarray],
            base: np.ndarray, accepted: set[str]) -> Iterator[pa.RecordBatch]:
     n = len(base)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _rows_at_once(batches, n):
         matrix = lambda c: np.array([x if x is not None else [0.0] * n for x in batch.column(c).to_pylist()]).reshape(-1, n)
         own = matrix("p")
         host, domain = np.maximum(matrix("host_c") - own, 0), np.maximum(matrix("domain_c") - own, 0)
