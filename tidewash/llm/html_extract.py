@@ -14,7 +14,9 @@ At most ``SAMPLE_PAGES`` pages, those with the smallest hashes, are used; the we
 (``SLOTS`` hashed features) are fitted by gradient steps on the chain's likelihood.
 
 Defined cases: null, empty and text-free pages give the empty text; markup inside
-scripts, styles, comments and the head is no text; unclosed and stray tags are allowed;
+scripts, styles, comments and the head is no text; formulas are text, their annotations
+are not; unclosed and stray tags are allowed: a head ends where the body or anything that
+it cannot hold starts, svg and math end at their end tag, slash or the next html block;
 white space (any Unicode white space, and line breaks) becomes one space; if no page is
 labelled, the untrained chain keeps nothing; repeated rows each get their text; an
 empty table gives an empty result; other columns are ignored, whatever their names.
@@ -44,8 +46,16 @@ BLOCKS = set("""address article aside blockquote body caption center dd details
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section
 summary table tbody td tfoot th thead tr ul""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("""head script style noscript template svg math iframe object canvas audio video select option datalist
-button textarea title""".split())
+HIDDEN = set("""head script style noscript template svg annotation annotation-xml iframe object canvas audio video select
+option datalist button textarea title""".split())
+#: What a head may hold; anything else ends it.
+HEAD = set("html head base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements of other languages, whose parts may close themselves, and the html tags that end them,
+#: but for inside the ``POINTS``.
+FOREIGN = {"svg", "math"}
+BREAKOUT = set("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing
+menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
+POINTS = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 #: An open element of the key is closed when one of the values starts.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
              "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
@@ -65,6 +75,8 @@ class Blocks(HTMLParser):
         self.linked = 0
         self.hidden = 0
         self.links = 0
+        self.heads = 0
+        self.foreign = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
@@ -77,8 +89,29 @@ class Blocks(HTMLParser):
         tag, _ = self.stack.pop()
         self.hidden -= tag in HIDDEN
         self.links -= tag == "a"
+        self.heads -= tag == "head"
+        self.foreign -= tag in FOREIGN
+
+    def _enter(self, tag: str) -> None:
+        """Close what the start of a tag ends without an end tag: the head, and svg or math."""
+        if self.heads and tag not in HEAD:
+            at = next(i for i, (x, _) in enumerate(self.stack) if x == "head")
+            if tag == "body" or at == len(self.stack) - 1:
+                while len(self.stack) > at:
+                    self._pop()
+        if self.foreign and tag in BREAKOUT:
+            for i in range(len(self.stack) - 1, -1, -1):
+                if self.stack[i][0] in POINTS:
+                    break
+                if self.stack[i][0] in FOREIGN:
+                    while len(self.stack) > i:
+                        self._pop()
+                    break
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._enter(tag)
+        if tag == "head" and any(x != "html" for x, _ in self.stack):
+            return
         if tag == "br":
             self.text.append(" ")
             return
@@ -100,9 +133,14 @@ class Blocks(HTMLParser):
         self.stack.append((tag, names))
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
+        self.heads += tag == "head"
+        self.foreign += tag in FOREIGN
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # as browsers do: the slash means nothing
+        if tag in FOREIGN:
+            self._enter(tag)
+        elif tag in BREAKOUT or not self.foreign:
+            self.handle_starttag(tag, attrs)  # as browsers do: the slash means nothing
 
     def handle_endtag(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -114,6 +152,8 @@ class Blocks(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1][0] == "head" and not data.isspace():
+            self._pop()
         if not self.hidden:
             self.text.append(data)
             if self.links:
@@ -122,7 +162,7 @@ class Blocks(HTMLParser):
 
 def tokens(value: str) -> list[str]:
     """Lower-case words of a class or id: ``siteNav-main`` has site, nav and main."""
-    return [t.lower() for t in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", value)][:12]
+    return [t.lower() for t in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", value)]
 
 
 def blocks(html: str | None) -> list[tuple[str, int, tuple]]:
