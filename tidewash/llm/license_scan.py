@@ -3,8 +3,8 @@
 Texts are cut into words ([0-9a-z] and non-ASCII letters after lower-casing A-Z) and
 overlapping windows: for each size class of templates, windows of twice the class's span
 at every span, so that a notice of up to a span's words lies whole in some window.
-A window's set are its five-word shingles that occur in any template; windows without
-one can hold no template and are not looked at further.
+A window's set are its five-word shingles that occur in any template of the class; windows
+with fewer than four fifths of the smallest one's can hold none and are not looked at further.
 
 Retrieval: ``BANDS`` bands of one min-hash each.  If a template's shingles have the
 Jaccard similarity j with a window's set, it is retrieved with probability
@@ -16,11 +16,15 @@ Settling (``licenses``): templates of different licenses that were verified on t
 words compete, since they may differ in one deciding word.  Each verified template is
 placed at its tightest runs of words.  Of two that need the same words the one with the
 larger share of its own shingles, those that the other lacks, is found; then the one with
-the larger containment.  A template wholly inside another gives way if four fifths of the
-other's own shingles are there.  If neither has any of its own shingles and their
+the larger containment.  A template wholly inside another gives way if more than half of
+the other's own shingles are there.  If neither has any of its own shingles and their
 containment is the same, the text names another license than both, and neither is found.
 ``scan`` gives the verified templates as they are.
 
+``licenses`` also reads SPDX lines (``SPDX-License-Identifier: MIT OR GPL-2.0-only``): they
+name licenses exactly, in the catalogue or not, and are no windows, so they have no match.
+Ids are taken as written, less "-only", "-or-later" and "+"; exceptions after WITH are left out.
+
 The catalogue is a small parameter (``MAX_TEMPLATES``), so its bands go to the tasks;
 texts stay where they are read and nothing is shuffled.
 
@@ -39,7 +43,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewash.llm.common import buffers, frees, sliced
@@ -53,7 +57,7 @@ MAX_TEMPLATES = 10_000
 #: Words that a notice may span, against its template's words.
 SLACK = 1.25
 
-#: License ids and the notices that are looked for.
+#: License ids and some short notices; ``license_texts`` has the whole catalogue.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
@@ -81,7 +85,7 @@ _SEEDS = np.random.default_rng(99).integers(1, 1 << 62, BANDS, dtype=np.uint64)
 
 def min_hashes(tokens: np.ndarray) -> np.ndarray:
     """BANDS min-hashes of a set of shingles."""
-    return np.array([mix(tokens ^ s).min() for s in _SEEDS], np.uint64)
+    return mix(tokens[None, :] ^ _SEEDS[:, None]).min(axis=1)
 
 
 class Place(NamedTuple):
@@ -121,22 +125,22 @@ class Catalogue:
         self.classes = dict(self.classes)
         self.span = {k: span for span, x in self.classes.items() for k in x}
         self.own: dict[tuple[int, int], np.ndarray] = {}
-        self.known = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, np.uint64)
+        self.known = {span: np.unique(np.concatenate([self.sets[k] for k in x])) for span, x in self.classes.items()}
+        # Windows with fewer places of shingles hold no template of the class.
+        self.least = {span: min(-(-NUM * len(self.sets[k]) // DEN) for k in x) for span, x in self.classes.items()}
 
     def scan(self, tokens: np.ndarray) -> list[tuple[int, int, int, float]]:
         """(template, first word, words, containment) of the matching windows of a text,
         given its shingles in order."""
-        if not len(self.known) or not len(tokens):
-            return []
-        at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
-        where = np.flatnonzero(self.known[at] == tokens)
         out = []
-        for span, bands in self.bands.items():
+        for span, bands in self.bands.items() if len(tokens) else ():
+            known = self.known[span]
+            where = np.flatnonzero(known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens)
             # Window w holds the shingles that start in words [w * span, (w + 2) * span - SHINGLE].
             for w in sorted({int(x) // span - d for x in where for d in (0, 1)} - {-1}):
                 first, last = w * span, (w + 2) * span - SHINGLE + 1
                 inside = where[np.searchsorted(where, first):np.searchsorted(where, last)]
-                if not len(inside):
+                if len(inside) < self.least[span]:
                     continue
                 mine = np.unique(tokens[inside])
                 near = {k for band, h in enumerate(min_hashes(mine)) for k in bands.get((band, int(h)), ())}
@@ -192,7 +196,7 @@ class Catalogue:
         def claim(x: Place, y: Place) -> tuple[Fraction, float]:
             own = self.lacking(x.template, y.template)
             there = len(np.intersect1d(tokens[x.at], own))
-            return Fraction(there, len(own)) if len(own) else Fraction(NUM, DEN), x.containment
+            return Fraction(there, len(own)) if len(own) else Fraction(1, 2), x.containment
 
         mine, other = claim(a, b), claim(b, a)
         return mine > other or mine == other and not mine[0]
@@ -241,18 +245,32 @@ def _scanned(batches: Iterator[pa.RecordBatch], catalogue: Catalogue, settled: b
             hits = catalogue.settle(tokens, hits) if settled else hits
             found.append([{"license": catalogue.ids[k], "template": k, "first_word": a, "n_words": b, "containment": c}
                           for k, a, b, c in hits])
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(words, pa.int64()), pa.array(found, pa.list_(match))],
-                                         ["id", "n_words", "matches"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array(words, pa.int64()), batch.column("spdx"), pa.array(found, pa.list_(match))],
+            ["id", "n_words", "spdx", "matches"])
+
+
+def spdx_ids(text: Column) -> Column:
+    """License ids of a text's SPDX lines, in order."""
+    one = r"\(*[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?\)*"
+    lines = F.regexp_extract_all(text, F.lit(
+        rf"(?i:SPDX-License-Identifier):[ \t]*({one}(?:[ \t]+(?:(?i:AND|OR|WITH))[ \t]+{one})*)"), F.lit(1))
+    ids = F.flatten(F.transform(lines, lambda x: F.split(
+        F.regexp_replace(F.regexp_replace(x, r"(?i)[ \t]+WITH[ \t]+[^ \t]+", ""), "[()]", ""), r"(?i)[ \t]+(?:AND|OR)[ \t]+")))
+    return F.transform(ids, lambda x: F.regexp_replace(x, r"(?i)(-only|-or-later|\+)$", ""))
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]] | None, settled: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Catalogue(TEMPLATES if templates is None else templates))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    named = F.coalesce(spdx_ids(text), F.array().cast("array<string>")) if settled else F.array().cast("array<string>")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), named.alias("spdx"))
     found = rows.mapInArrow(
         lambda b: _scanned(b, shared.value, settled),
-        "id long, n_words long, matches array<struct<license:string,template:int,first_word:bigint,n_words:bigint,"
-        "containment:double>>")
-    return found.select("id", "n_words", F.array_sort(F.array_distinct("matches.license")).alias("licenses"), "matches")
+        "id long, n_words long, spdx array<string>, matches array<struct<license:string,template:int,first_word:bigint,"
+        "n_words:bigint,containment:double>>")
+    return found.select("id", "n_words", F.array_sort(F.array_distinct(F.concat("matches.license", "spdx"))).alias("licenses"),
+                        "matches")
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -262,5 +280,5 @@ def scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str,
 
 
 def licenses(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
-    """As ``scan``, with competing templates settled: the licenses that a text names."""
+    """As ``scan``, with competing templates settled and SPDX lines read: the licenses that a text names."""
     return _found(docs, id_col, text_col, templates, settled=True)

@@ -15,6 +15,7 @@ from tidewash.llm import (
     kneser_ney,
     language_id,
     license_scan,
+    license_texts,
     sentencepiece_codec,
     sharding,
     suffix_dedup,
@@ -146,7 +147,8 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.licenses(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.licenses(docs, "doc_id", "text", license_texts.catalogue()).withColumnRenamed("id", "doc_id")
 
 
 @query
