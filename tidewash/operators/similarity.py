@@ -22,6 +22,8 @@ Scale notes:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -305,26 +307,47 @@ def near_dup_pairs_edit(df: DataFrame, id_col: str, text_col: str, threshold=0.8
             .select("id_a", "id_b", "n_common", "n_union", "edit_distance", "edit_ratio"))
 
 
+def band_shape(threshold, loss: float = 1e-9, most: int = 32) -> tuple[int, int]:
+    """(bands, min-hashes in a band) that miss a pair at the threshold with odds of at most ``loss``.
+
+    A band holds as many as need ``most`` bands at most; higher similarities are missed less."""
+    t = float(as_fraction(threshold))
+    if t >= 1:
+        return 1, 1
+    need = lambda r: math.ceil(math.log(loss) / math.log1p(-t ** r))
+    r = 1
+    while r < 8 and need(r + 1) <= most:
+        r += 1
+    return need(r), r
+
+
 def near_dup_pairs_approx(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
-                          strict: bool = True, num_hash_tables: int = 8,
-                          num_features: int = 1 << 20, seed: int = 17) -> DataFrame:
-    """Approximate fallback: MLlib ``MinHashLSH`` candidates over hashed token
-    sets, then the same exact verification as ``near_dup_pairs``.
-
-    No false positives (every pair is verified on the real token sets), but
-    pairs can be missed: recall depends on ``num_hash_tables``.  Not the
-    oracle-checked path; use it when exact prefix filtering is too costly.
+                          strict: bool = True, num_hash_tables: int | None = None,
+                          seed: int = 17) -> DataFrame:
+    """Approximate fallback: candidates share one of several bands of seeded
+    min-hashes over 64-bit token hashes; then the same exact verification as
+    ``near_dup_pairs``.
+
+    Every pair that shares a band and passes the (exact) length filter is
+    verified on the real token sets, so there are no false positives and no
+    estimate drops a pair.  A pair above the threshold is missed only if it
+    shares no band: odds below 1e-9 with the default number of bands
+    (``band_shape``).  ``num_hash_tables`` sets another number of bands.
     """
-    from pyspark.ml.feature import HashingTF, MinHashLSH
-
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
     reps = materialize(set_representatives(token_sets(df, id_col, text_col)))
-    tf = HashingTF(inputCol="toks", outputCol="vec", numFeatures=num_features, binary=True)
-    vecs = tf.transform(reps.select("id", "toks"))
-    lsh = MinHashLSH(inputCol="vec", outputCol="hashes", numHashTables=num_hash_tables, seed=seed).fit(vecs)
-    max_dist = 1.0 - float(f)
-    joined = lsh.approxSimilarityJoin(vecs, vecs, max_dist, distCol="_dist")
-    cand = (joined.select(F.col("datasetA.id").alias("id_a"), F.col("datasetB.id").alias("id_b"))
-            .where(F.col("id_a") < F.col("id_b")).distinct())
+    bands, width = band_shape(threshold)
+    bands = num_hash_tables or bands
+    hashed = reps.select("id", "n", F.transform("toks", lambda t: F.xxhash64(t)).alias("_h"))
+    mins = hashed.select("id", "n", F.transform(
+        F.sequence(F.lit(seed), F.lit(seed + bands * width - 1)),
+        lambda s: F.array_min(F.transform("_h", lambda h: F.xxhash64(s, h)))).alias("_m"))
+    keys = materialize(mins.select("id", "n", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(bands - 1)),
+        lambda b: F.xxhash64(b, F.slice("_m", b * F.lit(width) + F.lit(1), width)))).alias("_band")))
+    a, b = keys.alias("a"), keys.alias("b")
+    near = F.least("a.n", "b.n") * F.lit(den) >= F.greatest("a.n", "b.n") * F.lit(num)
+    cand = (a.join(b, (F.col("a._band") == F.col("b._band")) & (F.col("a.id") < F.col("b.id")) & near)
+            .select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct())
     return _verify(cand, reps, num, den, strict)
