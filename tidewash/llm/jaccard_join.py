@@ -286,6 +286,12 @@ def similarity_classes(docs: DataFrame, id_col: str, text_col: str, shingle: int
     """One row per input row: id, key, n_shingles, component_id (smallest id reachable by
     links of Jaccard >= num/den over ``shingle``-word shingles) and class_size (rows with
     the same set)."""
+    return _classes(docs, id_col, text_col, shingle, num, den).drop("component")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int, den: int) -> DataFrame:
+    """The rows of ``similarity_classes`` and component, a number that the rows of one
+    component share and no others have, whatever their ids."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), doc_key(id_col, text_col).alias("key"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     spark = docs.sparkSession
@@ -315,27 +321,30 @@ def similarity_classes(docs: DataFrame, id_col: str, text_col: str, shingle: int
     joined = classes.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes"))
     grouped = written(joined.join(least, "label").where("rows > 1 or classes > 1")
-                      .select(*sig, "rows", "component_id"), "jaccard-components")
+                      .select(*sig, "rows", "component_id", "label"), "jaccard-components")
     release(classes, post)
     salted = grouped.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     out = profiles.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(
         salted, [*sig, "salt"], "left")
     return out.select("id", "key", F.col("n").alias("n_shingles"),
                       F.when(F.col("rows").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-                      F.coalesce("rows", F.lit(1)).cast("long").alias("class_size"))
+                      F.coalesce("rows", F.lit(1)).cast("long").alias("class_size"),
+                      F.coalesce("label", "row").alias("component"))
 
 
 def drop_similar(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, num: int = 4,
                  den: int = 5) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id.
+    """``docs`` with one row of each component: that with the smallest id (null ids last)
+    and, of several texts with that id, the smallest key.
 
     Rows without a set stay.  Of repeated rows one stays."""
-    found = similarity_classes(docs, id_col, text_col, shingle, num, den)
-    keep = written(found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("key").agg(
-        F.count(F.lit(1)).alias("__n"), F.max("n_shingles").alias("__size")).withColumnRenamed("key", "__key"),
-        "jaccard-keep")
+    found = _classes(docs, id_col, text_col, shingle, num, den)
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key", "class_size")).alias("first")
+    keep = written(found.groupBy("component").agg(first).select(
+        F.col("first.key").alias("__key"), (F.col("first.class_size") > 1).alias("__several")), "jaccard-keep")
     rows = docs.withColumn("__key", doc_key(id_col, text_col))
-    plain = rows.join(keep.where("__n = 1 or __size = 0"), "__key", "left_semi").select(docs.columns)
-    again = (rows.join(keep.where("__n > 1 and __size > 0"), "__key", "left_semi").groupBy("__key")
+    # Repeated rows have the same set, so only classes of several rows can hold any.
+    plain = rows.join(keep.where("not __several"), "__key", "left_semi").select(docs.columns)
+    again = (rows.join(keep.where("__several"), "__key", "left_semi").groupBy("__key")
              .agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*"))
     return plain.unionByName(again)
