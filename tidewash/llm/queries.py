@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewash.llm import (
+    chat_format,
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -168,3 +170,118 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: crc32 of short ASCII strings, bit by bit, as DuckDB has no such function.
+_SQL_CRC = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+  string_split({x}, ''), lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, v: xor(xor(c, v) >> 1, 3988292384::BIGINT * (xor(c, v) & 1))))"""
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_report(rows, "conv_id", "turn", "role", "text", present="present"
+                                             ).withColumnRenamed("id", "conv_id")
+
+
+ORACLES["op12_conversation_repair"] = """
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         """ + _SQL_CRC.format(x="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')") + """ % 20 AS how
+  FROM conversations),
+harmed AS (
+  SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN how = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM raw WHERE how <> 0),
+told AS (
+  SELECT conv_id, turn, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' END AS fault
+  FROM harmed),
+step(q, c, q2) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+ins(q, q2, cost, audit, lines) AS (VALUES
+  ('', '', 0, '', []), ('s', 's', 0, '', []), ('u', 'u', 0, '', []), ('a', 'a', 0, '', []),
+  ('', 'u', 3, 'I', ['user:']), ('s', 'u', 3, 'I', ['user:']), ('a', 'u', 3, 'I', ['user:']), ('u', 'a', 3, 'I', ['assistant:']),
+  ('', 'a', 6, 'II', ['user:', 'assistant:']), ('s', 'a', 6, 'II', ['user:', 'assistant:']),
+  ('a', 'a', 6, 'II', ['user:', 'assistant:']), ('u', 'u', 6, 'II', ['assistant:', 'user:'])),
+best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS q, {'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]} AS b FROM raw
+  UNION ALL
+  SELECT conv_id, i, e.q2, min({'cost': cost + e.cost, 'audit': audit || e.edit, 'lines': lines || e.line}) FROM (
+    SELECT best.conv_id, t.i, best.b.cost + ins.cost AS cost, best.b.audit || ins.audit AS audit, best.b.lines || ins.lines AS lines,
+           unnest([
+             {'ok': true, 'q2': ins.q2, 'cost': 4, 'edit': 'D', 'line': []::VARCHAR[]},
+             {'ok': coalesce(t.fault, '') NOT IN ('blank', 'duplicate') AND step.q2 IS NOT NULL, 'q2': coalesce(step.q2, ''),
+              'cost': CASE WHEN t.fault = 'truncated' THEN 3 ELSE 0 END, 'edit': 'K', 'line': [t.role || ':' || t.text]},
+             {'ok': coalesce(t.fault, '') NOT IN ('blank', 'duplicate'), 'q2': CASE WHEN ins.q2 = 'u' THEN 'a' ELSE 'u' END,
+              'cost': CASE WHEN t.fault = 'truncated' THEN 6 ELSE 3 END, 'edit': 'R',
+              'line': [CASE WHEN ins.q2 = 'u' THEN 'assistant' ELSE 'user' END || ':' || t.text]}]) AS e
+    FROM best JOIN ins ON ins.q = best.q
+    JOIN told t ON t.conv_id IS NOT DISTINCT FROM best.conv_id AND t.i = best.i + 1
+    LEFT JOIN step ON step.q = ins.q2 AND step.c = left(t.role, 1))
+  WHERE e.ok GROUP BY conv_id, i, e.q2),
+sizes AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) AS n,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated
+  FROM told GROUP BY 1),
+pairs AS (
+  SELECT conv_id, count(*) AS illegal FROM (
+    SELECT conv_id, left(role, 1) AS b, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS a FROM told)
+  WHERE a || b NOT IN ('su', 'ua', 'au') GROUP BY 1),
+answer AS (
+  SELECT best.conv_id, min({'cost': best.b.cost + ins.cost, 'audit': best.b.audit || ins.audit, 'lines': best.b.lines || ins.lines}) AS b
+  FROM best JOIN ins ON ins.q = best.q LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM best.conv_id
+  WHERE best.i = coalesce(s.n, 0) AND ins.q2 IN ('', 'a') GROUP BY 1)
+SELECT a.conv_id, coalesce(s.gaps, 0)::BIGINT AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate,
+       coalesce(s.truncated, 0) AS truncated, coalesce(p.illegal, 0) AS illegal, a.b.cost AS cost, a.b.audit AS audit,
+       sha256(array_to_string(a.b.lines, chr(10))) AS repaired_sha256
+FROM answer a LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN pairs p ON p.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+#: A conversation whose texts hold what templates use as marks.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+@query
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    added = spark.range(2).select(F.lit(-7).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(TRICKY))
+    rows = given.union(added).withColumn("parts", chat_format.text_part(F.col("text")))
+    out = chat_format.format_conversations(rows, "conv_id", "turn", "role", "parts")
+    turns = F.array_join(F.transform(chat_format.read_turns(F.col("formatted")), lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = out.select("*", chat_format.read_loss(F.col("formatted"), F.col("turns")).alias("learnt"))
+    return read.select(
+        F.col("id").alias("conv_id"), F.size(chat_format.read_turns(F.col("formatted"))).cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"), F.char_length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "n_tokens")
+
+
+def _sql_escaped(x: str) -> str:
+    for plain, mark in chat_format.ESCAPES:
+        x = f"replace({x}, '{plain}', '{mark}')"
+    return x
+
+
+_MARKS = len(chat_format.START + chat_format.BODY + chat_format.END)
+ORACLES["op13_chat_format"] = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length({_sql_escaped("role")}) + length({_sql_escaped("text")}) + {_MARKS})::BIGINT AS formatted_chars,
+       sum(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')))::BIGINT AS n_tokens
+FROM c GROUP BY 1
+"""
