@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewash.llm import (
     chat_format,
+    collocations,
     conversation_repair,
     decontaminate,
     exact_dedup,
@@ -285,3 +286,39 @@ SELECT conv_id, count(*) AS n_turns,
        sum(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')))::BIGINT AS n_tokens
 FROM c GROUP BY 1
 """
+
+
+@query
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"), "lang", "text")
+
+
+ORACLES["op11_phrase_mining"] = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+grams AS (
+  SELECT lang, w[i:i + k - 1] AS g, count(*) AS a FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS ks(k))
+  GROUP BY 1, 2),
+cand AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM grams WHERE len(g) > 1 AND a >= 10),
+cuts AS (
+  SELECT c.lang, c.g, c.a, c.k, x.a AS l, y.a AS r,
+         ((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cand c JOIN grams x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN grams y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, g, max(a) AS a FROM (
+    SELECT lang, g[1:2] AS g, a FROM scored WHERE len(g) = 3 UNION ALL SELECT lang, g[2:3], a FROM scored WHERE len(g) = 3)
+  GROUP BY 1, 2),
+kept AS (
+  SELECT s.* FROM scored s LEFT JOIN longer t ON t.lang = s.lang AND t.g = s.g
+  WHERE t.a IS NULL OR 100 * t.a < 50 * s.a),
+ranked AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
