@@ -253,10 +253,11 @@ def _levels(scored: DataFrame, depth: int | None) -> DataFrame:
     """(lang, level): the score of each language's pair at ``depth``, or 0 where there are fewer."""
     if depth is None:
         return scored.select("lang").distinct().withColumn("level", F.lit(0).cast("long"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"))
-    return (scored.select("lang", "score", F.row_number().over(order).alias("place")).where(F.col("place") <= depth)
-            .groupBy("lang").agg(F.min("score").alias("lowest"), F.count(F.lit(1)).alias("k"))
-            .select("lang", F.when(F.col("k") == depth, F.col("lowest")).otherwise(F.lit(0)).cast("long").alias("level")))
+    # scores are whole numbers up to SCALE, so the window sees so many rows a language at most
+    higher = Window.partitionBy("lang").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = scored.groupBy("lang", "score").agg(F.count(F.lit(1)).alias("k")).withColumn("reached", F.sum("k").over(higher))
+    return counts.groupBy("lang").agg(
+        F.coalesce(F.max(F.when(F.col("reached") >= depth, F.col("score"))), F.lit(0).cast("long")).alias("level"))
 
 
 def _expand(spark: SparkSession, texts: DataFrame, scored: DataFrame, levels: DataFrame, family: int, least: int,
