@@ -705,10 +705,29 @@ def q_jsonl_scan_strict(spark, sf):
     return back.select("doc_id", "lang", "source", F.md5("text").alias("text_md5"))
 
 
+@query("jsonl_scan_strict_refusals", """
+SELECT 'fine' AS kind, count(*) AS n_lines, 0 AS n_refused FROM documents
+UNION ALL SELECT 'two records', count(*), count(*) FROM documents
+UNION ALL SELECT 'text behind', count(*), count(*) FROM documents
+UNION ALL SELECT 'closing bracket', count(*), count(*) FROM documents""")
+def q_jsonl_scan_strict_refusals(spark, sf):
+    """What the strict reader's check of a line says of every document's line, and of the
+    line torn in three ways; the reader itself fails at the first refused line (see tests)."""
+    d = _doc_json_lines(spark, sf)
+    line = F.to_json(F.struct(*d.columns))
+    kinds = {"fine": line, "two records": F.concat(line, line), "text behind": F.concat(line, F.lit(' , "x": 1}')),
+             "closing bracket": F.concat(line, F.lit("] [1"))}
+    rows = d.select(F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in kinds.items()])))
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n_lines"),
+                                    F.count_if(~jsonl.one_json_value(F.col("value"))).alias("n_refused"))
+
+
 @query("jsonl_scan_tolerant", """
 SELECT doc_id, md5(text) AS text_md5, 'ok' AS status FROM documents
 UNION ALL SELECT doc_id, NULL, 'quarantine' FROM documents WHERE lang = 'de'
-UNION ALL SELECT -1, NULL, 'quarantine' FROM documents WHERE lang = 'es'""")
+UNION ALL SELECT -1, NULL, 'quarantine' FROM documents WHERE lang = 'es'
+UNION ALL SELECT doc_id, NULL, 'two records' FROM documents WHERE lang = 'fr'
+UNION ALL SELECT doc_id, NULL, 'text behind' FROM documents WHERE lang = 'fr'""")
 def q_jsonl_scan_tolerant(spark, sf):
     path = scratch_path(spark, "jsonl-tolerant")
     d = _doc_json_lines(spark, sf)
@@ -716,11 +735,15 @@ def q_jsonl_scan_tolerant(spark, sf):
     good = d.select(js.alias("value"))
     truncated = d.where(F.col("lang") == "de").select(F.substring(js, 1, 25).alias("value"))
     not_object = d.where(F.col("lang") == "es").select(F.to_json(F.array("text")).alias("value"))
-    good.unionByName(truncated).unionByName(not_object).write.text(path)
+    # a torn append: two records on one line, or one and the rest of another
+    twice = d.where(F.col("lang") == "fr").select(F.concat(js, js).alias("value"))
+    behind = d.where(F.col("lang") == "fr").select(F.concat(js, F.lit(" "), F.substring(js, 5, 1000)).alias("value"))
+    good.unionByName(truncated).unionByName(not_object).unionByName(twice).unionByName(behind).write.text(path)
     tagged, bad = jsonl.read_jsonl_tagged(spark, path, DOC_SCHEMA), F.col(jsonl.CORRUPT_COL).isNotNull()
     return tagged.select(F.when(bad, _id_from_raw(jsonl.CORRUPT_COL)).otherwise(F.col("doc_id")).alias("doc_id"),
                          F.when(~bad, F.md5("text")).alias("text_md5"),
-                         F.when(bad, "quarantine").otherwise("ok").alias("status"))
+                         F.when(~bad, "ok").when(F.contains(jsonl.CORRUPT_COL, F.lit("}{")), "two records")
+                         .when(F.contains(jsonl.CORRUPT_COL, F.lit("} ")), "text behind").otherwise("quarantine").alias("status"))
 
 
 def _id_from_raw(c):
@@ -837,18 +860,38 @@ def q_jsonl_sink_overwrite(spark, sf):
 # 7. Streaming.  The events table arrives as six event-time slices; each
 #    query runs twice (slices 0-2, then 3-5) on one checkpoint, so the second
 #    run resumes from the first run's state.
-def _replay(spark, sf, name, redeliver=None):
+def _replay(spark, sf, name, redeliver=None, late_us=None):
     from tidewash.streaming import ingest
 
     base = scratch_path(spark, name)
     events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    writers = ingest.write_arrivals(events, "ts", f"{base}/in", 6, redeliver)
+    writers = ingest.write_arrivals(events, "ts", f"{base}/in", 6, redeliver, late_us)
     return base, events.schema, writers
 
 
 LAST_STREAM_STATS: dict[str, list[dict]] = {}
 
 
+#: Later than every event by more than any delay below.
+STREAM_END = "2200-01-01 00:00:00"
+
+
+def _until_the_end(spark, base, schema, writers, build, **sink):
+    """Each slice arrives whole and is run on its own, then the stream ends: every run but
+    the first goes on from the state of the one before."""
+    from tidewash.streaming import ingest
+
+    ends = [*writers, lambda: ingest.end_mark(spark, f"{base}/in", schema, "ts", STREAM_END)]
+    stats_ = []
+    for part in (ends[:2], ends[2:4], ends[4:6], ends[6:]):
+        for w in part:
+            w()
+        stream = ingest.file_stream(spark, f"{base}/in", schema)
+        stats_.append(ingest.run_available(build(stream), f"{base}/ckpt", sink_path=f"{base}/out", **sink))
+    LAST_STREAM_STATS[base.rsplit("/", 1)[-1].rsplit("-", 1)[0]] = stats_
+    return stats_
+
+
 def _two_runs(spark, base, schema, writers, build, **sink):
     from tidewash.streaming import ingest
 
@@ -889,12 +932,11 @@ FROM events GROUP BY 1, 2""")
 def q_stream_rate_window(spark, sf):
     from tidewash.streaming import ingest
 
-    base, schema, writers = _replay(spark, sf, "stream-rate")
-    _two_runs(spark, base, schema, writers,
-              lambda s: ingest.rate_windows(s, "ts", _failed(), "1 hour", "2 hours"),
-              output_mode="update", foreach_batch=ingest.versioned_upsert(f"{base}/out"))
-    return ingest.read_latest(spark, f"{base}/out", ["window_start"]).select(
-        "window_start", "window_end", "n_ok", "n_failed")
+    # rows arrive up to six hours late and out of order; each window is given out once
+    late = F.pmod(F.xxhash64("event_id"), F.lit(6 * 3600 * 1_000_000))
+    base, schema, writers = _replay(spark, sf, "stream-rate", late_us=late)
+    _until_the_end(spark, base, schema, writers, lambda s: ingest.rate_windows(s, "ts", _failed(), "1 hour", "7 hours"))
+    return spark.read.parquet(f"{base}/out").select("window_start", "window_end", "n_ok", "n_failed")
 
 
 @query("stream_run_alert", """
@@ -907,9 +949,9 @@ SELECT user_id, event_id, ts, run_len FROM f WHERE run_len = 3""")
 def q_stream_run_alert(spark, sf):
     from tidewash.streaming import ingest
 
-    base, schema, writers = _replay(spark, sf, "stream-alert")
-    _two_runs(spark, base, schema, writers,
-              lambda s: ingest.run_alerts(s.withColumn("failed", _failed()), "user_id", "ts", "event_id",
-                                          "failed", 3),
-              sink_path=f"{base}/out")
+    # rows arrive up to six hours late and out of order, over several batches
+    late = F.pmod(F.xxhash64("event_id"), F.lit(6 * 3600 * 1_000_000))
+    base, schema, writers = _replay(spark, sf, "stream-alert", late_us=late)
+    _until_the_end(spark, base, schema, writers, lambda s: ingest.run_alerts(
+        s.withColumn("failed", _failed()), "user_id", "ts", "event_id", "failed", 3, delay="7 hours"))
     return spark.read.parquet(f"{base}/out").select("user_id", "event_id", "ts", "run_len")

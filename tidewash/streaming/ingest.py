@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewash.functions.records import epoch_micros, event_time, ntz_from_micros
+from tidewash.session import RECOMMENDED_CONF
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -56,9 +59,10 @@ class _Totals(StreamingQueryListener):
         self._end(str(event.runId)).set()
 
     def of(self, run: str) -> dict:
-        """The run's totals, once its last event has been seen."""
-        if not self._end(run).wait(60):
-            raise RuntimeError("no end event of the streaming query within 60 seconds")
+        """The run's totals, once its last event has been seen.  The data are committed by
+        then, so this only waits, however far the listener is behind."""
+        while not self._end(run).wait(60):
+            pass
         return self.runs.get(run, {"batches": 0, "input_rows": 0, "dropped_by_watermark": 0})
 
 
@@ -76,9 +80,12 @@ def run_available(stream: DataFrame, checkpoint: str, sink_path: str | None = No
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format(fmt).option("path", sink_path)
-    streams, totals = stream.sparkSession.streams, _Totals()
+    spark = stream.sparkSession
+    streams, totals = spark.streams, _Totals()
+    before = spark.conf.get(_PROVIDER, None)
     streams.addListener(totals)
     try:
+        spark.conf.set(_PROVIDER, RECOMMENDED_CONF[_PROVIDER])  # read when the query starts
         q = w.trigger(availableNow=True).start()
         q.awaitTermination()
         if q.exception() is not None:
@@ -86,6 +93,7 @@ def run_available(stream: DataFrame, checkpoint: str, sink_path: str | None = No
         return totals.of(str(q.runId))
     finally:
         streams.removeListener(totals)
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
 
 
 def _with_event_time(stream: DataFrame, ts_col: str) -> DataFrame:
@@ -109,6 +117,9 @@ def rate_windows(stream: DataFrame, ts_col: str, failed: Column, width: str = "1
                  delay: str = "2 hours") -> DataFrame:
     """Success / failure counts per tumbling event-time window.
 
+    In append mode a window is given out once, when the watermark has passed its end, and
+    its state is dropped; ``end_mark`` makes the last ones final.  In update mode every
+    change is given out (``versioned_upsert``).  Rows without a time are in no window.
     Window bounds come back in the type of ``ts_col``.
     """
     ntz = isinstance(stream.schema[ts_col].dataType, T.TimestampNTZType)
@@ -140,60 +151,128 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return latest.select(*keys, "_v.*")
 
 
-def run_alerts(stream: DataFrame, key: str, ts_col: str, id_col: str,
-               failed_col: str, threshold: int) -> DataFrame:
-    """Alert when a key reaches ``threshold`` consecutive failures.
+class _RunAlerts:
+    """State of one key: rows not yet due (a list), the length of the run that ended with the
+    last row released, and the time of the key's only timer."""
+
+    def __init__(self, names: tuple[str, str, str], threshold: int) -> None:
+        self.names, self.threshold = names, threshold
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.pending = handle.getListState("pending", "us long, id long, failed boolean")
+        self.run = handle.getValueState("run", "length long")
+        self.due = handle.getValueState("due", "ms long")
+
+    def _timer(self, first_us: int) -> None:
+        """One timer, at the first millisecond not before the earliest pending row."""
+        at = -(-first_us // 1000)
+        if self.due.exists():
+            old = self.due.get()[0]
+            if old <= at:
+                return
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(at)
+        self.due.update((at,))
+
+    def handleInputRows(self, key, rows, timerValues):
+        first = None
+        for frame in rows:
+            frame = frame.set_axis(["key", "time", "us", "id", "failed"], axis=1)
+            frame = frame[frame["us"].notna() & frame["id"].notna()]
+            if len(frame):
+                us = frame["us"].astype("int64")
+                self.pending.appendList(list(zip(us.tolist(), frame["id"].astype("int64").tolist(),
+                                                 frame["failed"].astype(bool).tolist())))
+                first = int(us.min()) if first is None else min(first, int(us.min()))
+        if first is not None:
+            self._timer(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        import pandas as pd
+
+        limit = timerValues.getCurrentWatermarkInMs() * 1000
+        ready, rest = [], []
+        for row in self.pending.get():
+            (ready if row[0] <= limit else rest).append(tuple(row))
+        ready.sort()
+        length = self.run.get()[0] if self.run.exists() else 0
+        hits = []
+        for us, row_id, failed in ready:
+            length = length + 1 if failed else 0
+            if length == self.threshold:
+                hits.append((key[0], row_id, us, length))
+        self.run.update((length,))
+        self.due.clear()
+        self.pending.clear()
+        if rest:
+            self.pending.put(rest)
+            self._timer(min(rest)[0])
+        if hits:
+            yield pd.DataFrame(hits, columns=[*self.names, "run_len"])
+
+    def close(self) -> None:
+        pass
 
-    Stateful per key (``applyInPandasWithState``): the state is the current
-    run length, carried across micro-batches and restarts.  Within a batch
-    a key's rows are sorted by (ts, id).  One alert per run, at the row
-    where the run reaches the threshold.
+
+def run_alerts(stream: DataFrame, key: str, ts_col: str, id_col: str,
+               failed_col: str, threshold: int, delay: str = "6 hours") -> DataFrame:
+    """Alert when a key reaches ``threshold`` consecutive failures, in event-time order.
+
+    Rows may arrive in any order, up to ``delay`` behind the latest time seen.  Per key
+    (``transformWithState``) they wait in a list state until the watermark has passed them;
+    an event-time timer then releases them sorted by (time, id), and the length of the
+    current run is carried on, across micro-batches and restarts.  One alert per run, at
+    the row where it reaches the threshold, once that row is final.
+
+    A key's task holds its rows of the last ``delay`` and of one micro-batch.  Rows later
+    than ``delay`` are dropped and counted (``run_available``).  Rows without a time or an
+    id have no place in the order: they are left out.  A null ``failed`` is a success.
+    Times must lie between the years 1678 and 2261, as they pass through pandas.
+    Needs the RocksDB state store (``run_available`` sets it).
     """
-    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
 
+    s, et = _with_event_time(stream, ts_col)
+    ntz = et != ts_col
+    marked = s.withWatermark(et, delay).select(
+        key, F.col(et).alias("_tw_event_time"), (epoch_micros(ts_col) if ntz else F.unix_micros(et)).alias("_tw_us"),
+        F.col(id_col).cast("long").alias("_tw_id"), F.coalesce(F.col(failed_col), F.lit(False)).alias("_tw_failed"))
+    names = (key, id_col, "_tw_us")
     out_schema = T.StructType([
-        T.StructField(key, T.LongType()), T.StructField(id_col, T.LongType()),
-        T.StructField(ts_col, T.TimestampNTZType()), T.StructField("run_len", T.LongType())])
-    state_schema = T.StructType([T.StructField("run_len", T.LongType())])
-
-    def step(k, batches, state):
-        import numpy as np
-
-        run0 = state.get[0] if state.exists else 0
-        frames = [b[[id_col, ts_col, failed_col]] for b in batches]
-        rows = pd.concat(frames).sort_values([ts_col, id_col], kind="stable")
-        f = rows[failed_col].to_numpy(dtype=bool)
-        # run length at row i = failures since the last success (inclusive),
-        # continuing the run carried over in the state
-        c = np.cumsum(f)
-        pos = np.arange(len(f))
-        last_ok = np.maximum.accumulate(np.where(~f, pos, -1))
-        base = np.where(last_ok >= 0, c[np.maximum(last_ok, 0)], -run0)
-        run = c - base
-        hit = run == threshold
-        state.update((int(run[-1]) if len(run) else run0,))
-        if hit.any():
-            yield pd.DataFrame({key: k[0], id_col: rows[id_col].to_numpy()[hit],
-                                ts_col: rows[ts_col].to_numpy()[hit], "run_len": run[hit]})
-
-    prepared = stream.select(key, id_col, ts_col, F.coalesce(F.col(failed_col), F.lit(False)).alias(failed_col))
-    return prepared.groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "append", "NoTimeout")
-
-
-def write_arrivals(df: DataFrame, ts_col: str, path: str, n_slices: int,
-                   redeliver: Column | None = None) -> list[Callable[[], None]]:
+        T.StructField(key, stream.schema[key].dataType), T.StructField(id_col, T.LongType()),
+        T.StructField("_tw_us", T.LongType()), T.StructField("run_len", T.LongType())])
+    processor = type("RunAlerts", (_RunAlerts, StatefulProcessor), {})(names, threshold)
+    found = marked.groupBy(key).transformWithStateInPandas(processor, out_schema, "Append", "EventTime")
+    at = ntz_from_micros(F.col("_tw_us")) if ntz else F.timestamp_micros("_tw_us")
+    return found.select(key, id_col, at.alias(ts_col), "run_len")
+
+
+def end_mark(spark: SparkSession, path: str, schema: T.StructType, ts_col: str, at: str) -> None:
+    """Ends a finite stream: writes one row to ``path`` that has nothing but the time ``at``.
+
+    It moves the watermark, so that all windows and waiting rows that are older by more
+    than the delay become final.  Rows that arrive afterwards are late."""
+    row = spark.range(1).select(*[
+        (F.lit(at).cast(f.dataType) if f.name == ts_col else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+    row.write.mode("append").parquet(path)
+
+
+def write_arrivals(df: DataFrame, ts_col: str, path: str, n_slices: int, redeliver: Column | None = None,
+                   late_us: Column | None = None) -> list[Callable[[], None]]:
     """Arrival schedule for replaying a table as a stream.
 
     Splits ``df`` into ``n_slices`` consecutive event-time slices and returns
     one writer per slice; calling writer i appends slice i (plus, when
     ``redeliver`` is given, the rows of slice i-1 matching it again, as an
-    at-least-once producer would) to ``path``.  The slice bounds come from one
+    at-least-once producer would) to ``path``.  ``late_us`` are microseconds by which a
+    row arrives after its time: slices are then cut by arrival.  The slice bounds come from one
     min/max aggregate; rows without a time arrive with the first slice.
     """
     import datetime as _dt
 
-    us = epoch_micros(ts_col)
+    us = epoch_micros(ts_col) if late_us is None else epoch_micros(ts_col) + late_us
     lo, hi = df.agg(F.min(us), F.max(us)).first()
     if lo is None:  # no rows, or none with a time: all arrive in the first slice
         lo = hi = 0
@@ -207,7 +286,10 @@ def write_arrivals(df: DataFrame, ts_col: str, path: str, n_slices: int,
         return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
     def in_slice(i: int):
-        inside = (F.col(ts_col) >= bound(i)) & (F.col(ts_col) < bound(i + 1))
+        if late_us is None:
+            inside = (F.col(ts_col) >= bound(i)) & (F.col(ts_col) < bound(i + 1))
+        else:
+            inside = (us >= lo + i * width) & (us < lo + (i + 1) * width)
         return inside | F.col(ts_col).isNull() if i == 0 else inside
 
     def writer(i: int):
