@@ -105,3 +105,35 @@ def test_checkpoint_root_reads_the_session_setting(spark):
     assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert p1 != p2 and p1.startswith(root)
+
+
+def test_rows_fetched_late_equal_rows_carried(spark):
+    rows = [(i, f"k{i % 7}" if i % 5 else None, f"text {i}", i % 3) for i in range(200)]
+    rows += [(i, "hot", f"t{i % 2}", 1) for i in range(300, 600)] + [(900, "tie", "a", 4), (900, "tie", "b", 4), (900, "tie", "b", 4)]
+    rows += [(None, "tie", "c", 9), (None, "nulls", "d", None), (None, "nulls", "d", None)]
+    df = spark.createDataFrame(rows, "id int, k string, t string, n int").repartition(5)
+    late = [tuple(r) for r in dedup.exact_dedup(df, "k", "id", late=True).collect()]
+    carried = [tuple(r) for r in dedup.exact_dedup(df, "k", "id", late=False).collect()]
+    by_key = lambda out: sorted(((r[1], r[0]) for r in out), key=repr)  # noqa: E731  (texts of ties may differ)
+    assert by_key(late) == by_key(carried) and set(late) <= set(rows)
+    order = [("n", False), ("id", True)]
+    a, b = ([tuple(r) for r in dedup.best_per_group(df, "k", order, late=x).collect()] for x in (True, False))
+    short = lambda out: sorted(((r[1], r[0], r[3], r[4], r[5]) for r in out), key=repr)
+    assert short(a) == short(b) and sum(r[4] for r in a) == len(rows)
+
+
+def test_repeated_rows_leave_one_whatever_the_partitions(spark):
+    rows = [(1, "k", "same", 1)] * 3 + [(1, "k", "other", 1)]
+    df = spark.createDataFrame(rows, "id int, k string, t string, n int")
+    got = {tuple(dedup.exact_dedup(df.repartition(n), "k", "id").collect()[0]) for n in (1, 2, 3)}
+    assert len(got) == 1
+
+
+def test_texts_are_fetched_late(spark):
+    df = spark.createDataFrame([(i, f"k{i % 50}", f"text {i}") for i in range(200)], "id long, k string, t string")
+    out = dedup.exact_dedup(df, "k", "id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "min_by" not in plan  # the aggregation ran before, on keys and ids
+    assert out.count() == 50
+    plan = dedup.best_per_group(df, "k", [("id", False)])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

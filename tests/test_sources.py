@@ -91,5 +91,42 @@ def test_multi_file_scan_glob_list(spark):
     base = scratch_path(spark, "t-glob")
     _write_lines(base + "/a", ['{"id": 1, "text": "x"}'])
     _write_lines(base + "/b", ['{"id": 2, "text": "y"}'], name="run_cleaned.jsonl")
-    df = jsonl.multi_file_scan(spark, [base + "/a/*.jsonl", base + "/b/*.jsonl"], SCHEMA)
+    named = [base + "/a/*.jsonl", base + "/b/*.jsonl", base + "/none/*.jsonl"]
+    df = jsonl.multi_file_scan(spark, named, SCHEMA)  # named files are taken as they are
+    assert sorted((r.id, r.source_file) for r in df.collect()) == [(1, "part-0.jsonl"), (2, "run_cleaned.jsonl")]
+    df = jsonl.multi_file_scan(spark, named, SCHEMA, exclude_words=("CLEANED",))
     assert [(r.id, r.source_file) for r in df.collect()] == [(1, "part-0.jsonl")]
+
+
+def test_no_input_gives_an_empty_frame(spark):
+    base = scratch_path(spark, "t-none")
+    for missing in (base, [base + "/*.jsonl"], []):
+        df = jsonl.multi_file_scan(spark, missing, SCHEMA)
+        assert df.columns == ["id", "text", "domain", "source_file"] and df.count() == 0
+    os.makedirs(base)
+    assert jsonl.multi_file_scan(spark, base, SCHEMA).count() == 0
+
+
+TORN = ['{"id": 2}{"id": 3}', '{"id": 4} trailing', '{"id": 5}, {"id": 6}', '{"id": 7}] [1', '{"id": 8}}', '{"id": 9},"x"',
+        '{"id": 10} null', ',{"id": 11}', '{"id": 12}]', '{"id": 13},']
+WHOLE = ['{"id": 1, "text": "}{ ] , \\" é"}', '  {"id": 20, "text": null}\t', '{"id": 21, "more": {"a": [1, {"b": "]"}]}}']
+
+
+def test_a_line_is_exactly_one_value(spark):
+    base = scratch_path(spark, "t-torn")
+    _write_lines(base, TORN + WHOLE)
+    good, bad = jsonl.read_jsonl_tolerant(spark, base, SCHEMA)
+    assert sorted((r.id, r.text) for r in good.collect()) == [(1, '}{ ] , " é'), (20, None), (21, None)]
+    assert sorted(r._corrupt_record for r in bad.collect()) == sorted(TORN)
+
+
+@pytest.mark.parametrize("line", TORN)
+def test_strict_refuses_torn_lines_even_for_a_count(spark, line):
+    base = scratch_path(spark, "t-refused")
+    _write_lines(base, WHOLE + [line])
+    for read in (lambda: jsonl.read_jsonl_strict(spark, base, SCHEMA), lambda: jsonl.multi_file_scan(spark, base, SCHEMA)):
+        with pytest.raises(Exception, match="malformed JSON line"):
+            read().count()
+    fine = scratch_path(spark, "t-whole")
+    _write_lines(fine, WHOLE)
+    assert jsonl.read_jsonl_strict(spark, fine, SCHEMA).count() == 3

@@ -39,8 +39,9 @@ def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     content hash have the same normalised text, hence the same length, so
     the order does not change the result.  It lets the normalisation run
     once per row (a filter below it would be inlined and evaluate the
-    regexes twice).  ``columns`` limits what the dedup shuffle carries
-    (id, hash and length are always kept).
+    regexes twice).  ``columns`` limits what the result carries (id and hash
+    are always kept): narrow rows go through one aggregation.  Otherwise only
+    hashes and ids are aggregated and texts are fetched afterwards.
     """
     d = docs.withColumn(text_col, normalize_whitespace(text_col))
     d = (d.withColumn("content_hash", content_hash(hash_with, text_col))
@@ -48,7 +49,7 @@ def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if columns is not None:
         keep = [id_col, "content_hash", "_tw_len"] + [c for c in columns if c not in (id_col,)]
         d = d.select(*dict.fromkeys(keep))
-    d = exact_dedup(d, "content_hash", id_col)
+    d = exact_dedup(d, "content_hash", id_col, late=columns is None)
     return d.where(F.col("_tw_len") > F.lit(min_chars)).drop("_tw_len")
 
 
@@ -149,4 +150,4 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = docs.withColumn("_key", F.md5(key_normalize(text_col)))
     if columns is not None:
         d = d.select(*dict.fromkeys([id_col, "n_chars", *columns, "_key"]))
-    return best_per_group(d, "_key", [("n_chars", False), (id_col, True)]).drop("_key")
+    return best_per_group(d, "_key", [("n_chars", False), (id_col, True)], late=columns is None).drop("_key")

@@ -543,6 +543,19 @@ def q_best_per_group(spark, sf):
         "doc_id", "group_size", "multi_member")
 
 
+@query("best_per_group_nulls", f"""
+WITH d AS (SELECT *, CASE WHEN lang = 'es' THEN NULL ELSE md5({_sql_strip('lower(text)')}) END AS k FROM documents)
+SELECT arg_min(doc_id, (-n_chars, doc_id)) AS doc_id, arg_min(md5(text), (-n_chars, doc_id)) AS text_md5,
+       count(*) AS group_size, count(*) > 1 AS multi_member FROM d WHERE k IS NOT NULL GROUP BY k
+UNION ALL SELECT doc_id, md5(text), 1, false FROM d WHERE k IS NULL""")
+def q_best_per_group_nulls(spark, sf):
+    """Whole rows; null keys are no keys: their rows are groups of their own."""
+    d = table(spark, sf, "documents", text_work=True)
+    k = F.when(F.col("lang") != "es", F.md5(X.key_normalize("text")))
+    best = dedup.best_per_group(d, k, [("n_chars", False), ("doc_id", True)])
+    return best.select("doc_id", F.md5("text").alias("text_md5"), "group_size", "multi_member")
+
+
 @query("multi_key_group_count", f"""
 SELECT count(*) FILTER (WHERE c > 1) AS n_multi_groups, count(*) AS n_groups
 FROM (SELECT count(*) AS c FROM documents GROUP BY md5({_sql_strip('lower(text)')}))""")
