@@ -57,8 +57,7 @@ def test_posting_list_heads_use_group_limit(spark):
     from tidewash.operators import similarity as S
 
     df = spark.createDataFrame([(i, f"a b c d{i}") for i in range(50)], "id long, text string")
-    reps = S.set_representatives(S.token_sets(df, "id", "text"))
-    p = S.prefix_tokens(reps, 17, 20)
+    p = S.prefix_tokens(S.RankedSets(df, "id", "text").sets, 17, 20)
     heads = p.withColumn("_r", F.row_number().over(Window.partitionBy("tok").orderBy("id"))).where("_r <= 4")
     assert "WindowGroupLimit" in _plan(heads)
 

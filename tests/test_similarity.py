@@ -126,8 +126,8 @@ def test_near_copy_cluster_existence(spark):
     base = " ".join(f"b{i}" for i in range(60))
     rows = [(i, base + f" x{i}") for i in range(300)] + [(1000 + i, f"u{i} v{i} w{i}") for i in range(20)]
     df = spark.createDataFrame(rows, "id long, text string")
-    reps = S.set_representatives(S.token_sets(df, "id", "text"))
-    later = {r.id for r in S.rows_with_earlier_match(reps, 0.85, head_width=4).collect()}
+    sets = S.RankedSets(df, "id", "text").sets
+    later = {r.id for r in S.rows_with_earlier_match(sets, 0.85, head_width=4).collect()}
     assert later == set(range(1, 300))
     kept = {r.id for r in S.near_dup_drop_earliest(df, "id", "text").collect()}
     assert kept == {0} | {1000 + i for i in range(20)}
@@ -137,9 +137,9 @@ def test_near_copy_cluster_existence(spark):
 def test_existence_phases_match_pairs(spark, width):
     rows = _corpus(9, 150)
     df = spark.createDataFrame(rows, "id long, text string")
-    reps = S.set_representatives(S.token_sets(df, "id", "text"))
+    sets = S.RankedSets(df, "id", "text").sets
     exp = {b for _, b in _brute_pairs(rows, 0.6)}
-    assert {r.id for r in S.rows_with_earlier_match(reps, 0.6, head_width=width).collect()} == exp
+    assert {r.id for r in S.rows_with_earlier_match(sets, 0.6, head_width=width).collect()} == exp
 
 
 def _lev(a, b):
@@ -190,3 +190,58 @@ def test_approx_pairs_are_verified_subset_with_high_recall(spark):
     got = {(r.id_a, r.id_b) for r in S.near_dup_pairs_approx(df, "id", "text", 0.7, num_hash_tables=12).collect()}
     assert got <= exact
     assert len(got) >= 0.8 * len(exact)
+
+
+@pytest.mark.parametrize("width", [1, 32])
+def test_earliest_match_of_each_row(spark, width, monkeypatch):
+    monkeypatch.setattr(S, "HEAD_WIDTH", width)
+    rows = _corpus(31, 160)
+    df = spark.createDataFrame(rows, "id long, text string")
+    first, sets = {}, {}
+    for i, t in sorted(rows):
+        if _tok(t):
+            first.setdefault(frozenset(_tok(t)), i)
+            sets[i] = frozenset(_tok(t))
+    earliest = {}
+    for a, b in _brute_pairs(rows, 0.6):
+        earliest[b] = min(a, earliest.get(b, a))
+    want = {(i, earliest.get(first[s], first[s]), first[s] not in earliest) for i, s in sets.items()
+            if i > earliest.get(first[s], first[s])}
+    assert {tuple(r) for r in S.near_dup_earliest(df, "id", "text", 0.6).collect()} == want
+    table = S.RankedSets(df, "id", "text").sets
+    assert {(r.id, r.earliest_id) for r in S.earliest_matches(table, 0.6, head_width=width).collect()} == set(earliest.items())
+
+
+def test_large_cluster_has_one_row_each(spark):
+    base = " ".join(f"b{i}" for i in range(60))
+    df = spark.createDataFrame([(i, base + f" x{i}") for i in range(300)] + [(400 + i, base) for i in range(100)], "id long, text string")
+    out = {r.id: (r.earliest_id, r.same_set) for r in S.near_dup_earliest(df, "id", "text").collect()}
+    assert out == {i: (0, False) for i in [*range(1, 300), *range(400, 500)]}
+
+
+def test_null_and_repeated_ids(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(None, text), (None, text + " x"), (1, text), (2, text + " y"), (3, "alone here"), (None, ""), (4, None),
+            (7, text + " z"), (7, "nothing like the others"), (8, text), (8, text + " w")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    for drop in (S.near_dup_drop_earliest, S.near_dup_drop_greedy):
+        kept = sorted(((r.id, r.text) for r in drop(df, "id", "text", 0.8).collect()), key=repr)
+        # no id: all stay; one text of 7 has no match; both texts of 8 have one
+        assert kept == sorted([r for r in rows if r[0] in (None, 1, 3, 4) or "nothing" in (r[1] or "")], key=repr), drop.__name__
+    assert S.near_dup_pairs(df, "id", "text", 0.8).where("id_a = id_b or id_a is null or id_b is null").count() == 0
+    assert {r.id for r in S.duplicate_members(df, "id", "text").collect()} == {8}
+
+
+def test_edit_ratio_in_bytes(spark):
+    df = spark.createDataFrame([(1, "é b c d e f g h"), (2, "é b c d e f g h ä")], "id long, text string")
+    chars = S.near_dup_pairs_edit(df, "id", "text", 0.8, 0.1).first()
+    by = S.near_dup_pairs_edit(df, "id", "text", 0.8, 0.1, unit="bytes").first()
+    assert (chars.edit_distance, by.edit_distance) == (2, 3) and by.edit_ratio == 1 - 3 / 19
+
+
+def test_no_strings_behind_the_ranks(spark):
+    df = spark.createDataFrame(_corpus(2, 60), "id long, text string")
+    r = S.RankedSets(df, "id", "text")
+    assert dict(r.sets.dtypes) == {"rid": "bigint", "id": "bigint", "n": "int", "ranks": "array<bigint>"}
+    plan = S.near_dup_pairs_of_sets(r.sets, 0.6)._jdf.queryExecution().executedPlan().toString()
+    assert "string" not in plan and "array_intersect" in plan

@@ -13,11 +13,21 @@ Scale notes:
 * Texts with identical token sets are collapsed first (one representative,
   the smallest id).  A group of exact copies, however large, never reaches
   the pair join, so no quadratic pair set is produced within it.
+* Token strings cross one shuffle, the one that gives them their ranks: whole
+  numbers that rise with frequency (``ranked_sets``).  A set is then a sorted
+  array of ranks, its prefix the head of that array, and candidates and
+  verification see ranks only.  Verification fetches the sets of candidate
+  ids alone.
 * Rarest-first order keeps frequent tokens out of prefixes.  Both sides of the
-  token frequency join, the posting-list head join and the member join are
+  token rank join, the posting-list head join and the member join are
   written first, so that AQE can split a hot token or set among tasks.
-* Only ids, sizes and prefix tokens cross the candidate shuffle; token
-  arrays are joined back only for candidates.
+* Rows are dropped by an anti-join with the dropped row numbers, usually few, so
+  the planner can broadcast them and texts are not shuffled.
+
+Ids give the order; rows are told apart by a number of their own (``rid``), given
+when the table is stored.  A row without an id has no place in the order: it is compared
+with nothing and stays.  Rows with one id are each compared with the rows of smaller
+ids, but not with each other, as none is earlier.
 """
 
 from __future__ import annotations
@@ -28,8 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewash.functions.common import as_fraction
-from tidewash.functions.text import py_strip, tokens
-from tidewash.session import checkpoint_root
+from tidewash.functions.text import tokens
+from tidewash.session import checkpoint_root, scratch_path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -42,6 +52,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Like ``materialize``, as Parquet, so that later steps read only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, toks, n, skey): distinct tokens, their count, canonical set key."""
     t = df.select(F.col(id_col).alias("id"), tokens(text_col).alias("toks"))
@@ -49,18 +66,34 @@ def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .withColumn("skey", F.md5(F.array_join(F.sort_array("toks"), " "))))
 
 
-def set_representatives(ts: DataFrame) -> DataFrame:
-    """One row per distinct non-empty token set: its smallest id.
-
-    The empty set is dropped after the aggregation (it is one group): a
-    filter on the token count before it would be pushed below the scan's
-    exchange and tokenise every text twice.
-    """
-    return (ts.groupBy("skey")
-            .agg(F.min_by(F.struct("id", "toks", "n"), F.col("id")).alias("r"),
-                 F.count(F.lit(1)).alias("copies"))
-            .select("r.*", "skey", "copies")
-            .where(F.col("n") > 0))
+class RankedSets:
+    """The token sets of a table, written: ``rows`` (the table with ``rid``), ``ids`` (rid, id,
+    skey) of all rows with tokens and an id, ``copies`` (rid) of rows whose set an earlier
+    row has, and ``sets`` (rid, id, n, ranks) of the others."""
+
+    def __init__(self, df: DataFrame, id_col: str, text_col: str) -> None:
+        self.columns = df.columns
+        self.rows = stored(df.withColumn("_tw_rid", F.monotonically_increasing_id()), "neardup-rows")
+        toks = self.rows.select(F.col("_tw_rid").alias("rid"), F.col(id_col).alias("id"), tokens(text_col).alias("toks"))
+        toks = stored(toks.withColumn("n", F.size("toks")).withColumn("skey", F.md5(F.array_join(F.sort_array("toks"), " "))),
+                      "neardup-tokens").where("id is not null and n > 0")
+        self.ids = toks.select("rid", "id", "skey")
+        self.firsts = stored(self.ids.groupBy("skey").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+                             .where("copies > 1").drop("copies"), "neardup-firsts")
+        self.copies = stored(self.ids.join(self.firsts, "skey").where("id > first_id").select("rid"), "neardup-copies")
+        one_each = toks.join(self.copies, "rid", "left_anti").select("rid", "id", F.explode("toks").alias("tok"))
+        counts = one_each.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+        # ranges of (df, tok), sorted inside: the number of a row rises along the whole order
+        ranks = stored(counts.repartitionByRange("df", "tok").sortWithinPartitions("df", "tok")
+                       .select("tok", F.monotonically_increasing_id().alias("rank")), "neardup-ranks")
+        ranked = one_each.join(ranks, "tok").select("rid", "id", "rank")
+        self.sets = stored(ranked.groupBy("rid", "id").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
+                           .select("rid", "id", F.size("ranks").alias("n"), "ranks"), "neardup-sets")
+
+    def without(self, rids: DataFrame) -> DataFrame:
+        """The table without the copies and the rows ``rids``."""
+        gone = stored(self.copies.unionByName(rids.select("rid")).withColumnRenamed("rid", "_tw_rid"), "neardup-dropped")
+        return self.rows.join(gone, "_tw_rid", "left_anti").select(self.columns)
 
 
 def _prefix_len(num: int, den: int):
@@ -69,16 +102,12 @@ def _prefix_len(num: int, den: int):
     return n - ceil_tn + F.lit(1)
 
 
-def prefix_tokens(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """(id, n, tok, pos) for the rarest-first prefix of every representative
-    (pos is the 1-based position of tok in the set's global order)."""
-    ex = reps.select("id", "n", F.explode("toks").alias("tok"))
-    freq = materialize(ex.groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
-    ranked = ex.join(freq, "tok")
-    w = Window.partitionBy("id").orderBy("df", "tok")
-    return (ranked.withColumn("pos", F.row_number().over(w))
-            .where(F.col("pos") <= _prefix_len(num, den))
-            .select("id", "n", "tok", "pos"))
+def prefix_tokens(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(rid, id, n, tok, pos) for the rarest-first prefix of every set (tok is a rank,
+    pos its 1-based position in the set's order)."""
+    head = F.slice("ranks", F.lit(1), _prefix_len(num, den).cast("int"))
+    return sets.select("rid", "id", "n", F.posexplode(head).alias("_p", "tok")).select(
+        "rid", "id", "n", "tok", (F.col("_p") + F.lit(1)).alias("pos"))
 
 
 def _min_overlap(na, nb, num: int, den: int):
@@ -99,32 +128,36 @@ def candidate_condition(a: str, b: str, num: int, den: int):
             & (upper >= _min_overlap(na, nb, num, den)))
 
 
-def _verify(cand: DataFrame, reps: DataFrame, num: int, den: int, strict: bool) -> DataFrame:
-    """Exact Jaccard check of candidate pairs (id_a, id_b) against the
-    representatives' token arrays; integer arithmetic only."""
-    ra = reps.select(F.col("id").alias("id_a"), F.col("toks").alias("ta"), F.col("n").alias("na"))
-    rb = reps.select(F.col("id").alias("id_b"), F.col("toks").alias("tb"), F.col("n").alias("nb"))
-    v = (cand.join(ra, "id_a").join(rb, "id_b")
-         .withColumn("n_common", F.size(F.array_intersect("ta", "tb")).cast("bigint")))
-    v = v.withColumn("n_union", (F.col("na") + F.col("nb") - F.col("n_common")).cast("bigint"))
+def _verify(cand: DataFrame, sets: DataFrame, num: int, den: int, strict: bool) -> DataFrame:
+    """Exact Jaccard check of candidate pairs (rid_a, rid_b) on the sets of these rows;
+    integer arithmetic only.  (rid_a, rid_b, id_a, id_b, n_common, n_union)."""
+    cand = stored(cand, "neardup-candidates")
+    wanted = cand.select(F.col("rid_a").alias("rid")).union(cand.select("rid_b")).distinct()
+    some = stored(sets.join(wanted, "rid", "left_semi"), "neardup-candidate-sets")
+    side = lambda x: some.select(*[F.col(c).alias(f"{c}_{x}") for c in ("rid", "id", "ranks", "n")])
+    v = (cand.join(side("a"), "rid_a").join(side("b"), "rid_b")
+         .withColumn("n_common", F.size(F.array_intersect("ranks_a", "ranks_b")).cast("bigint")))
+    v = v.withColumn("n_union", (F.col("n_a") + F.col("n_b") - F.col("n_common")).cast("bigint"))
     lhs = F.col("n_common") * F.lit(den)
     rhs = F.col("n_union") * F.lit(num)
     return (v.where(lhs > rhs if strict else lhs >= rhs)
-            .select("id_a", "id_b", "n_common", "n_union"))
+            .select("rid_a", "rid_b", "id_a", "id_b", "n_common", "n_union"))
+
+
+def _pairs_of(joined: DataFrame) -> DataFrame:
+    return joined.select(F.col("a.rid").alias("rid_a"), F.col("b.rid").alias("rid_b")).distinct()
 
 
 def _candidates(pa: DataFrame, pb: DataFrame, num: int, den: int) -> DataFrame:
-    return (pa.alias("a").join(pb.alias("b"), candidate_condition("a", "b", num, den))
-            .select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
-            .distinct())
+    return _pairs_of(pa.alias("a").join(pb.alias("b"), candidate_condition("a", "b", num, den)))
 
 
-def near_dup_pairs_from_reps(reps: DataFrame, threshold=0.85, strict: bool = True) -> DataFrame:
-    """Verified pairs (id_a < id_b) between representatives."""
+def near_dup_pairs_of_sets(sets: DataFrame, threshold=0.85, strict: bool = True) -> DataFrame:
+    """Verified pairs (id_a < id_b) between sets (rid, id, n, ranks)."""
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
-    p = prefix_tokens(reps, num, den)
-    return _verify(_candidates(p, p, num, den), reps, num, den, strict)
+    p = stored(prefix_tokens(sets, num, den), "neardup-prefixes")
+    return _verify(_candidates(p, p, num, den), sets, num, den, strict).drop("rid_a", "rid_b")
 
 
 # Phase-one width of the existence search: each row is first compared with
@@ -132,32 +165,75 @@ def near_dup_pairs_from_reps(reps: DataFrame, threshold=0.85, strict: bool = Tru
 HEAD_WIDTH = 32
 
 
-def rows_with_earlier_match(reps: DataFrame, threshold=0.85, strict: bool = True,
+def _heads(p: DataFrame, width: int) -> DataFrame:
+    """The earliest ``width`` members of each posting list (a map-side top-N, ``WindowGroupLimit``)."""
+    w = Window.partitionBy("tok").orderBy("id", "rid")
+    heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(width)).drop("_r")
+    return stored(heads, "neardup-heads")
+
+
+def rows_with_earlier_match(sets: DataFrame, threshold=0.85, strict: bool = True,
                             head_width: int = HEAD_WIDTH) -> DataFrame:
-    """Ids of representatives that have an earlier (smaller id) similar one.
+    """(rid, id) of sets that have an earlier (smaller id) similar one.
 
     Exact, in two phases.  Phase 1 compares every row with the earliest
-    ``head_width`` members of each of its posting lists only (selected with
-    a map-side top-N, ``WindowGroupLimit``); rows that find a match there
-    are settled.  Phase 2 compares the still-open rows with every earlier
-    member.  A cluster of k mutually similar near-copies sharing a prefix
-    token costs about k*head_width comparisons instead of k*k, since almost
-    every member matches the cluster's first rows in phase 1.
+    ``head_width`` members of each of its posting lists only; rows that find
+    a match there are settled.  Phase 2 compares the still-open rows with
+    every earlier member.  A cluster of k mutually similar near-copies sharing
+    a prefix token costs about k*head_width comparisons instead of k*k, since
+    almost every member matches the cluster's first rows in phase 1.
     """
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
-    p = materialize(prefix_tokens(reps, num, den))
-    w = Window.partitionBy("tok").orderBy("id")
-    heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
-    heads = materialize(heads)
-    found1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select(
-        F.col("id_b").alias("id")).distinct()
-    open_rows = p.join(found1, "id", "left_anti")
-    found2 = _verify(_candidates(p, open_rows, num, den), reps, num, den, strict).select(
-        F.col("id_b").alias("id")).distinct()
+    p = stored(prefix_tokens(sets, num, den), "neardup-prefixes")
+    heads = _heads(p, head_width)
+    found1 = stored(_verify(_candidates(heads, p, num, den), sets, num, den, strict).select(
+        F.col("rid_b").alias("rid"), F.col("id_b").alias("id")).distinct(), "neardup-settled")
+    open_rows = p.join(found1, "rid", "left_anti")
+    found2 = _verify(_candidates(p, open_rows, num, den), sets, num, den, strict).select(
+        F.col("rid_b").alias("rid"), F.col("id_b").alias("id")).distinct()
     return found1.unionByName(found2).distinct()
 
 
+def earliest_matches(sets: DataFrame, threshold=0.85, strict: bool = True,
+                     head_width: int = HEAD_WIDTH) -> DataFrame:
+    """(id, earliest_id): for every set that has an earlier similar one, the first of them.
+
+    One row a set, however large its cluster.  Phase 1 as in ``rows_with_earlier_match``
+    gives most rows a first match; phase 2 looks only among the members that are earlier
+    still (all earlier members for rows without a match), so in a cluster of near-copies,
+    where phase 1 finds the cluster's first rows, it has next to nothing left to compare."""
+    f = as_fraction(threshold)
+    num, den = f.numerator, f.denominator
+    p = stored(prefix_tokens(sets, num, den), "neardup-prefixes")
+    first = _verify(_candidates(_heads(p, head_width), p, num, den), sets, num, den, strict)
+    first = stored(first.groupBy(F.col("rid_b").alias("rid"), F.col("id_b").alias("id")).agg(F.min("id_a").alias("bound")),
+                   "neardup-first")
+    a, b = p.alias("a"), p.join(first.select("rid", "bound"), "rid", "left").alias("b")
+    still = F.col("b.bound").isNull() | (F.col("a.id") < F.col("b.bound"))
+    cand = _pairs_of(a.join(b, candidate_condition("a", "b", num, den) & still))
+    second = _verify(cand, sets, num, den, strict).select(
+        F.col("rid_b").alias("rid"), F.col("id_b").alias("id"), F.col("id_a").alias("earliest_id"))
+    return first.withColumnRenamed("bound", "earliest_id").unionByName(second).groupBy("rid", "id").agg(
+        F.min("earliest_id").alias("earliest_id"))
+
+
+def near_dup_earliest(df: DataFrame, id_col: str, text_col: str, threshold=0.85, strict: bool = True) -> DataFrame:
+    """(id, earliest_id, same_set): the first earlier near-duplicate of every row that has one.
+
+    Linear in the rows: a copy names its set's first row or, if that has an earlier match,
+    the match; ``same_set`` tells whether the two texts have the same tokens."""
+    r = RankedSets(df, id_col, text_col)
+    found = stored(earliest_matches(r.sets, threshold, strict), "neardup-earliest")
+    # what a set's first rows found holds for its copies; written, so that a hot set is split
+    keys = r.ids.join(found, ["rid", "id"]).select("skey", "earliest_id").distinct()
+    copied = stored(r.firsts.join(keys, "skey", "left"), "neardup-groups")
+    first = F.coalesce("earliest_id", "first_id")
+    copies = r.ids.join(r.copies, "rid", "left_semi").join(copied, "skey").select(
+        "id", first.alias("earliest_id"), F.col("earliest_id").isNull().alias("same_set"))
+    return found.select("id", "earliest_id", F.lit(False).alias("same_set")).unionByName(copies)
+
+
 def near_dup_pairs(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
                    strict: bool = True) -> DataFrame:
     """Near-duplicate pairs between distinct token sets.
@@ -165,13 +241,12 @@ def near_dup_pairs(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
     Rows whose token set equals an earlier row's are reported by
     ``duplicate_members`` instead of as pairs.
     """
-    reps = materialize(set_representatives(token_sets(df, id_col, text_col)))
-    return near_dup_pairs_from_reps(reps, threshold, strict)
+    return near_dup_pairs_of_sets(RankedSets(df, id_col, text_col).sets, threshold, strict)
 
 
 def duplicate_members(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, rep_id) for every row whose token set equals an earlier row's."""
-    ts = token_sets(df, id_col, text_col)
+    ts = token_sets(df, id_col, text_col).where(F.col("id").isNotNull())
     reps = ts.where(F.col("n") > 0).groupBy("skey").agg(F.min("id").alias("rep_id"), F.count(F.lit(1)).alias("k"))
     reps = materialize(reps.where("k > 1").drop("k"))
     # the inner join drops empty sets (they have no representative)
@@ -183,14 +258,10 @@ def near_dup_drop_earliest(df: DataFrame, id_col: str, text_col: str, threshold=
                            strict: bool = True) -> DataFrame:
     """Drop every row that has an earlier (smaller id) near-duplicate.
 
-    Rows with no tokens never match.  Returns the surviving input rows.
+    Rows with no tokens or without an id never match.  Returns the surviving input rows.
     """
-    ts = token_sets(df, id_col, text_col)
-    reps = materialize(set_representatives(ts))
-    later = rows_with_earlier_match(reps, threshold, strict)
-    kept_reps = reps.select("id").join(later, "id", "left_anti")
-    kept = kept_reps.unionByName(_token_free_ids(df, id_col, text_col))
-    return df.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi")
+    r = RankedSets(df, id_col, text_col)
+    return r.without(rows_with_earlier_match(r.sets, threshold, strict))
 
 
 def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
@@ -216,40 +287,37 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
     """
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
-    ts = token_sets(df, id_col, text_col)
-    reps = materialize(set_representatives(ts))
-    p = materialize(prefix_tokens(reps, num, den))
-    w = Window.partitionBy("tok").orderBy("id")
-    heads = p.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(head_width)).drop("_r")
-    heads = materialize(heads)
-    e1 = _verify(_candidates(heads, p, num, den), reps, num, den, strict).select("id_a", "id_b")
+    r = RankedSets(df, id_col, text_col)
+    sets = r.sets
+    p = stored(prefix_tokens(sets, num, den), "neardup-prefixes")
+    e1 = _verify(_candidates(_heads(p, head_width), p, num, den), sets, num, den, strict).select("rid_a", "rid_b")
     e1 = materialize(e1)
-    partial = e1.select(F.col("id_b").alias("id")).distinct()
-    open_p = p.join(partial, "id", "left_anti")
-    e2 = _verify(_candidates(p, open_p, num, den), reps, num, den, strict).select("id_a", "id_b")
+    partial = e1.select(F.col("rid_b").alias("rid")).distinct()
+    open_p = p.join(partial, "rid", "left_anti")
+    e2 = _verify(_candidates(p, open_p, num, den), sets, num, den, strict).select("rid_a", "rid_b")
     edges = materialize(e1.unionByName(e2).distinct())
 
     def nodes_of(e):
-        return e.select(F.col("id_a").alias("id")).unionByName(e.select(F.col("id_b").alias("id"))).distinct()
+        return e.select(F.col("rid_a").alias("rid")).unionByName(e.select(F.col("rid_b").alias("rid"))).distinct()
 
     # st: 0 undecided, 1 kept, 2 dropped; exp: full earlier-edge list known
-    status = materialize(nodes_of(edges).join(partial.withColumn("_p", F.lit(True)), "id", "left").select(
-        "id", F.lit(0).alias("st"), F.col("_p").isNull().alias("exp")))
+    status = materialize(nodes_of(edges).join(partial.withColumn("_p", F.lit(True)), "rid", "left").select(
+        "rid", F.lit(0).alias("st"), F.col("_p").isNull().alias("exp")))
     pending = status.limit(1).count() > 0
     before = None
     while pending:
-        src = status.select(F.col("id").alias("id_a"), F.col("st").alias("st_a"))
-        verdict = (edges.join(src, "id_a")
-                   .groupBy(F.col("id_b").alias("id"))
+        src = status.select(F.col("rid").alias("rid_a"), F.col("st").alias("st_a"))
+        verdict = (edges.join(src, "rid_a")
+                   .groupBy(F.col("rid_b").alias("rid"))
                    .agg(F.max((F.col("st_a") == 1).cast("int")).alias("any_kept"),
                         F.min((F.col("st_a") == 2).cast("int")).alias("all_dropped")))
-        v = status.join(verdict, "id", "left")
+        v = status.join(verdict, "rid", "left")
         any_kept = F.coalesce(F.col("any_kept"), F.lit(0)) == 1
         all_dropped = F.coalesce(F.col("all_dropped"), F.lit(1)) == 1
         undecided = F.col("st") == 0
         v = v.withColumn("_expand", undecided & ~any_kept & all_dropped & ~F.col("exp"))
         v = materialize(v.select(
-            "id", "exp", "_expand",
+            "rid", "exp", "_expand",
             F.when(~undecided, F.col("st")).when(any_kept, F.lit(2))
             .when(all_dropped & F.col("exp"), F.lit(1)).otherwise(F.lit(0)).alias("st")))
         n_open, n_grow = v.agg(F.count_if(F.col("st") == 0), F.count_if("_expand")).first()
@@ -258,42 +326,38 @@ def near_dup_drop_greedy(df: DataFrame, id_col: str, text_col: str, threshold=0.
         before = (n_open, n_grow)
         if n_grow:
             # fetch the full earlier-edge lists of the rows that need them
-            grow = v.where("_expand").select("id")
-            new_e = _verify(_candidates(p, p.join(grow, "id", "left_semi"), num, den),
-                            reps, num, den, strict).select("id_a", "id_b")
+            grow = v.where("_expand").select("rid")
+            new_e = _verify(_candidates(p, p.join(grow, "rid", "left_semi"), num, den),
+                            sets, num, den, strict).select("rid_a", "rid_b")
             edges = materialize(edges.unionByName(new_e).distinct())
             # an earlier endpoint not seen before had no head edges, so its
             # earlier edges were all fetched up front: it is expanded
-            fresh = nodes_of(new_e).join(v.select("id"), "id", "left_anti").select(
-                "id", F.lit(0).alias("st"), F.lit(True).alias("exp"))
-            status = v.select("id", "st", (F.col("exp") | F.col("_expand")).alias("exp")).unionByName(fresh)
+            fresh = nodes_of(new_e).join(v.select("rid"), "rid", "left_anti").select(
+                "rid", F.lit(0).alias("st"), F.lit(True).alias("exp"))
+            status = v.select("rid", "st", (F.col("exp") | F.col("_expand")).alias("exp")).unionByName(fresh)
         else:
-            status = v.select("id", "st", "exp")
+            status = v.select("rid", "st", "exp")
         pending = n_open > 0 or n_grow > 0
-    dropped = status.where(F.col("st") == 2).select("id")
-    kept = reps.select("id").join(dropped, "id", "left_anti").unionByName(_token_free_ids(df, id_col, text_col))
-    return df.join(kept.withColumnRenamed("id", id_col), id_col, "left_semi")
-
-
-def _token_free_ids(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Ids of rows with no tokens (null or whitespace-only text): these never
-    match anything and are always kept."""
-    t = F.col(text_col)
-    return df.where(t.isNull() | (py_strip(t) == F.lit(""))).select(F.col(id_col).alias("id"))
+    return r.without(status.where(F.col("st") == 2))
 
 
 def near_dup_pairs_edit(df: DataFrame, id_col: str, text_col: str, threshold=0.85,
-                        min_edit_ratio: float = 0.85, strict: bool = True) -> DataFrame:
-    """Jaccard-verified pairs that also pass a character edit ratio
+                        min_edit_ratio: float = 0.85, strict: bool = True, unit: str = "chars") -> DataFrame:
+    """Jaccard-verified pairs that also pass an edit ratio
     ``1 - levenshtein(a, b) / max(len(a), len(b)) >= min_edit_ratio``.
 
-    The edit distance (built-in, code points) runs on verified pairs only,
-    with Spark's threshold form so a hopeless pair stops early; texts are
-    joined back for those pairs alone.
+    The edit distance (built-in) runs on verified pairs only, with Spark's
+    threshold form so a hopeless pair stops early; texts are joined back for
+    those pairs alone.  ``unit``: edits and lengths count ``chars`` (code
+    points) or ``bytes`` of the UTF-8 form.
     """
-    pairs = near_dup_pairs(df, id_col, text_col, threshold, strict)
-    ta = df.select(F.col(id_col).alias("id_a"), F.col(text_col).alias("text_a"))
-    tb = df.select(F.col(id_col).alias("id_b"), F.col(text_col).alias("text_b"))
+    if unit not in ("chars", "bytes"):
+        raise ValueError("unit is 'chars' or 'bytes'")
+    pairs = stored(near_dup_pairs(df, id_col, text_col, threshold, strict), "neardup-pairs")
+    # ISO-8859-1 has one character for each byte
+    text = F.col(text_col) if unit == "chars" else F.decode(F.encode(F.col(text_col), "UTF-8"), "ISO-8859-1")
+    ta = df.select(F.col(id_col).alias("id_a"), text.alias("text_a"))
+    tb = df.select(F.col(id_col).alias("id_b"), text.alias("text_b"))
     j = pairs.join(ta, "id_a").join(tb, "id_b")
     longest = F.greatest(F.char_length("text_a"), F.char_length("text_b"))
     f = as_fraction(min_edit_ratio)
@@ -325,7 +389,7 @@ def near_dup_pairs_approx(df: DataFrame, id_col: str, text_col: str, threshold=0
                           strict: bool = True, num_hash_tables: int | None = None,
                           seed: int = 17) -> DataFrame:
     """Approximate fallback: candidates share one of several bands of seeded
-    min-hashes over 64-bit token hashes; then the same exact verification as
+    min-hashes over 64-bit hashes of token ranks; then the same exact verification as
     ``near_dup_pairs``.
 
     Every pair that shares a band and passes the (exact) length filter is
@@ -336,18 +400,17 @@ def near_dup_pairs_approx(df: DataFrame, id_col: str, text_col: str, threshold=0
     """
     f = as_fraction(threshold)
     num, den = f.numerator, f.denominator
-    reps = materialize(set_representatives(token_sets(df, id_col, text_col)))
+    sets = RankedSets(df, id_col, text_col).sets
     bands, width = band_shape(threshold)
     bands = num_hash_tables or bands
-    hashed = reps.select("id", "n", F.transform("toks", lambda t: F.xxhash64(t)).alias("_h"))
-    mins = hashed.select("id", "n", F.transform(
+    hashed = sets.select("rid", "id", "n", F.transform("ranks", lambda t: F.xxhash64(t)).alias("_h"))
+    mins = hashed.select("rid", "id", "n", F.transform(
         F.sequence(F.lit(seed), F.lit(seed + bands * width - 1)),
         lambda s: F.array_min(F.transform("_h", lambda h: F.xxhash64(s, h)))).alias("_m"))
-    keys = materialize(mins.select("id", "n", F.explode(F.transform(
+    keys = materialize(mins.select("rid", "id", "n", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda b: F.xxhash64(b, F.slice("_m", b * F.lit(width) + F.lit(1), width)))).alias("_band")))
     a, b = keys.alias("a"), keys.alias("b")
     near = F.least("a.n", "b.n") * F.lit(den) >= F.greatest("a.n", "b.n") * F.lit(num)
-    cand = (a.join(b, (F.col("a._band") == F.col("b._band")) & (F.col("a.id") < F.col("b.id")) & near)
-            .select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct())
-    return _verify(cand, reps, num, den, strict)
+    cand = _pairs_of(a.join(b, (F.col("a._band") == F.col("b._band")) & (F.col("a.id") < F.col("b.id")) & near))
+    return _verify(cand, sets, num, den, strict).drop("rid_a", "rid_b")

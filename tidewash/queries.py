@@ -382,6 +382,42 @@ def q_near_dup_pairs_edit(spark, sf):
     return similarity.near_dup_pairs_edit(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD, FV.NEAR_DUP_THRESHOLD)
 
 
+@query("near_dup_pairs_edit_bytes", _SQL_SETS + """,
+e AS (SELECT p.*, levenshtein(a.text, b.text) AS edit_distance,
+             greatest(octet_length(encode(a.text)), octet_length(encode(b.text))) AS longest
+      FROM pairs p JOIN documents a ON a.doc_id = p.id_a JOIN documents b ON b.doc_id = p.id_b)
+SELECT id_a, id_b, n_common, n_union, CAST(edit_distance AS INTEGER) AS edit_distance,
+       1.0::DOUBLE - edit_distance::DOUBLE / longest::DOUBLE AS edit_ratio
+FROM e WHERE edit_distance <= longest * 15 // 100""")
+def q_near_dup_pairs_edit_bytes(spark, sf):
+    """The same verifier counting bytes, as DuckDB's levenshtein does."""
+    d = table(spark, sf, "documents", text_work=True)
+    return similarity.near_dup_pairs_edit(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD, FV.NEAR_DUP_THRESHOLD, unit="bytes")
+
+
+@query("near_dup_earliest", _SQL_SETS + """,
+e AS (SELECT id_b, min(id_a) AS first FROM pairs GROUP BY 1)
+SELECT t.doc_id AS id, coalesce(e.first, r.doc_id) AS earliest_id, e.first IS NULL AS same_set
+FROM t JOIN r ON r.toks = t.toks LEFT JOIN e ON e.id_b = r.doc_id WHERE t.doc_id > coalesce(e.first, r.doc_id)""")
+def q_near_dup_earliest(spark, sf):
+    """One row per document that has an earlier near-duplicate: the first of them."""
+    d = table(spark, sf, "documents", text_work=True)
+    return similarity.near_dup_earliest(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD)
+
+
+@query("near_dup_drop_null_ids", "WITH " + _sql_pair_ctes("(SELECT * FROM documents WHERE lang <> 'es')") + """
+SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE doc_id IN (SELECT doc_id FROM r) AND doc_id NOT IN (SELECT id_b FROM pairs)
+UNION ALL
+SELECT doc_id, md5(text) FROM documents WHERE doc_id IN (SELECT doc_id FROM t WHERE len(toks) = 0)
+UNION ALL
+SELECT NULL, md5(text) FROM documents WHERE lang = 'es'""")
+def q_near_dup_drop_null_ids(spark, sf):
+    """Rows without an id are compared with nothing, and all stay."""
+    d = table(spark, sf, "documents", text_work=True).select(
+        F.when(F.col("lang") != "es", F.col("doc_id")).alias("doc_id"), "text")
+    return similarity.near_dup_drop_earliest(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD).select("doc_id", F.md5("text").alias("text_md5"))
+
+
 @query("near_dup_pairs_approx")
 def q_near_dup_pairs_approx(spark, sf):
     """Approximate (banded min-hash) candidates, exactly verified: a subset of
