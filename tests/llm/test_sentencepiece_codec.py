@@ -42,8 +42,32 @@ def test_decode_round_trip(codec):
 
 def test_small_cache_gives_the_same(codec):
     with open(MODEL_PATH, "rb") as f:
-        small = Codec(f.read(), cache_chunks=3)
-    assert [small.encode([t])[0] for t in TEXTS] == [codec.encode([t])[0] for t in TEXTS]
+        small = Codec(f.read(), cache_bytes=700)
+    texts = TEXTS + random_texts(60)
+    assert [small.encode([t])[0] for t in texts] == [codec.encode([t])[0] for t in texts]
+    assert len(small.young) + len(small.old) <= 10
+
+
+def test_frequent_chunks_stay_and_long_ones_are_not_kept(codec):
+    with open(MODEL_PATH, "rb") as f:
+        small = Codec(f.read(), cache_bytes=20_000)
+    learnt, learn = [], small.learn
+    small.learn = lambda new: (learnt.extend(new), learn(new))[1]
+    for i in range(400):
+        small.encode([f"the same words and{i} one{i} more{i}"])
+        assert small.held <= 20_000
+    assert learnt.count("▁same") == 1 and len(small.young) + len(small.old) < 200
+    small.encode(["漢字" * 5000])
+    assert max(map(len, [*small.young, *small.old])) <= 64
+
+
+def test_other_operators_drop_what_is_held(codec):
+    from tidewash.llm import common, sentencepiece_codec as sp
+
+    with open(MODEL_PATH, "rb") as f:
+        assert sp._codec(f.read(), 2) and sp._CODECS
+    list(common.frees(lambda: iter([1]))())
+    assert not sp._CODECS and not common._HELD
 
 
 def test_model_file_is_parsed(codec):
@@ -68,6 +92,8 @@ def test_frames(spark):
     got = collect(out)
     assert len(got) == len(rows) and all(r["parity"] for r in got) and all(r["n_tokens"] == len(r["ids"]) for r in got)
     assert [r["ids"] for r in got if r["id"] is None] == [[]]
+    texts = dict(rows)
+    assert all(r["literal"] == ("▁" not in (texts[r["id"]] or "")) for r in got)
     back = {r["id"]: r["text"] for r in collect(decode(out, "id", "ids"))}
     assert all(back[i] == (t or "").replace("▁", " ") for i, t in rows)
 

@@ -59,12 +59,23 @@ def doc_key(id_col: str, text_col: str) -> Column:
         F.coalesce(F.concat(F.lit("="), F.col(text_col).cast("string")), F.lit("~")))))
 
 
+#: What modules keep in a worker between tasks: module -> how to drop it.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def holds(module: str, drop: Callable[[], None]) -> None:
+    """Tells that ``module`` keeps something in this worker; tasks of other modules call ``drop`` first."""
+    _HELD[module] = drop
+
+
 def frees(f: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
-    """For functions of ``mapInArrow``: when a task ends, its worker, which Spark keeps
-    for later tasks, gives freed memory back to the machine."""
+    """For functions of ``mapInArrow``, which run in workers that Spark keeps for later tasks:
+    a task first drops what other modules hold, and gives freed memory back when it ends."""
     @functools.wraps(f)
     def run(*args, **named):
         try:
+            for module in [m for m in _HELD if m != f.__module__]:
+                _HELD.pop(module)()
             yield from f(*args, **named)
         finally:
             pa.default_memory_pool().release_unused()

@@ -8,13 +8,18 @@ with the tokenizers library.
 Texts are cut into chunks, each a run of space markers and what follows up to the next
 marker.  No piece holds a marker after another character (checked when the model is
 read; otherwise a whole text is one chunk), so no merge crosses a chunk's border and
-the ids of a text are those of its chunks in order.  A task encodes each new chunk
+the ids of a text are those of its chunks in order.  A worker encodes each new chunk
 once, in multithreaded batches, and verifies it there: against the sentencepiece
 library (parity) and by decoding it (round trip).  Should a chunk differ, the
 reference's ids are taken and ``parity`` is false for its texts, so ids are always those of the model.
+Every text's ids are then decoded as a whole; ``literal`` tells whether that is the text itself.
+
+Known chunks are kept in two generations of bounded bytes: when the younger is full it
+becomes the older, and chunks that are met again move up, so frequent ones stay.  Long
+chunks (whole texts of unspaced scripts) are not kept.  The next operator's tasks drop all of it.
 
 Defined cases: null and empty texts have no ids and decode to the empty text; a literal
-U+2581 reads as a space, as in the reference; other columns are ignored, whatever their
+U+2581 reads as a space, as in the reference (``literal`` is then false); other columns are ignored, whatever their
 names; an empty table gives an empty result.
 """
 
@@ -32,12 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import frees, sliced
+from tidewash.llm.common import frees, holds, sliced
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Chunks that a task remembers; then it starts anew.
-CACHE_CHUNKS = 1 << 17
+#: Bytes of chunks that a worker keeps in each of two generations, with what a dict entry takes.
+CACHE_BYTES = 24 << 20
+ENTRY_BYTES = 200
+#: Longer chunks are not kept.
+LONG_CHUNK = 64
 #: Threads of a task's encoder.
 THREADS = 2
 
@@ -157,7 +165,7 @@ def build(model: Model, whole: bool = True):
 class Codec:
     """Encodes and decodes with one model; keeps the chunks it has seen."""
 
-    def __init__(self, data: bytes, threads: int = THREADS, cache_chunks: int = CACHE_CHUNKS) -> None:
+    def __init__(self, data: bytes, threads: int = THREADS, cache_bytes: int = CACHE_BYTES) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         import sentencepiece
@@ -167,8 +175,12 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.plain = not self.model.charsmap and not self.model.remove_extra_spaces
         self.cut = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+") if self.model.splittable() else None
-        self.limit = cache_chunks
-        self.forget()
+        self.limit = cache_bytes
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+        self.differs: set[str] = set()
+        self.lossy: set[str] = set()
         self.bytes_of = [self._piece_bytes(p, kind) for p, _, kind in self.model.pieces]
 
     @functools.cached_property
@@ -176,12 +188,6 @@ class Codec:
         """The tokenizer of whole texts."""
         return build(self.model)
 
-    def forget(self) -> None:
-        """Drop the chunks seen so far."""
-        self.ids: dict[str, bytes] = {}
-        self.differs: set[str] = set()
-        self.lossy: set[str] = set()
-
     @staticmethod
     def _piece_bytes(piece: str, kind: int) -> bytes:
         if kind == BYTE:
@@ -199,9 +205,9 @@ class Codec:
             text = self.whole.normalizer.normalize_str(text)
         return self.cut.findall(text) if self.cut else [text] if text else []
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, new: list[str]) -> list[bytes]:
         """Encode chunks in one multithreaded batch and verify each."""
-        prefix = self.model.dummy_prefix
+        prefix, out = self.model.dummy_prefix, []
         expected = self.reference.encode([c[1:].replace(MARK, " ") if prefix else c.replace(MARK, " ") for c in new])
         for c, found, want in zip(new, self.chunk.encode_batch_fast(new, add_special_tokens=False), expected):
             ids = found.ids
@@ -209,29 +215,53 @@ class Codec:
             if ids != want and not (prefix and c == MARK):
                 self.differs.add(c)
                 ids = want
-            self.ids[c] = np.array(ids, "<i4").tobytes()
+            out.append(np.array(ids, "<i4").tobytes())
             if b"".join(map(self.bytes_of.__getitem__, ids)) != c.replace(MARK, " ").encode():
                 self.lossy.add(c)
+        return out
+
+    def _keep(self, chunk: str, ids: bytes) -> None:
+        """Into the younger generation; a full one becomes the older."""
+        if len(chunk) > LONG_CHUNK:
+            return
+        self.young[chunk] = ids
+        self.held += ENTRY_BYTES + len(chunk) + len(ids)
+        if self.held > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
+            for marked in (self.differs, self.lossy):
+                marked.intersection_update(self.old)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """(ids as little-endian 32-bit bytes, parity, round trip) of each text."""
         cut = [self.chunks(t or "") for t in texts]
-        new = list({c for chunks in cut for c in set(chunks) if c not in self.ids})
-        if len(self.ids) + len(new) > self.limit:
-            self.forget()
-            new = list({c for chunks in cut for c in chunks})
-        if new:
-            self.learn(new)
-        get = self.ids.__getitem__
-        return [(b"".join(map(get, c)), self.differs.isdisjoint(c) if self.differs else True,
-                 self.lossy.isdisjoint(c) if self.lossy else True) for c in cut]
+        here: dict[str, bytes] = {}
+        new, met = [], []
+        young, old = self.young.get, self.old.get
+        for c in set().union(*cut):
+            ids = young(c)
+            if ids is None:
+                ids = old(c)
+                (new if ids is None else met).append(c)
+            here[c] = ids
+        for at in range(0, len(new), 1 << 15):
+            some = new[at:at + (1 << 15)]
+            here.update(zip(some, self.learn(some)))
+        get, differs, lossy = here.__getitem__, self.differs, self.lossy
+        out = [(b"".join(map(get, c)), differs.isdisjoint(c) if differs else True, lossy.isdisjoint(c) if lossy else True)
+               for c in cut]
+        for c in [*met, *new]:
+            self._keep(c, here[c])
+        for marked in (differs, lossy):
+            marked.intersection_update([c for c in marked if c in self.young or c in self.old])
+        return out
+
+    def text_bytes(self, ids: list[int]) -> bytes:
+        """The bytes of ids: those of the pieces joined, less the dummy prefix's space."""
+        data = b"".join(map(self.bytes_of.__getitem__, ids))
+        return data[1:] if self.model.dummy_prefix and data[:1] == b" " else data
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids: pieces' bytes joined, less the dummy prefix's space."""
-        data = b"".join(map(self.bytes_of.__getitem__, ids))
-        if self.model.dummy_prefix and data[:1] == b" ":
-            data = data[1:]
-        return data.decode("utf-8", "replace")
+        return self.text_bytes(ids).decode("utf-8", "replace")
 
 
 _CODECS: dict[int, Codec] = {}
@@ -242,24 +272,25 @@ def _codec(data: bytes, threads: int) -> Codec:
     key = hash(data)
     if key not in _CODECS:
         _CODECS[key] = Codec(data, threads)
+    holds(__name__, _CODECS.clear)
     return _CODECS[key]
 
 
 @frees
 def _encoded(batches: Iterator[pa.RecordBatch], data: bytes, threads: int) -> Iterator[pa.RecordBatch]:
     codec = _codec(data, threads)
-    codec.forget()
     for batch in sliced(batches, "text", 1 << 20):
-        found = codec.encode(batch.column("text").to_pylist())
+        texts = batch.column("text").to_pylist()
+        found = codec.encode(texts)
         ids = np.frombuffer(b"".join(x for x, _, _ in found), "<i4")
         sizes = [len(x) // 4 for x, _, _ in found]
         bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        literal = [codec.text_bytes(np.frombuffer(x, "<i4").tolist()) == (t or "").encode() for t, (x, _, _) in zip(texts, found)]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(sizes, pa.int64()),
              pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids)),
-             pa.array([p for _, p, _ in found]), pa.array([r for *_, r in found])],
-            [*(c for c in batch.schema.names if c != "text"), "n_tokens", "ids", "parity", "round_trip"])
-    codec.forget()
+             pa.array([p for _, p, _ in found]), pa.array([r for *_, r in found]), pa.array(literal, pa.bool_())],
+            [*(c for c in batch.schema.names if c != "text"), "n_tokens", "ids", "parity", "round_trip", "literal"])
 
 
 @frees
@@ -279,11 +310,11 @@ def _model_bytes(path: str) -> bytes:
 
 def encode(docs: DataFrame, id_col: str, text_col: str, model_path: str = MODEL_PATH,
            threads: int = THREADS) -> DataFrame:
-    """id, n_tokens, ids (array of int), parity, round_trip per row of ``docs``."""
+    """id, n_tokens, ids (array of int), parity, round_trip, literal per row of ``docs``."""
     data = docs.sparkSession.sparkContext.broadcast(_model_bytes(model_path))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(lambda b: _encoded(b, data.value, threads),
-                           "id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean")
+                           "id long, n_tokens long, ids array<int>, parity boolean, round_trip boolean, literal boolean")
 
 
 def decode(encoded: DataFrame, id_col: str, ids_col: str, model_path: str = MODEL_PATH) -> DataFrame:
