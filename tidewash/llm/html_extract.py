@@ -18,7 +18,7 @@ scripts, styles, comments and the head is no text; formulas are text, their anno
 are not; unclosed and stray tags are allowed: a head ends where the body or anything that
 it cannot hold starts, svg and math end at their end tag, slash or the next html block;
 white space (any Unicode white space, and line breaks) becomes one space; if no page is
-labelled, the untrained chain keeps nothing; repeated rows each get their text; an
+labelled, the chain is trained on ``BUILT_IN`` pages, laid out anew likewise; repeated rows each get their text; an
 empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -64,12 +65,64 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 ASIDE = set("nav aside footer form header menu dialog fieldset search".split())
 
 
+class Path:
+    """An element's ancestors and itself, as (tag, names) pairs from the root; paths share
+    their ancestors, so a deep page takes no more memory than a flat one."""
+
+    __slots__ = ("parent", "item", "depth", "seen", "near")
+
+    def __init__(self, parent: Path | None, item: tuple[str, tuple[str, ...]]) -> None:
+        self.parent, self.item, self.depth = parent, item, parent.depth + 1 if parent else 1
+        self.seen: frozenset[str] | None = None
+        self.near: str | None = None
+
+    @classmethod
+    def of(cls, items) -> Path | None:
+        path = None
+        for item in items:
+            path = cls(path, item)
+        return path
+
+    def __len__(self) -> int:
+        return self.depth
+
+    def __reversed__(self) -> Iterator[tuple]:
+        at = self
+        while at:
+            yield at.item
+            at = at.parent
+
+    def __iter__(self) -> Iterator[tuple]:
+        return reversed(list(reversed(self)))
+
+    def __getitem__(self, i: int) -> tuple:
+        return self.item if i == -1 else list(self)[i]
+
+    def features(self) -> tuple[frozenset[str], str | None]:
+        """Features of all elements of the path, and that of the nearest one that says something.
+        An element that adds nothing shares its parent's set."""
+        todo, at = [], self
+        while at and at.seen is None:
+            todo.append(at)
+            at = at.parent
+        seen, near = (at.seen, at.near) if at else (frozenset(), None)
+        for at in reversed(todo):
+            tag, names = at.item
+            own = {f"in={tag}", *(f"name={x}" for x in names), *(f"start={x[:5]}" for x in names if len(x) > 4)}  # commentlist as comment
+            seen = seen if own <= seen else seen | own
+            if names or tag not in ("p", "div", "li", "td", "tr", "tbody", "body", "html", "section"):
+                near = f"near={names[0] if names else tag}"
+            at.seen, at.near = seen, near
+        return seen, near
+
+
 class Blocks(HTMLParser):
     """Collects leaf blocks: (text, characters in links, ancestors as (tag, names))."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.stack: list[tuple[str, Path | None]] = []
+        self.open: Counter[str] = Counter()
         self.found: list[tuple[str, int, tuple]] = []
         self.text: list[str] = []
         self.linked = 0
@@ -81,12 +134,15 @@ class Blocks(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            path = tuple(x for x in self.stack if x[0] in BLOCKS)
-            self.found.append((text, min(self.linked, len(text)), path))
+            self.found.append((text, min(self.linked, len(text)), self._path() or ()))
         self.text, self.linked = [], 0
 
+    def _path(self) -> Path | None:
+        return self.stack[-1][1] if self.stack else None
+
     def _pop(self) -> None:
         tag, _ = self.stack.pop()
+        self.open[tag] -= 1
         self.hidden -= tag in HIDDEN
         self.links -= tag == "a"
         self.heads -= tag == "head"
@@ -130,7 +186,8 @@ class Blocks(HTMLParser):
         names: tuple[str, ...] = ()
         if attrs and tag in BLOCKS and tag not in ("html", "body"):
             names = tuple(t for k, v in attrs if k in ("class", "id", "role", "itemprop") and v for t in tokens(v))
-        self.stack.append((tag, names))
+        self.stack.append((tag, Path(self._path(), (tag, names)) if tag in BLOCKS else self._path()))
+        self.open[tag] += 1
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
         self.heads += tag == "head"
@@ -143,6 +200,8 @@ class Blocks(HTMLParser):
             self.handle_starttag(tag, attrs)  # as browsers do: the slash means nothing
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 if tag in BLOCKS:
@@ -183,22 +242,19 @@ _SLOT_OF: dict[str, int] = {}
 def features(found: list[tuple[str, int, tuple]]) -> list[list[int]]:
     """Feature slots of each block."""
     out = []
+    ordered: dict[int, tuple[frozenset[str], list[str]]] = {}  # blocks of one element share a set
     for i, (text, linked, path) in enumerate(found):
         n = text.count(" ") + 1
         mine = ["bias", f"words={min(n.bit_length(), 8)}", f"links={4 * linked // max(1, len(text))}",
                 f"ends={text[-1] in '.!?:;'}", f"tag={path[-1][0] if path else ''}", f"sign={'©' in text}",
                 f"first={i == 0}", f"last={i == len(found) - 1}", f"depth={min(len(path), 8)}"]
-        seen = set()
-        for tag, names in path:
-            seen.add(f"in={tag}")
-            seen.update(f"name={x}" for x in names)
-            seen.update(f"start={x[:5]}" for x in names if len(x) > 4)  # commentlist as comment
-        for tag, names in reversed(path):  # the nearest element that says something
-            if names or tag not in ("p", "div", "li", "td", "tr", "tbody", "body", "html", "section"):
-                mine.append(f"near={names[0] if names else tag}")
-                break
+        seen, near = (path if isinstance(path, Path) else Path.of(path)).features() if path else (frozenset(), None)
+        if near:
+            mine.append(near)
+        if id(seen) not in ordered:
+            ordered[id(seen)] = (seen, sorted(seen))
         slots = []
-        for f in (*mine, *sorted(seen)):
+        for f in (*mine, *ordered[id(seen)][1]):
             s = _SLOT_OF.get(f)
             if s is None:
                 s = _slot(f)
@@ -383,6 +439,21 @@ def layouts(found: list[tuple[str, int, tuple]], labels: list[int], seed: int) -
     return out
 
 
+#: Made-up labelled pages for tables that have none.
+BUILT_IN = ["""<html><body><header><p>The Daily Example</p></header><nav><ul><li><a href=a>Home</a><li><a href=b>News</a>
+<li><a href=c>About us</a></ul></nav><article><h1>A bridge over the river is to be mended this summer</h1><p>The old stone
+bridge by the mill will be closed from June, as its second arch has moved by the width of a hand.</p><p>Work is to take
+eleven weeks; carts and cars go by the northern road until then. The council met on Tuesday and found that waiting would
+cost more.</p><h2>What comes next</h2><p>Masons from three villages will look at the stones in May.</p><ul><li>First the
+piers are made dry.<li>Then the arch is taken down.</ul></article><aside><p><a href=d>Most read this week</a></p><p>Ten
+soups for cold days</p></aside><footer><p>© The Daily Example</p><p><a href=e>Terms</a></p></footer></body></html>""",
+            """<html><body><nav><p><a href=a>Index</a></p><p><a href=b>Recipes</a></p></nav><main><h2>Bread without
+kneading</h2><p>Stir flour, water, salt and a little yeast in a bowl, cover it and go to bed.</p><p>In the morning the
+dough has doubled. Fold it twice, let it rest for an hour, and heat the oven with the pot inside.</p><p>Bake it for thirty
+minutes with the lid on and fifteen without.</p></main><form><p>Sign up for our letter</p></form><footer><p>All rights
+reserved</p></footer></body></html>"""]
+
+
 def train(pages: DataFrame, html_col: str, sample_pages: int = SAMPLE_PAGES) -> Chain:
     """Fit the chain on a bounded sample of pages that their markup labels."""
     html = F.col(html_col).cast("string")
@@ -390,14 +461,19 @@ def train(pages: DataFrame, html_col: str, sample_pages: int = SAMPLE_PAGES) ->
               .where(F.lower("html").rlike("<(article|main)[\\s>]")))
     marked = marked.where(hash_share(F.col("html"), sample_pages, marked.count()))
     rows = marked.orderBy(F.xxhash64("html"), "html").limit(sample_pages).collect()
-    training = []
-    for seed, row in enumerate(rows):
-        found = blocks(row["html"])
+    return fit(_examples([row["html"] for row in rows]) or _examples(BUILT_IN * 4))
+
+
+def _examples(htmls: list[str]) -> list[tuple[list[list[int]], list[int]]]:
+    """Pages that their markup labels, as they are and laid out anew."""
+    out = []
+    for seed, html in enumerate(htmls):
+        found = blocks(html)
         labels = labels_by_markup(found)
         if labels:
-            training.append((features(found), labels))
-            training += [(features(page), y) for page, y in layouts(found, labels, seed)]
-    return fit(training)
+            out.append((features(found), labels))
+            out += [(features(page), y) for page, y in layouts(found, labels, seed)]
+    return out
 
 
 def extract_text(model: Chain, html: str | None) -> str:

@@ -156,12 +156,49 @@ def _text_evidence(batches: Iterator[pa.RecordBatch], log_p: np.ndarray, markup:
             [*(c for c in batch.schema.names if c != "text"), "n_grams", "ll"])
 
 
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<[^>]*>")
+_RAW = re.compile(r"<(script|style|noscript|template)\b", re.I)
+_RAW_END = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "noscript", "template")}
 
 
 def visible_text(page: str | None) -> str:
-    """The text of a page without markup, scripts and styles."""
-    return entities.unescape(_HIDDEN.sub(" ", page or ""))
+    """The text of a page without markup, comments, scripts and styles, each one space.
+
+    One pass: the next end of each kind is looked for once and kept until it is passed, so
+    a comment or script that never ends (it then counts as a tag) does not cost a search each."""
+    page = page or ""
+    ends: dict[str, tuple[int, int]] = {}
+
+    def end(kind: str, at: int) -> int:
+        """Where the first end of ``kind`` at or after ``at`` stops; -1 if there is none."""
+        start, stop = ends.get(kind, (-2, -2))
+        if stop != -1 and start < at:
+            if kind in _RAW_END:
+                m = _RAW_END[kind].search(page, at)
+                start, stop = m.span() if m else (-1, -1)
+            else:
+                start = page.find(kind, at)
+                stop = start + len(kind) if start >= 0 else -1
+            ends[kind] = (start, stop)
+        return stop
+
+    out, at = [], 0
+    while True:
+        mark = page.find("<", at)
+        if mark < 0:
+            break
+        stop, raw = -1, _RAW.match(page, mark)
+        if page.startswith("<!--", mark):
+            stop = end("-->", mark + 4)
+        elif raw:
+            stop = end(raw.group(1).lower(), raw.end())
+        if stop < 0:
+            stop = end(">", mark + 1)
+        if stop < 0:
+            break  # no markup ends any more
+        out += [page[at:mark], " "]
+        at = stop
+    out.append(page[at:])
+    return entities.unescape("".join(out))
 
 
 def declared_language(html_col: Column) -> Column:

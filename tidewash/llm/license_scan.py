@@ -250,14 +250,41 @@ def _scanned(batches: Iterator[pa.RecordBatch], catalogue: Catalogue, settled: b
             ["id", "n_words", "spdx", "matches"])
 
 
+_ID = r"[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?"
+
+
 def spdx_ids(text: Column) -> Column:
-    """License ids of a text's SPDX lines, in order."""
-    one = r"\(*[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?\)*"
-    lines = F.regexp_extract_all(text, F.lit(
-        rf"(?i:SPDX-License-Identifier):[ \t]*({one}(?:[ \t]+(?:(?i:AND|OR|WITH))[ \t]+{one})*)"), F.lit(1))
-    ids = F.flatten(F.transform(lines, lambda x: F.split(
-        F.regexp_replace(F.regexp_replace(x, r"(?i)[ \t]+WITH[ \t]+[^ \t]+", ""), "[()]", ""), r"(?i)[ \t]+(?:AND|OR)[ \t]+")))
-    return F.transform(ids, lambda x: F.regexp_replace(x, r"(?i)(-only|-or-later|\+)$", ""))
+    """License ids of a text's SPDX lines, in order: ids joined by AND, OR or WITH, up to the
+    first word that does not fit; what follows WITH is an exception, no license.
+
+    A line is cut into words and judged word by word, so its length does not matter."""
+    behind = F.slice(F.split(text, r"(?i)SPDX-License-Identifier:", -1), F.lit(2), F.lit(1 << 30))
+    lines = F.transform(behind, lambda p: F.regexp_extract(p, r"^[ \t]*([^\r\n]*)", 1))
+
+    def bound(c: Column, f) -> Column:
+        """``f`` of a value that is computed once."""
+        return F.get(F.transform(F.array(c), f), F.lit(0))
+
+    def fits(words: Column) -> Column:
+        """2: fits whole, 1: an id with something behind it, which ends the line, 0: does not fit."""
+        return F.transform(words, lambda w, j: F.when(
+            j % 2 == 1, F.when(F.upper(w).isin("AND", "OR", "WITH"), 2).otherwise(0)).otherwise(
+            F.when(w.rlike(rf"^\(*{_ID}\)*$"), 2).when(w.rlike(rf"^\(*{_ID}"), 1).otherwise(0)))
+
+    def until(fit: Column) -> Column:
+        size, bad, last = F.size(fit).cast("long"), F.array_position(fit, 0), F.array_position(fit, 1)
+        return F.least(F.when(bad > 0, bad - 1).otherwise(size), F.when(last > 0, last).otherwise(size))
+
+    def named(words: Column, end: Column) -> Column:
+        ids = F.transform(words, lambda w, j: F.when(
+            (j < end) & (j % 2 == 0) & (F.coalesce(F.upper(F.get(words, j - F.lit(1))), F.lit("")) != "WITH"),
+            F.regexp_extract(w, rf"^\(*({_ID})", 1)))
+        return F.filter(ids, lambda x: x.isNotNull())
+
+    def of_line(line: Column) -> Column:
+        return bound(F.split(line, r"[ \t]+"), lambda words: bound(until(fits(words)), lambda end: named(words, end)))
+
+    return F.transform(F.flatten(F.transform(lines, of_line)), lambda x: F.regexp_replace(x, r"(?i)(-only|-or-later|\+)$", ""))
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, str]] | None, settled: bool) -> DataFrame:
