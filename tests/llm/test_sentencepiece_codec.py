@@ -25,7 +25,7 @@ def test_parity_on_whole_texts(codec):
 
     for text in TEXTS + random_texts(300):
         want = codec.reference.encode(text)
-        (ids, parity, _), = codec.encode([text])
+        (ids, parity), = codec.encode([text])
         assert np.frombuffer(ids, "<i4").tolist() == want and parity
         assert codec.whole.encode(text, add_special_tokens=False).ids == want
 
@@ -34,7 +34,8 @@ def test_decode_round_trip(codec):
     import numpy as np
 
     for text in TEXTS + random_texts(200):
-        (ids, _, _), = codec.encode([text])
+        (ids, _), = codec.encode([text])
+        assert codec.read_back(text, ids) == (True, "▁" not in text)
         ids = np.frombuffer(ids, "<i4").tolist()
         assert codec.decode(ids) == text.replace("▁", " ")
         assert codec.decode(ids) == codec.reference.decode(ids)
@@ -45,18 +46,18 @@ def test_small_cache_gives_the_same(codec):
         small = Codec(f.read(), cache_bytes=700)
     texts = TEXTS + random_texts(60)
     assert [small.encode([t])[0] for t in texts] == [codec.encode([t])[0] for t in texts]
-    assert len(small.young) + len(small.old) <= 10
+    assert len(small.young) + len(small.old) <= 200
 
 
 def test_frequent_chunks_stay_and_long_ones_are_not_kept(codec):
     with open(MODEL_PATH, "rb") as f:
-        small = Codec(f.read(), cache_bytes=20_000)
+        small = Codec(f.read(), cache_bytes=250_000)
     learnt, learn = [], small.learn
     small.learn = lambda new: (learnt.extend(new), learn(new))[1]
     for i in range(400):
         small.encode([f"the same words and{i} one{i} more{i}"])
-        assert small.held <= 20_000
-    assert learnt.count("▁same") == 1 and len(small.young) + len(small.old) < 200
+        assert small.held <= 250_000
+    assert learnt.count("▁same") == 1 and len(small.young) + len(small.old) < 2100
     small.encode(["漢字" * 5000])
     assert max(map(len, [*small.young, *small.old])) <= 64
 
@@ -93,7 +94,7 @@ def test_frames(spark):
     assert len(got) == len(rows) and all(r["parity"] for r in got) and all(r["n_tokens"] == len(r["ids"]) for r in got)
     assert [r["ids"] for r in got if r["id"] is None] == [[]]
     texts = dict(rows)
-    assert all(r["literal"] == ("▁" not in (texts[r["id"]] or "")) for r in got)
+    assert all(r["round_trip"] and r["literal"] == ("▁" not in (texts[r["id"]] or "")) for r in got)
     back = {r["id"]: r["text"] for r in collect(decode(out, "id", "ids"))}
     assert all(back[i] == (t or "").replace("▁", " ") for i, t in rows)
 

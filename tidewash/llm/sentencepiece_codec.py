@@ -9,10 +9,11 @@ Texts are cut into chunks, each a run of space markers and what follows up to th
 marker.  No piece holds a marker after another character (checked when the model is
 read; otherwise a whole text is one chunk), so no merge crosses a chunk's border and
 the ids of a text are those of its chunks in order.  A worker encodes each new chunk
-once, in multithreaded batches, and verifies it there: against the sentencepiece
-library (parity) and by decoding it (round trip).  Should a chunk differ, the
-reference's ids are taken and ``parity`` is false for its texts, so ids are always those of the model.
-Every text's ids are then decoded as a whole; ``literal`` tells whether that is the text itself.
+once, in multithreaded batches, and verifies it there against the sentencepiece
+library (parity).  Should a chunk differ, the reference's ids are taken and ``parity``
+is false for its texts, so ids are always those of the model.  Every text's ids are then
+decoded as a whole: ``round_trip`` tells whether that is the text as normalised,
+``literal`` whether it is the text itself.
 
 Known chunks are kept in two generations of bounded bytes: when the younger is full it
 becomes the older, and chunks that are met again move up, so frequent ones stay.  Long
@@ -25,10 +26,13 @@ names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gc
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,7 +46,7 @@ from tidewash.llm.common import frees, holds, sliced
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Bytes of chunks that a worker keeps in each of two generations, with what a dict entry takes.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 40 << 20
 ENTRY_BYTES = 200
 #: Longer chunks are not kept.
 LONG_CHUNK = 64
@@ -180,7 +184,6 @@ class Codec:
         self.old: dict[str, bytes] = {}
         self.held = 0
         self.differs: set[str] = set()
-        self.lossy: set[str] = set()
         self.bytes_of = [self._piece_bytes(p, kind) for p, _, kind in self.model.pieces]
 
     @functools.cached_property
@@ -206,33 +209,33 @@ class Codec:
         return self.cut.findall(text) if self.cut else [text] if text else []
 
     def learn(self, new: list[str]) -> list[bytes]:
-        """Encode chunks in one multithreaded batch and verify each."""
-        prefix, out = self.model.dummy_prefix, []
+        """Encode chunks in one multithreaded batch, each by both libraries."""
+        prefix, out, add = self.model.dummy_prefix, [], self.differs.add
         expected = self.reference.encode([c[1:].replace(MARK, " ") if prefix else c.replace(MARK, " ") for c in new])
         for c, found, want in zip(new, self.chunk.encode_batch_fast(new, add_special_tokens=False), expected):
             ids = found.ids
             # The reference has no ids for the empty text, whose chunk would be the lone marker.
             if ids != want and not (prefix and c == MARK):
-                self.differs.add(c)
+                add(c)
                 ids = want
-            out.append(np.array(ids, "<i4").tobytes())
-            if b"".join(map(self.bytes_of.__getitem__, ids)) != c.replace(MARK, " ").encode():
-                self.lossy.add(c)
+            out.append(array("i", ids).tobytes())
         return out
 
-    def _keep(self, chunk: str, ids: bytes) -> None:
+    def _keep(self, chunks: list[str], here: dict[str, bytes]) -> None:
         """Into the younger generation; a full one becomes the older."""
-        if len(chunk) > LONG_CHUNK:
-            return
-        self.young[chunk] = ids
-        self.held += ENTRY_BYTES + len(chunk) + len(ids)
-        if self.held > self.limit:
-            self.old, self.young, self.held = self.young, {}, 0
-            for marked in (self.differs, self.lossy):
-                marked.intersection_update(self.old)
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
-        """(ids as little-endian 32-bit bytes, parity, round trip) of each text."""
+        kept = [c for c in chunks if len(c) <= LONG_CHUNK]
+        step = 1 << 10
+        for some in (kept[at:at + step] for at in range(0, len(kept), step)):
+            ids = [here[c] for c in some]
+            self.young.update(zip(some, ids))
+            self.held += ENTRY_BYTES * len(some) + sum(map(len, some)) + sum(map(len, ids))
+            if self.held > self.limit:
+                self.old, self.young, self.held = self.young, {}, 0
+        if self.differs:
+            self.differs = {c for c in self.differs if c in self.young or c in self.old}
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+        """(ids as little-endian 32-bit bytes, parity) of each text."""
         cut = [self.chunks(t or "") for t in texts]
         here: dict[str, bytes] = {}
         new, met = [], []
@@ -241,20 +244,29 @@ class Codec:
             ids = young(c)
             if ids is None:
                 ids = old(c)
-                (new if ids is None else met).append(c)
+                if ids is None:
+                    new.append(c)
+                    continue
+                met.append(c)
             here[c] = ids
         for at in range(0, len(new), 1 << 15):
             some = new[at:at + (1 << 15)]
             here.update(zip(some, self.learn(some)))
-        get, differs, lossy = here.__getitem__, self.differs, self.lossy
-        out = [(b"".join(map(get, c)), differs.isdisjoint(c) if differs else True, lossy.isdisjoint(c) if lossy else True)
-               for c in cut]
-        for c in [*met, *new]:
-            self._keep(c, here[c])
-        for marked in (differs, lossy):
-            marked.intersection_update([c for c in marked if c in self.young or c in self.old])
+        get, differs = here.__getitem__, self.differs
+        out = [(b"".join(map(get, c)), differs.isdisjoint(c) if differs else True) for c in cut]
+        self._keep(met, here)
+        self._keep(new, here)
         return out
 
+    def read_back(self, text: str | None, ids: bytes) -> tuple[bool, bool]:
+        """(round trip, literal): whether the ids decode to the text as the model's normaliser
+        leaves it, and to the text itself."""
+        data = self.text_bytes(np.frombuffer(ids, "<i4").tolist())
+        if data == (text or "").encode():
+            return True, True
+        normal = "".join(self.chunks(text or "")).replace(MARK, " ")
+        return data == (normal[1:] if self.model.dummy_prefix else normal).encode(), False
+
     def text_bytes(self, ids: list[int]) -> bytes:
         """The bytes of ids: those of the pieces joined, less the dummy prefix's space."""
         data = b"".join(map(self.bytes_of.__getitem__, ids))
@@ -276,20 +288,34 @@ def _codec(data: bytes, threads: int) -> Codec:
     return _CODECS[key]
 
 
+@contextlib.contextmanager
+def _no_cycles() -> Iterator[None]:
+    """Without the collector of reference cycles: millions of strings, and no cycle, to look at."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 @frees
 def _encoded(batches: Iterator[pa.RecordBatch], data: bytes, threads: int) -> Iterator[pa.RecordBatch]:
     codec = _codec(data, threads)
     for batch in sliced(batches, "text", 1 << 20):
         texts = batch.column("text").to_pylist()
-        found = codec.encode(texts)
-        ids = np.frombuffer(b"".join(x for x, _, _ in found), "<i4")
-        sizes = [len(x) // 4 for x, _, _ in found]
+        with _no_cycles():
+            found = codec.encode(texts)
+            back = [codec.read_back(t, x) for t, (x, _) in zip(texts, found)]
+        ids = np.frombuffer(b"".join(x for x, _ in found), "<i4")
+        sizes = [len(x) // 4 for x, _ in found]
         bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        literal = [codec.text_bytes(np.frombuffer(x, "<i4").tolist()) == (t or "").encode() for t, (x, _, _) in zip(texts, found)]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(sizes, pa.int64()),
              pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids)),
-             pa.array([p for _, p, _ in found]), pa.array([r for *_, r in found]), pa.array(literal, pa.bool_())],
+             pa.array([p for _, p in found], pa.bool_()), pa.array([r for r, _ in back], pa.bool_()),
+             pa.array([x for _, x in back], pa.bool_())],
             [*(c for c in batch.schema.names if c != "text"), "n_tokens", "ids", "parity", "round_trip", "literal"])
 
 
