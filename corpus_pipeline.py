@@ -32,8 +32,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = language_id.identify(
         docs, model, F.col("doc_id"), doc_key("doc_id", "text"), F.col("text"), declared=F.col("lang"),
         host=F.col("source"), domain=none, suffix=none, path=none)
-    gone = written(found.where("not accepted").select(F.col("key").alias("__key")).distinct(), "language-rejected")
-    return docs.withColumn("__key", doc_key("doc_id", "text")).join(gone, "__key", "left_anti").select(docs.columns)
+    gone = written(found.where("not accepted").select("key").distinct(), "language-rejected")
+    rows = docs.select(F.struct("*").alias("doc"), doc_key("doc_id", "text").alias("key"))
+    return rows.join(gone, "key", "left_anti").select("doc.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ SCHEMA = T.StructType([
 
 #: names that operators use inside
 CLASHES = ("id", "row", "size", "hash", "n", "len", "part", "shard", "body", "sha", "salt", "key",
-           "word", "token", "count")
+           "word", "token", "count", "doc", "tie", "several", "__key", "__sha", "__id", "__row")
 
 
 def docs(spark, rows, clash=False):

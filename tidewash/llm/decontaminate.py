@@ -217,5 +217,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str, text_col:
                       item_text_col: str) -> DataFrame:
     """``docs`` without the contaminated rows."""
     bad = written(decontaminate(docs, items, id_col, text_col, item_col, item_text_col)
-                  .where("contaminated").select(F.col("key").alias("__key")).distinct(), "contaminated")
-    return docs.withColumn("__key", doc_key(id_col, text_col)).join(bad, "__key", "left_anti").select(docs.columns)
+                  .where("contaminated").select("key").distinct(), "contaminated")
+    rows = docs.select(F.struct("*").alias("doc"), doc_key(id_col, text_col).alias("key"))
+    return rows.join(bad, "key", "left_anti").select("doc.*")

@@ -199,15 +199,14 @@ def exact_dedup(docs: DataFrame, id_col: str, text_col: str, keep: str = "smalle
 def drop_copies(docs: DataFrame, id_col: str, text_col: str, keep: str = "smallest") -> DataFrame:
     """``docs`` without the rows that another row with an equal text replaces."""
     kept = exact_dedup(docs, id_col, text_col, keep).where("kept").select(
-        F.col("id").alias("__id"), F.col("sha").alias("__sha"), F.col("tie").alias("__tie"))
+        "id", "sha", "tie")
     kept = written(kept, "exact-kept")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumns({"__sha": F.unhex(F.sha2(ascii_lower(text), 256)),
-                             "__id": F.col(id_col).cast("long")})
-    match = lambda k: (rows["__sha"] == k["__sha"]) & rows["__id"].eqNullSafe(k["__id"])
-    single, tied = kept.where("not __tie"), kept.where("__tie")
-    plain = rows.join(single, match(single), "left_semi").select(docs.columns)
+    rows = docs.select(F.struct("*").alias("doc"), F.unhex(F.sha2(ascii_lower(text), 256)).alias("sha"),
+                       F.col(id_col).cast("long").alias("id"))
+    match = lambda k: (rows["sha"] == k["sha"]) & rows["id"].eqNullSafe(k["id"])
+    single, tied = kept.where("not tie"), kept.where("tie")
+    plain = rows.join(single, match(single), "left_semi").select("doc.*")
     # Survivors that are repeated rows: all columns but the text may differ; the least row stays.
-    again = (rows.join(tied, match(tied), "left_semi").groupBy("__sha")
-             .agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*"))
+    again = rows.join(tied, match(tied), "left_semi").groupBy("sha").agg(F.min("doc").alias("doc")).select("doc.*")
     return plain.unionByName(again)

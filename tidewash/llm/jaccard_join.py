@@ -341,10 +341,9 @@ def drop_similar(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5,
     found = _classes(docs, id_col, text_col, shingle, num, den)
     first = F.min(F.struct(F.col("id").isNull(), "id", "key", "class_size")).alias("first")
     keep = written(found.groupBy("component").agg(first).select(
-        F.col("first.key").alias("__key"), (F.col("first.class_size") > 1).alias("__several")), "jaccard-keep")
-    rows = docs.withColumn("__key", doc_key(id_col, text_col))
+        "first.key", (F.col("first.class_size") > 1).alias("several")), "jaccard-keep")
+    rows = docs.select(F.struct("*").alias("doc"), doc_key(id_col, text_col).alias("key"))
     # Repeated rows have the same set, so only classes of several rows can hold any.
-    plain = rows.join(keep.where("not __several"), "__key", "left_semi").select(docs.columns)
-    again = (rows.join(keep.where("__several"), "__key", "left_semi").groupBy("__key")
-             .agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*"))
+    plain = rows.join(keep.where("not several"), "key", "left_semi").select("doc.*")
+    again = rows.join(keep.where("several"), "key", "left_semi").groupBy("key").agg(F.min("doc").alias("doc")).select("doc.*")
     return plain.unionByName(again)
