@@ -11,10 +11,11 @@ of these:
 2. Equal segments (128-bit hashes of their bytes) are counted; a segment that occurs
    twice consists of repeated windows.  One of each goes on, if its anchor has others.
 3. Suffix order.  All segments of an anchor meet in one task, which sorts the suffixes
-   at their windows by prefix doubling up to ``length`` bytes.  Longest previous factor:
-   among suffixes that share ``length`` bytes, which stand next to each other in suffix
-   order, the previous and next smaller text positions tell whether there is an earlier
-   match; the same with larger positions tells of a later one.
+   at their windows by prefix doubling up to ``length`` bytes.  Suffixes that share
+   ``length`` bytes are a run of equal ranks, in it by position: an entry has an earlier
+   match exactly if it does not start its run, and a later one if it does not end it.
+   (Lengths of matches above ``length``, as a longest-previous-factor array has them, are
+   not found.)
 4. An anchor with over ``GROUP`` distinct segments (the border of a passage that many
    texts hold) is dealt by the 128-bit hash of each window instead, with partial
    aggregation, so it never meets in one task; the earliest position comes from the
