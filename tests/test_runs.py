@@ -117,3 +117,50 @@ def test_running_aggregates_property(spark, rows, per_bucket, global_order):
         s, mn, c = acc.get(key, (0, None, 0))
         acc[key] = (s + v, v if mn is None else min(mn, v), c + (v > 0))
         assert got[pos] == acc[key]
+
+
+def _crossings_by_hand(rows, targets, metric):
+    """{(user, target): (event_id, cumulative)} of rows in order."""
+    sums, hits = {}, {}
+    for r in rows:
+        u = r[2]
+        sums[u] = sums.get(u, 0) + (metric(r) or 0)
+        for user, t in targets:
+            if user == u and t is not None and (u, t) not in hits and sums[u] >= t:
+                hits[u, t] = (r[0], sums[u])
+    return {(u, t): hits.get((u, t), (None, None)) for u, t in targets if t is not None}
+
+
+def test_first_crossings_of_a_table(spark):
+    rows = _events(500, 11)
+    df = _df(spark, rows)
+    df = df.withColumn("user_id", F.when(F.col("user_id") != 3, F.col("user_id")))  # null: a key like others
+    rows = [(*r[:2], None if r[2] == 3 else r[2], *r[3:]) for r in rows]
+    lead = F.when(F.col("event_type") == "error", -2).when(F.col("event_id") % 9 == 0, None).otherwise(3).cast("long")
+    by_hand = [lambda r: int(r[4]), lambda r: -2 if r[3] == "error" else None if r[0] % 9 == 0 else 3]
+    for metric, plain in zip([F.col("value").cast("long"), lead], by_hand):
+        targets = [(u, t) for u in (7, 1, None, 99) for t in (-5, 0, 1, 7, 60, 1000, 5000, 10 ** 9, None)]
+        want = spark.createDataFrame(targets + targets[:4], "user_id long, goal long")
+        got = runs.first_crossings(df, ["ts", "event_id"], metric, want, "goal", "event_id", "user_id", rows_per_bucket=40)
+        got = [((r.user_id, r.target), (r.event_id, r.cum_metric)) for r in got.collect()]
+        assert len(got) == len(dict(got))
+        assert dict(got) == _crossings_by_hand(rows, targets, plain)
+
+
+def test_first_crossings_of_nothing(spark):
+    df = _df(spark, _events(20))
+    none = spark.createDataFrame([], "goal long")
+    some = spark.createDataFrame([(5,)], "goal long")
+    amount = F.col("value").cast("long")
+    assert runs.first_crossings(df, ["ts", "event_id"], amount, none, "goal", "event_id").count() == 0
+    row, = runs.first_crossings(df.where("false"), ["ts", "event_id"], amount, some, "goal", "event_id").collect()
+    assert (row.target, row.event_id, row.cum_metric) == (5, None, None)
+
+
+def test_first_crossings_reads_only_hit_ranges(spark, capsys):
+    df = _df(spark, _events(400, 2))
+    goals = spark.createDataFrame([(100,), (101,)], "goal long")
+    out = runs.first_crossings(df, ["ts", "event_id"], F.col("value").cast("long"), goals, "goal", "event_id", rows_per_bucket=20)
+    assert out.count() == 2
+    out.explain("formatted")
+    assert "dynamicpruning" in capsys.readouterr().out

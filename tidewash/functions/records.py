@@ -122,5 +122,37 @@ def round_fixed(c, digits: int) -> Column:
     """Round half away from zero on the decimal value, as a double.
 
     A deliberate difference: Python rounds the binary value half to even, so
-    it makes 0.12 of 0.125 and 2.67 of 2.675; this makes 0.13 and 2.68, as SQL does."""
+    it makes 0.12 of 0.125 and 2.67 of 2.675; this makes 0.13 and 2.68, as SQL does.
+    ``round_fixed_binary`` rounds as Python does."""
     return F.round(col_of(c), digits)
+
+
+_SPLIT = float(2 ** 27 + 1)  # halves the 53 bits of a double (Veltkamp)
+
+
+def _product_error(x: Column, p: float, product: Column) -> Column:
+    """``x * p - product``, exactly: the halves' products have no rounding error (Dekker)."""
+    p_high = p * _SPLIT - (p * _SPLIT - p)
+    p_low = p - p_high
+    high = x * F.lit(_SPLIT) - (x * F.lit(_SPLIT) - x)
+    low = x - high
+    return ((high * F.lit(p_high) - product) + high * F.lit(p_low) + low * F.lit(p_high)) + low * F.lit(p_low)
+
+
+def round_fixed_binary(c, digits: int) -> Column:
+    """Round the binary value of a double, ties to even, as Python's ``round`` does: 0.125
+    gives 0.12 and 2.675, which is a little less in binary, 2.67.
+
+    ``c * 10^digits`` is taken as a product and its exact rounding error, so the remainder
+    that decides is exact.  ``digits`` is 0 to 22 (these powers of ten are exact doubles).
+    Null, NaN and infinities stay; a negative value that rounds to zero gives 0.0."""
+    if not 0 <= digits <= 22:
+        raise ValueError(f"digits must be 0 to 22, got {digits}")
+    x, p = col_of(c).cast("double"), float(10 ** digits)
+    product = x * F.lit(p)
+    below = F.floor(product).cast("double")
+    over_half = (product - below) - F.lit(0.5)
+    error = _product_error(x, p, product)
+    up = (over_half > -error) | ((over_half == -error) & (F.pmod(below, F.lit(2.0)) == 1.0))
+    # beyond 2^53 neighbouring doubles are further apart than the digit
+    return F.when(F.abs(product) >= F.lit(2.0 ** 53), x).otherwise((below + up.cast("double")) / F.lit(p))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidewash.functions.common import col_of, names_of
 from tidewash.functions.records import epoch_micros
-from tidewash.operators.running import running_aggregates
+from tidewash.operators.running import ROWS_PER_BUCKET, running_aggregates
+from tidewash.session import scratch_path
 
 
 def consecutive_runs(df: DataFrame, order_by, failed: Column, id_col: str,
@@ -107,3 +108,84 @@ def first_crossing(df: DataFrame, order_by, metric: Column, targets: list,
             .select(*part, "target", F.col(f"hit.{id_col}").alias(id_col),
                     *[F.col(f"hit.{c}").alias(c) for c in order if c != id_col],
                     F.col("hit.cum_metric").alias("cum_metric")))
+
+
+def _next_at_least(values: DataFrame, part: list[str], found: str, in_one_task: bool) -> DataFrame:
+    """For rows (part, _fc_value, _fc_kind): the least ``found`` among the rows of kind 0 whose
+    value is not below the row's own, as ``_fc_first``.
+
+    Sorted by falling value this is a running minimum.  ``in_one_task`` says that the rows of
+    a key are bounded, so that a plain window will do."""
+    if not in_one_task:
+        d = values.withColumn("_fc_neg", -F.col("_fc_value"))
+        return running_aggregates(d, ["_fc_neg", "_fc_kind", found], {"_fc_first": ("min", F.col(found))}, part).drop("_fc_neg")
+    w = (Window.partitionBy(*part).orderBy(F.col("_fc_value").desc(), "_fc_kind")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return values.withColumn("_fc_first", F.min(found).over(w))
+
+
+def first_crossings(df: DataFrame, order_by, metric: Column, targets: DataFrame, target_col: str,
+                    id_col: str, partition_by=None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``first_crossing`` for a table of targets: one row per distinct target (and key), with
+    the first row in order whose cumulative metric reaches it; nulls where none does.
+
+    ``order_by`` is a total order.  With ``partition_by``, ``targets`` has these columns too,
+    and each key has its own targets and its own sum.  A null metric adds nothing; a null
+    target is left out; null keys are keys like others.
+
+    A search in two levels.  Rows are written once in ranges of the order, one folder a range.
+    The totals of the ranges give the range in which each target is reached: targets and
+    running totals are sorted together, and a running minimum finds it, so no target is
+    compared with every range.  Only ranges with a hit are read again, for running sums of
+    their rows.  Where the metric is negative somewhere, a range's highest running sum stands
+    in for its total, which takes a running sum of every row.
+    """
+    part, order = names_of(partition_by), names_of(order_by)
+    spark, bk = df.sparkSession, "_fc_range"
+    keys = [F.coalesce(F.to_json(F.struct(*part)), F.lit("")).alias("_fc_key")] if part else [F.lit("").alias("_fc_key")]
+    path = scratch_path(spark, "crossing-rows")
+    narrow = df.select(*keys, *[F.col(c) for c in order], F.coalesce(metric, F.lit(0)).alias("_fc_m"))
+    n_ranges = max(1, -(-df.count() // rows_per_bucket))
+    (narrow.repartitionByRange(n_ranges, *order).withColumn(bk, F.spark_partition_id())
+     .write.partitionBy(bk).parquet(path))
+    rows = spark.read.schema(narrow.select("*", F.lit(0).alias(bk)).schema).parquet(path)
+
+    local = (Window.partitionBy("_fc_key", bk).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if rows.where(F.col("_fc_m") < 0).isEmpty():
+        totals = rows.groupBy("_fc_key", bk).agg(F.sum("_fc_m").alias("total")).withColumn("top", F.col("total"))
+    else:
+        totals = (rows.withColumn("sofar", F.sum("_fc_m").over(local)).groupBy("_fc_key", bk)
+                  .agg(F.sum("_fc_m").alias("total"), F.max("sofar").alias("top")))
+    by_key = Window.partitionBy("_fc_key").orderBy(bk)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    reach = totals.withColumn("before", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    reach = reach.withColumn("_fc_value", F.max(F.col("before") + F.col("top")).over(by_key))
+
+    wanted = targets.where(F.col(target_col).isNotNull()).select(*part, target_col).distinct()
+    asked = wanted.select("*", *keys)
+    both = (reach.select("_fc_key", "_fc_value", F.lit(0).alias("_fc_kind"), F.col(bk).alias("_fc_at"))
+            .unionByName(asked.select("_fc_key", F.col(target_col).alias("_fc_value"), F.lit(1).alias("_fc_kind"),
+                                      F.lit(None).cast("int").alias("_fc_at"))))
+    hits = (_next_at_least(both, ["_fc_key"], "_fc_at", False)
+            .where((F.col("_fc_kind") == 1) & (F.col("_fc_first") >= 0))
+            .select("_fc_key", "_fc_value", F.col("_fc_first").alias(bk)))
+    hit_path = scratch_path(spark, "crossing-hits")
+    hits.write.parquet(hit_path)
+    hits = spark.read.schema(hits.schema).parquet(hit_path)
+
+    # a range is read only if it is in this table: it is small, so its buckets prune the folders
+    open_ranges = (hits.where(F.col(bk) >= 0).select("_fc_key", bk).distinct()
+                   .join(reach.select("_fc_key", bk, "before"), ["_fc_key", bk]))
+    searched = (rows.join(open_ranges, ["_fc_key", bk])
+                .withColumn("cum_metric", F.col("before") + F.sum("_fc_m").over(local)))
+    # the order's struct is unique, so the least one that reaches a value is the crossing row
+    crossing = F.struct(*order, "cum_metric")
+    highest = F.max("cum_metric").over(local)
+    points = (searched.select("_fc_key", bk, highest.alias("_fc_value"), F.lit(0).alias("_fc_kind"), crossing.alias("_fc_at"))
+              .unionByName(hits.select("_fc_key", bk, "_fc_value", F.lit(1).alias("_fc_kind")), allowMissingColumns=True))
+    found = (_next_at_least(points, ["_fc_key", bk], "_fc_at", True).where(F.col("_fc_kind") == 1)
+             .select("_fc_key", F.col("_fc_value").alias("_fc_target"), F.col("_fc_first").alias("_fc_hit")))
+    out = asked.join(found, (asked["_fc_key"] == found["_fc_key"]) & (asked[target_col] == found["_fc_target"]), "left")
+    return out.select(*[asked[c] for c in part], asked[target_col].alias("target"), F.col(f"_fc_hit.{id_col}").alias(id_col),
+                      *[F.col(f"_fc_hit.{c}").alias(c) for c in order if c != id_col],
+                      F.col("_fc_hit.cum_metric").alias("cum_metric"))

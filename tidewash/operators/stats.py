@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewash.functions.common import col_of
+from tidewash.session import checkpoint_root
 
 
 def group_count_sorted(df: DataFrame, key, default=None, out: str = "n",
@@ -103,7 +104,8 @@ def audit_filter_and_dedup(df: DataFrame, key: str, keep: str, names: tuple[str,
 def observe_stage(df: DataFrame, name: str):
     """Attach a row-count metric to a live plan (no extra job).
 
-    Returns (df, observation); read ``observation.get`` after an action.
+    Returns (df, observation); read ``observation.get`` after an action.  Put it last, right
+    before a write: a shuffle above it may run its tasks again and count rows twice.
     """
     from pyspark.sql import Observation
 
@@ -139,15 +141,62 @@ def seeded_uniform_key(key, seed: int) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
 
 
+#: Up to this many sampled rows end in one top-k merge.
+TOP_K_ROWS = 1_000
+
+
+def _nth(values: DataFrame, n: int) -> tuple[int, int] | None:
+    """The value at rank ``n`` of a column ``v`` and the number of rows below it; ``None`` if
+    there are fewer rows.  ``v`` has at most 65,536 values."""
+    run = values.groupBy("v").agg(F.count(F.lit(1)).alias("c")).withColumn("upto", F.sum("c").over(Window.orderBy("v")))
+    hit = run.where(F.col("upto") >= n).orderBy("v").first()
+    return None if hit is None else (hit["v"], hit["upto"] - hit["c"])
+
+
 def sample_n(df: DataFrame, n: int, key, seed: int = 0) -> DataFrame:
-    """Repeatable sample of ``n`` rows without replacement.
+    """Repeatable sample of ``n`` rows without replacement: the rows with the least seeded
+    hash of their key, ties by key (nulls first).
 
-    Rows are ranked by a seeded hash of their key; ``orderBy().limit()`` is
-    planned as a distributed top-k (TakeOrderedAndProject), so only ``n``
-    rows per task reach the final merge.
+    Up to ``TOP_K_ROWS`` rows, ``orderBy().limit()`` is a distributed top-k.  A larger sample
+    is selected where its rows lie: two histograms of the hash (its upper and its lower 16
+    bits) give the hash at rank ``n``, rows below it are taken by a filter, and only rows with
+    just that hash are cut by key.  Among rows that share the key at the cut, any may be taken.
     """
-    h = seeded_uniform_key(key, seed)
-    return df.withColumn("_tw_h", h).orderBy("_tw_h", col_of(key)).limit(n).drop("_tw_h")
+    k = col_of(key)
+    h = F.coalesce(seeded_uniform_key(key, seed), F.lit(-1))
+    d = df.withColumn("_tw_h", h)
+    if n <= TOP_K_ROWS:
+        return d.orderBy("_tw_h", k).limit(n).drop("_tw_h")
+    upper, lower = F.shiftright("_tw_h", 16), F.col("_tw_h").bitwiseAND(F.lit(0xFFFF))
+    high = _nth(d.select(upper.alias("v")), n)
+    if high is None:
+        return df
+    low = _nth(d.where(upper == high[0]).select(lower.alias("v")), n - high[1])
+    edge, left = (high[0] << 16) | low[0], n - high[1] - low[1]
+    # rows with the hash at the cut: keys in order, then rows of the key at the cut
+    tied = d.where(F.col("_tw_h") == edge).withColumn("_tw_k", k)
+    per_key = tied.groupBy("_tw_k").count()
+    upto = F.sum("count").over(Window.orderBy(F.col("_tw_k").asc_nulls_first()))
+    cut = per_key.withColumn("upto", upto).where(F.col("upto") >= left).orderBy("upto").first()
+    left -= cut["upto"] - cut["count"]
+    here, cut_key = F.col("_tw_k"), F.lit(cut["_tw_k"])
+    whole = d.where(F.col("_tw_h") < edge).drop("_tw_h")
+    if cut["_tw_k"] is not None:
+        whole = whole.unionByName(tied.where(here.isNull() | (here < cut_key)).drop("_tw_h", "_tw_k"))
+    last = tied.where(here.eqNullSafe(cut_key)).drop("_tw_h", "_tw_k")
+    return whole.unionByName(last if left == cut["count"] else _first_rows(last, left))
+
+
+def _first_rows(df: DataFrame, n: int) -> DataFrame:
+    """``n`` rows of ``df``, written first and cut by running totals of its partitions."""
+    checkpoint_root(df.sparkSession)
+    d = df.checkpoint().withColumn("_tw_row", F.monotonically_increasing_id())
+    d = d.withColumn("_tw_part", F.shiftright("_tw_row", 33))
+    sizes = d.groupBy("_tw_part").count()
+    before = F.sum("count").over(Window.orderBy("_tw_part")) - F.col("count")
+    starts = sizes.select("_tw_part", before.alias("_tw_before"))
+    place = F.col("_tw_before") + F.col("_tw_row").bitwiseAND(F.lit((1 << 33) - 1))
+    return d.join(starts, "_tw_part").where(place < n).select(*[d[c] for c in df.columns])
 
 
 def weighted_stratified_sample(df: DataFrame, c, fractions: dict, key, seed: int = 0) -> DataFrame:

@@ -4,7 +4,7 @@ DataFrame that Catalyst optimises end to end."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,8 +12,8 @@ from tidewash.functions.text import content_hash, key_normalize, normalize_white
 from tidewash.operators.dedup import best_per_group, exact_dedup
 from tidewash.operators.filters import min_length_filter
 from tidewash.operators.similarity import near_dup_drop_earliest, near_dup_drop_greedy
-from tidewash.operators.stats import audit_filter_and_dedup, group_count_sorted, multi_dim_counts
-from tidewash.session import checkpoint_root
+from tidewash.operators.stats import group_count_sorted, multi_dim_counts, observe_stage
+from tidewash.session import checkpoint_root, scratch_path
 from tidewash.sources.jsonl import (
     multi_file_scan,
     per_source_counts,
@@ -74,7 +74,12 @@ def deduplicated_documents(docs: DataFrame, near_dup: str = "greedy",
     if near_dup in (None, "none"):
         return d
     checkpoint_root(d.sparkSession)
-    d = d.checkpoint()
+    return _without_near_duplicates(d.checkpoint(), near_dup, threshold, id_col, text_col)
+
+
+def _without_near_duplicates(d: DataFrame, near_dup: str | None, threshold, id_col: str, text_col: str) -> DataFrame:
+    if near_dup in (None, "none"):
+        return d
     if near_dup == "greedy":
         return near_dup_drop_greedy(d, id_col, text_col, threshold)
     if near_dup == "earliest":
@@ -98,44 +103,63 @@ def clean_dataset(docs: DataFrame, near_dup: str = "greedy", threshold=NEAR_DUP_
     return read_jsonl_strict(s.sparkSession, out_path, schema)
 
 
-def _survivors_of_cleaned(d: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    d = (d.withColumn("_key", F.md5(key_normalize(text_col)))
-         .withColumn("_len", F.char_length(text_col)))
-    return best_per_group(d, "_key", [("_len", False), (id_col, True)]).drop("_key", "_len")
+def _survivors_of_cleaned(d: DataFrame, id_col: str, key_col: str, text_col: str | None = None,
+                          order: tuple = ()) -> DataFrame:
+    """One row per normalised ``key_col``: first by ``order`` ((column, ascending) pairs), then
+    the longest ``text_col``, then the smallest id."""
+    d = (d.withColumn("_key", F.md5(key_normalize(key_col)))
+         .withColumn("_len", F.char_length(text_col or key_col)))
+    return best_per_group(d, "_key", [*order, ("_len", False), (id_col, True)]).drop("_key", "_len")
+
+
+def _written(d: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``d`` written to the scratch folder and read back, and its rows as observed on the way."""
+    path = scratch_path(d.sparkSession, name)
+    seen, rows = observe_stage(d, name)
+    seen.write.parquet(path)
+    return d.sparkSession.read.schema(d.schema).parquet(path), rows.get["rows"]
 
 
 def clean_files(spark: SparkSession, base, schema: T.StructType, out_path: str, near_dup: str = "greedy",
                 threshold=NEAR_DUP_THRESHOLD, survivorship: bool = True, id_col: str = "doc_id",
                 text_cols: tuple[str, ...] = ("text",), hash_with: str = "lang", dims: tuple[str, ...] = ("lang", "source"),
-                exclude_words=EXCLUDED_NAME_WORDS) -> DataFrame:
+                exclude_words=EXCLUDED_NAME_WORDS, similar_col: str | None = None, key_col: str | None = None,
+                survivor_order: tuple = ()) -> DataFrame:
     """From JSON-lines files to a cleaned file, with a report.
 
-    Files below ``base`` whose name has an excluded word are skipped.  All
-    ``text_cols`` are normalised; the first is the text that filters and
-    duplicates look at.  The result is written to ``out_path`` as JSON lines.
-    Report rows (section, name, n): ``file`` with the rows of each file and
+    Files below ``base`` whose name has an excluded word are skipped.  All ``text_cols`` are
+    normalised.  The first is the text whose length is tested and that is hashed, with
+    ``hash_with``, for exact duplicates.  Near-duplicates are looked for in ``similar_col`` and
+    survivors grouped by ``key_col`` (both default to the first text).  Of a group the row that
+    is first by ``survivor_order``, (column, ascending) pairs, stays; then the one with the
+    longest first text, then the smallest id.  The result is written to ``out_path`` as JSON
+    lines.  Report rows (section, name, n): ``file`` with the rows of each file and
     their total, ``removed`` with the rows that each step removed, then one
     section per column of ``dims`` with its distribution in the result.
+
+    The files are parsed once.  Each step's rows are written once and counted on the way by
+    an observation of that write; no step is counted by a pass of its own.
     """
     text = text_cols[0]
     raw = multi_file_scan(spark, base, schema, exclude_words)
-    sources = per_source_counts(raw).select(F.lit("file").alias("section"),
-                                            F.coalesce("source_file", F.lit("total")).alias("name"), "n")
-    docs = raw.drop("source_file").withColumns({c: normalize_whitespace(c) for c in text_cols})
-    audit = audit_filter_and_dedup(docs.select(
-        content_hash(hash_with, text).alias("key"), (F.char_length(text) > MIN_CHARS).alias("keep")),
-        "key", "keep", ("min_length", "exact_dedup")).collect()  # two rows
-    distinct = deduplicated_documents(docs, near_dup, threshold, id_col, text)
-    checkpoint_root(spark)
-    distinct = distinct.checkpoint()
-    kept = _survivors_of_cleaned(distinct, id_col, text).drop("group_size", "multi_member") if survivorship else distinct
-    kept = kept.drop("content_hash")
-    write_jsonl(kept, out_path, mode="overwrite")
-    result = read_jsonl_strict(spark, out_path, kept.schema)
-    n_distinct, n_kept = distinct.count(), result.count()
-    steps = [(a["stage"], a["removed"]) for a in audit] + [
-        ("near_dup", audit[-1]["rows_out"] - n_distinct), ("survivorship", n_distinct - n_kept)]
+    long_enough = Observation("min_length")
+    docs = raw.withColumns({c: normalize_whitespace(c) for c in text_cols})
+    docs, n_read = _written(docs.observe(long_enough, F.count_if(F.char_length(text) > MIN_CHARS).alias("rows")), "clean-read")
+    n_long = long_enough.get["rows"] or 0
+    sources = per_source_counts(docs).select(F.lit("file").alias("section"),
+                                             F.coalesce("source_file", F.lit("total")).alias("name"), "n")
+    exact, n_exact = _written(cleaned_documents(docs.drop("source_file"), id_col, text, hash_with), "clean-exact")
+    distinct, n_distinct = _written(_without_near_duplicates(exact, near_dup, threshold, id_col, similar_col or text), "clean-near")
+    kept = distinct.drop("content_hash")
+    if survivorship:
+        kept = _survivors_of_cleaned(kept, id_col, key_col or text, text, survivor_order).drop("group_size", "multi_member")
+    seen, rows = observe_stage(kept, "survivors")
+    write_jsonl(seen, out_path, mode="overwrite")
+    n_kept = rows.get["rows"]
+    steps = [("min_length", n_read - n_long), ("exact_dedup", n_long - n_exact),
+             ("near_dup", n_exact - n_distinct), ("survivorship", n_distinct - n_kept)]
     removed = spark.createDataFrame([("removed", name, n) for name, n in steps], "section string, name string, n long")
+    result = read_jsonl_strict(spark, out_path, kept.schema)
     found = multi_dim_counts(result, list(dims), default=DEFAULT_CATEGORY_IN_STATS).select(
         F.col("dim").alias("section"), F.col("value").alias("name"), "n")
     return sources.unionByName(removed).unionByName(found)

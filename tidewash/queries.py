@@ -247,6 +247,20 @@ def q_round_fixed(spark, sf):
                     R.round_fixed(F.col("value") * 1.37, 1).alias("scaled_1dp"))
 
 
+@query("round_fixed_binary", """
+SELECT event_id, CAST(printf('%.2f', value / 3.0) AS DOUBLE) AS third_2dp,
+       CAST(printf('%.2f', (event_id % 4001 - 2000) * 0.125::DOUBLE) AS DOUBLE) AS eighths_2dp,
+       CAST(printf('%.2f', (event_id % 4001 - 2000)::DOUBLE / 1000) AS DOUBLE) AS thousandths_2dp,
+       CAST(printf('%.0f', (event_id % 4001 - 2000)::DOUBLE / 2) AS DOUBLE) AS halves_0dp FROM events""")
+def q_round_fixed_binary(spark, sf):
+    """As ``round_fixed``, but on the binary value and to even, with many ties and near-ties."""
+    e, i = table(spark, sf, "events"), F.col("event_id") % 4001 - 2000
+    return e.select("event_id", R.round_fixed_binary(F.col("value") / 3.0, 2).alias("third_2dp"),
+                    R.round_fixed_binary(i * 0.125, 2).alias("eighths_2dp"),
+                    R.round_fixed_binary(i.cast("double") / 1000, 2).alias("thousandths_2dp"),
+                    R.round_fixed_binary(i.cast("double") / 2, 0).alias("halves_0dp"))
+
+
 # ---------------------------------------------------------------------------
 # 3. Filters and predicates.
 @query("min_length_filter", f"""
@@ -681,6 +695,36 @@ def q_first_crossing(spark, sf):
     return out.where(F.col("event_id").isNotNull()).select(F.col("target").cast("bigint").alias("target"), "event_id", "ts", "cum_metric")
 
 
+@query("first_crossing_targets", """
+WITH c AS (SELECT event_id, ts, sum(CAST(round(value * 100) AS BIGINT))
+             OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM events),
+p AS (SELECT CAST(cum AS BIGINT) AS cum, arg_min(event_id, (ts, event_id)) AS event_id, min(ts) AS ts FROM c GROUP BY cum),
+t AS (SELECT DISTINCT CAST(round(o_totalprice * 100) AS BIGINT) AS target FROM orders)
+SELECT t.target, p.event_id, p.ts, p.cum AS cum_metric FROM t ASOF LEFT JOIN p ON t.target <= p.cum""")
+def q_first_crossing_targets(spark, sf):
+    """A target for every order total; the events' running total reaches some of them."""
+    e = table(spark, sf, "events").select("event_id", "ts", "value")
+    targets = table(spark, sf, "orders").select(F.round(F.col("o_totalprice") * 100).cast("bigint").alias("target"))
+    return runs.first_crossings(e, ["ts", "event_id"], F.round(F.col("value") * 100).cast("bigint"),
+                                targets, "target", "event_id").select("target", "event_id", "ts", "cum_metric")
+
+
+@query("first_crossing_by_user", """
+WITH c AS (SELECT user_id, event_id, ts, sum(CASE WHEN event_type = 'error' THEN -1 ELSE 1 END)
+             OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM events),
+t AS (SELECT DISTINCT user_id, CAST(1 + event_id % 40 AS BIGINT) AS target FROM events),
+h AS (SELECT user_id, target, arg_min(struct_pack(event_id := c.event_id, ts := c.ts, cum := c.cum), (c.ts, c.event_id)) AS r
+      FROM t JOIN c USING (user_id) WHERE c.cum >= t.target GROUP BY ALL)
+SELECT user_id, target, r.event_id AS event_id, r.ts AS ts, CAST(r.cum AS BIGINT) AS cum_metric FROM t LEFT JOIN h USING (user_id, target)""")
+def q_first_crossing_by_user(spark, sf):
+    """Each user's lead of successes over failures, which also falls, against targets of their own."""
+    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    targets = e.select("user_id", (F.col("event_id") % 40 + 1).cast("bigint").alias("target"))
+    lead = F.when(F.col("event_type") == "error", F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
+    return runs.first_crossings(e, ["ts", "event_id"], lead, targets, "target", "event_id", "user_id").select(
+        "user_id", "target", "event_id", "ts", "cum_metric")
+
+
 EVENT_PRIORITY = {"error": 0, "purchase": 1, "signup": 2, "click": 3, "view": 4}
 
 
@@ -716,6 +760,15 @@ def q_sample_n(spark, sf):
     return stats.sample_n(table(spark, sf, "events").select("event_id", "event_type"), 100, "event_id", seed=7)
 
 
+@query("sample_half", """
+SELECT event_id, event_type FROM events
+ORDER BY ('0x' || left(md5(CAST(event_id AS VARCHAR) || ':7'), 8))::BIGINT, event_id LIMIT (SELECT count(*) // 2 FROM events)""")
+def q_sample_half(spark, sf):
+    """Half of the table, without a merge in one task (beyond ``stats.TOP_K_ROWS`` rows)."""
+    e = table(spark, sf, "events").select("event_id", "event_type")
+    return stats.sample_n(e, e.count() // 2, "event_id", seed=7)
+
+
 SAMPLE_FRACTIONS = {"error": 0.5, "purchase": 0.3, "signup": 0.1, "click": 0.05, "view": 0.05}
 
 
@@ -974,6 +1027,18 @@ def q_stream_dedup(spark, sf):
     return spark.read.parquet(f"{base}/out").select("event_id", "ts", "user_id", "event_type")
 
 
+@query("stream_dedup_unlimited", """
+SELECT event_id, ts, user_id, event_type FROM events""")
+def q_stream_dedup_unlimited(spark, sf):
+    """Failures are sent again with the next slice, and the whole first slice at the very end."""
+    from tidewash.streaming import ingest
+
+    base, schema, writers = _replay(spark, sf, "stream-dedup-unlimited", redeliver=_failed())
+    sink = ingest.first_delivery_sink(f"{base}/out", ["event_id"], "ts")
+    _two_runs(spark, base, schema, [*writers, writers[0]], lambda s: s, foreach_batch=sink)
+    return ingest.read_deliveries(spark, f"{base}/out", schema).select("event_id", "ts", "user_id", "event_type")
+
+
 @query("stream_rate_window", """
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        count(*) FILTER (WHERE event_type <> 'error') AS n_ok, count(*) FILTER (WHERE event_type = 'error') AS n_failed

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tidewash.functions.records import epoch_micros, event_time, ntz_from_micros
+from tidewash.operators.dedup import exact_dedup
+from tidewash.operators.joins import resume_anti_join
 from tidewash.session import RECOMMENDED_CONF
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -113,6 +116,39 @@ def dedup_stream(stream: DataFrame, keys: list[str], ts_col: str, delay: str) ->
     return out.drop("_tw_event_time")
 
 
+def first_delivery_sink(path: str, keys: list[str], order_by) -> Callable:
+    """``foreachBatch`` sink that writes the first delivery of each key, however late a key is
+    sent again (``dedup_stream`` forgets keys that its watermark has passed).
+
+    A batch keeps one row a key, the first by ``order_by``, less the keys that earlier batches
+    wrote.  These are read from the sink, key columns only, and joined; nothing is held as
+    state.  Each batch has a folder of its own: a retried batch replaces it and does not look
+    at it.  A row with a null key column is never a repeat.  ``read_deliveries`` reads the sink."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, target = batch.sparkSession, f"{path}/{_BATCH}={batch_id}"
+        done = read_deliveries(spark, path, batch.schema, before=batch_id).select(*keys)
+        single = F.when(_all_present(keys), F.to_json(F.struct(*keys)))
+        fresh = exact_dedup(resume_anti_join(batch, done, keys).withColumn("_tw_key", single), "_tw_key", order_by)
+        fresh.select(*batch.columns).write.mode("overwrite").parquet(target)
+    return write
+
+
+_BATCH = "_tw_batch"
+
+
+def _all_present(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def read_deliveries(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """The rows of a ``first_delivery_sink``; with ``before``, of the batches before that one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
+        return spark.createDataFrame([], schema)
+    d = spark.read.schema(T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())])).parquet(path)
+    return (d if before is None else d.where(F.col(_BATCH) < before)).drop(_BATCH)
+
+
 def rate_windows(stream: DataFrame, ts_col: str, failed: Column, width: str = "1 hour",
                  delay: str = "2 hours") -> DataFrame:
     """Success / failure counts per tumbling event-time window.
