@@ -100,10 +100,45 @@ def test_empty_table(spark):
 
 
 def test_files_are_sorted_and_mapped(tmp_path):
-    keys, n = np.array([3, 9, 11], np.uint64), np.array([1, 2, 3], np.uint32)
-    kn.save_arrays(f"file://{tmp_path}/x/pair-000000", [keys, n])
-    a, b = kn.map_arrays(f"{tmp_path}/x/pair-000000", kn.PAIR_FILE)
-    assert a.tolist() == [3, 9, 11] and b.tolist() == [1, 2, 3] and isinstance(a.base, np.memmap | np.ndarray)
+    keys, n = np.array([3, 9, 11], np.uint64), np.array([1, 2, 3], np.uint64)
+    for big, size in ((3, 4), (2 ** 32 - 1, 4), (2 ** 32, 8), (2 ** 63, 8)):  # 32 bits where they suffice
+        n[2] = big
+        kn.save_arrays(f"file://{tmp_path}/x/pair-000000", keys, [n])
+        a, b = kn.map_arrays(f"{tmp_path}/x/pair-000000", 1)
+        assert a.tolist() == [3, 9, 11] and b.tolist() == [1, 2, big] and isinstance(a.base, np.memmap | np.ndarray)
+        assert b.dtype.itemsize == size
+    kn.save_arrays(f"{tmp_path}/x/pair-000001", keys[:0], [n[:0]])
+    assert [len(x) for x in kn.map_arrays(f"{tmp_path}/x/pair-000001", 1)] == [0, 0]
+
+
+def test_messages_with_large_counts():
+    """Counts of 32 and of 64 bits meet in one bucket; sums pass 32 bits."""
+    import pyarrow as pa
+
+    rows = []
+    for counts in ([2 ** 32 - 1, 5], [2 ** 40, 7], [1, 1]):
+        columns = {"prev": np.array([1, 2], np.uint64), "word": np.array([8, 9], np.uint64), "n": kn._narrow(np.array(counts))}
+        rows += kn._packed(columns, np.zeros(2, np.int64), "bucket")
+    rows.append(pa.RecordBatch.from_pylist([{"bucket": 1, "prev": b"", "word": b"", "n": b""}], schema=rows[0].schema))
+    (bucket, x), (empty, none) = kn._by_bucket(iter(rows), "bucket", ["prev", "word"], ["n"])
+    key, (n,), _ = kn._summed(x["prev"], x["n"])
+    assert (bucket, key.tolist(), n.tolist()) == (0, [1, 2], [2 ** 32 + 2 ** 40, 13])
+    assert empty == 1 and len(kn._summed(none["prev"], none["n"])[0]) == 0
+
+
+def test_few_mapped_files_and_a_lost_one(spark, monkeypatch):
+    import os
+
+    rows = corpus(spark)[:50]
+    model = kn.train(docs(spark, rows), "text")
+    prev, token, _ = kn.token_stream(docs(spark, rows).select("text").toArrow().to_batches()[0])
+    want = kn.Lookup(model).log_probs(prev, token)
+    monkeypatch.setattr(kn, "MAPPED", 2)
+    few = kn.Lookup(model)
+    assert all((a == b).all() for a, b in zip(want, few.log_probs(prev, token))) and len(few.mapped) <= 2
+    os.remove(f"{kn._local(model.folder)}/pair-000003")
+    with pytest.raises(FileNotFoundError):
+        kn.Lookup(model).log_probs(prev, token)
 
 
 @pytest.mark.parametrize("i", [0, 7, 123456789])

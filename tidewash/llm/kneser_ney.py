@@ -5,8 +5,11 @@ to a bucket by the context word; contexts that make up more than a 4096th of all
 (at most 4096 words) are spread over the buckets by the pair.  A bucket's task adds up
 its pairs and writes them as one file of sorted 64-bit hashes with counts; what it knows
 of each word (occurrences, left neighbours, successors by count) goes on to a bucket by
-word, whose task writes a second file of sorted hashes.  Workers memory-map the files
-and look up a batch's sorted distinct words and pairs.
+word, whose task writes a second file of sorted hashes.  Every bucket has a file of both
+kinds, if need be an empty one, so a lost file is an error and never a bucket without words.
+Workers memory-map a file when a batch first needs it, keep it for later tasks, and look up
+a batch's sorted distinct words and pairs; at most ``MAPPED`` files are mapped at a time.
+Counts take 32 bits where a file's (or message's) largest count allows it, else 64.
 
     p(w | h) = max(c(h w) - D, 0) / c(h) + (D1 N1(h) + D2 N2(h) + D3 N3(h)) / c(h) * p(w)
     p(w)     = max(N(. w) - D', 0) / N(. .) + (D1' T1 + D2' T2 + D3' T3) / N(. .) / (V + 1)
@@ -27,7 +30,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections import defaultdict
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewash.llm.common import buffers, frees, sliced
+from tidewash.llm.common import buffers, frees, holds, sliced
 from tidewash.llm.words import SPACED, mix, word_hashes
 from tidewash.session import scratch_path
 
@@ -46,6 +49,8 @@ CHUNK, BUCKET = 3 << 19, 1 << 20
 SPREAD = 4
 #: Bytes of text that are scored at once.
 SCORED_BYTES = 2 << 20
+#: Files that a worker maps at once (Linux allows 65,530 maps a process).
+MAPPED = 16_384
 #: A word with this share of the tokens is spread as a context.
 SHARE = 4096
 BEGIN, END = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1342543DE82EF95)
@@ -99,6 +104,11 @@ def _bucket_of(prev: np.ndarray, key: np.ndarray, often: np.ndarray, buckets: in
     return (np.where(often[at] == prev, key, mix(prev)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits if all of them fit, else in 64."""
+    return counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64)
+
+
 def _packed(columns: dict[str, np.ndarray], by: np.ndarray, first: str) -> Iterator[pa.RecordBatch]:
     """One row per bucket: the bucket and each array's bytes."""
     order = np.argsort(by, kind="stable")
@@ -117,7 +127,7 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], often: np.ndarray, buckets:
         prev, word = (np.concatenate(x) for x in zip(*parts))
         key, at, n = np.unique(pair_key(prev, word), return_index=True, return_counts=True)
         prev, word = prev[at], word[at]
-        return _packed({"prev": prev, "word": word, "n": n.astype(np.uint32)}, _bucket_of(prev, key, often, buckets), "bucket")
+        return _packed({"prev": prev, "word": word, "n": _narrow(n)}, _bucket_of(prev, key, often, buckets), "bucket")
 
     parts, held = [], 0
     for batch in sliced(batches, "text"):
@@ -131,8 +141,10 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], often: np.ndarray, buckets:
         yield from counted(parts)
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch], first: str, types: dict[str, type]) -> Iterator[tuple[int, dict]]:
-    """(bucket, arrays) of rows that come sorted by bucket."""
+def _by_bucket(batches: Iterator[pa.RecordBatch], first: str, hashes: list[str], counts: list[str]) -> Iterator[tuple[int, dict]]:
+    """(bucket, arrays) of rows that come sorted by bucket.  A row's counts have as many
+    entries as its first array of hashes, which tells 32 from 64 bits."""
+    types = [*hashes, *counts]
     current, parts = None, defaultdict(list)
     for batch in batches:
         for i, bucket in enumerate(batch.column(first).to_pylist()):
@@ -140,8 +152,10 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], first: str, types: dict[str, t
                 yield current, {c: np.concatenate(parts.pop(c)) for c in types}
                 parts = defaultdict(list)
             current = bucket
-            for c, t in types.items():
-                parts[c].append(np.frombuffer(batch.column(c)[i].as_buffer(), t))
+            size = len(batch.column(hashes[0])[i].as_buffer())
+            for c in types:
+                data = batch.column(c)[i].as_buffer()
+                parts[c].append(np.frombuffer(data, np.uint64 if c in hashes or len(data) == size else np.uint32))
     if current is not None:
         yield current, {c: np.concatenate(parts.pop(c)) for c in types}
 
@@ -151,9 +165,13 @@ def _local(uri: str) -> str | None:
     return uri.removeprefix("file://") if uri.startswith(("file:///", "/")) else uri[5:] if uri.startswith("file:/") else None
 
 
-def save_arrays(uri: str, arrays: list[np.ndarray]) -> None:
-    """Write arrays of one length one after the other, after their length; atomic."""
-    data = [np.array([len(arrays[0])], np.int64), *arrays]
+def save_arrays(uri: str, hashes: np.ndarray, counts: list[np.ndarray]) -> None:
+    """Write sorted hashes and their counts one after the other, after their length, which is
+    negative where the counts have 64 bits; atomic."""
+    narrow = [_narrow(x) for x in counts]
+    wide = any(x.dtype == np.uint64 for x in narrow)
+    data = [np.array([~len(hashes) if wide else len(hashes)], np.int64), hashes,
+            *(x.astype(np.uint64) for x in narrow if wide), *(x for x in narrow if not wide)]
     path = _local(uri)
     if path:
         os.makedirs(os.path.dirname(path), exist_ok=True)
@@ -172,9 +190,9 @@ def save_arrays(uri: str, arrays: list[np.ndarray]) -> None:
     store.move(f"{path}.{os.getpid()}", path)
 
 
-def map_arrays(uri: str, types: list[type]) -> list[np.ndarray]:
-    """The arrays of a file, memory-mapped (from a nameless local copy where the shared
-    folder is not mounted)."""
+def map_arrays(uri: str, n_counts: int) -> list[np.ndarray]:
+    """The hashes of a file and its ``n_counts`` arrays of counts, memory-mapped (from a
+    nameless local copy where the shared folder is not mounted)."""
     path = _local(uri)
     if path:
         raw = np.memmap(path, np.uint8, "r")
@@ -189,20 +207,23 @@ def map_arrays(uri: str, types: list[type]) -> list[np.ndarray]:
         copy.flush()
         raw = np.memmap(copy, np.uint8, "r")
     n, at, out = int(raw[:8].view(np.int64)[0]), 8, []
-    for t in types:
+    n, count = (n, np.uint32) if n >= 0 else (~n, np.uint64)
+    for t in [np.uint64, *[count] * n_counts]:
         size = n * np.dtype(t).itemsize
         out.append(raw[at:at + size].view(t))
         at += size
     return out
 
 
-PAIR_FILE = [np.uint64, np.uint32]  # key, count
-WORD_FILE = [np.uint64, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32]  # word, c, left neighbours, N1, N2, N3
-_STATS = {"word": np.uint64, "c": np.uint64, "left": np.uint32, "s1": np.uint32, "s2": np.uint32, "s3": np.uint32}
+#: What is known of a word: occurrences, left neighbours, and successors that follow it once, twice, more often.
+_COUNTS = ["c", "left", "s1", "s2", "s3"]
+_STATS = ["word", *_COUNTS]
 
 
 def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     order = np.argsort(keys, kind="stable")
+    if not len(order):
+        return keys, [v.astype(np.uint64) for v in values], order
     keys = keys[order]
     cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[cuts], [np.add.reduceat(v[order].astype(np.uint64), cuts) for v in values], order[cuts]
@@ -211,42 +232,42 @@ def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.
 @frees
 def _add_pairs(batches: Iterator[pa.RecordBatch], folder: str, buckets: int) -> Iterator[pa.RecordBatch]:
     """Write each bucket's pairs; pass on its words' counts and (bucket -1) counts of counts."""
-    for bucket, x in _by_bucket(batches, "bucket", {"prev": np.uint64, "word": np.uint64, "n": np.uint32}):
+    for bucket, x in _by_bucket(batches, "bucket", ["prev", "word"], ["n"]):
         key, (n,), at = _summed(pair_key(x["prev"], x["word"]), x["n"])
         prev, word = x["prev"][at], x["word"][at]
-        save_arrays(f"{folder}/pair-{bucket:06d}", [key, np.minimum(n, 0xFFFFFFFF).astype(np.uint32)])
+        save_arrays(f"{folder}/pair-{bucket:06d}", key, [n])
         zero, one = np.zeros(len(n), np.uint64), np.ones(len(n), np.uint64)
         words, sums, _ = _summed(
             np.concatenate([word, prev]), np.concatenate([n, zero]), np.concatenate([one, zero]),
             np.concatenate([zero, n == 1]), np.concatenate([zero, n == 2]), np.concatenate([zero, n > 2]))
-        columns = dict(zip(_STATS, [words, *(s.astype(t) for s, t in zip(sums, list(_STATS.values())[1:]))]))
+        columns = dict(zip(_STATS, [words, *map(_narrow, sums)]))
         yield from _packed(columns, (mix(words) % np.uint64(buckets)).astype(np.int64), "bucket")
-        counts = np.array([bucket] + [int((n == k).sum()) for k in (1, 2, 3, 4)], np.uint64)
+        counts = np.array([int((n == k).sum()) for k in (1, 2, 3, 4)], np.uint64)
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1], pa.int32()), pa.array([counts.tobytes()], pa.binary()),
              *(pa.array([b""], pa.binary()) for _ in range(len(_STATS) - 1))], ["bucket", *_STATS])
 
 
-_META = "kind string, bucket int, n long, v long, pairs long, k1 long, k2 long, k3 long, k4 long"
+_TOTALS = ["n", "v", "pairs", "k1", "k2", "k3", "k4"]
+_META = "kind string, " + ", ".join(f"{c} long" for c in _TOTALS)
 
 
 @frees
 def _add_words(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     """Write each bucket's words; return the totals that the model needs."""
     rows = []
-    for bucket, x in _by_bucket(batches, "bucket", _STATS):
+    for bucket, x in _by_bucket(batches, "bucket", ["word"], _COUNTS):
         if bucket < 0:
-            rows += [("pair", int(r[0]), 0, 0, 0, *map(int, r[1:])) for r in x["word"].reshape(-1, 5)]
+            rows.append(("pair", 0, 0, 0, *map(int, x["word"].reshape(-1, 4).sum(axis=0))))
             continue
-        word, sums, _ = _summed(x["word"], *(x[c] for c in list(_STATS)[1:]))
-        save_arrays(f"{folder}/word-{bucket:06d}", [word, *(s.astype(t) for s, t in zip(sums, WORD_FILE[1:]))])
+        word, sums, _ = _summed(x["word"], *(x[c] for c in _COUNTS))
+        save_arrays(f"{folder}/word-{bucket:06d}", word, sums)
         c, left = sums[0], sums[1]
-        rows.append(("word", bucket, int(c.sum()), int((c > 0).sum()), int(left.sum()),
+        rows.append(("word", int(c.sum()), int((c > 0).sum()), int(left.sum()),
                      *(int((left == k).sum()) for k in (1, 2, 3, 4))))
-    columns = list(zip(*rows)) if rows else [[]] * 9
+    columns = list(zip(*rows)) if rows else [[]] * 8
     yield pa.RecordBatch.from_arrays(
-        [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[2:])],
-        ["kind", "bucket", "n", "v", "pairs", "k1", "k2", "k3", "k4"])
+        [pa.array(columns[0], pa.string()), *(pa.array(c, pa.int64()) for c in columns[1:])], ["kind", *_TOTALS])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float, float]:
@@ -266,9 +287,7 @@ class Model:
 
     folder: str
     buckets: int
-    often: np.ndarray
-    pair_buckets: list[int]
-    word_buckets: list[int]
+    often: np.ndarray  # at most SHARE words and the begin state
     n: int  # tokens
     v: int  # distinct tokens
     pairs: int  # distinct pairs
@@ -282,44 +301,57 @@ def train(docs: DataFrame, text_col: str) -> Model:
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
     seen = rows.mapInArrow(_often, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = {r["word"]: r["n"] for r in seen.collect()}  # about SHARE rows a chunk at most, before the sum
+    # the number of tokens (word 0), then the words that can have their share of it
+    counts = {r["word"]: r["n"] for r in seen.orderBy(F.col("n").desc(), "word").limit(SHARE + 2).collect()}
     total = counts.pop(0, 0)
     often = np.unique(np.append(np.array([w for w, n in counts.items() if n * SHARE >= total], np.int64).view(np.uint64), BEGIN))
     buckets = max(8, -(-total // BUCKET))
     folder = scratch_path(spark, "kneser-ney")
     packed = lambda names: "bucket int, " + ", ".join(f"{c} binary" for c in names)
-    by = lambda df: df.repartition(-(-buckets // SPREAD), "bucket").sortWithinPartitions("bucket")
+
+    def by_bucket(df: DataFrame) -> DataFrame:
+        """Rows sorted by bucket, with an empty row for every bucket, so that each is written."""
+        empty = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"),
+                                            *[F.lit(b"").alias(c) for c in df.columns[1:]])
+        return df.unionByName(empty).repartition(-(-buckets // SPREAD), "bucket").sortWithinPartitions("bucket")
+
     pairs = rows.mapInArrow(lambda b: _count_pairs(b, often, buckets), packed(["prev", "word", "n"]))
-    words = by(pairs).mapInArrow(lambda b: _add_pairs(b, folder, buckets), packed(_STATS))
-    meta = by(words).mapInArrow(lambda b: _add_words(b, folder), _META).collect()  # two rows a bucket
-    pair = [r for r in meta if r["kind"] == "pair"]
-    word = [r for r in meta if r["kind"] == "word"]
-    add = lambda rows, c: sum(r[c] for r in rows)
-    v, n_pairs = add(word, "v"), add(word, "pairs")
-    t = [add(word, f"k{k}") for k in (1, 2, 3, 4)]
-    d_word = discounts(*t)
-    floor = (d_word[1] * t[0] + d_word[2] * t[1] + d_word[3] * (v - t[0] - t[1])) / n_pairs if n_pairs else 1.0
-    return Model(folder, buckets, often, sorted(r["bucket"] for r in pair), sorted(r["bucket"] for r in word),
-                 add(word, "n"), v, n_pairs, discounts(*(add(pair, f"k{k}") for k in (1, 2, 3, 4))), d_word, floor)
+    words = by_bucket(pairs).mapInArrow(lambda b: _add_pairs(b, folder, buckets), packed(_STATS))
+    meta = by_bucket(words).mapInArrow(lambda b: _add_words(b, folder), _META)
+    sums = {r["kind"]: r for r in meta.groupBy("kind").agg(*[F.sum(c).alias(c) for c in _TOTALS]).collect()}
+    word = sums["word"]
+    counts_of = lambda kind: [sums[kind][f"k{k}"] for k in (1, 2, 3, 4)]
+    t, d_word = counts_of("word"), discounts(*counts_of("word"))
+    above = word["v"] - t[0] - t[1]
+    floor = (d_word[1] * t[0] + d_word[2] * t[1] + d_word[3] * above) / word["pairs"] if word["pairs"] else 1.0
+    return Model(folder, buckets, often, word["n"], word["v"], word["pairs"], discounts(*counts_of("pair")), d_word, floor)
 
 
 class Lookup:
-    """A worker's memory-mapped view of a model."""
+    """A worker's memory-mapped view of a model: files used last are kept mapped."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.pair_files = {b: map_arrays(f"{model.folder}/pair-{b:06d}", PAIR_FILE) for b in model.pair_buckets}
-        self.word_files = {b: map_arrays(f"{model.folder}/word-{b:06d}", WORD_FILE) for b in model.word_buckets}
-
-    @staticmethod
-    def _find(files: dict, buckets: np.ndarray, keys: np.ndarray, n: int) -> list[np.ndarray]:
+        self.mapped: OrderedDict[tuple[str, int], list[np.ndarray]] = OrderedDict()
+
+    def _file(self, kind: str, bucket: int, n: int) -> list[np.ndarray]:
+        found = self.mapped.get((kind, bucket))
+        if found is None:
+            while len(self.mapped) >= MAPPED:
+                self.mapped.popitem(last=False)
+            found = self.mapped[kind, bucket] = map_arrays(f"{self.model.folder}/{kind}-{bucket:06d}", n)
+        else:
+            self.mapped.move_to_end((kind, bucket))
+        return found
+
+    def _find(self, kind: str, buckets: np.ndarray, keys: np.ndarray, n: int) -> list[np.ndarray]:
         out = [np.zeros(len(keys), np.int64) for _ in range(n)]
         order = np.argsort(buckets, kind="stable")
         cuts = np.flatnonzero(np.diff(buckets[order], prepend=-1))
         for a, b in zip(cuts, [*cuts[1:], len(order)]):
             mine = order[a:b]
-            found = files.get(int(buckets[mine[0]]))
-            if found is None:
+            found = self._file(kind, int(buckets[mine[0]]), n)
+            if not len(found[0]):
                 continue
             at = np.minimum(np.searchsorted(found[0], keys[mine]), len(found[0]) - 1)
             hit = found[0][at] == keys[mine]
@@ -331,7 +363,7 @@ class Lookup:
         """(log10 p(token | prev), log10 of the base, count) of each token."""
         m = self.model
         words, inverse = np.unique(np.concatenate([token, prev]), return_inverse=True)
-        c, left, s1, s2, s3 = self._find(self.word_files, (mix(words) % np.uint64(m.buckets)).astype(np.int64), words, 5)
+        c, left, s1, s2, s3 = self._find("word", (mix(words) % np.uint64(m.buckets)).astype(np.int64), words, 5)
         d = np.array(m.d_word)
         p_word = m.floor / (m.v + 1) + np.maximum(left - d[np.minimum(left, 3)], 0) / max(m.pairs, 1)
         # A word is followed as often as it occurs; the begin state by every text's first token.
@@ -340,7 +372,7 @@ class Lookup:
         at, before = inverse[:len(token)], inverse[len(token):]
         key, unique = np.unique(pair_key(prev, token), return_index=True)
         back = np.searchsorted(key, pair_key(prev, token))
-        n, = self._find(self.pair_files, _bucket_of(prev[unique], key, m.often, m.buckets), key, 1)
+        n, = self._find("pair", _bucket_of(prev[unique], key, m.often, m.buckets), key, 1)
         kept = np.maximum(n - d[np.minimum(n, 3)], 0)[back]
         total = np.where(prev == BEGIN, self.texts, c[before])
         seen = total > 0
@@ -352,14 +384,26 @@ class Lookup:
     def texts(self) -> int:
         """Texts counted: each has one end token."""
         if not hasattr(self, "_texts"):
-            self._texts = int(self._find(self.word_files, (mix(np.array([END])) % np.uint64(self.model.buckets)).astype(np.int64),
+            self._texts = int(self._find("word", (mix(np.array([END])) % np.uint64(self.model.buckets)).astype(np.int64),
                                          np.array([END]), 1)[0][0])
         return self._texts
 
 
+#: The worker's last model.
+_LOOKUPS: dict[str, Lookup] = {}
+
+
+def _lookup(model: Model) -> Lookup:
+    if model.folder not in _LOOKUPS:
+        _LOOKUPS.clear()
+        _LOOKUPS[model.folder] = Lookup(model)
+    holds(__name__, _LOOKUPS.clear)
+    return _LOOKUPS[model.folder]
+
+
 @frees
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    lookup = Lookup(model)
+    lookup = _lookup(model)
     for batch in sliced(batches, "text", SCORED_BYTES):
         prev, token, bounds = token_stream(batch)
         score, base, count = lookup.log_probs(prev, token)
