@@ -45,6 +45,24 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+ORACLES["op8_sharding"] = """
+WITH RECURSIVE entry(byte, step, v) AS (  -- the checksum's table, by its rule
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL
+  SELECT byte, step + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM entry WHERE step < 8),
+crc AS (SELECT list(v ORDER BY byte) AS tab FROM entry WHERE step = 8),
+t AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+b AS (SELECT doc_id, size, list_transform(regexp_extract_all(digits, '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes FROM t),
+c AS (SELECT doc_id, size, xor(list_reduce(bytes, lambda state, byte: xor(state >> 8, tab[xor(state & 255, byte) + 1]),
+                                           CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32 FROM b, crc),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total FROM c),
+s AS (SELECT *, least(39, CAST(before * 40 // total AS INTEGER)) AS shard FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, shard,
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s
+"""
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
