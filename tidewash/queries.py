@@ -18,7 +18,7 @@ from tidewash import fixed_values as FV
 from tidewash.functions import records as R
 from tidewash.functions import text as X
 from tidewash.functions.text import PY_WHITESPACE_CLASS as WS
-from tidewash.operators import dedup, filters, joins, runs, similarity, stats
+from tidewash.operators import dedup, filters, joins, keywords, runs, similarity, stats
 from tidewash.plans import clean
 from tidewash.session import scratch_path
 from tidewash.sources import jsonl
@@ -300,6 +300,21 @@ def q_keyword_any_long(spark, sf):
     return d.select("doc_id", filters.keyword_any("text", LONG_KEYWORDS).alias("hit"))
 
 
+@query("keyword_any_table", """
+WITH w AS (SELECT list_filter(string_split_regex(text, '[^A-Za-z0-9]+'), lambda x: x <> '') AS w FROM benchmark),
+k AS (SELECT DISTINCT lower(w[i] || ' ' || w[i + 1]) AS k FROM w, unnest(range(1, len(w))) AS r(i)),
+h AS (SELECT DISTINCT doc_id FROM documents JOIN k ON contains(lower(text), k))
+SELECT doc_id, text IS NULL OR text = '' OR doc_id IN (SELECT doc_id FROM h) AS hit FROM documents""")
+def q_keyword_any_table(spark, sf):
+    """Does the text contain any two words that follow each other in a benchmark text?"""
+    words = F.filter(F.split("text", "[^A-Za-z0-9]+"), lambda x: x != "")
+    table_ = table(spark, sf, "benchmark").select(words.alias("w")).select(F.explode(F.zip_with(
+        F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, 1_000_000_000),
+        lambda a, b: F.concat_ws(" ", a, b))).alias("phrase"))
+    d = table(spark, sf, "documents", text_work=True).select("doc_id", "text")
+    return keywords.keyword_any_table(d, "text", table_, "phrase").select("doc_id", "hit")
+
+
 @query("code_in_set", """
 SELECT event_id, user_id FROM events WHERE user_id IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144)""")
 def q_code_in_set(spark, sf):
