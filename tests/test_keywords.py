@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from tidewash.operators import keywords
 from tidewash.operators.keywords import POSITIONS, keyword_any_table
 
 
@@ -11,6 +12,12 @@ def _hits(spark, texts, words, **how):
     return {r.i: r.hit for r in keyword_any_table(df, "text", table, "word", **how).collect()}
 
 
+@pytest.fixture(params=["broadcast", "joined"], autouse=True)
+def way(request, monkeypatch):
+    if request.param == "joined":
+        monkeypatch.setattr(keywords, "BROADCAST_CHARS", -1)
+
+
 @pytest.mark.parametrize("empty", [True, False])
 def test_edges(spark, empty):
     edge = "x" * (POSITIONS - 2)  # a keyword that lies across the border of two blocks
