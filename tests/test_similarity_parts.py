@@ -49,3 +49,34 @@ def test_few_candidates_by_chance(spark):
     by_prefix = q.alias("a").join(q.alias("b"), "tok").where("a.id < b.id").select("a.id", "b.id").distinct().count()
     by_parts = S._candidates(p, p, 17, 20).count()
     assert by_prefix > 10_000 and by_parts * 50 < by_prefix, (by_prefix, by_parts)
+
+
+@pytest.mark.parametrize("wide", [True, False])
+def test_edits_against_the_table(wide):
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rnd = random.Random(8)
+    for k in range(200):
+        a = "".join(rnd.choices("aab\u00e9\U0001f600 ", k=rnd.randrange(90)))
+        b = "".join(c for c in a if rnd.random() < 0.9) + "xy" * (k % 3) if k % 2 else "".join(rnd.choices("ab\u00e9 ", k=rnd.randrange(90)))
+        if wide:
+            assert S._edits(a.encode("utf-32-le"), b.encode("utf-32-le"), True) == plain(a, b)
+        else:
+            assert S._edits(a.encode(), b.encode(), False) == plain(a.encode(), b.encode())
+
+
+def test_edits_of_long_texts_take_no_table():
+    import time
+
+    rnd = random.Random(9)
+    a = "".join(rnd.choices("abcdefgh ", k=60_000))
+    b = "".join(c if rnd.random() < 0.9 else rnd.choice("xyz") for c in a)
+    start = time.monotonic()
+    d = S._edits(a.encode(), b.encode(), False)
+    assert 5000 < d < 6500 and time.monotonic() - start < 20  # a table has 3.6e9 cells
