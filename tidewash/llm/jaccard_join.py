@@ -1,26 +1,27 @@
-"""Operator 9, n-gram Jaccard join with adaptive multi-match prefixes.
+"""Operator 9, n-gram Jaccard join with set parts as keys.
 
-A document is its set of distinct word shingles.  With all sets in one global order,
-two sets with an overlap of ``o`` share at least ``l`` of their first ``n - o + l``
-shingles.  Each document picks its own ``l``: a longer prefix meets more posting lists
-but asks for more shared shingles, so fewer candidates are verified.
+A document is its set of distinct word shingles.  Linked sets of sizes nx and ny differ in
+at most ``h = (nx + ny) * (den - num) / (den + num)`` shingles.  Shingles are dealt by hash
+among more than ``h`` parts, so linked sets have equal parts and meet on them.  Unlike a
+shingle, whose posting list grows with the table, a part of several shingles is shared by
+copies and next to nobody else, so candidates grow with the links and not with the square of the table.
 
-1. Order: shingles that many documents have (found by exact counts in chunks) come
-   last, the rest by hash.  The order steers cost only; any order gives the same result.
+1. Weights: shingles that many documents have are found by counts in chunks.  A set leaves
+   out the parts that are most often alike by chance.  The weights steer cost only; any
+   give the same result.
 2. Sets with equal hashes are one class, so copies never meet each other again.
-3. Prefixes of ``MAX_MATCHES`` length are counted per shingle; a document's cost of
-   ``l`` is the length of its posting lists plus the verification of at most
-   (length of lists / l) candidates.  It keeps the prefix of the cheapest ``l``.
+3. A set has the keys of its own size class and of the next one (a linked larger set is in
+   either); only keys of several classes are written (``operators.similarity`` explains them).
+   Below a threshold of 1/2, where parts would be empty, keys are the shingles of a prefix.
 4. Stars, ``TURNS`` times: on every posting list that holds several components, each
-   document outside the largest one meets ``HUBS`` drawn members.  The first of those that
-   pass the size and bitmap bounds is verified on whole sets, and verified pairs are
-   merged into components.
-5. Rest: the same documents are paired with all documents of other components that share
-   at least min(l) prefix shingles.  So every candidate pair is either verified or already
-   connected, and no link between components is lost, while the pairs inside a large
-   group of near copies are not enumerated.
-
-Bounds (never lossy): sizes; 512 parity bits of a set, whose differences count at most
+   document outside the largest one meets ``HUBS`` drawn members.  The one that it shares
+   most keys with is verified on whole sets, and verified pairs are merged into components.
+5. Rest: the same documents are paired with all documents of other components that share a
+   key.  So every candidate pair is either verified or already connected, and no link
+   between components is lost, while the pairs inside a large group of near copies are not
+   enumerated.
+
+Bounds (never lossy): sizes; parity bits of a set, whose differences count at most
 the symmetric difference of two sets.  Whole sets decide with integer arithmetic.
 
 Defined cases: texts without words, empty or null have no set and link with nothing;
@@ -42,18 +43,17 @@ from pyspark.sql import functions as F
 from tidewash.llm.common import buffers, doc_key, frees, release, sliced, written
 from tidewash.llm.components import components
 from tidewash.llm.words import SPACED, mix, shingles, word_hashes
+from tidewash.operators.similarity import RARE, _keys_of, _size_classes
 
-#: Largest number of shared prefix shingles that a document may ask for.
-MAX_MATCHES = 3
 #: Shingles counted together when frequent ones are sought.
 CHUNK = 4 << 20
 #: A shingle in a document of this many (of a chunk, of all) is frequent.
 CHUNK_SHARE, TABLE_SHARE = 1000, 5000
-#: Frequent shingles that the order knows, the most frequent first (16 MB broadcast).
-#: Beyond it the order only gets less sharp.
+#: Frequent shingles that have a weight, the most frequent first (16 MB broadcast).
+#: Beyond it the weights only get less sharp.
 FREQUENT = 1 << 20
-#: Cost of verifying a shingle of a candidate, against one entry of a posting list.
-VERIFY_COST = 0.05
+#: Parity bits of a set, in longs, by its size: the lower bounds of the sizes and the longs.
+BIT_SIZES, BIT_LONGS = (0, 256, 2048), (8, 32, 128)
 #: Members of a posting list that its other members meet in a turn, and turns.
 HUBS, TURNS = 16, 2
 #: Rounds of component search in a turn.  Labels that are not final only leave more pairs
@@ -93,41 +93,54 @@ def _frequent(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         yield counted(parts)
 
 
+def _parity(s: np.ndarray) -> np.ndarray:
+    """The parities of the numbers of shingles that the leading bits deal to each place, as longs."""
+    longs = BIT_LONGS[int(np.searchsorted(BIT_SIZES, len(s), side="right")) - 1]
+    places = longs * 64
+    odd = np.bincount((s >> np.uint64(65 - places.bit_length())).astype(np.int64), minlength=places) & 1
+    powers = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    return (odd.reshape(longs, 64).astype(np.uint64) * powers).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def _keys(sets: list[np.ndarray], num: int, den: int, frequent: np.ndarray, weights: np.ndarray) -> list[pa.Array]:
+    """Per set, the keys of its size class (own) and those of the next one."""
+    n = np.array([len(s) for s in sets], np.int64)
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    if 2 * num < den:
+        at = np.arange(len(tokens)) - np.repeat(np.cumsum(n) - n, n)
+        first = at <= (n + (-num * n // den))[owner]
+        found = [(owner[first], tokens[first]), (owner[:0], tokens[:0])]
+    else:
+        weight = np.full(len(tokens), RARE, np.int64)
+        if len(frequent):
+            at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+            weight = np.where(frequent[at] == tokens, weights[at], RARE)
+        bounds = _size_classes(int(n.max(initial=1)), num, den)
+        some = np.flatnonzero(n)
+        own = np.searchsorted(bounds, n[some], side="right") - 1
+        place = np.repeat(np.arange(len(some)), n[some])
+        parts = [_keys_of(tokens, place, c, bounds[c + 1] - 1, weight, num, den) for c in (own, own + 1)]
+        found = [(some[of], key) for of, key in parts]
+    bound = [np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(sets)))]) for of, _ in found]
+    return [pa.ListArray.from_arrays(pa.array(b, pa.int32()), pa.array(key.view(np.int64))) for b, (_, key) in zip(bound, found)]
+
+
 @frees
 def _profiles(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int,
-              frequent: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Per document: set size, set digest, parity bits and its longest prefix.
+              frequent: np.ndarray, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Per document: set size, set digest, parity bits and keys.
 
-    ``frequent`` are the sorted frequent shingles, ``counts`` their document counts."""
-    powers = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    ``frequent`` are the sorted frequent shingles, ``weights`` how seldom documents have them."""
     for batch in sliced(batches, "text"):
-        rows = []
-        for s in _sets(batch, size):
-            n = len(s)
-            if not n:
-                rows.append((0, 0, 0, None, None, None))
-                continue
-            at = np.minimum(np.searchsorted(frequent, s), max(len(frequent) - 1, 0))
-            often = frequent[at] == s if len(frequent) else np.zeros(n, bool)
-            rare, common, df = s[~often], s[often], counts[at[often]] if len(frequent) else counts
-            need = -(-num * n // den)
-            longest = min(n, n - need + min(MAX_MATCHES, need))
-            prefix = rare[:longest]
-            heavy = np.zeros(0, np.int64)
-            if len(prefix) < longest:
-                by = np.lexsort((common, df))[:longest - len(prefix)]
-                prefix, heavy = np.concatenate([prefix, common[by]]), df[by]
-            parity = np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=512) & 1
-            bits = (parity.reshape(8, 64).astype(np.uint64) * powers).sum(axis=1, dtype=np.uint64)
-            rows.append((n, int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)),
-                         int(mix(s + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).view(np.int64)),
-                         bits.view(np.int64), prefix.view(np.int64), heavy))
-        columns = list(zip(*rows))
-        longs = pa.list_(pa.int64())
+        sets = list(_sets(batch, size))
+        rows = [(len(s), int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)),
+                 int(mix(s + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).view(np.int64)),
+                 _parity(s) if len(s) else None) for s in sets]
+        *numbers, bits = zip(*rows)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("key"), *(pa.array(c, pa.int64()) for c in columns[:3]),
-             *(pa.array(c, longs) for c in columns[3:])],
-            ["id", "key", "n", "sig_a", "sig_b", "bits", "prefix", "heavy"])
+            [batch.column("id"), batch.column("key"), *(pa.array(c, pa.int64()) for c in numbers),
+             pa.array(bits, pa.list_(pa.int64())), *_keys(sets, num, den, frequent, weights)],
+            ["id", "key", "n", "sig_a", "sig_b", "bits", "own", "next"])
 
 
 @frees
@@ -153,21 +166,22 @@ def _required(n_x: Column, n_y: Column, num: int, den: int) -> Column:
     return F.ceil(num * (n_x + n_y) / F.lit(num + den)).cast("long")
 
 
-def _may_link(x: str, y: str, num: int, den: int) -> Column:
+def _sizes_allow(x: str, y: str, num: int, den: int) -> Column:
     nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
-    differ = sum((F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(8)), F.lit(0))
-    return ((den * F.least(nx, ny) >= num * F.greatest(nx, ny))
-            & (differ <= nx + ny - 2 * _required(nx, ny, num, den)))
+    return (den * F.least(nx, ny) >= num * F.greatest(nx, ny)) & (F.col(f"{x}.own") | F.col(f"{y}.own"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets are linked.
+    """Pairs (a, b) whose whole sets are linked; first their parity bits are compared.
 
     Only documents of some pair give their sets: a pass over the texts, led by a bitmap
     of their keys (fixed size; what it lets through in excess, the join drops)."""
-    keyed = written(pairs.select("a", "b")
-                    .join(facts.select(F.col("row").alias("a"), F.col("key").alias("key_a")), "a")
-                    .join(facts.select(F.col("row").alias("b"), F.col("key").alias("key_b")), "b"), "jaccard-pairs")
+    side = lambda c: facts.select(F.col("row").alias(c), *(F.col(f).alias(f"{f}_{c}") for f in ("key", "n", "bits")))
+    differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    may = (F.size("bits_a") != F.size("bits_b")) | (differ <= n_a + n_b - 2 * _required(n_a, n_b, num, den))
+    keyed = written(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(may)
+                    .select("a", "b", "key_a", "key_b"), "jaccard-pairs")
     if keyed.isEmpty():
         return keyed.select("a", "b")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
@@ -186,35 +200,12 @@ def _verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, size: int, nu
     return linked
 
 
-def _postings(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Per class: row, n, bits, l and tokens (token, df), the shingles of its chosen
-    prefix that other classes have too."""
-    need = F.ceil(num * F.col("n") / F.lit(den)).cast("long")
-    light = F.size("prefix") - F.size("heavy")
-    rare = reps.select("row", F.posexplode(F.slice("prefix", 1, light)).alias("pos", "token"))
-    # Rare shingles have short lists (frequent ones are known), so a window is safe here.
-    rare = rare.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
-    heavy = reps.where(F.size("heavy") > 0).select(
-        "row", light.alias("light"), F.posexplode(F.arrays_zip(
-            F.slice("prefix", light + 1, F.size("heavy")).alias("token"), F.col("heavy").alias("df"))).alias("at", "x"))
-    heavy = heavy.select("row", (F.col("light") + F.col("at")).alias("pos"), "x.token", "x.df")
-    shared = rare.unionByName(heavy).groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "token", "df"))).alias("shared"))
-    d = reps.select("row", "key", "n", "bits").join(shared, "row").withColumn("need", need)
-    first = F.col("n") - F.col("need")  # a prefix is this plus l long
-
-    def upto(m):
-        return F.filter("shared", lambda s: s["pos"] < first + m)
-
-    best, chosen = None, F.lit(1)
-    for m in range(1, MAX_MATCHES + 1):
-        entries = F.aggregate(upto(m), F.lit(0).cast("double"), lambda acc, s: acc + s["df"] - 1)
-        cost = F.when(F.col("need") >= m, entries * (1 + VERIFY_COST * F.col("n") / m)).otherwise(F.lit(1e300))
-        chosen = chosen if best is None else F.when(cost < best, m).otherwise(chosen)
-        best = cost if best is None else F.least(best, cost)
-    d = d.withColumn("l", chosen.cast("int"))
-    return d.select("row", "key", "n", "bits", "l",
-                    F.transform(upto(F.col("l")), lambda s: s.dropFields("pos")).alias("tokens"))
+def _postings(reps: DataFrame) -> DataFrame:
+    """(row, n, token, own, df): the keys that several classes have; df: how many."""
+    keys = reps.select("row", "n", F.explode("own").alias("token"), F.lit(True).alias("own")).unionByName(
+        reps.select("row", "n", F.explode("next").alias("token"), F.lit(False).alias("own")))
+    # a list is as long as a group of sets that look alike
+    return keys.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
 
 
 def _mixed_lists(entries: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -233,28 +224,28 @@ def _mixed_lists(entries: DataFrame, label: DataFrame | None) -> DataFrame:
 
 def _star(lists: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     """(a, b): each document outside a list's largest component with one of the HUBS
-    members that the turn's hash puts first in its lists, if bounds and components allow.
+    members that the turn's hash puts first in its lists: the one that it shares most keys with,
+    if sizes and components allow.
     The hash ranks documents alike in all lists, so that many settle on the same hub."""
     rank = F.xxhash64("row", F.lit(turn))
-    long_list = F.col("df") >= LONG_LIST  # df is the same in all rows of a shingle
+    long_list = F.col("df") >= LONG_LIST  # df is the same in all rows of a key
     nth = F.row_number().over(Window.partitionBy("token").orderBy(rank, "row"))
     hubs = lists.withColumn("nth", nth).where(F.col("nth") <= HUBS).withColumns({"rank": rank, "salt": F.explode(
         F.when(long_list, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))})
-    hubs = written(hubs.select("row", "n", "bits", "comp", "token", "rank", "salt"), "jaccard-hubs")
+    hubs = written(hubs.select("row", "n", "own", "comp", "token", "rank", "salt"), "jaccard-hubs")
     members = lists.where("comp <> major").withColumn(
         "salt", F.when(long_list, F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0))
     met = members.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.salt") == F.col("y.salt"))
-                                  & (F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y", num, den))
-    best = met.groupBy(F.col("x.row").alias("row")).agg(F.min(F.struct("y.rank", "y.row")).alias("hub"))
-    pairs = written(best.select(F.least("row", "hub.row").alias("a"), F.greatest("row", "hub.row").alias("b")).distinct(), "jaccard-star")
+                                  & (F.col("x.comp") != F.col("y.comp")) & _sizes_allow("x", "y", num, den))
+    met = met.groupBy(F.col("x.row").alias("row"), F.col("y.row").alias("hub"), "y.rank").agg(F.count(F.lit(1)).alias("k"))
+    best = met.groupBy("row").agg(F.min(F.struct((-F.col("k")).alias("k"), "rank", "hub")).alias("best"))
+    pairs = written(best.select(F.least("row", "best.hub").alias("a"), F.greatest("row", "best.hub").alias("b")).distinct(), "jaccard-star")
     release(hubs)
     return pairs
 
 
-def _links(docs: DataFrame, post: DataFrame, size: int, num: int, den: int) -> DataFrame:
+def _links(docs: DataFrame, entries: DataFrame, facts: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Edges (a, b) between classes whose components are those of all links."""
-    facts = post.select("row", "key", "n", "bits")
-    entries = written(post.select("row", "n", "l", "bits", F.inline("tokens")), "jaccard-entries")
     label, tried, edges = None, None, None
     for turn in range(TURNS):
         lists = _mixed_lists(entries, label)
@@ -266,18 +257,16 @@ def _links(docs: DataFrame, post: DataFrame, size: int, num: int, den: int) -> D
         label = components(edges, LABEL_ROUNDS)
         release(lists)
 
-    # What is left: all pairs across components.  Each shared list gives a pair once, so
-    # the rows of a pair count its shared shingles.
+    # What is left: all pairs across components.
     lists = _mixed_lists(entries, label)
     x, y = lists.where("comp <> major").alias("x"), lists.alias("y")
     rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
                    & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.row") < F.col("y.row")))
-                   & _may_link("x", "y", num, den))
-            .groupBy(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b"))
-            .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x.l", "y.l")).alias("l")).where("k >= l")
+                   & _sizes_allow("x", "y", num, den))
+            .select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct()
             .join(tried.distinct(), ["a", "b"], "left_anti"))
     linked = _verified(docs, rest, facts, size, num, den)
-    release(entries, tried, lists)
+    release(tried, lists)
     return edges.unionByName(linked)
 
 
@@ -298,31 +287,35 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int
 
     often = (rows.select("text").mapInArrow(lambda b: _frequent(b, shingle), "token long, df long")
              .groupBy("token").agg(F.sum("df").alias("df")))
-    often = (often.where(F.col("df") >= max(8, docs.count() // TABLE_SHARE))
+    total = docs.count()
+    often = (often.where(F.col("df") >= max(8, total // TABLE_SHARE))
              .orderBy(F.desc("df"), "token").limit(FREQUENT).toArrow())
     token = often.column("token").to_numpy().view(np.uint64)
     by = np.argsort(token)
-    order = spark.sparkContext.broadcast((token[by], often.column("df").to_numpy()[by]))
+    seldom = np.log(max(total, 1) / often.column("df").to_numpy()[by]) * 100
+    order = spark.sparkContext.broadcast((token[by], np.clip(seldom, 0, RARE).astype(np.int64)))
 
     profiles = rows.mapInArrow(
         lambda b: _profiles(b, shingle, num, den, *order.value),
-        "id long, key binary, n long, sig_a long, sig_b long, bits array<long>, prefix array<long>, heavy array<long>")
+        "id long, key binary, n long, sig_a long, sig_b long, bits array<long>, own array<long>, next array<long>")
     profiles = written(profiles.withColumn("row", F.monotonically_increasing_id()), "jaccard-profiles")
 
     sig = ["n", "sig_a", "sig_b"]
     classes = written(profiles.where("n > 0").groupBy(sig).agg(
         F.min("row").alias("rep"), F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "jaccard-classes")
-    reps = profiles.join(classes.select(F.col("rep").alias("row")), "row").select(
-        "row", "key", "n", "bits", "prefix", "heavy")
-    post = written(_postings(reps, num, den), "jaccard-postings")
-    links = _links(rows.select("key", "text"), post, shingle, num, den)
+    reps = profiles.join(classes.select(F.col("rep").alias("row")), "row")
+    entries = written(_postings(reps), "jaccard-entries")
+    facts = written(reps.join(entries.select("row").distinct(), "row", "left_semi").select("row", "key", "n", "bits"), "jaccard-facts")
+    wide, profiles = profiles, written(profiles.drop("bits", "own", "next"), "jaccard-sizes")
+    release(wide)
+    links = _links(rows.select("key", "text"), entries, facts, shingle, num, den)
     label = components(links).withColumnRenamed("node", "rep")
 
     joined = classes.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes"))
     grouped = written(joined.join(least, "label").where("rows > 1 or classes > 1")
                       .select(*sig, "rows", "component_id", "label"), "jaccard-components")
-    release(classes, post)
+    release(classes, entries, facts)
     salted = grouped.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     out = profiles.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(
         salted, [*sig, "salt"], "left")
