@@ -13,13 +13,17 @@ copies and next to nobody else, so candidates grow with the links and not with t
 3. A set has the keys of its own size class and of the next one (a linked larger set is in
    either); only keys of several classes are written (``operators.similarity`` explains them).
    Below a threshold of 1/2, where parts would be empty, keys are the shingles of a prefix.
-4. Stars, ``TURNS`` times: on every posting list that holds several components, each
-   document outside the largest one meets ``HUBS`` drawn members.  The one that it shares
-   most keys with is verified on whole sets, and verified pairs are merged into components.
-5. Rest: the same documents are paired with all documents of other components that share a
-   key.  So every candidate pair is either verified or already connected, and no link
-   between components is lost, while the pairs inside a large group of near copies are not
-   enumerated.
+4. Stars, ``TURNS`` times: on every posting list each document meets ``HUBS`` members, and
+   one of them is verified on whole sets; verified pairs are merged into components.  In the
+   first turn it is the most central member (with most and longest lists), the document's hub;
+   later it is the one that it shares most keys with, on lists that hold several components.
+5. Rest, across hubs: documents outside the largest component of a list are paired with all
+   documents of other components and other hubs that share a key.
+6. Rest, of one hub: two documents differ exactly where their differences from the hub differ.
+   So they meet on a prefix of these differences (``_within_hubs``), most of which are a
+   document's own.  So every candidate pair is either verified, excluded by a bound or already
+   connected, and no link between components is lost, while the pairs inside a large group of
+   near copies are not enumerated, whether they link or just miss the threshold.
 
 Bounds (never lossy): sizes; parity bits of a set, whose differences count at most
 the symmetric difference of two sets.  Whole sets decide with integer arithmetic.
@@ -171,11 +175,22 @@ def _sizes_allow(x: str, y: str, num: int, den: int) -> Column:
     return (den * F.least(nx, ny) >= num * F.greatest(nx, ny)) & (F.col(f"{x}.own") | F.col(f"{y}.own"))
 
 
+def _sets_of(docs: DataFrame, keys: list[DataFrame], size: int) -> DataFrame:
+    """(key, tokens), the sets of the documents with these keys: a pass over the texts, led by a
+    bitmap of the keys (fixed size; what it lets through in excess, a join drops)."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
+    flags = np.zeros(SLOTS, bool)
+    for some in keys:
+        flags[some.select(slot("key").alias("s")).distinct().toArrow().column("s").to_numpy()] = True  # <= SLOTS values
+    wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(flags).tobytes())
+    return written(docs.withColumn("slot", slot("key")).mapInArrow(
+        lambda b: _whole_sets(b, size, wanted.value), "key binary, tokens array<long>"), "jaccard-sets")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose whole sets are linked; first their parity bits are compared.
 
-    Only documents of some pair give their sets: a pass over the texts, led by a bitmap
-    of their keys (fixed size; what it lets through in excess, the join drops)."""
+    Only documents of some pair give their sets."""
     side = lambda c: facts.select(F.col("row").alias(c), *(F.col(f).alias(f"{f}_{c}") for f in ("key", "n", "bits")))
     differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     n_a, n_b = F.col("n_a"), F.col("n_b")
@@ -184,13 +199,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, size: int, nu
                     .select("a", "b", "key_a", "key_b"), "jaccard-pairs")
     if keyed.isEmpty():
         return keyed.select("a", "b")
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
-    slots = keyed.select(F.explode(F.array(slot("key_a"), slot("key_b"))).alias("s")).distinct().toArrow()  # <= SLOTS values
-    flags = np.zeros(SLOTS, bool)
-    flags[slots.column("s").to_numpy()] = True
-    wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(flags).tobytes())
-    sets = written(docs.withColumn("slot", slot("key")).mapInArrow(
-        lambda b: _whole_sets(b, size, wanted.value), "key binary, tokens array<long>"), "jaccard-sets")
+    sets = _sets_of(docs, [keyed.select(F.explode(F.array("key_a", "key_b")).alias("key"))], size)
     both = (keyed.join(sets.select(F.col("key").alias("key_b"), F.col("tokens").alias("y")), "key_b").drop("key_b")
             .join(sets.select(F.col("key").alias("key_a"), F.col("tokens").alias("x")), "key_a"))
     inter, total = F.size(F.array_intersect("x", "y")).cast("long"), (F.size("x") + F.size("y")).cast("long")
@@ -201,11 +210,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, facts: DataFrame, size: int, nu
 
 
 def _postings(reps: DataFrame) -> DataFrame:
-    """(row, n, token, own, df): the keys that several classes have; df: how many."""
-    keys = reps.select("row", "n", F.explode("own").alias("token"), F.lit(True).alias("own")).unionByName(
-        reps.select("row", "n", F.explode("next").alias("token"), F.lit(False).alias("own")))
+    """(row, n, token, own, df, central): the keys that several classes have; df: how many;
+    central: the sum of a row's df."""
+    # one number for row and own: this shuffle is the largest
+    keys = reps.select((F.col("row") * 2 + 1).alias("at"), F.explode("own").alias("token")).unionByName(
+        reps.select((F.col("row") * 2).alias("at"), F.explode("next").alias("token")))
     # a list is as long as a group of sets that look alike
-    return keys.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
+    met = written(keys.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1").select(
+        F.shiftright("at", 1).alias("row"), "token", (F.col("at") % 2 == 1).alias("own"), "df"), "jaccard-met")
+    central = met.groupBy("row").agg(F.sum("df").alias("central"))
+    entries = written(met.join(reps.select("row", "n").join(central, "row"), "row"), "jaccard-entries")
+    release(met)
+    return entries
 
 
 def _mixed_lists(entries: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -223,50 +239,103 @@ def _mixed_lists(entries: DataFrame, label: DataFrame | None) -> DataFrame:
 
 
 def _star(lists: DataFrame, turn: int, num: int, den: int) -> DataFrame:
-    """(a, b): each document outside a list's largest component with one of the HUBS
-    members that the turn's hash puts first in its lists: the one that it shares most keys with,
-    if sizes and components allow.
-    The hash ranks documents alike in all lists, so that many settle on the same hub."""
-    rank = F.xxhash64("row", F.lit(turn))
+    """(row, hub): a document and one of the HUBS first members of its lists, if sizes allow.
+
+    In the first turn the most central members are first, and each document takes the most
+    central one that is more central than itself.  Later a hash ranks documents alike in all
+    lists, so that many settle on the same hub, and each document outside a list's largest
+    component takes the one of another component that it shares most keys with."""
+    rank = -F.col("central") if turn == 0 else F.xxhash64("row", F.lit(turn))
     long_list = F.col("df") >= LONG_LIST  # df is the same in all rows of a key
-    nth = F.row_number().over(Window.partitionBy("token").orderBy(rank, "row"))
-    hubs = lists.withColumn("nth", nth).where(F.col("nth") <= HUBS).withColumns({"rank": rank, "salt": F.explode(
-        F.when(long_list, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))})
+    lists = lists.withColumn("rank", rank)
+    nth = F.row_number().over(Window.partitionBy("token").orderBy("rank", "row"))
+    hubs = lists.withColumn("nth", nth).where(F.col("nth") <= HUBS).withColumn("salt", F.explode(
+        F.when(long_list, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
     hubs = written(hubs.select("row", "n", "own", "comp", "token", "rank", "salt"), "jaccard-hubs")
-    members = lists.where("comp <> major").withColumn(
+    members = (lists if turn == 0 else lists.where("comp <> major")).withColumn(
         "salt", F.when(long_list, F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0))
-    met = members.alias("x").join(hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.salt") == F.col("y.salt"))
-                                  & (F.col("x.comp") != F.col("y.comp")) & _sizes_allow("x", "y", num, den))
-    met = met.groupBy(F.col("x.row").alias("row"), F.col("y.row").alias("hub"), "y.rank").agg(F.count(F.lit(1)).alias("k"))
-    best = met.groupBy("row").agg(F.min(F.struct((-F.col("k")).alias("k"), "rank", "hub")).alias("best"))
-    pairs = written(best.select(F.least("row", "best.hub").alias("a"), F.greatest("row", "best.hub").alias("b")).distinct(), "jaccard-star")
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    before = (y("rank") < x("rank")) | ((y("rank") == x("rank")) & (y("row") < x("row")))
+    met = members.alias("x").join(hubs.alias("y"), (x("token") == y("token")) & (x("salt") == y("salt"))
+                                  & (before if turn == 0 else x("comp") != y("comp")) & _sizes_allow("x", "y", num, den))
+    met = met.groupBy(x("row").alias("row"), y("row").alias("hub"), y("rank")).agg(F.count(F.lit(1)).alias("k"))
+    shared = F.lit(0) if turn == 0 else -F.col("k")
+    best = met.groupBy("row").agg(F.min(F.struct(shared.alias("k"), "rank", "hub")).alias("best"))
+    star = written(best.select("row", "best.hub"), "jaccard-star")
     release(hubs)
-    return pairs
+    return star
+
+
+def _within_hubs(docs: DataFrame, lists: DataFrame, facts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """(a, b): documents of one hub and of different components that may be linked.
+
+    With the hub ``h``, d_x is the size of the symmetric difference of x and h.  Sets x and y are
+    linked if theirs, d_x + d_y - 2 * (common differences), is at most c * (n_x + n_y), where
+    c = (den - num) / (den + num).  If neither is far (d > c * (n + n_h)), the first star has linked
+    both to the hub.  As n_y <= n_h + d_y, and common differences are at most d_y, a far x needs
+    (d_x - c * (n_x + n_h)) / (1 + c) of them at least.  As d_x > 2c * n_h / (1 + c) for a far x, another y
+    needs more than half of d_y - c * (n_y + n_h) + 2c * n_h * (1 - c) / (1 + c).  So they share one of
+    the first differences of each (all but as many as needed, and one); where it is the first one that is shared, the
+    differences from there on bound the rest.  What a set has beyond the hub comes first, as
+    it is rarer than what it lacks."""
+    total, less = num + den, den - num
+    members = lists.where("row <> hub").select("row", "n", "comp", "hub").distinct()  # the hub itself was tried
+    several = members.groupBy("hub").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("members"))
+    several = written(several.where("least < most").select("hub", "members"), "jaccard-several")
+    members = written(members.join(several, "hub").join(facts.select("row", "key"), "row"), "jaccard-members")
+    hubs = written(several.join(facts.select(F.col("row").alias("hub"), "key", F.col("n").alias("n_hub")), "hub"), "jaccard-centres")
+    sets = _sets_of(docs, [members, hubs], size)
+    long_list = F.col("members") >= LONG_LIST
+    own = members.join(sets, "key").withColumn(
+        "salt", F.when(long_list, F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0)).drop("key", "members")
+    theirs = hubs.join(sets.withColumnRenamed("tokens", "hub_tokens"), "key").withColumn("salt", F.explode(
+        F.when(long_list, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("key", "members")
+    n, d, n_hub = F.col("n"), F.col("d"), F.col("n_hub")
+    excess = total * d - less * (n + n_hub)
+    far_needs = F.floor((excess + (2 * den - 1)) / F.lit(2 * den))
+    near_needs = F.floor((den * excess + 2 * less * num * n_hub) / F.lit(2 * total * den)) + 1
+    needed = F.greatest(F.lit(1), F.when(F.col("far"), far_needs).otherwise(near_needs))
+    apart = own.join(theirs, ["hub", "salt"]).select("row", "n", "comp", "hub", "n_hub", F.concat(
+        F.array_except("tokens", "hub_tokens"), F.array_except("hub_tokens", "tokens")).alias("apart"))
+    apart = apart.withColumn("d", F.size("apart").cast("long")).withColumn("far", excess > 0)
+    first = F.slice("apart", F.lit(1), F.greatest(F.lit(0), d - needed + 1).cast("int"))
+    places = written(apart.select("row", "n", "comp", "hub", "d", "far", F.posexplode(first).alias("p", "token")), "jaccard-apart")
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    most = F.least(x("d") - x("p"), y("d") - y("p"))  # common differences from the shared one on
+    return places.where("far").alias("x").join(places.alias("y"), (
+        (x("hub") == y("hub")) & (x("token") == y("token")) & (x("comp") != y("comp")) & (~y("far") | (x("row") < y("row")))
+        & (total * (x("d") + y("d") - 2 * most) <= less * (x("n") + y("n"))))).select(
+            F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b"))
 
 
 def _links(docs: DataFrame, entries: DataFrame, facts: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Edges (a, b) between classes whose components are those of all links."""
-    label, tried, edges = None, None, None
+    pairs_of = lambda star: star.select(F.least("row", "hub").alias("a"), F.greatest("row", "hub").alias("b")).distinct()
+    label, centre, tried, edges = None, None, None, None
     for turn in range(TURNS):
-        lists = _mixed_lists(entries, label)
-        pairs = _star(lists, turn, num, den)
-        if turn and pairs.isEmpty():
-            break
+        lists = _mixed_lists(entries, label) if turn else entries.withColumn("comp", F.col("row"))
+        star = _star(lists, turn, num, den)
+        pairs = pairs_of(star)
+        if turn:
+            release(lists)
+            if star.isEmpty():
+                break
         linked = _verified(docs, pairs, facts, size, num, den)
-        tried, edges = (pairs, linked) if turn == 0 else (tried.unionByName(pairs), edges.unionByName(linked))
+        centre, tried, edges = (star, pairs, linked) if turn == 0 else (centre, tried.unionByName(pairs), edges.unionByName(linked))
         label = components(edges, LABEL_ROUNDS)
-        release(lists)
 
     # What is left: all pairs across components.
-    lists = _mixed_lists(entries, label)
+    hub = F.coalesce("hub", "row").alias("hub")
+    lists = _mixed_lists(entries.join(centre, "row", "left").select(*entries.columns, hub), label)
     x, y = lists.where("comp <> major").alias("x"), lists.alias("y")
-    rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
-                   & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.row") < F.col("y.row")))
-                   & _sizes_allow("x", "y", num, den))
-            .select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct()
-            .join(tried.distinct(), ["a", "b"], "left_anti"))
+    across = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.hub") != F.col("y.hub"))
+                     & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.row") < F.col("y.row")))
+                     & _sizes_allow("x", "y", num, den))
+              .select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")))
+    within = _within_hubs(docs, lists, facts, size, num, den)
+    rest = across.unionByName(within).distinct().join(tried.distinct(), ["a", "b"], "left_anti")
     linked = _verified(docs, rest, facts, size, num, den)
-    release(tried, lists)
+    release(tried, lists, within)
     return edges.unionByName(linked)
 
 
@@ -304,7 +373,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int
     classes = written(profiles.where("n > 0").groupBy(sig).agg(
         F.min("row").alias("rep"), F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "jaccard-classes")
     reps = profiles.join(classes.select(F.col("rep").alias("row")), "row")
-    entries = written(_postings(reps), "jaccard-entries")
+    entries = _postings(reps)
     facts = written(reps.join(entries.select("row").distinct(), "row", "left_semi").select("row", "key", "n", "bits"), "jaccard-facts")
     wide, profiles = profiles, written(profiles.drop("bits", "own", "next"), "jaccard-sizes")
     release(wide)
