@@ -372,7 +372,12 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int
     sig = ["n", "sig_a", "sig_b"]
     classes = written(profiles.where("n > 0").groupBy(sig).agg(
         F.min("row").alias("rep"), F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")), "jaccard-classes")
-    reps = profiles.join(classes.select(F.col("rep").alias("row")), "row")
+    # copies, usually few, leave by an anti-join, so that the keys of the others stay where they are
+    dealt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    extras = written(profiles.select("row", *sig, dealt).join(classes.where("rows > 1").select(*sig, "rep", every), [*sig, "salt"])
+                     .where("row <> rep").select("row"), "jaccard-copies")
+    reps = profiles.where("n > 0").join(extras, "row", "left_anti")
     entries = _postings(reps)
     facts = written(reps.join(entries.select("row").distinct(), "row", "left_semi").select("row", "key", "n", "bits"), "jaccard-facts")
     wide, profiles = profiles, written(profiles.drop("bits", "own", "next"), "jaccard-sizes")
@@ -384,7 +389,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes"))
     grouped = written(joined.join(least, "label").where("rows > 1 or classes > 1")
                       .select(*sig, "rows", "component_id", "label"), "jaccard-components")
-    release(classes, entries, facts)
+    release(classes, extras, entries, facts)
     salted = grouped.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     out = profiles.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(
         salted, [*sig, "salt"], "left")
@@ -400,12 +405,17 @@ def drop_similar(docs: DataFrame, id_col: str, text_col: str, shingle: int = 5,
     and, of several texts with that id, the smallest key.
 
     Rows without a set stay.  Of repeated rows one stays."""
-    found = _classes(docs, id_col, text_col, shingle, num, den)
-    first = F.min(F.struct(F.col("id").isNull(), "id", "key", "class_size")).alias("first")
-    keep = written(found.groupBy("component").agg(first).select(
-        "first.key", (F.col("first.class_size") > 1).alias("several")), "jaccard-keep")
+    found = written(_classes(docs, id_col, text_col, shingle, num, den).select("id", "key", "component"), "jaccard-found")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")
+    several = written(found.groupBy("component").agg(first, F.count(F.lit(1)).alias("rows")).where("rows > 1").select(
+        "component", F.col("first.key").alias("kept")), "jaccard-several-rows")
+    # Repeated rows have the same set, so only components of several rows can hold any.
+    salted = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counts = (found.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["component", "salt"])
+              .groupBy("key").agg(F.first(F.col("key") == F.col("kept")).alias("stays"), F.count(F.lit(1)).alias("rows")))
+    moved = written(counts.where("not stays or rows > 1").select("key", "stays"), "jaccard-moved")
+    # What goes or is repeated is usually little, so the texts of the others are not shuffled.
     rows = docs.select(F.struct("*").alias("doc"), doc_key(id_col, text_col).alias("key"))
-    # Repeated rows have the same set, so only classes of several rows can hold any.
-    plain = rows.join(keep.where("not several"), "key", "left_semi").select("doc.*")
-    again = rows.join(keep.where("several"), "key", "left_semi").groupBy("key").agg(F.min("doc").alias("doc")).select("doc.*")
+    plain = rows.join(moved.select("key"), "key", "left_anti").select("doc.*")
+    again = rows.join(moved.where("stays"), "key", "left_semi").groupBy("key").agg(F.min("doc").alias("doc")).select("doc.*")
     return plain.unionByName(again)
