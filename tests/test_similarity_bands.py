@@ -41,3 +41,15 @@ def test_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = {tuple(r) for r in S.near_dup_pairs(df, "doc_id", "text").collect()}
     assert {tuple(r) for r in S.near_dup_pairs_approx(df, "doc_id", "text").collect()} == want
+
+
+@pytest.mark.parametrize("tables", [None, 2])
+def test_a_pair_that_shares_no_band(spark, tables):
+    """6 of 7 tokens in common, and in each of the 66 bands a min-hash of the seventh is the least."""
+    words = "w1931 w1422 w511 w1070 w2309 w110"
+    df = spark.createDataFrame([(1, words), (2, words + " w588")], "id long, text string")
+    sets = S.RankedSets(df, "id", "text").sets.select("rid", "ranks")
+    bands, width = S.band_shape(0.85, most=S.WIDE_BANDS)
+    keys = sets.mapInArrow(lambda b: S._band_keys(b, bands, width, 17), "rid long, key long")
+    assert bands == 66 and keys.select("key").distinct().count() == 2 * bands
+    assert [tuple(r) for r in S.near_dup_pairs_approx(df, "id", "text", num_hash_tables=tables).collect()] == [(1, 2, 6, 7)]

@@ -449,8 +449,8 @@ def q_near_dup_drop_null_ids(spark, sf):
 
 @query("near_dup_pairs_approx")
 def q_near_dup_pairs_approx(spark, sf):
-    """Approximate (banded min-hash) candidates, exactly verified: a subset of
-    ``near_dup_pairs``, all of it but for odds of 1e-9 a pair; rows-only check."""
+    """Candidates of banded min-hashes and of the exact join's keys, exactly verified:
+    all of ``near_dup_pairs``; rows-only check."""
     d = table(spark, sf, "documents", text_work=True)
     return similarity.near_dup_pairs_approx(d, "doc_id", "text", FV.NEAR_DUP_THRESHOLD)
 
